@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.functions.text import code_shape, explode_lines_outside, is_comment, line_total, lines_outside, strip
-from gridlake.session import cut_lineage
+from gridlake.session import cut_lineage, spread
 
 # Shortest text looked at, shortest description, and the token pattern.
 MIN_DUPLICATE_CHARS = 100
 MIN_DESCRIPTION_CHARS = 150
 OPEN_TOKEN = r"\[([^\]]+)\](?!\()"
+OPEN_TOKEN_HAS = "["
 IGNORED_TOKENS = ("", "x", "/")
 CROSS_REFERENCE = r"(?i)^ADR-\d{3,4}$"
 FENCE = "```"
@@ -28,8 +29,12 @@ SECTION_MARK = "##"
 
 def text_digests(df: DataFrame, key: str, text: str, min_len: int = MIN_DUPLICATE_CHARS) -> DataFrame:
     """``(digest, key, lines)`` of texts that are long enough once normalised."""
-    shaped = df.select(key, code_shape(F.col(text)).alias("shape"), line_total(F.col(text)).alias("lines"))
-    return shaped.filter(F.length("shape") >= min_len).select(F.sha2("shape", 256).alias("digest"), key, "lines")
+    texts = spread(df.select(key, text), key)
+    shaped = F.struct(code_shape(F.col(text)).alias("shape"), line_total(F.col(text)).alias("lines"))
+    # The length test sits inside the generator: as a filter it would be pushed below the
+    # projection and shape every text a second time.
+    long_enough = F.filter(F.array(shaped), lambda t: F.length(t["shape"]) >= min_len)
+    return texts.select(key, F.inline(long_enough)).select(F.sha2("shape", 256).alias("digest"), key, "lines")
 
 
 def duplicate_members(df: DataFrame, key: str, text: str, min_len: int = MIN_DUPLICATE_CHARS) -> DataFrame:
@@ -119,12 +124,20 @@ def open_tokens(
     key: str,
     text: str,
     pattern: str = OPEN_TOKEN,
+    token_has: str | None = None,
     fence: str = FENCE,
     ignored: Sequence[str] = IGNORED_TOKENS,
     allowed: str = CROSS_REFERENCE,
 ) -> DataFrame:
-    """``(key, line_no, token)`` of unresolved tokens outside fenced blocks and comments."""
-    lines = explode_lines_outside(df, key, text, fence).filter(F.col("line").rlike(pattern))
+    """``(key, line_no, token)`` of unresolved tokens outside fenced blocks and comments.
+
+    ``token_has`` may name a literal that every match contains; documents and lines
+    without it are then dropped by a substring test before any regular expression runs.
+    The default pattern brings its own."""
+    if token_has is None:
+        token_has = OPEN_TOKEN_HAS if pattern == OPEN_TOKEN else ""
+    texts = spread(df.select(key, text).filter(F.contains(text, F.lit(token_has))), key)
+    lines = explode_lines_outside(texts, key, text, fence).filter(F.contains("line", F.lit(token_has)))
     hits = lines.filter(~is_comment(F.col("line"))).select(
         key, "line_no", F.explode(F.regexp_extract_all("line", F.lit(pattern), F.lit(1))).alias("token")
     )
@@ -136,15 +149,17 @@ def missing_sections(
     df: DataFrame, key: str, text: str, required: Sequence[str], mark: str = SECTION_MARK, fence: str = FENCE
 ) -> DataFrame:
     """``(key, section)`` for every required heading a document lacks."""
+    texts = spread(df.select(key, text), key)
     lines = F.transform(lines_outside(F.col(text), fence), strip)
     headings = F.filter(lines, lambda line: F.startswith(line, F.lit(mark)))
     wanted = F.array(*[F.lit(h) for h in required])
-    return df.select(key, F.explode(F.array_except(wanted, headings)).alias("section"))
+    return texts.select(key, F.explode(F.array_except(wanted, headings)).alias("section"))
 
 
 def section_headings(df: DataFrame, key: str, text: str, mark: str = SECTION_MARK, fence: str = FENCE) -> DataFrame:
     """``(key, line_no, section)``: headings of each document, as for a template."""
-    lines = explode_lines_outside(df, key, text, fence).withColumn("section", strip(F.col("line")))
+    texts = spread(df.select(key, text), key)
+    lines = explode_lines_outside(texts, key, text, fence).withColumn("section", strip(F.col("line")))
     return lines.filter(F.startswith("section", F.lit(mark))).select(key, "line_no", "section")
 
 

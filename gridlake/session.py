@@ -81,3 +81,11 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     becomes a shuffled one that adaptive execution may split on hot keys."""
     kept = cut_lineage(df)
     return F.broadcast(kept) if kept.count() <= max_rows else kept
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use idle cores for heavy row work over a small scan, whose files may hold a single
+    row group each. A scan with more partitions than there are cores is left alone, so
+    what this shuffles never exceeds one wave of tasks."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() <= cores else df

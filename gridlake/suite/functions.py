@@ -96,12 +96,11 @@ def arrays(spark, sf):
     def total(array):
         return F.aggregate(array, F.lit(0).cast("long"), lambda a, b: a + b)
 
-    # min and max of the array are the ends of the sorted one, without sorting it.
     return words.select(
         "doc_id",
         F.size("words").cast("long").alias("n"),
-        F.array_min("words").alias("first_sorted"),
-        F.element_at(F.array_sort("words"), -1).alias("last_sorted"),
+        F.element_at(F.sort_array("words"), 1).alias("first_sorted"),
+        F.element_at(F.sort_array("words"), -1).alias("last_sorted"),
         F.element_at(F.reverse("words"), 1).alias("last_word"),
         total(lengths).alias("total_length"),
         total(weighted).alias("weighted_length"),
@@ -157,7 +156,7 @@ def active_entries(spark, sf):
     ]
     kept = F.map_keys(v.entries_with_value(F.create_map(*status), "active"))
     return table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.array_join(F.array_sort(kept), ",").alias("active")
+        "l_orderkey", "l_linenumber", "l_partkey", F.array_join(F.sort_array(kept), ",").alias("active")
     )
 
 

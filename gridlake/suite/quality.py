@@ -117,7 +117,7 @@ outside AS (SELECT doc_id, line_no, line FROM fenced WHERE NOT is_fence AND fenc
     SELECT doc_id, line_no, token FROM tokens WHERE lower(token) NOT IN ('', 'x', '/')""",
 )
 def tokens(spark, sf):
-    return q.open_tokens(table(spark, sf, "documents"), "doc_id", "text", pattern=_MAIL, fence="Of")
+    return q.open_tokens(table(spark, sf, "documents"), "doc_id", "text", pattern=_MAIL, token_has="@", fence="Of")
 
 
 @query(
