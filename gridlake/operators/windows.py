@@ -20,7 +20,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.values import percent
-from gridlake.session import small_side
+from gridlake.session import BROADCAST_MAX_ROWS, cut_lineage, small_side
+
+# Rows of one key and block that a single task may sort.
+BLOCK_MAX_ROWS = 10_000_000
 
 
 def share_column(value: str, key: str, digits: int = 2) -> Column:
@@ -57,31 +60,57 @@ def share_of_total(df: DataFrame, key: str, value: str, out: str = "share_pct",
     return joined.withColumn(out, percent(F.col(value), F.col("_total"), digits)).drop("_total")
 
 
-def dense_ranks(df: DataFrame, key: str, value: str, block: Column | None = None, out: str = "rank") -> DataFrame:
-    """``(key, value, rank)``: dense rank, highest value first, of each distinct value.
-
-    Duplicates are removed before the ranking shuffle. With ``block`` (non-decreasing in
-    ``value``) the distinct values of a key are ranked block by block."""
+def _value_levels(df: DataFrame, key: str, value: str, block: Column | None) -> DataFrame:
+    """``(key, _block, value, _n)``: the distinct values of each key with their row counts."""
     part = (F.lit(0) if block is None else block).alias("_block")
-    distinct = df.select(key, value, part).distinct()
-    spec = Window.partitionBy(key, "_block").orderBy(F.col(value).desc_nulls_last())
-    if block is None:
-        return distinct.select(key, value, F.dense_rank().over(spec).cast("long").alias(out))
-    sizes = distinct.groupBy(key, "_block").agg(F.count("*").alias("_n"))
+    return df.groupBy(key, part, value).agg(F.count("*").alias("_n"))
+
+
+def _block_offsets(levels: DataFrame, key: str) -> DataFrame:
+    """``(key, _block, _above, _rows)``: distinct values in all higher blocks, rows in this one."""
+    sizes = levels.groupBy(key, "_block").agg(F.count("*").alias("_levels"), F.sum("_n").alias("_rows"))
     above = Window.partitionBy(key).orderBy(F.col("_block").desc_nulls_last())
-    offsets = sizes.select(
-        key,
-        "_block",
-        F.coalesce(F.sum("_n").over(above.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_above"),
-    )
-    ranked = distinct.withColumn("_rank", F.dense_rank().over(spec))
-    joined = match_keys(ranked, offsets, [key, "_block"])
-    return joined.select(key, value, (F.col("_rank") + F.col("_above")).alias(out))
+    higher = F.sum("_levels").over(above.rowsBetween(Window.unboundedPreceding, -1))
+    return sizes.select(key, "_block", F.coalesce(higher, F.lit(0)).alias("_above"), "_rows")
+
+
+def _ranked_in_blocks(rows: DataFrame, offsets: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    spec = Window.partitionBy(key, "_block").orderBy(F.col(value).desc_nulls_last())
+    joined = match_keys(rows.withColumn("_rank", F.dense_rank().over(spec)), offsets, [key, "_block"])
+    return joined.withColumn(out, F.col("_rank") + F.col("_above")).drop("_rank", "_above", "_rows", "_block")
 
 
-def with_dense_rank(df: DataFrame, key: str, value: str, block: Column | None = None, out: str = "rank") -> DataFrame:
-    """Every row with the dense rank of its value inside its key."""
-    return match_keys(df, small_side(dense_ranks(df, key, value, block, out)), [key, value])
+def dense_ranks(df: DataFrame, key: str, value: str, out: str = "rank", block: Column | None = None) -> DataFrame:
+    """``(key, value, rank)``: dense rank, highest value first, of each distinct value.
+
+    Duplicates are combined before the ranking shuffle. With ``block`` (non-decreasing in
+    ``value``) the distinct values of a key are ranked block by block."""
+    levels = _value_levels(df, key, value, block)
+    if block is None:
+        spec = Window.partitionBy(key).orderBy(F.col(value).desc_nulls_last())
+        return levels.select(key, value, F.dense_rank().over(spec).cast("long").alias(out))
+    return _ranked_in_blocks(levels, _block_offsets(levels, key), key, value, out).drop("_n")
+
+
+def with_dense_rank(
+    df: DataFrame,
+    key: str,
+    value: str,
+    block: Column | None = None,
+    out: str = "rank",
+    max_block_rows: int = BLOCK_MAX_ROWS,
+) -> DataFrame:
+    """Every row with the dense rank of its value inside its key.
+
+    Blocks are measured first. While none is oversized the rows are ranked in place,
+    block by block; otherwise (many rows on one value) only the distinct values are ranked
+    and the rows are joined to them, which adaptive execution can split."""
+    offsets = cut_lineage(_block_offsets(_value_levels(df, key, value, block), key))
+    n_blocks, largest = offsets.agg(F.count("*"), F.max("_rows")).first()
+    if (largest or 0) > max_block_rows:
+        return match_keys(df, dense_ranks(df, key, value, out, block), [key, value])
+    rows = df.withColumn("_block", F.lit(0) if block is None else block)
+    return _ranked_in_blocks(rows, F.broadcast(offsets) if n_blocks <= BROADCAST_MAX_ROWS else offsets, key, value, out)
 
 
 def dense_top_n(df: DataFrame, key: str, value: str, n: int, out: str = "rank") -> DataFrame:
@@ -89,7 +118,7 @@ def dense_top_n(df: DataFrame, key: str, value: str, n: int, out: str = "rank")
 
     The rank filter sits on distinct values, so each map task passes on at most ``n``
     values per key before anything is shuffled by key alone."""
-    top = dense_ranks(df, key, value, out=out).filter(F.col(out) <= n)
+    top = dense_ranks(df, key, value, out).filter(F.col(out) <= n)
     return match_keys(df, small_side(top), [key, value])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridlake.operators import catalog as c
 from gridlake.plans.catalogue import build_catalogue
+from gridlake.session import spread
 from gridlake.suite.registry import query, table
 
 # Stems whose names cover every rule, chosen by key.
@@ -67,7 +68,7 @@ def classify_texts(spark, sf):
         .unionByName(table(spark, sf, "pages").select(F.col("html").alias("text")))
         .unionByName(table(spark, sf, "conversations").select("text"))
     )
-    return texts.groupBy(c.classify(F.col("text")).alias("domain")).agg(F.count("*").alias("n"))
+    return spread(texts).groupBy(c.classify(F.col("text")).alias("domain")).agg(F.count("*").alias("n"))
 
 
 # A listing is a set of names: part stems and brands (their product is fixed at any scale).
