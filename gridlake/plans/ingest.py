@@ -11,6 +11,7 @@ zones replace by source partition the repeat leaves no duplicates.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -103,6 +104,19 @@ def _aligned(batch: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def replace_sources(batch: DataFrame, table: str, location: str | None = None, table_format: str = "parquet") -> None:
     """Write the batch so that each of its sources replaces its own earlier rows only.
 
@@ -126,7 +140,9 @@ def replace_sources(batch: DataFrame, table: str, location: str | None = None, t
     else:
         _add_missing_columns(spark, table, batch)
     aligned = _aligned(batch, spark.table(table))
-    aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    # ``insertInto`` takes the overwrite mode from the session, not from a write option.
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        aligned.write.mode("overwrite").insertInto(table)
 
 
 def drop_sources(spark: SparkSession, table: str, sources: list[str], table_format: str = "parquet") -> None:
