@@ -234,14 +234,14 @@ def price_bins(
         F.col(zone).alias("bidding_zone"),
         bin_floor(converted_price(price, currency, rates), width).alias("price_bin_eur"),
     ).agg(F.count("*").alias("hours_count"))
-    at = ("hours_count", "bidding_zone")
+    at = ("hours_count", "bidding_zone", "price_bin_eur")
     return bins.select(
         "bidding_zone",
         "price_bin_eur",
         "hours_count",
         share_column(*at).alias("bin_share_pct"),
-        cumulative_share_column(*at, "price_bin_eur").alias("cumulative_share_pct"),
-        centred_mean_column(*at, "price_bin_eur").alias("smoothed_hours_count"),
+        cumulative_share_column(*at).alias("cumulative_share_pct"),
+        centred_mean_column(*at).alias("smoothed_hours_count"),
     ).orderBy(F.col("bidding_zone").asc_nulls_last(), F.col("price_bin_eur").asc_nulls_last())
 
 

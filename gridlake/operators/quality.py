@@ -175,15 +175,13 @@ def _dotted(node: object, prefix: str = "") -> Iterator[str]:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _nested_paths(documents: pd.Series) -> pd.Series:
-    def paths(document: str | None) -> list[str] | None:
-        if document is None:
-            return None
+    def paths(document: str) -> list[str] | None:
         try:
             return list(_dotted(json.loads(document)))
         except ValueError:
             return None
 
-    return documents.map(paths)
+    return documents.map(paths, na_action="ignore")
 
 
 def key_paths(df: DataFrame, document: str) -> DataFrame:

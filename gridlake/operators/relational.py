@@ -17,20 +17,31 @@ def valid_at(df: DataFrame, instant: str, valid_from: str, valid_to: str) -> Dat
     return df.filter(is_valid_at(instant, F.col(valid_from), F.col(valid_to)))
 
 
-def merge_outer(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Full outer merge on shared columns, NULL keys matching NULL keys."""
+def merge_outer(left: DataFrame, right: DataFrame, on: list[str], unique_keys: bool = False) -> DataFrame:
+    """Full outer merge on shared columns, NULL keys matching NULL keys.
+
+    Adaptive execution cannot split a hot key of a full outer join. Unless the keys are
+    known to be unique on each side, the merge is put together from an inner join and two
+    anti joins against distinct keys, all of which it can split."""
+    rest = [c for c in [*left.columns, *right.columns] if c not in on]
+    if not unique_keys:
+        both = match_keys(left, right, on)
+        left_only = match_keys(left, right.select(*on).distinct(), on, "left_anti")
+        right_only = match_keys(right, left.select(*on).distinct(), on, "left_anti")
+        return concatenate(both, left_only, right_only).select(*on, *rest)
     names = {c: f"_right_{c}" for c in on}
     other = right.withColumnsRenamed(names)
     condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()])
     joined = left.join(other, condition, "full_outer")
     keys = [F.coalesce(F.col(k), F.col(r)).alias(k) for k, r in names.items()]
-    rest = [c for c in [*left.columns, *right.columns] if c not in on]
     return joined.select(*keys, *rest)
 
 
 def latest_snapshot(df: DataFrame, group: str, version: str) -> DataFrame:
     """Rows that belong to the greatest version (file name) of their group."""
-    latest = df.groupBy(group).agg(F.max(version).alias(version))
+    # Distinct names first: a text maximum over raw rows would have to sort them.
+    names = df.select(group, version).distinct()
+    latest = names.groupBy(group).agg(F.max(version).alias(version))
     return match_keys(df, small_side(latest), [group, version], "left_semi")
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gridlake.functions.values import percent
@@ -26,19 +26,27 @@ from gridlake.session import BROADCAST_MAX_ROWS, cut_lineage, small_side
 BLOCK_MAX_ROWS = 10_000_000
 
 
-def share_column(value: str, key: str, digits: int = 2) -> Column:
-    return percent(F.col(value), F.sum(value).over(Window.partitionBy(key)), digits)
+def _ordered(key: str, order: str) -> WindowSpec:
+    return Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last())
+
+
+def share_column(value: str, key: str, order: str | None = None, digits: int = 2) -> Column:
+    """Share of the partition total. Naming the ``order`` of a sibling window lets both
+    run in the same sorted pass."""
+    spec = Window.partitionBy(key) if order is None else _ordered(key, order)
+    whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return percent(F.col(value), F.sum(value).over(whole), digits)
 
 
 def cumulative_share_column(value: str, key: str, order: str, digits: int = 2) -> Column:
-    running = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last())
-    so_far = F.sum(value).over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return percent(so_far, F.sum(value).over(Window.partitionBy(key)), digits)
+    spec = _ordered(key, order)
+    so_far = F.sum(value).over(spec.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    whole = F.sum(value).over(spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return percent(so_far, whole, digits)
 
 
 def centred_mean_column(value: str, key: str, order: str, digits: int = 1) -> Column:
-    spec = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last())
-    return F.round(F.avg(value).over(spec.rowsBetween(-1, 1)), digits)
+    return F.round(F.avg(value).over(_ordered(key, order).rowsBetween(-1, 1)), digits)
 
 
 def dense_rank_column(value: str, key: str) -> Column:
@@ -142,7 +150,7 @@ def centred_mean(df: DataFrame, key: str, order: list[str], value: str, block: C
     Inside a block this is an ordinary frame. The first and last row of a block borrow
     their missing neighbour from the edge table of the adjacent blocks."""
     rows = df.withColumn("_block", block)
-    position = F.struct(*order)
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     edges = rows.groupBy(key, "_block").agg(
         F.min_by(value, position).alias("_first"), F.max_by(value, position).alias("_last")
     )

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go away with the frames that used them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Row bound under which a materialised aggregate may be broadcast (a few tens of MB

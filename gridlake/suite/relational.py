@@ -12,10 +12,10 @@ from gridlake.suite.registry import query, table
 def _daily(spark, sf):
     """Two daily aggregates keyed by (day, id): events with small and with large values."""
     events = table(spark, sf, "events").select(
-        F.to_date("ts").alias("day"), F.col("user_id").alias("id"), "value", "event_type"
+        F.to_date("ts").alias("day"), F.col("user_id").alias("id"), "value"
     )
     low = events.filter("value < 20").groupBy("day", "id").agg(F.count("*").alias("v1"))
-    high = events.filter("value >= 60").groupBy("day", "id").agg(F.max("event_type").alias("v2"))
+    high = events.filter("value >= 60").groupBy("day", "id").agg(F.max("value").alias("v2"))
     return low, high
 
 
@@ -23,14 +23,28 @@ def _daily(spark, sf):
     "join_full_outer",
     """WITH low AS (SELECT CAST(ts AS DATE) AS day, user_id AS id, count(*) AS v1
                     FROM events WHERE value < 20 GROUP BY 1, 2),
-            high AS (SELECT CAST(ts AS DATE) AS day, user_id AS id, max(event_type) AS v2
+            high AS (SELECT CAST(ts AS DATE) AS day, user_id AS id, max(value) AS v2
                      FROM events WHERE value >= 60 GROUP BY 1, 2)
        SELECT coalesce(low.day, high.day) AS day, coalesce(low.id, high.id) AS id, v1, v2
        FROM low FULL OUTER JOIN high ON low.day = high.day AND low.id = high.id""",
 )
 def full_outer(spark, sf):
     low, high = _daily(spark, sf)
-    return r.merge_outer(low, high, ["day", "id"])
+    return r.merge_outer(low, high, ["day", "id"], unique_keys=True)
+
+
+@query(
+    "join_full_outer_rows",
+    """WITH late AS (SELECT o_custkey AS custkey, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'),
+            rich AS (SELECT c_custkey AS custkey, c_name FROM customer WHERE c_acctbal > 5000)
+       SELECT coalesce(late.custkey, rich.custkey) AS custkey, o_orderkey, o_totalprice, c_name
+       FROM late FULL OUTER JOIN rich ON late.custkey = rich.custkey""",
+)
+def full_outer_rows(spark, sf):
+    orders, customers = table(spark, sf, "orders"), table(spark, sf, "customer")
+    late = orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
+    rich = customers.filter("c_acctbal > 5000").select(F.col("c_custkey").alias("custkey"), "c_name")
+    return r.merge_outer(late, rich, ["custkey"])
 
 
 @query(
@@ -53,9 +67,12 @@ def snapshot(spark, sf):
 )
 def latest_name(spark, sf):
     file_name = F.concat("event_type", F.lit("_"), F.date_format("ts", "yyyy_MM_dd"), F.lit(".csv"))
-    events = table(spark, sf, "events")
-    return events.groupBy("event_type").agg(
-        F.max(file_name).alias("latest"), F.max_by("event_id", "ts").alias("latest_event")
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts", file_name.alias("file_name"))
+    files = events.groupBy("event_type", "file_name").agg(
+        F.max("ts").alias("ts"), F.max_by("event_id", "ts").alias("event_id")
+    )
+    return files.groupBy("event_type").agg(
+        F.max("file_name").alias("latest"), F.max_by("event_id", "ts").alias("latest_event")
     )
 
 

@@ -1,24 +1,34 @@
+import pytest
 from pyspark.sql import functions as F
 
 from gridlake.operators import relational as r
 
 
-def test_merge_outer_of_the_walkthrough_pair(spark, rows):
+@pytest.mark.parametrize("unique_keys", [True, False])
+def test_merge_outer_of_the_walkthrough_pair(spark, rows, unique_keys):
     left = spark.createDataFrame(
         [(20000101, 1, 1.0), (20000101, 2, 2.0), (20000102, 1, 3.0), (20000102, 2, 4.0)], "time int, id int, v1 double"
     )
     right = spark.createDataFrame([(20000101, 1, "x"), (20000101, 2, "y")], "time int, id int, v2 string")
-    merged = r.merge_outer(left, right, ["time", "id"])
+    merged = r.merge_outer(left, right, ["time", "id"], unique_keys)
     assert merged.dtypes == [("time", "int"), ("id", "int"), ("v1", "double"), ("v2", "string")]
     assert rows(merged) == [
         (20000101, 1, 1.0, "x"), (20000101, 2, 2.0, "y"), (20000102, 1, 3.0, None), (20000102, 2, 4.0, None),
     ]
 
 
-def test_merge_outer_keeps_both_sides_and_matches_null_keys(spark, rows):
+@pytest.mark.parametrize("unique_keys", [True, False])
+def test_merge_outer_keeps_both_sides_and_matches_null_keys(spark, rows, unique_keys):
     left = spark.createDataFrame([(1, "l1"), (None, "ln")], "k int, a string")
     right = spark.createDataFrame([(2, "r2"), (None, "rn")], "k int, b string")
-    assert rows(r.merge_outer(left, right, ["k"])) == [(1, "l1", None), (2, None, "r2"), (None, "ln", "rn")]
+    assert rows(r.merge_outer(left, right, ["k"], unique_keys)) == [(1, "l1", None), (2, None, "r2"), (None, "ln", "rn")]
+
+
+def test_merge_outer_pairs_repeated_keys(spark, rows):
+    left = spark.createDataFrame([("hot", i) for i in range(50)] + [("l", -1)], "k string, a int")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("r", 3)], "k string, b int")
+    got = rows(r.merge_outer(left, right, ["k"]))
+    assert got == sorted([("hot", i, b) for i in range(50) for b in (1, 2)]) + [("l", -1, None), ("r", None, 3)]
 
 
 def test_latest_snapshot(spark, rows):
