@@ -33,6 +33,11 @@ def strip(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS))
 
 
+def strip_all(text: Column) -> Column:
+    """Drop blanks and line ends at both ends of a whole text."""
+    return F.btrim(text, F.lit(BLANKS + LINE_ENDS + "\n"))
+
+
 def code_shape(text: Column) -> Column:
     """Text without ``#`` comment lines and blank lines, every line trimmed."""
     lines = F.transform(F.split(unix_lines(text), "\n", -1), strip)

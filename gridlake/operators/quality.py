@@ -10,7 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlake.functions.text import code_shape, explode_lines_outside, is_comment, line_total, lines_outside, strip
+from gridlake.functions.text import (
+    code_shape,
+    explode_lines_outside,
+    is_comment,
+    line_total,
+    lines_outside,
+    strip,
+    strip_all,
+)
 from gridlake.session import cut_lineage, spread
 
 # Shortest text looked at, shortest description, and the token pattern.
@@ -94,7 +102,7 @@ def setting_rules(description: str, examples: str, default: str, default_kind: s
     has_kind, has_default = F.col(kind).isNotNull(), F.col(default).isNotNull()
     return [
         ("description missing", F.col(description).isNull()),
-        ("description too short", F.length(strip_text(F.col(description))) < MIN_DESCRIPTION_CHARS),
+        ("description too short", F.length(strip_all(F.col(description))) < MIN_DESCRIPTION_CHARS),
         ("examples missing", plain & F.col(examples).isNull()),
         ("examples empty", plain & (F.size(examples) == 0)),
         ("default missing", plain & ~has_default),
@@ -111,11 +119,6 @@ def setting_rules(description: str, examples: str, default: str, default_kind: s
     ]
 
 
-def strip_text(text: Column) -> Column:
-    """Trim blanks and line breaks at both ends of a whole text."""
-    return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"(?<!\s)\s+$", "")
-
-
 # --- document scans ---------------------------------------------------------------
 
 

@@ -90,6 +90,7 @@ def time_window(spark, sf):
 )
 def arrays(spark, sf):
     words = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("words"))
+    words = words.withColumn("ordered", F.sort_array("words"))
     lengths = F.transform("words", lambda w: F.length(w).cast("long"))
     weighted = F.transform("words", lambda w, i: (i + 1).cast("long") * F.length(w))
 
@@ -99,8 +100,8 @@ def arrays(spark, sf):
     return words.select(
         "doc_id",
         F.size("words").cast("long").alias("n"),
-        F.element_at(F.sort_array("words"), 1).alias("first_sorted"),
-        F.element_at(F.sort_array("words"), -1).alias("last_sorted"),
+        F.element_at("ordered", 1).alias("first_sorted"),
+        F.element_at("ordered", -1).alias("last_sorted"),
         F.element_at(F.reverse("words"), 1).alias("last_word"),
         total(lengths).alias("total_length"),
         total(weighted).alias("weighted_length"),
