@@ -19,6 +19,7 @@ from gridlake.functions.text import (
     strip,
     strip_all,
 )
+from gridlake.operators.windows import match_keys
 from gridlake.session import cut_lineage, spread
 
 # Shortest text looked at, shortest description, and the token pattern.
@@ -53,11 +54,11 @@ def duplicate_members(df: DataFrame, key: str, text: str, min_len: int = MIN_DUP
     the two passes that follow."""
     digests = cut_lineage(text_digests(df, key, text, min_len))
     groups = (
-        digests.groupBy(F.col("digest").alias("_digest"))
+        digests.groupBy("digest")
         .agg(F.count("*").alias("members"), F.min(key).alias("first_id"))
         .filter(F.col("members") > 1)
     )
-    joined = digests.join(groups, F.col("digest") == F.col("_digest"))
+    joined = match_keys(digests, groups, ["digest"])
     return joined.select("digest", key, "lines", "members", "first_id", (F.col(key) != F.col("first_id")).alias("redundant"))
 
 

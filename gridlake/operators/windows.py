@@ -55,7 +55,11 @@ def dense_rank_column(value: str, key: str) -> Column:
 
 
 def match_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on equal keys where NULL equals NULL; the right keys are dropped."""
+    """Join on equal keys where NULL equals NULL; the right keys are dropped.
+
+    The null-safe keys also keep an aggregated right side from lending its partitioning to
+    the join: both sides then get an exchange of their own, which is what adaptive
+    execution needs to split a hot key."""
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
