@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from gridlake.functions.headers import coerce_text, normalise_columns, normalise_name
 from gridlake.operators.relational import pending_sources
-from gridlake.sources.files import SOURCE_COLUMN, discover_files, literal_path, read_market_csv
+from gridlake.sources.files import SOURCE_COLUMN, discover_files, literal_path, plain_name, read_market_csv
 
 FOLDER_COLUMN = "_folder"
 
@@ -58,11 +58,14 @@ def audit(df: DataFrame, source: str = SOURCE_COLUMN) -> DataFrame:
     return df.groupBy(source).agg(F.count("*").alias("rows"), *counts)
 
 
-def ledger(spark: SparkSession, table: str) -> DataFrame:
-    """Sources the bronze table holds, from its partition values."""
+def ledger(spark: SparkSession, table: str, table_format: str = "parquet") -> DataFrame:
+    """Sources the bronze table holds, from its partition metadata: no data file is read."""
     if not spark.catalog.tableExists(table):
         return spark.createDataFrame([], f"{SOURCE_COLUMN} STRING")
-    return spark.table(table).select(SOURCE_COLUMN).distinct()
+    if table_format == "iceberg":
+        return spark.table(f"{table}.partitions").select(f"partition.{SOURCE_COLUMN}").distinct()
+    value = F.substring_index("partition", f"{SOURCE_COLUMN}=", -1)
+    return spark.sql(f"SHOW PARTITIONS {table}").select(plain_name(value).alias(SOURCE_COLUMN))
 
 
 def write_raw(batch: DataFrame, raw_path: str, folder: str) -> None:
@@ -194,7 +197,7 @@ def ingest_folder(
     listing) pass through the driver. ``force`` reloads landed files too."""
     create_database(spark, target)
     found = discover_files(spark, f"{landing}/{folder}", pattern).withColumnRenamed("file_name", SOURCE_COLUMN)
-    landed = ledger(spark, target.full_name(folder))
+    landed = ledger(spark, target.full_name(folder), target.table_format)
     pending = found.join(pending_sources(found, landed, SOURCE_COLUMN, force), SOURCE_COLUMN, "left_semi")
     files = pending.orderBy(SOURCE_COLUMN).collect()
     for start in range(0, len(files), files_per_commit):

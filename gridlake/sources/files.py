@@ -32,10 +32,15 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
+def plain_name(encoded: Column) -> Column:
+    """A percent-encoded file name as text. A literal plus sign is protected, because
+    decoding would read it as a space."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def source_name() -> Column:
-    """Plain file name of the row's file. The metadata column holds it percent-encoded;
-    a literal plus sign is protected because decoding would read it as a space."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    """Plain name of the file a row comes from (the metadata column holds it encoded)."""
+    return plain_name(F.col("_metadata.file_name"))
 
 
 def prefer_local(local: DataFrame, remote: DataFrame) -> DataFrame:
