@@ -70,9 +70,8 @@ def replace_by_source(target: DataFrame, batch: DataFrame, source: str) -> DataF
 
 
 def pending_sources(found: DataFrame, ledger: DataFrame, source: str, force: bool = False) -> DataFrame:
-    """Found sources that the ledger does not hold; all of them when forced."""
-    names = found.select(source).distinct()
-    return names if force else names.join(ledger.select(source).distinct(), source, "left_anti")
+    """Rows of ``found`` whose source the ledger does not hold; all of them when forced."""
+    return found if force else found.join(ledger.select(source).distinct(), source, "left_anti")
 
 
 def head_with_remainder(df: DataFrame, name: str, n: int = 5, descending: bool = False) -> DataFrame:

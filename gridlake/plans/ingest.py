@@ -198,8 +198,7 @@ def ingest_folder(
     create_database(spark, target)
     found = discover_files(spark, f"{landing}/{folder}", pattern).withColumnRenamed("file_name", SOURCE_COLUMN)
     landed = ledger(spark, target.full_name(folder), target.table_format)
-    pending = found.join(pending_sources(found, landed, SOURCE_COLUMN, force), SOURCE_COLUMN, "left_semi")
-    files = pending.orderBy(SOURCE_COLUMN).collect()
+    files = pending_sources(found, landed, SOURCE_COLUMN, force).orderBy(SOURCE_COLUMN).collect()
     for start in range(0, len(files), files_per_commit):
         _land(spark, files[start : start + files_per_commit], folder, target, sep, schema, force)
     return spark.createDataFrame([(f[SOURCE_COLUMN],) for f in files], f"{SOURCE_COLUMN} STRING")

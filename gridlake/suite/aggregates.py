@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridlake.operators.relational import valid_at
+from gridlake.operators.windows import match_keys
 from gridlake.suite.registry import query, table
 
 
@@ -86,6 +87,21 @@ def distinct_approx(spark, sf):
     return lines.groupBy("l_returnflag").agg(F.approx_count_distinct("l_orderkey", 0.01).alias("n_orders"))
 
 
+@query(
+    "distinct_approx_error",
+    """SELECT l_returnflag, count(DISTINCT l_orderkey) AS n_orders, true AS close
+       FROM lineitem GROUP BY l_returnflag""",
+)
+def distinct_approx_error(spark, sf):
+    """The sketch beside the exact count: its estimate stays within five standard errors.
+
+    Two aggregates, joined: in one, Spark would keep a sketch for every distinct value."""
+    estimate = distinct_approx(spark, sf).withColumnRenamed("n_orders", "estimate")
+    both = match_keys(distinct_exact(spark, sf), estimate, ["l_returnflag"])
+    close = F.abs(F.col("estimate") - F.col("n_orders")) <= 0.05 * F.col("n_orders")
+    return both.select("l_returnflag", "n_orders", close.alias("close"))
+
+
 @query(
     "agg_avg_all",
     """SELECT o_orderpriority, round(avg(o_orderkey), 4) AS o_orderkey, round(avg(o_custkey), 4) AS o_custkey,

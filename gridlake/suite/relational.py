@@ -171,7 +171,7 @@ def _found_and_landed(spark, sf):
     file = F.concat("source", F.lit("/"), "lang", F.lit(".csv")).alias("file")
     documents = table(spark, sf, "documents")
     toxic = table(spark, sf, "labels").filter("toxic = 1")
-    return documents.select(file), documents.join(toxic, "doc_id", "left_semi").select(file)
+    return documents.select(file).distinct(), documents.join(toxic, "doc_id", "left_semi").select(file)
 
 
 @query("ing_pending", f"WITH {_FOUND_SQL} SELECT file FROM found EXCEPT SELECT file FROM landed")

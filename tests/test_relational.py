@@ -56,8 +56,8 @@ def test_replace_by_source_touches_its_sources_only(spark, rows):
 def test_pending_sources(spark, rows):
     found = spark.createDataFrame([("a",), ("b",), ("b",)], "s string")
     ledger = spark.createDataFrame([("a",), ("z",)], "s string")
-    assert rows(r.pending_sources(found, ledger, "s")) == [("b",)]
-    assert rows(r.pending_sources(found, ledger, "s", force=True)) == [("a",), ("b",)]
+    assert rows(r.pending_sources(found, ledger, "s")) == [("b",), ("b",)]
+    assert rows(r.pending_sources(found, ledger, "s", force=True)) == [("a",), ("b",), ("b",)]
 
 
 def test_concatenate_fills_absent_columns(spark, rows):
