@@ -32,8 +32,15 @@ def interval_hours(intervals: Column, interval_minutes: int) -> Column:
 
 
 def interval_start(instant: Column, interval_minutes: int) -> Column:
-    """Start of the fixed-length delivery interval that holds ``instant``."""
-    return F.window(instant, f"{interval_minutes} minutes")["start"]
+    """Start of the fixed-length delivery interval that holds ``instant``.
+
+    Written as a subtraction because ``window`` would drop rows without a timestamp; it
+    also keeps zone-less timestamps free of the session zone."""
+    if 24 * 60 % interval_minutes:
+        raise ValueError(f"{interval_minutes} minutes do not divide a day")
+    past = (F.hour(instant) * 60 + F.minute(instant)) % interval_minutes
+    seconds = F.extract(F.lit("SECOND"), instant)
+    return instant - F.make_dt_interval(F.lit(0), F.lit(0), past, seconds)
 
 
 def is_valid_at(instant: str, valid_from: Column, valid_to: Column) -> Column:

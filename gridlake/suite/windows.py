@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridlake.functions.values import interval_start
 from gridlake.operators import windows as w
 from gridlake.suite.registry import query, table
 
@@ -44,7 +45,7 @@ def dense_rank(spark, sf):
 def cumulative(spark, sf):
     cents = F.round(F.col("value") * 100).cast("long")
     events = table(spark, sf, "events").select("event_id", "event_type", "ts", cents.alias("cents"))
-    hour = F.window("ts", "1 hour")["start"]
+    hour = interval_start(F.col("ts"), 60)
     return w.running_total(events, "event_type", ["ts", "event_id"], "cents", hour).drop("ts", "cents")
 
 
@@ -57,7 +58,7 @@ def cumulative(spark, sf):
 )
 def moving_avg(spark, sf):
     events = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
-    hour = F.window("ts", "1 hour")["start"]
+    hour = interval_start(F.col("ts"), 60)
     smoothed = w.centred_mean(events, "event_type", ["ts", "event_id"], "value", hour)
     return smoothed.select("event_id", "event_type", F.round("smoothed", 6).alias("smoothed"))
 

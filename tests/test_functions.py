@@ -100,10 +100,17 @@ def test_zoned_window_follows_summer_time(spark):
     assert tuple(got) == (dt.datetime(2024, 3, 30, 23), dt.datetime(2024, 3, 31, 21), 23)
 
 
-def test_interval_start(spark):
-    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10, 14, 59),), (dt.datetime(2024, 1, 1, 10, 15),)], "t timestamp_ntz")
-    got = [r[0] for r in df.select(v.interval_start(F.col("t"), 15)).collect()]
-    assert got == [dt.datetime(2024, 1, 1, 10, 0), dt.datetime(2024, 1, 1, 10, 15)]
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_interval_start(spark, kind):
+    at = [dt.datetime(2024, 1, 1, 10, 14, 59, 999999), dt.datetime(2024, 1, 1, 10, 15), dt.datetime(2024, 1, 1, 23, 59), None]
+    df = spark.createDataFrame([(t,) for t in at], f"t {kind}")
+    got = df.select(v.interval_start(F.col("t"), 15), v.interval_start(F.col("t"), 60 * 24)).collect()
+    assert [r[0] for r in got] == [
+        dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 10, 15), dt.datetime(2024, 1, 1, 23, 45), None,
+    ]
+    assert [r[1] for r in got] == [dt.datetime(2024, 1, 1)] * 3 + [None]
+    with pytest.raises(ValueError):
+        v.interval_start(F.lit(None), 7)
 
 
 def test_arrays_and_maps(spark):
