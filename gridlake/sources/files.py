@@ -67,6 +67,22 @@ def read_market_csv(
     return df.select("*", source_name().alias(SOURCE_COLUMN)) if tag_source else df
 
 
+def latest_files(listing: DataFrame) -> DataFrame:
+    """``(folder, file_name, path)`` of the file with the greatest name in each folder."""
+    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder")
+    return (
+        listing.groupBy(folder)
+        .agg(F.max_by(F.struct("file_name", "path"), "file_name").alias("latest"))
+        .select("folder", "latest.*")
+    )
+
+
+def read_latest(spark: SparkSession, folder: str, pattern: str = "*.csv", **csv: object) -> DataFrame:
+    """The newest file of a folder, or of each folder below it; older files stay unread."""
+    newest = latest_files(discover_files(spark, folder, pattern, recursive=True)).select("path").collect()
+    return read_market_csv(spark, [literal_path(r.path) for r in newest], **csv)
+
+
 def read_by_header(
     spark: SparkSession, listing: DataFrame, sep: str = ";", tag_source: bool = False, **options: str
 ) -> DataFrame:

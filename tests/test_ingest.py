@@ -152,6 +152,16 @@ def test_local_files_win(zone, spark):
     assert [r.file_name for r in s.prefer_local(here.limit(0), remote).collect()] == ["r.csv"]
 
 
+def test_only_the_latest_file_of_each_folder_is_read(spark, tmp_path, rows):
+    for name, value in {"f/2026_04.csv": 4, "f/2026_05.csv": 5, "g/a [1].csv": 1, "g/a.csv": 2}.items():
+        file = tmp_path / name
+        file.parent.mkdir(exist_ok=True)
+        file.write_text(f"v;w\n{value};x\n", encoding="utf-8")
+    df = s.read_latest(spark, str(tmp_path), tag_source=True)
+    assert rows(df) == [(2, "x", "a.csv"), (5, "x", "2026_05.csv")]
+    assert len(df.inputFiles()) == 2
+
+
 def test_table_name():
     assert g.table_name(FOLDER) == "energyprices_12_1_d_r3"
 
