@@ -60,8 +60,11 @@ def read_market_csv(
 
     Each file's header is checked against the schema, so a file with other columns fails
     by name instead of being read by position. Without ``schema`` types are inferred,
-    which costs one more pass over the files: give the schema for large folders."""
-    reader = spark.read.options(**{"sep": sep, "header": True, "enforceSchema": False} | options)
+    which costs one more pass over the files: give the schema for large folders. A value
+    that does not fit a given schema fails the read unless ``mode="PERMISSIVE"`` is asked
+    for; it never turns into a silent NULL."""
+    defaults = {"sep": sep, "header": True, "enforceSchema": False} | ({"mode": "FAILFAST"} if schema else {})
+    reader = spark.read.options(**defaults | options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
     return df.select("*", source_name().alias(SOURCE_COLUMN)) if tag_source else df

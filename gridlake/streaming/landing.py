@@ -32,7 +32,7 @@ def stream_folder(
 
     files = (
         spark.readStream.schema(schema)
-        .options(sep=sep, header=True, enforceSchema=False)
+        .options(sep=sep, header=True, enforceSchema=False, mode="FAILFAST")
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", max_files_per_batch)
         .csv(f"{landing}/{folder}")

@@ -13,6 +13,7 @@ FOLDER = "EnergyPrices_12.1.D_r3"
 HEADER = "AreaDisplayName;DateTime(UTC);Price[Currency/MWh];Currency"
 A = ["DE;2026-05-15 00:00:00;10.5;EUR", "DE;2026-05-15 01:00:00;;EUR", "UA;2026-05-15 00:00:00;900;UAH"]
 B = ["FR;2026-05-16 00:00:00;-3;EUR", "FR;2026-05-16 01:00:00;4;EUR"]
+SCHEMA = "AreaDisplayName string, `DateTime(UTC)` timestamp, `Price[Currency/MWh]` double, Currency string"
 ODD_NAME = "b'q [x] 1+1.csv"
 
 
@@ -86,7 +87,7 @@ def test_forced_delivery_without_rows_removes_the_old_ones(zone):
     zone.deliver("b.csv", B)
     zone.run()
     zone.deliver(ODD_NAME, [])
-    zone.run(force=True, schema="AreaDisplayName string, `DateTime(UTC)` timestamp, `Price[Currency/MWh]` double, Currency string")
+    zone.run(force=True, schema=SCHEMA)
     assert zone.counts() == {"b.csv": 2}
 
 
@@ -117,7 +118,16 @@ def test_file_with_other_columns_is_not_read_by_position(zone):
     zone.deliver("a.csv", A)
     zone.deliver("b.csv", ["EUR;FR;2026-05-16 00:00:00;4"], header="Currency;AreaDisplayName;DateTime(UTC);Price[Currency/MWh]")
     with pytest.raises(Exception, match="(?i)header"):
-        zone.run(schema="AreaDisplayName string, `DateTime(UTC)` timestamp, `Price[Currency/MWh]` double, Currency string")
+        zone.run(schema=SCHEMA)
+
+
+def test_value_outside_the_schema_fails_unless_allowed(zone, spark, rows):
+    zone.deliver("a.csv", ["DE;2026-05-15 00:00:00;ten;EUR"])
+    path, schema = f"{zone.landing}/{FOLDER}", SCHEMA
+    with pytest.raises(Exception, match="(?i)malformed"):
+        s.read_market_csv(spark, path, schema=schema).collect()
+    kept = s.read_market_csv(spark, path, schema=schema, mode="PERMISSIVE").select("Price[Currency/MWh]")
+    assert rows(kept) == [(None,)]
 
 
 def test_files_with_other_columns_can_be_unioned_by_name(zone, spark, rows):
