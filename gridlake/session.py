@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,14 +53,26 @@ def iceberg_conf(catalog: str, uri: str, warehouse: str, s3: dict[str, str] | No
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else the checkpoint folder
+    of the context, else a folder below the warehouse on the default filesystem.
 
-    A private temporary folder is used only where the setting is absent (local tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    A ``file:`` path is one machine's disk, so outside of local mode it is refused unless
+    ``spark.checkpoint.dir`` names it."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/") if current else tempfile.mkdtemp(prefix="gridlake-")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
+    path = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    if path.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a shared folder; {path} is local to one machine")
+    return path.rstrip("/")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table, wherever its filesystem is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
