@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from public_tokenizers import path as vocabulary
 
-from gridlake.llm import chunk_dedup
+from gridlake.llm import chunk_dedup, huffman_ids
 from gridlake.llm.common import table
+from gridlake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +28,10 @@ def query(name: str, sql: str | None = None):
 @query("op4_chunk_dedup")
 def chunk_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.dedup_chunks(table(spark, sf_dir, "documents"))
+
+
+@query("op7_token_files")
+def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    huffman_ids.write_ids(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return huffman_ids.crc_table(huffman_ids.read_ids(spark, path))
