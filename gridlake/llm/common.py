@@ -43,7 +43,7 @@ def spread(docs: DataFrame) -> DataFrame:
 
 
 def buffers(
-    batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Texts of a batch side by side: (rows, bytes, starts, lengths), in slices of about ``limit``
     bytes (one row at least). NULL counts as empty. ``PAD`` zeros stand before each text and at

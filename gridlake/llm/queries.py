@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as vocabulary
 
-from gridlake.llm import chunk_dedup, huffman_ids
+from gridlake.llm import chunk_dedup, huffman_ids, sentencepiece_codec
 from gridlake.llm.common import table
 from gridlake.session import scratch_path
 
@@ -35,3 +35,8 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     huffman_ids.write_ids(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return huffman_ids.crc_table(huffman_ids.read_ids(spark, path))
+
+
+@query("op8_sentencepiece")
+def sentencepiece_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
