@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as vocabulary
 
-from gridlake.llm import chunk_dedup, huffman_ids, sentencepiece_codec
+from gridlake.llm import chunk_dedup, huffman_ids, sentencepiece_codec, suffix_dedup
 from gridlake.llm.common import table
 from gridlake.session import scratch_path
 
@@ -40,3 +40,8 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_sentencepiece")
 def sentencepiece_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op2_suffix_dedup")
+def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
