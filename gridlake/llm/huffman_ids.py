@@ -169,51 +169,54 @@ class Encoder:
         size = self.library.get_vocab_size()
         self.spaced = np.array([(self.library.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self.cache = UnitCache(self._encode_units)
-        self.seen = -1
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
-
-    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        # A unit is what follows a space; the first of a text has a space behind it instead.
-        out: list[np.ndarray | None] = [None] * len(units)
-        plain = []
-        for i, unit in enumerate(units):
-            if unit[-1:] == " ":
-                out[i] = self.whole(unit[:-1])
-            elif not unit or unit[0].isspace() or unit[-1].isspace():
-                out[i] = self.whole(" " + unit)
+        # The batch call without offsets: the same ids in less time.
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
+    def _encode_units(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """A unit is what follows a space; the first of a text has a space behind it instead.
+        Marks: 1 where white space opens a unit, 2 where it closes one."""
+        plain, odd, marks = [], [], []
+        for unit in units:
+            if unit and not unit[0].isspace() and not unit[-1].isspace():
+                plain.append(unit)
             else:
-                plain.append(i)
+                odd.append(unit)
+                end = unit[:-1] if unit[-1:] == " " else unit or " "
+                marks.append((not unit or unit[0].isspace()) + 2 * end[-1:].isspace())
+        ids, sizes = [], []
         for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
-            ids = self.whole(" " + " ".join([units[i] for i in part]))
-            for i, x in zip(part, np.split(ids, np.flatnonzero(self.spaced[ids])[1:]), strict=True):
-                out[i] = x
-        return np.concatenate(out), np.array([len(x) for x in out])
+            own = self.whole(" " + " ".join(plain[at : at + 20_000]))
+            ids.append(own)
+            sizes.append(np.diff(np.append(np.flatnonzero(self.spaced[own]), len(own))))
+        for unit in odd:
+            own = self.whole(unit[:-1] if unit[-1:] == " " else " " + unit)
+            ids.append(own)
+            sizes.append(np.array([len(own)]))
+        marks = np.array([0] * len(plain) + marks)
+        return plain + odd, np.concatenate(ids), np.concatenate(sizes), marks
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
-        parts, sizes = [], []
+        parts, counts = [], []
         for text in texts:
             own = text.split(" ")
             own[0] += " "
             parts += own
-            sizes.append(len(own))
+            counts.append(len(own))
+        if not parts:
+            return []
         rows = self.cache.rows(parts)
-        if self.seen != self.cache.version:
-            self.seen = self.cache.version
-            names = list(self.cache.row)
-            self.opens = np.array([not x or x[0].isspace() for x in names])
-            self.closes = np.array([not x or x[-1].isspace() and (x[-1] != " " or x[-2:-1].isspace()) for x in names])
-        meet = np.append(False, self.closes[rows[:-1]] & self.opens[rows[1:]])
+        marks = self.cache.marks[rows]
+        meet = np.append(False, (marks[:-1] & 2 > 0) & (marks[1:] & 1 > 0))
         ids, each = self.cache.flat(rows)
-        first = np.cumsum(sizes) - sizes
+        first = np.cumsum(counts) - counts
         meet[first] = False
-        odd = np.add.reduceat(meet, first, dtype=np.int64) if len(first) else np.zeros(0)
-        ends = np.cumsum(np.add.reduceat(each, first)) if len(first) else np.zeros(0)
-        out = np.split(ids, ends[:-1]) if len(first) else []
+        odd = np.add.reduceat(meet, first, dtype=np.int64).tolist()
+        ends = np.cumsum(np.add.reduceat(each, first)).tolist()
         return [
-            self.whole(t) if o or any(s in t for s in self.special) else x for t, o, x in zip(texts, odd, out)
+            self.whole(t) if o or any(s in t for s in self.special) else ids[a:b]
+            for t, o, a, b in zip(texts, odd, [0, *ends], ends)
         ]
 
 
@@ -221,13 +224,15 @@ class Encoder:
 
 
 def encode_table(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, th, ids): ids of each text and the end id, as little-endian u32."""
+    """(doc_id, th, ids): ids of each text and the end id, little-endian, in two bytes each where
+    the vocabulary allows, else in four."""
+    kind = id_type(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
         for part, *_ in common.buffers(batches, "text"):
             texts = [t or "" for t in part.column("text").to_pylist()]
-            ids = [np.append(x, end_id).astype("<u4").tobytes() for x in encoder.texts(texts)]
+            ids = [np.append(x, end_id).astype(kind).tobytes() for x in encoder.texts(texts)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("th"), pa.array(ids, pa.binary())], ["doc_id", "th", "ids"]
             )
@@ -236,13 +241,19 @@ def encode_table(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
     return rows.mapInArrow(run, "doc_id long, th long, ids binary")
 
 
-def id_counts(encoded: DataFrame) -> np.ndarray:
+def id_type(tokenizer: str) -> str:
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def id_counts(encoded: DataFrame, kind: str) -> np.ndarray:
     """Count of each id over all documents. What reaches the driver is bounded by the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            got = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4"))
+            got = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
             total = np.pad(total, (0, max(0, len(got) - len(total))))
             total[: len(got)] += got
         ids = np.flatnonzero(total)
@@ -262,8 +273,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
     doc_id, NULL first, ties by text; an empty table gives empty tables. Other columns are
     ignored. The order comes from a range shuffle on (doc_id, hash of the text)."""
     spark = docs.sparkSession
+    kind = id_type(tokenizer)
     encoded, scratch = common.written(encode_table(docs, tokenizer, end_id), "ids")
-    lengths = code_lengths(id_counts(encoded), limit)
+    lengths = code_lengths(id_counts(encoded, kind), limit)
     codes = canonical(lengths)
     used = np.flatnonzero(lengths)
     spark.createDataFrame(
@@ -284,7 +296,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
-                held.append((doc_id, np.frombuffer(ids, "<u4")))
+                held.append((doc_id, np.frombuffer(ids, kind)))
                 total += len(held[-1][1])
                 if total >= BLOCK_IDS:
                     yield row()

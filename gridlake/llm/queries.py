@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from public_tokenizers import path as vocabulary
 
-from gridlake.llm import chunk_dedup, huffman_ids, sentencepiece_codec, suffix_dedup
+from gridlake.llm import chunk_dedup, huffman_ids, langid, sentencepiece_codec, suffix_dedup
 from gridlake.llm.common import table
 from gridlake.session import scratch_path
 
@@ -45,3 +46,12 @@ def sentencepiece_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_suffix_dedup")
 def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op1_langid")
+def langid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = langid.fit(docs, vocabulary("piece_bpe_32k.model"), F.coalesce(~held_out, F.lit(False)))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

@@ -10,6 +10,7 @@ The ids are then read off backwards.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -105,9 +106,10 @@ class Codec:
         out.reverse()
         return out
 
-    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_units(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         ids = [self.encode_unit(SPACE + u.replace(" ", SPACE)) for u in units]
-        return np.fromiter((x for own in ids for x in own), np.int32), np.array([len(x) for x in ids], np.int64)
+        flat = np.fromiter(chain.from_iterable(ids), np.int32)
+        return units, flat, np.fromiter(map(len, ids), np.int64, len(ids)), np.zeros(len(ids))
 
     @staticmethod
     def units(text: str) -> list[str]:

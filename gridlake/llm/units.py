@@ -13,40 +13,40 @@ import numpy as np
 
 
 class UnitCache:
-    """``encode`` maps a list of units to (ids of all of them in a row, number of ids of each).
+    """``encode`` maps a list of units to (the units in any order, ids of all of them in a row,
+    number of ids of each, a small number to keep with each).
 
     Before it would hold over ``limit`` units the table drops those looked up least, which bounds
     the memory of a worker and changes no result."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 500_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[str]], tuple[list[str], np.ndarray, np.ndarray, np.ndarray]], limit: int = 400_000, kind=np.int32):
+        self.encode, self.limit, self.kind = encode, limit, kind
         self.row: dict[str, int] = {}
-        self.version = 0  # changes whenever units join or leave
-        self.sizes, self.hits = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids, self.starts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.sizes, self.hits, self.marks = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int8)
+        self.ids, self.starts = np.zeros(0, kind), np.zeros(0, np.int64)
 
     def _shrink(self) -> None:
         keep = np.sort(np.argsort(-self.hits, kind="stable")[: self.limit // 2])
         names = list(self.row)
         self.row = {names[k]: i for i, k in enumerate(keep.tolist())}
         self.ids, self.sizes = self.flat(keep)
-        self.hits = self.hits[keep]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.hits, self.marks = self.hits[keep], self.marks[keep]
 
     def rows(self, units: list[str]) -> np.ndarray:
         """Row of the table for each unit; the rows stay valid until the next call."""
         fresh = set(units).difference(self.row)
         if fresh:
-            self.version += 1
             if self.row and len(self.row) + len(fresh) > self.limit:
                 self._shrink()
                 fresh = set(units).difference(self.row)
-            new = list(fresh)
-            ids, sizes = self.encode(new)
+            new, ids, sizes, marks = self.encode(list(fresh))
             self.row.update(zip(new, range(len(self.row), len(self.row) + len(new))))
-            self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
-            self.sizes = np.concatenate([self.sizes, sizes.astype(np.int64)])
+            self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+            self.ids = np.append(self.ids, ids.astype(self.kind))
+            self.sizes = np.append(self.sizes, sizes)
             self.hits = np.append(self.hits, np.zeros(len(new), np.int64))
-            self.starts = np.cumsum(self.sizes) - self.sizes
+            self.marks = np.append(self.marks, marks.astype(np.int8))
         out = np.fromiter(map(self.row.__getitem__, units), np.int64, len(units))
         self.hits += np.bincount(out, minlength=len(self.hits))
         return out
