@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as vocabulary
 
-from gridlake.llm import chunk_dedup, huffman_ids, langid, sentencepiece_codec, suffix_dedup
+from gridlake.llm import chunk_dedup, huffman_ids, langid, pii, sentencepiece_codec, suffix_dedup
 from gridlake.llm.common import table
 from gridlake.session import scratch_path
 
@@ -55,3 +55,8 @@ def langid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, vocabulary("piece_bpe_32k.model"), F.coalesce(~held_out, F.lit(False)))
     found = langid.identify(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_pii")
+def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
