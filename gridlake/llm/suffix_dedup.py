@@ -38,7 +38,7 @@ GATHERED = 200
 #: Rows of a shard's transform, and shards merged at once: what a task holds.
 SHARD_ROWS, SHARDS = 150_000, 4
 #: log2 of the bits of a filter sent to all tasks. Its size is fixed; false hits cost time only.
-FILTER_BITS = 26
+FILTER_BITS = 25
 
 MIX = np.array([xxhash.xxh64_intdigest(bytes([i]), 11) for i in range(256)], np.uint64)
 BASE = np.uint64(0x9E3779B97F4A7C15)
