@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as vocabulary
 
-from gridlake.llm import chunk_dedup, huffman_ids, langid, multi_index, pii, sentencepiece_codec, suffix_dedup
+from gridlake.llm import chunk_dedup, decontaminate, huffman_ids, langid, multi_index, pii, sentencepiece_codec, suffix_dedup
 from gridlake.llm.common import table
 from gridlake.session import scratch_path
 
@@ -65,3 +65,8 @@ def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_multi_index")
 def multi_index_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op6_decontaminate")
+def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
