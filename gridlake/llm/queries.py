@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as vocabulary
 
-from gridlake.llm import chunk_dedup, decontaminate, huffman_ids, langid, multi_index, pii, sentencepiece_codec, suffix_dedup
+from gridlake.llm import chunk_dedup, decontaminate, huffman_ids, langid, multi_index, pii, sentencepiece_codec, suffix_dedup, toxicity
 from gridlake.llm.common import table
 from gridlake.session import scratch_path
 
@@ -70,3 +70,17 @@ def multi_index_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_decontaminate")
 def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def fit_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Network | None:
+    trained = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+    return toxicity.fit(docs, table(spark, sf_dir, "labels"), trained)
+
+
+@query("op10_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, fit_toxicity(spark, docs, sf_dir))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
