@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as vocabulary
 
-from gridlake.llm import chunk_dedup, decontaminate, huffman_ids, langid, multi_index, pii, sentencepiece_codec, suffix_dedup, toxicity
+from gridlake.llm import chunk_dedup, decontaminate, huffman_ids, jaccard_join, langid, multi_index, pii, sentencepiece_codec, suffix_dedup, toxicity
 from gridlake.llm.common import table
 from gridlake.session import scratch_path
 
@@ -72,6 +72,11 @@ def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op9_jaccard_join")
+def jaccard_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def fit_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Network | None:
     trained = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
     return toxicity.fit(docs, table(spark, sf_dir, "labels"), trained)
