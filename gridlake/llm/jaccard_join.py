@@ -224,8 +224,9 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int):
 
 
 def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id): the number of distinct shingles of each document, and
-    the smallest doc_id that links reach from it, itself included.
+    """(doc_id, n_shingles, component_id, text_hash): the number of distinct shingles of each
+    document, the smallest doc_id that links reach from it, itself included, and xxhash64 of the
+    text, which tells rows of one id apart.
 
     Two documents link when 100 * shared >= ``percent`` * union of their shingles. NULL and empty
     texts, or texts without a word, have no shingle, link with nothing and are their own
@@ -233,7 +234,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     Repeated rows keep their rows and count once. Other columns are ignored. Shingles, and
     classes in links, are told apart by 64-bit hashes."""
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, total = np.zeros(1 << SKETCH_BITS, np.int64), 0
@@ -244,17 +245,17 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names[:, 0].copy()),
-                 pa.array(names[:, 1].copy()), pa.array(np.full(n, -1), pa.int32())],
-                ["doc_id", "n", "d1", "d2", "counter"],
+                 part.column("th"), pa.array(np.full(n, -1), pa.int32())],
+                ["doc_id", "n", "d1", "th", "counter"],
             )
         # Counters well above the task's mean: those of frequent shingles.
         high = np.flatnonzero(counts > 8 + 4 * total / len(counts))
         none = pa.nulls(len(high), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, pa.array(counts[high]), none, none, pa.array(high, pa.int32())], ["doc_id", "n", "d1", "d2", "counter"]
+            [none, pa.array(counts[high]), none, none, pa.array(high, pa.int32())], ["doc_id", "n", "d1", "th", "counter"]
         )
 
-    described = rows.mapInArrow(describe, "doc_id long, n long, d1 long, d2 long, counter int")
+    described = rows.mapInArrow(describe, "doc_id long, n long, d1 long, th long, counter int")
     described, described_path = common.written(described, "described")
     members = described.where("counter < 0")
     sketch = described.where("counter >= 0").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
@@ -374,13 +375,26 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     smallest = known.groupBy("c_d1").agg(F.min("first").alias("component_id"))
     named = known.join(smallest, "c_d1").select("d1", "component_id")
     out = members.join(named, "d1", "left")
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("th").alias("text_hash"))
     common.dropped(
         spark, found_path, sizes_path, couples_path, tries_path, links_path, component_path, still_path, rest_path, more_path
     )
     return out
 
 
+def first_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest id, and all columns.
+
+    Of repeated rows one stays. Rows without an id stay if no row with an id is linked to them,
+    one for each text."""
+    kept = join(docs, k, percent).where("doc_id <=> component_id or component_id is null")
+    key = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
+    kept = kept.select(key.alias("_key"), F.col("text_hash").alias("_th")).distinct()
+    rows = docs.withColumn("_key", key).withColumn("_th", F.xxhash64("text"))
+    # The join deals rows out by id and text, so that dropping repeated ones moves none again.
+    return rows.join(kept, ["_key", "_th"], "left_semi").dropDuplicates(["_key", "_th"]).drop("_key", "_th")
+
+
 def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[dict[str, list]]:
     """Groups of rows that come sorted by ``keys``, as lists by column."""
     held: dict[str, list] | None = None

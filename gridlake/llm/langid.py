@@ -85,13 +85,18 @@ def fit(docs: DataFrame, vocabulary: str, training: Column, documents: int = FIT
     Word counts and expectations are summed in Spark; a round sends one number for each piece and
     language to the driver."""
     names = pieces(vocabulary)
-    rows = docs.where(training & F.col("lang").isNotNull()).withColumn("h", F.xxhash64("doc_id", "text"))
+    rows = docs.where(training & F.col("lang").isNotNull()).select("doc_id", "text", "lang").withColumn("h", F.xxhash64("doc_id", "text"))
+    # Hashes are spread evenly, so a share of their range gives about twice the rows wanted; only
+    # those are ranked.
+    totals = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not totals:
+        return Model(names, [], np.zeros((len(names) + 1, 0)))
+    share = F.create_map(*[F.lit(x) for lang, n in totals.items() for x in (lang, min(1.0, 2 * documents / n))])
+    near = rows.select("lang", "h").where((F.col("h") / 2.0**64 + 0.5) <= share[F.col("lang")])
     first = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.select("lang", "h").withColumn("k", F.row_number().over(first)).where(F.col("k") <= documents)
+    chosen = near.withColumn("k", F.row_number().over(first)).where(F.col("k") <= documents)
     upto = {r.lang: r.h for r in chosen.groupBy("lang").agg(F.max("h").alias("h")).collect()}
     languages = sorted(upto)
-    if not languages:
-        return Model(names, [], np.zeros((len(names) + 1, 0)))
     limit = F.create_map(*[F.lit(x) for pair in upto.items() for x in pair])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

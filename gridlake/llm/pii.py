@@ -252,28 +252,45 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def find(docs: DataFrame, classifier: Classifier | None = None, keep: bool = False) -> DataFrame:
+def _spans(text: str | None, classifier: Classifier) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(base spans, all spans) of a text."""
+    found = [c for c in candidates(text or "") if classifier.accepts(c)]
+    return [(c.kind, c.start, c.end) for c in found if c.base], [(c.kind, c.start, c.end) for c in found]
+
+
+def find(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
     """Personal data of every whole text: doc_id, n_email, n_ip, n_card, n_phone (base spans),
     base_sha256 (of the base spans as text), spans (base and added: kind:start:end in code points,
-    end exclusive); with ``keep`` also masked, the text with its spans replaced.
+    end exclusive).
 
     NULL and empty texts have no spans. NULL ids and repeated rows keep their rows; other columns
     are ignored. Two passes over the texts and no shuffle of them."""
     classifier = classifier or learn(docs)
-    schema = ", ".join(["doc_id long", *(f"n_{k} long" for k in KINDS), "base_sha256 string", "spans string", *["masked string"] * keep])
+    names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, *_ in common.buffers(batches, "text"):
             rows = []
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                found = [c for c in candidates(text or "") if classifier.accepts(c)]
-                base = [(c.kind, c.start, c.end) for c in found if c.base]
-                spans = [(c.kind, c.start, c.end) for c in found]
-                counts = np.bincount([k for k, _, _ in base], minlength=len(KINDS)).tolist() if base else [0] * len(KINDS)
-                rows.append((doc_id, *counts, common.sha256(joined(base).encode()), joined(spans), masked(text or "", spans)))
-            columns = list(zip(*rows))[: 7 + keep]
-            names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "masked"][: 7 + keep]
-            kinds = [pa.int64()] * 5 + [pa.string()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+                base, spans = _spans(text, classifier)
+                counts = [sum(kind == k for kind, _, _ in base) for k in range(len(KINDS))]
+                rows.append((doc_id, *counts, common.sha256(joined(base).encode()), joined(spans)))
+            kinds = [pa.int64()] * 5 + [pa.string()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
+    schema = ", ".join(["doc_id long", *(f"n_{k} long" for k in KINDS), "base_sha256 string", "spans string"])
     return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def mask(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
+    """``docs`` with the personal data in ``text`` replaced, all columns kept. NULL stays NULL."""
+    classifier = classifier or learn(docs)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, *_ in common.buffers(batches, "text"):
+            text = [t if t is None else masked(t, _spans(t, classifier)[1]) for t in part.column("text").to_pylist()]
+            text = pa.array(text, pa.string())
+            yield pa.RecordBatch.from_arrays([text if n == "text" else part.column(n) for n in names], names)
+
+    return docs.mapInArrow(run, docs.schema)

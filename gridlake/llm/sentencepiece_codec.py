@@ -140,16 +140,15 @@ class Codec:
         return self.library.decode(ids)
 
 
-def encode_decode(docs: DataFrame, model: str, keep: bool = False) -> DataFrame:
+def encode_decode(docs: DataFrame, model: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Encode every text and decode it again.
 
     Returns one row per document: doc_id, n_tokens, ids_sha256 (of the decimal ids joined by
-    commas), decoded_sha256 (of the decoded text in UTF-8); with ``keep`` also ids and decoded.
+    commas), decoded_sha256 (of the decoded text in UTF-8), and of ids and decoded those in ``keep``.
     NULL and empty texts have no ids and decode to an empty text. Repeated rows and NULL ids give
     one row each; other columns are ignored. No shuffle: each row is worked on where it is read."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    if keep:
-        schema += ", ids array<int>, decoded string"
+    schema += ", ids array<int>" * ("ids" in keep) + ", decoded string" * ("decoded" in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model)
@@ -164,8 +163,9 @@ def encode_decode(docs: DataFrame, model: str, keep: bool = False) -> DataFrame:
                 "ids_sha256": pa.array([common.sha256(",".join([names[i] for i in x]).encode()) for x in lists], pa.string()),
                 "decoded_sha256": pa.array([common.sha256(t.encode()) for t in decoded], pa.string()),
             }
-            if keep:
+            if "ids" in keep:
                 columns["ids"] = pa.array(encoded, pa.list_(pa.int32()))
+            if "decoded" in keep:
                 columns["decoded"] = pa.array(decoded, pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 

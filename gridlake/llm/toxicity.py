@@ -355,20 +355,21 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, documents: int = F
     return fit_network(rows["text"].fillna("").tolist(), label, weight / weight.mean())
 
 
-def score(docs: DataFrame, network: Network | None, keep: bool = False) -> DataFrame:
-    """(doc_id, score) of every whole text; with ``keep`` all columns of ``docs`` and score.
+def score(docs: DataFrame, network: Network | None, keep: bool = False, name: str = "score") -> DataFrame:
+    """(doc_id, score) of every whole text; with ``keep`` all columns of ``docs`` and the score under
+    ``name``.
 
     NULL and empty texts have no window and get the score of none. Without a network every score
     is 0. NULL ids and repeated rows keep their rows. No shuffle."""
     rows = docs if keep else docs.select("doc_id", "text")
     names = [c for c in rows.columns if keep or c != "text"]
-    out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in names] + ["score double"])
+    out = rows.select(*names).withColumn(name, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = network.reader() if network is not None else None
         for part, *_ in common.buffers(batches, "text"):
             texts = [t or "" for t in part.column("text").to_pylist()]
             value = reader.score(texts) if reader else np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(value)], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(value)], [*names, name])
 
     return rows.mapInArrow(run, out)
