@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import common
-from gridlake.llm.units import UnitCache
+from gridlake.llm.units import UnitCache, kept
 
 LIMIT = 16  # bits; more where more symbols than 2**LIMIT are in use
 STRIDE = 128  # ids between checkpoints
@@ -229,7 +229,7 @@ def encode_table(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
     kind = id_type(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = kept(("ids", tokenizer), lambda: Encoder(tokenizer))
         for part, *_ in common.buffers(batches, "text"):
             texts = [t or "" for t in part.column("text").to_pylist()]
             ids = [np.append(x, end_id).astype(kind).tobytes() for x in encoder.texts(texts)]

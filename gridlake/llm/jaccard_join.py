@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import common
-from gridlake.llm.units import UnitCache
+from gridlake.llm.units import UnitCache, kept
 
 WORDS = 4
 PERCENT = 85
@@ -216,7 +216,7 @@ def _digests(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int):
-    shingler = Shingler(k)
+    shingler = kept(("shingles", k), lambda: Shingler(k))
     for part, data, starts, lengths in common.buffers(batches, "text"):
         raw = data.tobytes()
         sets = shingler.sets([raw[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist())])

@@ -10,6 +10,7 @@ expectation maximisation over all segmentations.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.llm import common, lattice
-from gridlake.llm.units import UnitCache
+from gridlake.llm.units import UnitCache, kept
 
 SPACE = "▁"  # stands for a space in pieces: a fixed value of the format
 #: Documents of each language that the models are fitted on, the first by a hash of doc_id.
@@ -151,10 +152,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     ``und`` with score 0 where the text is NULL or has no letter, or no language was learnt. The
     score is the share of the predicted language in the likelihood. NULL ids and repeated rows
     keep their rows; other columns are ignored. No shuffle."""
-    given = (model.names, model.languages, model.weight)
+    given, mark = (model.names, model.languages, model.weight), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*given)
+        own = kept(("languages", mark), lambda: Model(*given))
         for part, *_ in common.buffers(batches, "text"):
             lang, score = own.predict([t or "" for t in part.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(

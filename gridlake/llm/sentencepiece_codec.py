@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from gridlake.llm import common
-from gridlake.llm.units import UnitCache
+from gridlake.llm.units import UnitCache, kept
 
 SPACE = "▁"  # stands for a space in pieces: a fixed value of the format
 START = -1
@@ -151,7 +151,7 @@ def encode_decode(docs: DataFrame, model: str, keep: tuple[str, ...] = ()) -> Da
     schema += ", ids array<int>" * ("ids" in keep) + ", decoded string" * ("decoded" in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model)
+        codec = kept(("pieces", model), lambda: Codec(model))
         names = [str(i) for i in range(codec.size)]
         for part, *_ in common.buffers(batches, "text"):
             encoded = codec.encode([t or "" for t in part.column("text").to_pylist()])

@@ -11,6 +11,7 @@ step of the recurrence is one small matrix product for thousands of windows at o
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import common
-from gridlake.llm.units import UnitCache
+from gridlake.llm.units import UnitCache, kept
 
 WINDOW, STRIDE = 16, 8
 #: Labelled documents of each class that the network is fitted on, the first by hash of doc_id.
@@ -363,10 +364,11 @@ def score(docs: DataFrame, network: Network | None, keep: bool = False, name: st
     is 0. NULL ids and repeated rows keep their rows. No shuffle."""
     rows = docs if keep else docs.select("doc_id", "text")
     names = [c for c in rows.columns if keep or c != "text"]
+    mark = uuid.uuid4().hex
     out = rows.select(*names).withColumn(name, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = network.reader() if network is not None else None
+        reader = kept(("toxicity", mark), network.reader) if network is not None else None
         for part, *_ in common.buffers(batches, "text"):
             texts = [t or "" for t in part.column("text").to_pylist()]
             value = reader.score(texts) if reader else np.zeros(len(texts))

@@ -12,6 +12,18 @@ from collections.abc import Callable
 import numpy as np
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What ``make`` builds, once in a worker process for as long as tasks ask for the same ``key``:
+    a tokenizer with its table of units outlives the task that filled it."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 class UnitCache:
     """``encode`` maps a list of units to (the units in any order, ids of all of them in a row,
     number of ids of each, a small number to keep with each).
