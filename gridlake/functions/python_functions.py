@@ -44,8 +44,3 @@ def demean(value: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
         return group.assign(**{value: group[value] - group[value].mean()})
 
     return run
-
-
-def merge_on_shared(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Per-cogroup ordered outer merge on the columns both sides have."""
-    return pd.merge_ordered(left, right)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridlake.functions.text import (
     code_shape,
@@ -20,7 +18,7 @@ from gridlake.functions.text import (
     strip_all,
 )
 from gridlake.operators.windows import match_keys
-from gridlake.session import cut_lineage, spread
+from gridlake.session import cut_lineage
 
 # Shortest text looked at, shortest description, and the token pattern.
 MIN_DUPLICATE_CHARS = 100
@@ -38,7 +36,7 @@ SECTION_MARK = "##"
 
 def text_digests(df: DataFrame, key: str, text: str, min_len: int = MIN_DUPLICATE_CHARS) -> DataFrame:
     """``(digest, key, lines)`` of texts that are long enough once normalised."""
-    texts = spread(df.select(key, text), key)
+    texts = df.select(key, text)
     shaped = F.struct(code_shape(F.col(text)).alias("shape"), line_total(F.col(text)).alias("lines"))
     # The length test sits inside the generator: as a filter it would be pushed below the
     # projection and shape every text a second time.
@@ -140,7 +138,7 @@ def open_tokens(
     The default pattern brings its own."""
     if token_has is None:
         token_has = OPEN_TOKEN_HAS if pattern == OPEN_TOKEN else ""
-    texts = spread(df.select(key, text).filter(F.contains(text, F.lit(token_has))), key)
+    texts = df.select(key, text).filter(F.contains(text, F.lit(token_has)))
     lines = explode_lines_outside(texts, key, text, fence).filter(F.contains("line", F.lit(token_has)))
     hits = lines.filter(~is_comment(F.col("line"))).select(
         key, "line_no", F.explode(F.regexp_extract_all("line", F.lit(pattern), F.lit(1))).alias("token")
@@ -153,7 +151,7 @@ def missing_sections(
     df: DataFrame, key: str, text: str, required: Sequence[str], mark: str = SECTION_MARK, fence: str = FENCE
 ) -> DataFrame:
     """``(key, section)`` for every required heading a document lacks."""
-    texts = spread(df.select(key, text), key)
+    texts = df.select(key, text)
     lines = F.transform(lines_outside(F.col(text), fence), strip)
     headings = F.filter(lines, lambda line: F.startswith(line, F.lit(mark)))
     wanted = F.array(*[F.lit(h) for h in required])
@@ -162,7 +160,7 @@ def missing_sections(
 
 def section_headings(df: DataFrame, key: str, text: str, mark: str = SECTION_MARK, fence: str = FENCE) -> DataFrame:
     """``(key, line_no, section)``: headings of each document, as for a template."""
-    texts = spread(df.select(key, text), key)
+    texts = df.select(key, text)
     lines = explode_lines_outside(texts, key, text, fence).withColumn("section", strip(F.col("line")))
     return lines.filter(F.startswith("section", F.lit(mark))).select(key, "line_no", "section")
 
@@ -170,31 +168,79 @@ def section_headings(df: DataFrame, key: str, text: str, mark: str = SECTION_MAR
 # --- nested documents -------------------------------------------------------------
 
 
-def _dotted(node: object, prefix: str = "") -> Iterator[str]:
-    if isinstance(node, dict):
-        for name, child in node.items():
-            yield prefix + name
-            yield from _dotted(child, f"{prefix}{name}.")
+def key_paths(df: DataFrame, document: str) -> DataFrame:
+    """Distinct dotted key paths of a JSON column, to any depth.
+
+    Level by level: the keys of all objects are listed with what they hold, equal pairs become
+    one, and only objects among them go on. A level is a job that runs when the plan is built.
+    Texts that are not JSON, and anything inside arrays, have no paths."""
+    spark = df.sparkSession
+    level = df.select(F.lit("").alias("above"), F.col(document).alias("inner"))
+    found = []
+    while True:
+        parsed = level.select("above", F.try_parse_json("inner").alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+        keys = parsed.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(
+            F.concat("above", "key").alias("path"),
+            F.when(F.schema_of_variant("value").startswith("OBJECT"), F.to_json("value")).alias("inner"),
+        )
+        kept = cut_lineage(keys.distinct())
+        found.append(kept.select("path"))
+        level = kept.where("inner is not null").select(F.concat("path", F.lit(".")).alias("above"), "inner")
+        if level.isEmpty():
+            return reduce(DataFrame.union, found).distinct()
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _nested_paths(documents: pd.Series) -> pd.Series:
-    def paths(document: str) -> list[str] | None:
-        try:
-            return list(_dotted(json.loads(document)))
-        except ValueError:
-            return None
+# --- comparisons ------------------------------------------------------------------
 
-    return documents.map(paths, na_action="ignore")
 
+def missing_entries(declared: DataFrame, records: DataFrame, key: str, rule: str = "entry missing") -> DataFrame:
+    """``(key, rule)`` for declared keys without a record, to be added to ``violations``."""
+    names = declared.select(key).where(F.col(key).isNotNull()).distinct()
+    return names.join(records.select(key), key, "left_anti").withColumn("rule", F.lit(rule))
 
-def key_paths(df: DataFrame, document: str) -> DataFrame:
-    """Distinct dotted key paths of a JSON column, to any depth.
 
-    Flat objects are listed by the built-in; only documents with an object inside are
-    passed to Python, so flat data crosses to Arrow as NULLs."""
-    column = F.col(document)
-    nested = F.instr(F.substring(F.ltrim(column), 2, 2**31 - 1), "{") > 0
-    flat_keys = F.when(~nested, F.json_object_keys(column))
-    deep_keys = _nested_paths(F.when(nested, column))
-    return df.select(F.explode(F.coalesce(flat_keys, deep_keys)).alias("path")).distinct()
+def schema_diff(left: DataFrame, right: DataFrame) -> list[tuple[str, str | None, str | None]]:
+    """Columns whose type differs or that one side lacks: (column, left type, right type)."""
+    a, b = (dict(df.dtypes) for df in (left, right))
+    return [(c, a.get(c), b.get(c)) for c in dict.fromkeys([*a, *b]) if a.get(c) != b.get(c)]
+
+
+def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: float = 0.0) -> DataFrame:
+    """``(keys, column, left_value, right_value, left_rows, right_rows)`` where tables differ.
+
+    Rows are matched by key, NULL equal to NULL. A key that one side lacks, or holds another
+    number of times, gives one row whose column is NULL. Values of a key held once on both sides
+    are compared column by column: numbers with a relative tolerance, NULL equal to NULL. Keys
+    held several times alike are compared by how often each row occurs (without tolerance).
+    Nothing is collected; both sides are aggregated by key and joined."""
+    shared = [c for c in left.columns if c in right.columns and c not in keys]
+    numeric = {f.name for f in left.schema.fields if f.dataType.typeName() in ("double", "float")}
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        # Order-free digest of all rows of a key; the values themselves matter only if it has one.
+        digest = F.sum(F.xxhash64(*shared).cast("decimal(38,0)")) if shared else F.lit(0)
+        values = [F.min(F.struct(F.lit(1), *shared)).alias("v")]
+        return df.groupBy(*keys).agg(F.count("*").alias("n"), digest.alias("h"), *values).select(
+            *keys, F.struct("n", "h", "v").alias(name)
+        )
+
+    renamed = side(right, "r").withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    both = side(left, "l").join(renamed, on, "full_outer")
+    both = both.select(*[F.when(F.col("l").isNotNull(), F.col(k)).otherwise(F.col(f"_r_{k}")).alias(k) for k in keys], "l", "r")
+    n_left, n_right = F.coalesce("l.n", F.lit(0).cast("long")), F.coalesce("r.n", F.lit(0).cast("long"))
+    text = lambda c: F.col(c).cast("string")
+
+    def entry(column: Column, a: Column, b: Column) -> Column:
+        return F.struct(column.cast("string").alias("column"), a.alias("left_value"), b.alias("right_value"))
+
+    none = F.lit(None).cast("string")
+    counts = F.when((n_left != n_right) | ((n_left > 1) & (F.col("l.h") != F.col("r.h"))), entry(none, none, none))
+    differing = [counts]
+    for c in shared:
+        a, b = F.col(f"l.v.{c}"), F.col(f"r.v.{c}")
+        near = F.abs(a - b) <= tolerance * F.greatest(F.abs(a), F.abs(b)) if c in numeric else F.lit(False)
+        same = a.eqNullSafe(b) | F.coalesce(near, F.lit(False))
+        differing.append(F.when((n_left == 1) & (n_right == 1) & ~same, entry(F.lit(c), text(f"l.v.{c}"), text(f"r.v.{c}"))))
+    rows = both.select(*keys, n_left.alias("left_rows"), n_right.alias("right_rows"), F.inline(F.array_compact(F.array(*differing))))
+    return rows.select(*keys, "column", "left_value", "right_value", "left_rows", "right_rows")

@@ -21,14 +21,13 @@ def merge_outer(left: DataFrame, right: DataFrame, on: list[str], unique_keys: b
     """Full outer merge on shared columns, NULL keys matching NULL keys.
 
     Adaptive execution cannot split a hot key of a full outer join. Unless the keys are
-    known to be unique on each side, the merge is put together from an inner join and two
-    anti joins against distinct keys, all of which it can split."""
+    known to be unique on each side, the merge is put together from a left outer join and
+    one anti join against distinct keys, both of which it can split."""
     rest = [c for c in [*left.columns, *right.columns] if c not in on]
     if not unique_keys:
-        both = match_keys(left, right, on)
-        left_only = match_keys(left, right.select(*on).distinct(), on, "left_anti")
+        with_left = match_keys(left, right, on, "left_outer")
         right_only = match_keys(right, left.select(*on).distinct(), on, "left_anti")
-        return concatenate(both, left_only, right_only).select(*on, *rest)
+        return concatenate(with_left, right_only).select(*on, *rest)
     names = {c: f"_right_{c}" for c in on}
     other = right.withColumnsRenamed(names)
     condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()])

@@ -5,11 +5,9 @@ Two families:
 * ``*_columns`` helpers return window Columns for frames that are already aggregated
   (one row per group and bin), where a partition is small by construction.
 * The other functions take raw rows, where one key may hold a large part of the table.
-  They never sort a whole key in one task: a per-key (or per-key-and-block) aggregate
-  is built first with map-side combining, and rows are matched with it.
-
-``block`` is any expression that does not decrease along the ordering (for time series:
-the hour or day of the timestamp). It bounds what one task has to sort.
+  They never sort a whole key in one task: rows are dealt out by range of (key, order), which
+  Spark measures, so that a dense stretch is cut as finely as it needs. What a range misses
+  of its neighbours comes from one row for each key and range.
 """
 
 from __future__ import annotations
@@ -20,10 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gridlake.functions.values import percent
-from gridlake.session import BROADCAST_MAX_ROWS, cut_lineage, small_side
-
-# Rows of one key and block that a single task may sort.
-BLOCK_MAX_ROWS = 10_000_000
+from gridlake.session import cut_lineage, small_side
 
 
 def _ordered(key: str, order: str) -> WindowSpec:
@@ -72,57 +67,30 @@ def share_of_total(df: DataFrame, key: str, value: str, out: str = "share_pct",
     return joined.withColumn(out, percent(F.col(value), F.col("_total"), digits)).drop("_total")
 
 
-def _value_levels(df: DataFrame, key: str, value: str, block: Column | None) -> DataFrame:
-    """``(key, _block, value, _n)``: the distinct values of each key with their row counts."""
-    part = (F.lit(0) if block is None else block).alias("_block")
-    return df.groupBy(key, part, value).agg(F.count("*").alias("_n"))
-
+def in_ranges(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Rows with ``_block``: the range of (key, order) they lie in, all ranges of about the same
+    size. Materialised (a job when the plan is built), so that ranges stay what they are."""
+    return cut_lineage(df.repartitionByRange(key, *order).withColumn("_block", F.spark_partition_id()))
 
-def _block_offsets(levels: DataFrame, key: str) -> DataFrame:
-    """``(key, _block, _above, _rows)``: distinct values in all higher blocks, rows in this one."""
-    sizes = levels.groupBy(key, "_block").agg(F.count("*").alias("_levels"), F.sum("_n").alias("_rows"))
-    above = Window.partitionBy(key).orderBy(F.col("_block").desc_nulls_last())
-    higher = F.sum("_levels").over(above.rowsBetween(Window.unboundedPreceding, -1))
-    return sizes.select(key, "_block", F.coalesce(higher, F.lit(0)).alias("_above"), "_rows")
 
+def dense_ranks(df: DataFrame, key: str, value: str, out: str = "rank") -> DataFrame:
+    """``(key, value, rank)``: dense rank, highest value first, of each distinct value.
 
-def _ranked_in_blocks(rows: DataFrame, offsets: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    Equal values are combined first, so a frequent one is one row; the distinct values are
+    ranked range by range, and each range adds the number of values in the ranges above."""
+    levels = in_ranges(df.select(key, value).distinct(), key, [value])
+    sizes = levels.groupBy(key, "_block").agg(F.count("*").alias("_levels"))
+    above = Window.partitionBy(key).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(key, "_block", F.coalesce(F.sum("_levels").over(above), F.lit(0)).alias("_above"))
     spec = Window.partitionBy(key, "_block").orderBy(F.col(value).desc_nulls_last())
-    joined = match_keys(rows.withColumn("_rank", F.dense_rank().over(spec)), offsets, [key, "_block"])
-    return joined.withColumn(out, F.col("_rank") + F.col("_above")).drop("_rank", "_above", "_rows", "_block")
-
+    ranked = match_keys(levels.withColumn("_rank", F.dense_rank().over(spec)), small_side(offsets), [key, "_block"])
+    return ranked.select(key, value, (F.col("_rank") + F.col("_above")).cast("long").alias(out))
 
-def dense_ranks(df: DataFrame, key: str, value: str, out: str = "rank", block: Column | None = None) -> DataFrame:
-    """``(key, value, rank)``: dense rank, highest value first, of each distinct value.
 
-    Duplicates are combined before the ranking shuffle. With ``block`` (non-decreasing in
-    ``value``) the distinct values of a key are ranked block by block."""
-    levels = _value_levels(df, key, value, block)
-    if block is None:
-        spec = Window.partitionBy(key).orderBy(F.col(value).desc_nulls_last())
-        return levels.select(key, value, F.dense_rank().over(spec).cast("long").alias(out))
-    return _ranked_in_blocks(levels, _block_offsets(levels, key), key, value, out).drop("_n")
-
-
-def with_dense_rank(
-    df: DataFrame,
-    key: str,
-    value: str,
-    block: Column | None = None,
-    out: str = "rank",
-    max_block_rows: int = BLOCK_MAX_ROWS,
-) -> DataFrame:
-    """Every row with the dense rank of its value inside its key.
-
-    Blocks are measured first. While none is oversized the rows are ranked in place,
-    block by block; otherwise (many rows on one value) only the distinct values are ranked
-    and the rows are joined to them, which adaptive execution can split."""
-    offsets = cut_lineage(_block_offsets(_value_levels(df, key, value, block), key))
-    n_blocks, largest = offsets.agg(F.count("*"), F.max("_rows")).first()
-    if (largest or 0) > max_block_rows:
-        return match_keys(df, dense_ranks(df, key, value, out, block), [key, value])
-    rows = df.withColumn("_block", F.lit(0) if block is None else block)
-    return _ranked_in_blocks(rows, F.broadcast(offsets) if n_blocks <= BROADCAST_MAX_ROWS else offsets, key, value, out)
+def with_dense_rank(df: DataFrame, key: str, value: str, out: str = "rank") -> DataFrame:
+    """Every row with the dense rank of its value inside its key: the distinct values are ranked
+    and the rows joined to them, which adaptive execution can split at a frequent value."""
+    return match_keys(df, dense_ranks(df, key, value, out), [key, value])
 
 
 def dense_top_n(df: DataFrame, key: str, value: str, n: int, out: str = "rank") -> DataFrame:
@@ -130,13 +98,14 @@ def dense_top_n(df: DataFrame, key: str, value: str, n: int, out: str = "rank")
 
     The rank filter sits on distinct values, so each map task passes on at most ``n``
     values per key before anything is shuffled by key alone."""
-    top = dense_ranks(df, key, value, out).filter(F.col(out) <= n)
+    levels = df.select(key, value).distinct()
+    top = levels.withColumn(out, dense_rank_column(value, key)).filter(F.col(out) <= n)
     return match_keys(df, small_side(top), [key, value])
 
 
-def running_total(df: DataFrame, key: str, order: list[str], value: str, block: Column, out: str = "running") -> DataFrame:
-    """``sum(value)`` from the start of the key up to and including the row."""
-    rows = df.withColumn("_block", block)
+def running_total(df: DataFrame, key: str, order: list[str], value: str, out: str = "running") -> DataFrame:
+    """``sum(value)`` from the start of the key up to and including the row; ``order`` is unique."""
+    rows = in_ranges(df, key, order)
     sums = rows.groupBy(key, "_block").agg(F.sum(value).alias("_sum"))
     earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = small_side(sums.select(key, "_block", F.sum("_sum").over(earlier).alias("_before")))
@@ -148,12 +117,12 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, block:
     return joined.withColumn(out, total).drop("_block", "_local", "_before")
 
 
-def centred_mean(df: DataFrame, key: str, order: list[str], value: str, block: Column, out: str = "smoothed") -> DataFrame:
+def centred_mean(df: DataFrame, key: str, order: list[str], value: str, out: str = "smoothed") -> DataFrame:
     """Mean of the previous, current and next row of the key; ``order`` must be unique.
 
-    Inside a block this is an ordinary frame. The first and last row of a block borrow
-    their missing neighbour from the edge table of the adjacent blocks."""
-    rows = df.withColumn("_block", block)
+    Inside a range this is an ordinary frame. The first and last row of a range borrow
+    their missing neighbour from the edge table of the adjacent ranges."""
+    rows = in_ranges(df, key, order)
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     edges = rows.groupBy(key, "_block").agg(
         F.min_by(value, position).alias("_first"), F.max_by(value, position).alias("_last")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Settings every job relies on; anything may be overridden by the caller.
@@ -18,9 +18,10 @@ DEFAULTS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-# Row bound under which a materialised aggregate may be broadcast (a few tens of MB
-# for the narrow key/value rows it is used for).
-BROADCAST_MAX_ROWS = 500_000
+# Bytes under which a materialised aggregate may be broadcast.
+BROADCAST_MAX_BYTES = 32 << 20
+# Row overhead that a hash table adds to the values themselves.
+ROW_OVERHEAD = 48
 
 
 def build_session(app_name: str = "gridlake", **conf: str) -> SparkSession:
@@ -88,17 +89,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Materialise an aggregate once and mark it for broadcast only when its counted
-    size is under ``max_rows``. Beyond that it is returned unhinted, and the join
-    becomes a shuffled one that adaptive execution may split on hot keys."""
-    kept = cut_lineage(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: the length of texts, 16 for anything else."""
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string" if f.dataType.typeName() == "string" else "binary")), F.lit(0))
+        if f.dataType.typeName() in ("string", "binary")
+        else F.lit(16)
+        for f in df.schema.fields
+    ]
+    return sum(sizes, F.lit(ROW_OVERHEAD))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use idle cores for heavy row work over a small scan, whose files may hold a single
-    row group each. A scan with more partitions than there are cores is left alone, so
-    what this shuffles never exceeds one wave of tasks."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() <= cores else df
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Materialise an aggregate once (a job that runs when the plan is built) and mark it for
+    broadcast only when its measured size is within ``max_bytes``. Beyond that it is returned
+    unhinted, and the join becomes a shuffled one that adaptive execution may split on hot keys."""
+    kept = cut_lineage(df)
+    size = kept.agg(F.sum(row_bytes(kept))).first()[0] or 0
+    return F.broadcast(kept) if size <= max_bytes else kept

@@ -117,28 +117,45 @@ def average_of_all(spark, sf):
 _STATISTICS = {"count": "count({0})", "mean": "avg({0})", "stddev": "stddev_samp({0})", "min": "min({0})", "max": "max({0})"}
 
 
-def _describe_sql(columns: list[str], relation: str) -> str:
-    parts = [
-        "SELECT '{}' AS summary, {} FROM {}".format(
-            label,
-            ", ".join(f"round(CAST({sql.format(c)} AS DOUBLE), 4) AS {c}" for c in columns),
-            relation,
-        )
-        for label, sql in _STATISTICS.items()
-    ]
+_LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LINE_TEXTS = ["l_returnflag", "l_linestatus"]
+
+
+def _profile_sql() -> str:
+    parts = []
+    for label, sql in _STATISTICS.items():
+        numbers = [f"CAST(round(CAST({sql.format(c)} AS DOUBLE), 4) AS DOUBLE) AS {c}" for c in _LINE_NUMBERS]
+        usable = label in ("count", "min", "max")
+        texts = [f"CAST({sql.format(c)} AS VARCHAR) AS {c}" if usable else f"CAST(NULL AS VARCHAR) AS {c}" for c in _LINE_TEXTS]
+        parts.append(f"SELECT '{label}' AS summary, {', '.join(numbers + texts)} FROM lineitem")
     return " UNION ALL ".join(parts)
 
 
-@query("agg_describe", _describe_sql(["l_quantity", "l_extendedprice", "l_linenumber"], "lineitem"))
+@query("agg_describe", _profile_sql())
 def describe(spark, sf):
-    columns = ["l_quantity", "l_extendedprice", "l_linenumber"]
-    profile = table(spark, sf, "lineitem").select(*columns).describe()
-    return profile.select("summary", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in columns])
+    """Every numeric and text column (dates are not part of this profile)."""
+    profile = table(spark, sf, "lineitem").select(*_LINE_NUMBERS, *_LINE_TEXTS).describe()
+    numbers = [F.round(F.col(c).cast("double"), 4).alias(c) for c in _LINE_NUMBERS]
+    return profile.select("summary", *numbers, *_LINE_TEXTS)
 
 
 @query("agg_summary")
 def summary(spark, sf):
-    return table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_linenumber").summary()
+    return table(spark, sf, "lineitem").summary()
+
+
+@query(
+    "agg_summary_error",
+    "SELECT c.label, true AS close FROM (VALUES ('25%'), ('50%'), ('75%')) c(label), (SELECT count(*) AS n FROM lineitem) WHERE n > 0",
+)
+def summary_error(spark, sf):
+    """Ranks of the profile's quartiles of the price: within one in a hundred of exact ones."""
+    lines = table(spark, sf, "lineitem").select("l_extendedprice")
+    wanted = lines.summary("25%", "50%", "75%").select(F.col("summary").alias("label"), F.col("l_extendedprice").cast("double").alias("q"))
+    marks = {r.label: r.q for r in wanted.collect()}  # three numbers
+    shares = lines.agg(*[F.avg((F.col("l_extendedprice") <= q).cast("double")).alias(label) for label, q in marks.items()])
+    rows = shares.select(F.inline(F.array(*[F.struct(F.lit(k).alias("label"), (F.abs(F.col(k) - float(k[:-1]) / 100) <= 0.01).alias("close")) for k in marks])))
+    return rows
 
 
 @query(

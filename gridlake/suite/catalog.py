@@ -6,17 +6,17 @@ from pyspark.sql import functions as F
 
 from gridlake.operators import catalog as c
 from gridlake.plans.catalogue import build_catalogue
-from gridlake.session import spread
 from gridlake.suite.registry import query, table
 
-# Stems whose names cover every rule, chosen by key.
-STEMS = (
-    "ActualTotalLoad", "YearAheadForecastMargin", "ActualGenerationOutput", "FillingRateOfReservoirs",
-    "UnavailabilityOfOffshoreGrid", "TransferCapacities", "PhysicalFlows", "BalancingEnergyBids", "ImbalancePrices",
-    "EnergyPrices", "AuctionRevenue", "AlgorithmDescription", "Methodologies", "Redispatching", "aFRRMarginalPrice",
-    "Schedule", "CapacityLinks", "Export_log",
-)
-
+# A name for every term of the rules, alone and beside the terms that turn its domain, and one
+# name without any.
+STEMS = tuple(
+    dict.fromkeys(
+        [f"Some{t.capitalize()}" for r in c.RULES for t in r.terms]
+        + [f"{r.terms[-1].capitalize()}With{t.capitalize()}" for r in c.RULES for t in r.unless_terms]
+        + ["Export_log"]
+    )
+)
 _STEM_LIST = ", ".join(f"'{s}'" for s in STEMS)
 
 
@@ -27,13 +27,17 @@ def _domain_sql(name: str) -> str:
     return f"""CASE
       WHEN {any_of('unavailability', 'outage')} THEN 'Outages'
       WHEN {any_of('load', 'forecastmargin')} THEN 'Load'
-      WHEN {any_of('generation', 'fillingrate', 'hydrostorage')} THEN 'Generation'
-      WHEN {any_of('balancing', 'imbalance', 'nettedandexchanged', 'bidavailability', 'mfrr', 'afrr')} THEN
+      WHEN {any_of('generation', 'fillingrate', 'hydrostorage', 'productionandgeneration')} THEN 'Generation'
+      WHEN {any_of('balancing', 'imbalance', 'nettedandexchanged', 'bidavailability', 'procuredbalancing', 'mfrr', 'afrr')} THEN
         CASE WHEN {any_of('marginalprice', 'activationoptimisation')} THEN 'Operations' ELSE 'Balancing' END
-      WHEN {any_of('redispatching', 'countertrading', 'algorithm', 'methodology', 'methodologies')} THEN 'Operations'
-      WHEN {any_of('auction', 'congestionmanagement', 'price', 'dismantling')} THEN 'Market'
-      WHEN {any_of('transfercapacities', 'physicalflows', 'schedule', 'flowbased', 'nominated')} THEN 'Transmission'
-      WHEN {any_of('capacity')} THEN 'Transmission'
+      WHEN {any_of('redispatching', 'countertrading', 'algorithm', 'methodology', 'methodologies', 'annualreport',
+                   'criteriaapplication', 'sogl', 'fallback', 'elasticdemand', 'frequencycontainment',
+                   'permanentallocation')} THEN 'Operations'
+      WHEN {any_of('auction', 'congestionmanagement', 'price', 'prices', 'dismantling')} THEN 'Market'
+      WHEN {any_of('transfercapacities', 'physicalflows', 'schedule', 'schedules', 'flowbased', 'implicitallocations',
+                   'nominated', 'crossbordercapacity', 'transmissionassets', 'distributionfactors',
+                   'useoftransfercapacity')} THEN 'Transmission'
+      WHEN {any_of('capacity')} THEN CASE WHEN {any_of('generation', 'production')} THEN 'Generation' ELSE 'Transmission' END
       ELSE 'OtherMarketInformation' END"""
 
 
@@ -56,21 +60,6 @@ def classify(spark, sf):
     return names.withColumn("domain", c.classify(F.col("name")))
 
 
-@query(
-    "classify_texts",
-    f"""SELECT domain, count(*) AS n FROM (SELECT {_domain_sql('text')} AS domain FROM (
-          SELECT text FROM documents UNION ALL SELECT html FROM pages UNION ALL SELECT text FROM conversations))
-        GROUP BY domain""",
-)
-def classify_texts(spark, sf):
-    texts = (
-        table(spark, sf, "documents").select("text")
-        .unionByName(table(spark, sf, "pages").select(F.col("html").alias("text")))
-        .unionByName(table(spark, sf, "conversations").select("text"))
-    )
-    return spread(texts).groupBy(c.classify(F.col("text")).alias("domain")).agg(F.count("*").alias("n"))
-
-
 # A listing is a set of names: part stems and brands (their product is fixed at any scale).
 _LISTING_SQL = f"""listing AS (SELECT DISTINCT
     CASE WHEN p_size % 2 = 0 THEN 'IOP' ELSE 'PROD' END AS env,

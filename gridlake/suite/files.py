@@ -140,12 +140,12 @@ def text(spark, sf):
 @query(
     "ing_audit",
     """SELECT c_mktsegment, count(*) AS rows, count(c_custkey) AS c_custkey_present,
-              count(nullif(c_nationkey, 0)) AS c_nationkey_present, count(c_name) AS c_name_present
+              count(nullif(c_nationkey, 0)) AS c_nationkey_present, count(c_name) AS c_name_present,
+              count(c_acctbal) AS c_acctbal_present
        FROM customer GROUP BY c_mktsegment""",
 )
 def batch_audit(spark, sf):
-    nation = F.nullif(F.col("c_nationkey"), F.lit(0)).alias("c_nationkey")
-    rows = table(spark, sf, "customer").select("c_mktsegment", "c_custkey", nation, "c_name")
+    rows = table(spark, sf, "customer").withColumn("c_nationkey", F.nullif(F.col("c_nationkey"), F.lit(0)))
     return audit(rows, "c_mktsegment")
 
 
@@ -159,6 +159,26 @@ def _ingest(spark, sf, label, runs):
     return target
 
 
+@query(
+    "ingest_types",
+    """SELECT o_orderkey AS order_id, o_orderdate AS at,
+              CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS DOUBLE) ELSE o_totalprice END AS price FROM orders""",
+)
+def ingest_types(spark, sf):
+    """Two deliveries with inferred types and a timestamp: whole numbers first, fractions next.
+    The table's column widens, and no fraction is cut off."""
+    base = scratch_path(spark, "ingest_types")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
+    target = Target(f"{base}/raw", database=f"bronze_{base[-32:]}", location=f"{base}/bronze")
+    for part, price in ((0, F.col("o_custkey")), (1, F.col("o_totalprice"))):
+        rows = orders.where(F.col("o_orderkey") % 2 == part)
+        rows = rows.select(F.col("o_orderkey").alias("Order Id"), F.col("o_orderdate").alias("At"), price.alias("Price"))
+        rows.write.mode("append").csv(f"{base}/landing/Prices, 12.1 (x)&y", sep=";", header=True)
+        ingest_folder(spark, f"{base}/landing", "Prices, 12.1 (x)&y", target)
+    landed = spark.table(target.full_name("Prices, 12.1 (x)&y"))
+    return landed.select(F.col("order_id").cast("long").alias("order_id"), F.col("at").cast("timestamp_ntz").alias("at"), "price")
+
+
 @query("ingest_raw", MARKET_SQL)
 def ingest_raw(spark, sf):
     target = _ingest(spark, sf, "ingest_raw", [False])

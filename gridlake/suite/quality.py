@@ -95,7 +95,7 @@ def rule_counts(spark, sf):
     return q.violation_counts(rules(spark, sf))
 
 
-# Texts hold no brackets or code fences: mail addresses and licence lines act as the
+# Texts hold no brackets or code fences: mail addresses, or words put in brackets, act as the
 # tokens, and lines that start with a common word open and close the fenced blocks.
 _MAIL = r"([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+)"
 
@@ -142,3 +142,62 @@ _REQUIRED = ("The and attion to thanedble the, anea. Eriner thanea.", "The.", "A
 )
 def sections(spark, sf):
     return q.missing_sections(table(spark, sf, "documents"), "doc_id", "text", _REQUIRED, mark="The", fence="Of")
+
+
+# Single words in brackets: open tokens, a link, ignored marks and cross references.
+_BRACKETS = {"the": "[the]", "and": "[ and ](x)", "of": "[X]", "der": "[ADR-001]", "les": "[/]", "con": "[ con ]", "la": "[la] [x]"}
+_BRACKETED_SQL = "text"
+for _word, _mark in _BRACKETS.items():
+    _BRACKETED_SQL = f"replace({_BRACKETED_SQL}, ' {_word} ', ' {_mark} ')"
+
+
+@query(
+    "dq_open_tokens",
+    f"""WITH lines AS (
+          SELECT doc_id, unnest(string_split({_BRACKETED_SQL}, chr(10))) AS line,
+                 generate_subscripts(string_split({_BRACKETED_SQL}, chr(10)), 1) AS line_no FROM documents),
+        found AS (
+          SELECT doc_id, line_no, unnest(regexp_extract_all(regexp_replace(line, '\\[[^\\]]+\\]\\(', '(', 'g'), '\\[([^\\]]+)\\]', 1)) AS raw
+          FROM lines WHERE NOT starts_with(trim(line), '<!--') AND NOT ends_with(trim(line), '-->'))
+        SELECT doc_id, line_no, trim(raw) AS token FROM found
+        WHERE lower(trim(raw)) NOT IN ('', 'x', '/') AND NOT regexp_matches(trim(raw), '(?i)^ADR-[0-9]{{3,4}}$')""",
+)
+def bracketed(spark, sf):
+    """The default pattern, with its ignore list, links and cross references."""
+    text = F.col("text")
+    for word, mark in _BRACKETS.items():
+        text = F.replace(text, F.lit(f" {word} "), F.lit(f" {mark} "))
+    return q.open_tokens(table(spark, sf, "documents").select("doc_id", text.alias("text")), "doc_id", "text")
+
+
+@query(
+    "dq_missing_entries",
+    """SELECT doc_id, 'entry missing' AS rule FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+)
+def missing(spark, sf):
+    return q.missing_entries(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
+
+
+_DIFF_SQL = """changed AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice * 1.5 WHEN o_orderkey % 7 = 1 THEN o_totalprice * (1 + 1e-9)
+         ELSE o_totalprice END AS o_totalprice, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus
+  FROM orders WHERE o_orderkey % 13 <> 0)"""
+
+
+@query(
+    "dq_table_diff",
+    f"""WITH {_DIFF_SQL}, pairs AS (
+          SELECT o.o_orderkey, o.o_totalprice AS a, c.o_totalprice AS b, o.o_orderstatus AS s, c.o_orderstatus AS t
+          FROM orders o JOIN changed c ON o.o_orderkey = c.o_orderkey)
+        SELECT o_orderkey, 'o_totalprice' AS "column", 1 AS left_rows, 1 AS right_rows FROM pairs WHERE abs(a - b) > 1e-6 * greatest(abs(a), abs(b))
+        UNION ALL SELECT o_orderkey, 'o_orderstatus', 1, 1 FROM pairs WHERE s IS DISTINCT FROM t
+        UNION ALL SELECT o_orderkey, NULL, 1, 0 FROM orders WHERE o_orderkey % 13 = 0""",
+)
+def difference(spark, sf):
+    """Orders against a copy with changed, rounded, emptied and missing rows."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    key = F.col("o_orderkey")
+    price = F.when(key % 7 == 0, F.col("o_totalprice") * 1.5).when(key % 7 == 1, F.col("o_totalprice") * (1 + 1e-9)).otherwise(F.col("o_totalprice"))
+    changed = orders.where(key % 13 != 0).withColumns({"o_totalprice": price, "o_orderstatus": F.when(key % 11 != 0, F.col("o_orderstatus"))})
+    found = q.table_diff(orders, changed, ["o_orderkey"], tolerance=1e-6)
+    return found.select("o_orderkey", "column", F.col("left_rows").cast("int").alias("left_rows"), F.col("right_rows").cast("int").alias("right_rows"))

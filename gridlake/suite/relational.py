@@ -10,21 +10,18 @@ from gridlake.suite.registry import query, table
 
 
 def _daily(spark, sf):
-    """Two daily aggregates keyed by (day, id): events with small and with large values."""
-    events = table(spark, sf, "events").select(
-        F.to_date("ts").alias("day"), F.col("user_id").alias("id"), "value"
-    )
-    low = events.filter("value < 20").groupBy("day", "id").agg(F.count("*").alias("v1"))
-    high = events.filter("value >= 60").groupBy("day", "id").agg(F.max("value").alias("v2"))
-    return low, high
+    """Two daily aggregates keyed by (day, id): by the user of an event, and by the event's number
+    within the user ids, so that either side has keys of its own."""
+    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    by_user = events.groupBy("day", F.col("user_id").alias("id")).agg(F.count("*").alias("v1"))
+    by_number = events.groupBy("day", (F.col("event_id") % 1000).alias("id")).agg(F.max("value").alias("v2"))
+    return by_user, by_number
 
 
 @query(
     "join_full_outer",
-    """WITH low AS (SELECT CAST(ts AS DATE) AS day, user_id AS id, count(*) AS v1
-                    FROM events WHERE value < 20 GROUP BY 1, 2),
-            high AS (SELECT CAST(ts AS DATE) AS day, user_id AS id, max(value) AS v2
-                     FROM events WHERE value >= 60 GROUP BY 1, 2)
+    """WITH low AS (SELECT CAST(ts AS DATE) AS day, user_id AS id, count(*) AS v1 FROM events GROUP BY 1, 2),
+            high AS (SELECT CAST(ts AS DATE) AS day, event_id % 1000 AS id, max(value) AS v2 FROM events GROUP BY 1, 2)
        SELECT coalesce(low.day, high.day) AS day, coalesce(low.id, high.id) AS id, v1, v2
        FROM low FULL OUTER JOIN high ON low.day = high.day AND low.id = high.id""",
 )
@@ -35,15 +32,15 @@ def full_outer(spark, sf):
 
 @query(
     "join_full_outer_rows",
-    """WITH late AS (SELECT o_custkey AS custkey, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'),
-            rich AS (SELECT c_custkey AS custkey, c_name FROM customer WHERE c_acctbal > 5000)
+    """WITH late AS (SELECT o_custkey AS custkey, o_orderkey, o_totalprice FROM orders),
+            rich AS (SELECT c_custkey AS custkey, c_name FROM customer)
        SELECT coalesce(late.custkey, rich.custkey) AS custkey, o_orderkey, o_totalprice, c_name
        FROM late FULL OUTER JOIN rich ON late.custkey = rich.custkey""",
 )
 def full_outer_rows(spark, sf):
     orders, customers = table(spark, sf, "orders"), table(spark, sf, "customer")
-    late = orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
-    rich = customers.filter("c_acctbal > 5000").select(F.col("c_custkey").alias("custkey"), "c_name")
+    late = orders.select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
+    rich = customers.select(F.col("c_custkey").alias("custkey"), "c_name")
     return r.merge_outer(late, rich, ["custkey"])
 
 
@@ -78,29 +75,29 @@ def latest_name(spark, sf):
 
 @query(
     "set_diff",
-    """WITH buyers AS (SELECT DISTINCT o_custkey AS custkey FROM orders),
-            listed AS (SELECT DISTINCT c_custkey AS custkey FROM customer WHERE c_acctbal >= 0)
-       SELECT custkey, 'missing' AS side FROM (SELECT * FROM buyers EXCEPT SELECT * FROM listed)
-       UNION ALL SELECT custkey, 'extra' FROM (SELECT * FROM listed EXCEPT SELECT * FROM buyers)""",
+    """WITH buyers AS (SELECT DISTINCT o_custkey AS key FROM orders),
+            parts AS (SELECT DISTINCT l_partkey AS key FROM lineitem)
+       SELECT key, 'missing' AS side FROM (SELECT * FROM buyers EXCEPT SELECT * FROM parts)
+       UNION ALL SELECT key, 'extra' FROM (SELECT * FROM parts EXCEPT SELECT * FROM buyers)""",
 )
 def difference(spark, sf):
-    buyers = table(spark, sf, "orders").select(F.col("o_custkey").alias("custkey"))
-    listed = table(spark, sf, "customer").filter("c_acctbal >= 0").select(F.col("c_custkey").alias("custkey"))
-    return r.set_difference(buyers, listed, "custkey")
+    buyers = table(spark, sf, "orders").select(F.col("o_custkey").alias("key"))
+    parts = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("key"))
+    return r.set_difference(buyers, parts, "key")
 
 
 def _nested_events(spark, sf):
     """Events as nested JSON documents, one shape per event type."""
     document = F.concat(
         F.lit('{"'), "event_type", F.lit('":'), "props", F.lit(',"user":{"id":'), F.col("user_id").cast("string"),
-        F.lit(',"tier":{"'), F.when(F.col("value") < 20, "low").otherwise("high"), F.lit('":[{"no":1}]}}}'),
+        F.lit(',"tier":{"'), F.concat(F.lit("t"), F.floor("value").cast("long").cast("string")), F.lit('":[{"no":1}]}}}'),
     )
     return table(spark, sf, "events").select("event_type", "value", document.alias("document"))
 
 
 _NESTED_SQL = """docs AS (
   SELECT event_type, value, '{"' || event_type || '":' || props || ',"user":{"id":' || user_id || ',"tier":{"'
-         || CASE WHEN value < 20 THEN 'low' ELSE 'high' END || '":[{"no":1}]}}}' AS document
+         || 't' || CAST(floor(value) AS BIGINT) || '":[{"no":1}]}}}' AS document
   FROM events),
 paths AS (
   SELECT value < 10 AS small, unnest([event_type, event_type || '.' || json_keys(json_extract(document, '$.' || event_type))[1],

@@ -60,21 +60,3 @@ def grouped_native(spark, sf):
     means = small_side(events.groupBy("event_type").agg(F.avg("value").alias("_mean")))
     joined = match_keys(events, means, ["event_type"])
     return joined.select("event_id", "event_type", F.round(F.col("value") - F.col("_mean"), 4).alias("value"))
-
-
-@query(
-    "udf_cogroup",
-    """WITH v AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS v1 FROM events WHERE value < 20 GROUP BY 1, 2),
-            w AS (SELECT CAST(ts AS DATE) AS day, event_type, CAST(max(user_id) AS VARCHAR) AS v2
-                  FROM events WHERE value >= 60 GROUP BY 1, 2)
-       SELECT coalesce(v.day, w.day) AS day, coalesce(v.event_type, w.event_type) AS event_type,
-              CAST(v1 AS DOUBLE) AS v1, v2
-       FROM v FULL OUTER JOIN w ON v.day = w.day AND v.event_type = w.event_type""",
-)
-def cogrouped(spark, sf):
-    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
-    by_day = ["day", "event_type"]
-    left = events.filter("value < 20").groupBy(*by_day).agg(F.count("*").cast("double").alias("v1"))
-    right = events.filter("value >= 60").groupBy(*by_day).agg(F.max("user_id").cast("string").alias("v2"))
-    merged = left.groupBy("event_type").cogroup(right.groupBy("event_type"))
-    return merged.applyInPandas(p.merge_on_shared, "day date, event_type string, v1 double, v2 string")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridlake.functions.values import interval_start
 from gridlake.operators import windows as w
 from gridlake.suite.registry import query, table
 
@@ -30,8 +29,7 @@ def dense_rank(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_extendedprice"
     )
-    block = F.floor(F.col("l_extendedprice") / 1000.0)
-    return w.with_dense_rank(lines, "l_returnflag", "l_extendedprice", block)
+    return w.with_dense_rank(lines, "l_returnflag", "l_extendedprice")
 
 
 @query(
@@ -45,8 +43,7 @@ def dense_rank(spark, sf):
 def cumulative(spark, sf):
     cents = F.round(F.col("value") * 100).cast("long")
     events = table(spark, sf, "events").select("event_id", "event_type", "ts", cents.alias("cents"))
-    hour = interval_start(F.col("ts"), 60)
-    return w.running_total(events, "event_type", ["ts", "event_id"], "cents", hour).drop("ts", "cents")
+    return w.running_total(events, "event_type", ["ts", "event_id"], "cents").drop("ts", "cents")
 
 
 @query(
@@ -58,8 +55,7 @@ def cumulative(spark, sf):
 )
 def moving_avg(spark, sf):
     events = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
-    hour = interval_start(F.col("ts"), 60)
-    smoothed = w.centred_mean(events, "event_type", ["ts", "event_id"], "value", hour)
+    smoothed = w.centred_mean(events, "event_type", ["ts", "event_id"], "value")
     return smoothed.select("event_id", "event_type", F.round("smoothed", 6).alias("smoothed"))
 
 

@@ -7,6 +7,7 @@ from gridlake.operators import catalog as c
 from gridlake.plans.catalogue import build_catalogue
 from gridlake.sources.files import flatten_listing, parse_listing
 
+# Names and the domains they must get.
 GOLDEN = [
     ("ActualTotalLoad_6.1.A_r3", "Load"),
     ("YearAheadForecastMargin_8.1_r3", "Load"),
@@ -46,15 +47,15 @@ def test_classifier_takes_other_rules(spark):
     assert [r[0] for r in df.select(c.classify(F.col("n"), rules, "Rest")).collect()] == ["Hot", "Metal", "Rest"]
 
 
-ACTIVE = ["ActualTotalLoad_6.1.A_r3", "EnergyPrices_12.1.D_r3", "UnavailabilityOfOffshoreGrid_10.1.C_r3"]
-LEGACY = ["OutagesXml_r1", "BalanceManagementCsv_r1"]
+ACTIVE = ["ZoneLoad_r9", "DayAheadPrice_r9", "GridOutage_r9"]
+LEGACY = ["OldFlows_r1", "ArchivedBids_r2"]
 
 
 @pytest.fixture(scope="module")
 def listing(spark):
     rows = [(env, "TP_export", n) for env in ("IOP", "PROD") for n in ACTIVE]
     rows += [("IOP", "TP_Legacy_Publications", n) for n in LEGACY]
-    rows += [("PROD", "TP_export", "ActualTotalLoad_0_r3")]
+    rows += [("PROD", "TP_export", "AreaLoad_r9")]
     return spark.createDataFrame(rows, "env string, root string, name string").cache()
 
 
@@ -68,7 +69,7 @@ def test_groups_hold_every_domain(listing):
     got = c.group_domains(listing.filter("env = 'PROD'"), ["env"], "name").collect()
     assert [r.domain for r in got] == list(c.DOMAINS)
     names = {r.domain: r.names for r in got}
-    assert names["Load"] == ["ActualTotalLoad_0_r3", "ActualTotalLoad_6.1.A_r3"]
+    assert names["Load"] == ["AreaLoad_r9", "ZoneLoad_r9"]
     assert names["Generation"] == []
 
 
@@ -91,7 +92,7 @@ def test_catalogue_documents(listing, spark, tmp_path):
     assert got["IOP"]["description"] == "Integration/Test Platform"
     assert (active["name"], active["item_count"]) == ("TP_export", 3)
     assert list(active["domains"]) == list(c.DOMAINS)
-    assert active["domains"]["Outages"] == ["UnavailabilityOfOffshoreGrid_10.1.C_r3"]
+    assert active["domains"]["Outages"] == ["GridOutage_r9"]
     assert active["domains"]["Balancing"] == []
     assert "folders" not in active and "domains" not in legacy
     assert (legacy["item_count"], legacy["folders"]) == (2, sorted(LEGACY))

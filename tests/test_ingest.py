@@ -108,6 +108,74 @@ def test_small_commits_give_the_same_table(zone):
     assert zone.counts() == {f"f{i}.csv": 3 for i in range(5)}
 
 
+@pytest.mark.parametrize("size", [1, 10_000])
+def test_fractions_after_whole_numbers_are_kept(zone, rows, size):
+    zone.deliver("a.csv", ["n;1", "n;2"], header="Zone;Price")
+    zone.deliver("b.csv", ["n;2.6", "n;q"], header="Zone;Price")
+    zone.run(files_per_commit=size)
+    assert rows(zone.table().select("price")) == [("1",), ("2",), ("2.6",), ("q",)]
+
+
+def test_columns_widen_and_never_narrow(zone, rows, spark):
+    steps = [(["n;1", "n;2"], "int"), (["n;3.7", "n;-4.9"], "double"), (["n;5"], "double"), (["n;odd"], "string")]
+    for i, (lines, kind) in enumerate(steps):
+        zone.deliver(f"{i}.csv", lines, header="Zone;Price")
+        zone.run()
+        assert dict(zone.table().dtypes)["price"] == kind
+        if kind == "double":
+            assert {r.price for r in zone.table().collect()} >= {1.0, 2.0, 3.7, -4.9}
+    assert zone.table().count() == 6
+    assert {k: v for k, v in zone.counts().items()} == {"0.csv": 2, "1.csv": 2, "2.csv": 1, "3.csv": 1}
+    assert zone.run() == []
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "wide"),
+    [("int", "bigint", "bigint"), ("bigint", "double", "double"), ("float", "int", "double"), ("date", "int", "string"), ("timestamp", "timestamp", "timestamp")],
+)
+def test_wider_type(a, b, wide):
+    assert g.wider_type(a, b) == g.wider_type(b, a) == wide
+
+
+def test_a_file_with_a_header_only_lands_once(zone):
+    zone.deliver("a.csv", A)
+    zone.deliver("none.csv", [])
+    assert zone.run() == ["a.csv", "none.csv"]
+    assert zone.run() == []
+    assert zone.counts() == {"a.csv": 3}
+
+
+def test_header_only_files_make_no_table(zone, spark):
+    zone.deliver("none.csv", [])
+    assert zone.run() == ["none.csv"] and zone.run() == []
+    assert not spark.catalog.tableExists(zone.target.full_name(FOLDER))
+    zone.deliver("a.csv", A)
+    assert zone.run() == ["a.csv"]
+    assert dict(zone.table().dtypes)["price_currency_mwh"] == "double"
+
+
+def test_empty_redelivery_leaves_neither_zone(zone, spark):
+    zone.deliver(ODD_NAME, A)
+    zone.deliver("b.csv", B)
+    zone.run()
+    zone.deliver(ODD_NAME, [])
+    zone.run(force=True, schema=SCHEMA)
+    assert zone.counts() == {"b.csv": 2}
+    raw = spark.read.parquet(zone.target.raw_path)
+    assert {r[0] for r in raw.select("_source_file").distinct().collect()} == {"b.csv"}
+
+
+def test_names_are_quoted(spark, tmp_path):
+    folder = "Prices, 12.1 (x)&y"
+    place = tmp_path / "it's"
+    (place / "landing" / folder).mkdir(parents=True)
+    (place / "landing" / folder / "a.csv").write_text("Zone;Price\nn;1\n", encoding="utf-8")
+    target = g.Target(str(place / "raw"), f"odd_{uuid.uuid4().hex}", location=str(place / "bronze"))
+    g.ingest_folder(spark, str(place / "landing"), folder, target)
+    assert spark.table(target.full_name(folder)).count() == 1
+    assert g.table_name(folder) == "prices__12_1__x__y"
+
+
 def test_header_collision_stops_the_load(zone):
     zone.deliver("a.csv", ["1;2"], header="A B;A_B")
     with pytest.raises(ValueError, match="collide"):

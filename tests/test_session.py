@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from gridlake import session as s
@@ -33,17 +34,41 @@ def test_checkpoint_cuts_the_plan(spark):
     assert "Range" not in kept._jdf.queryExecution().executedPlan().toString()
 
 
-def test_broadcast_hint_depends_on_the_count(spark):
+def test_broadcast_hint_depends_on_the_bytes(spark):
     def hinted(df):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
 
-    assert hinted(s.small_side(spark.range(10), max_rows=10))
-    assert not hinted(s.small_side(spark.range(11), max_rows=10))
+    few = spark.range(10)
+    assert hinted(s.small_side(few, max_bytes=10 * (s.ROW_OVERHEAD + 16)))
+    assert not hinted(s.small_side(few, max_bytes=10 * (s.ROW_OVERHEAD + 16) - 1))
+    wide = spark.range(3).select(F.repeat(F.lit("x"), 1000).alias("text"))
+    assert not hinted(s.small_side(wide, max_bytes=3000)) and hinted(s.small_side(wide, max_bytes=3200))
+    assert hinted(s.small_side(few.limit(0), max_bytes=0))
 
 
-def test_spread_touches_small_scans_only(spark):
-    cores = spark.sparkContext.defaultParallelism
-    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, cores + 1)
-    assert s.spread(few, "id").rdd.getNumPartitions() == cores
-    assert s.spread(many, "id").rdd.getNumPartitions() == cores + 1
-    assert sorted(r.id for r in s.spread(few).collect()) == list(range(100))
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Named:
+        def __init__(self, **kw):
+            self.__dict__ |= kw
+
+    class Path(str):
+        def __new__(cls, a, b=""):
+            return str.__new__(cls, f"{a}/{b}" if b else a)
+
+        def getFileSystem(self, _):
+            return Named(makeQualified=lambda p: p)
+
+        def toString(self):
+            return str(self)
+
+    def session(master, warehouse):
+        hadoop = Named(fs=Named(Path=Path))
+        jvm = Named(org=Named(apache=Named(hadoop=hadoop)))
+        context = Named(getCheckpointDir=lambda: None, _jvm=jvm, _jsc=Named(hadoopConfiguration=lambda: None), master=master)
+        conf = {"spark.sql.warehouse.dir": warehouse}
+        return Named(conf=Named(get=lambda k, *d: conf.get(k, *d)), sparkContext=context)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        s.shared_folder(session("spark://host:7077", "file:/opt/warehouse"))
+    assert s.shared_folder(session("local[2]", "file:/opt/warehouse")) == "file:/opt/warehouse/_scratch"
+    assert s.shared_folder(session("yarn", "hdfs://nn/warehouse")) == "hdfs://nn/warehouse/_scratch"

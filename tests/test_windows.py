@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from gridlake.operators import windows as w
 
@@ -23,10 +22,6 @@ def frame(spark, data):
     return spark.createDataFrame(data, "id long, key string, t int, v long").cache()
 
 
-def block():
-    return F.floor(F.col("t") / 25)
-
-
 def by_key(data, order):
     groups = {}
     for row in data:
@@ -38,7 +33,7 @@ def time_order(row):
     return (row[2] is not None, row[2] or 0, row[0])
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
+@pytest.mark.parametrize("limit", [-1, 10**9])
 def test_share_of_total(frame, data, limit, monkeypatch):
     monkeypatch.setattr(w, "small_side", lambda df, _real=w.small_side: _real(df, limit))
     got = {r.id: r.share_pct for r in w.share_of_total(frame, "key", "v").collect()}
@@ -49,10 +44,10 @@ def test_share_of_total(frame, data, limit, monkeypatch):
             assert got[r[0]] is None if want is None else abs(got[r[0]] - want) <= 0.00501
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
+@pytest.mark.parametrize("limit", [-1, 10**9])
 def test_running_total(frame, data, limit, monkeypatch):
     monkeypatch.setattr(w, "small_side", lambda df, _real=w.small_side: _real(df, limit))
-    got = {r.id: r.running for r in w.running_total(frame, "key", ["t", "id"], "v", block()).collect()}
+    got = {r.id: r.running for r in w.running_total(frame, "key", ["t", "id"], "v").collect()}
     want = {}
     for rows in by_key(data, time_order).values():
         seen = None
@@ -63,7 +58,7 @@ def test_running_total(frame, data, limit, monkeypatch):
 
 
 def test_centred_mean(frame, data):
-    got = {r.id: r.smoothed for r in w.centred_mean(frame, "key", ["t", "id"], "v", block()).collect()}
+    got = {r.id: r.smoothed for r in w.centred_mean(frame, "key", ["t", "id"], "v").collect()}
     want = {}
     for rows in by_key(data, time_order).values():
         for i, r in enumerate(rows):
@@ -80,11 +75,8 @@ def dense(rows):
     return ranks
 
 
-@pytest.mark.parametrize("width", [None, 10], ids=["plain", "blocked"])
-@pytest.mark.parametrize("max_block_rows", [1, 10**7], ids=["oversized", "bounded"])
-def test_dense_rank(frame, data, width, max_block_rows):
-    by_value = width and F.floor(F.col("v") / width)
-    ranked = w.with_dense_rank(frame, "key", "v", by_value, max_block_rows=max_block_rows)
+def test_dense_rank(frame, data):
+    ranked = w.with_dense_rank(frame, "key", "v")
     got = {r.id: r["rank"] for r in ranked.collect()}
     want = {}
     for rows in by_key(data, time_order).values():
@@ -105,5 +97,5 @@ def test_dense_top_n_keeps_every_tie(frame, data):
 def test_nothing_in_nothing_out(spark):
     empty = spark.createDataFrame([], "id long, key string, t int, v long")
     assert w.with_dense_rank(empty, "key", "v").count() == 0
-    assert w.running_total(empty, "key", ["t"], "v", block()).count() == 0
+    assert w.running_total(empty, "key", ["t"], "v").count() == 0
     assert w.dense_top_n(empty, "key", "v", 3).count() == 0
