@@ -4,13 +4,19 @@ All pending files are one scan and one write per zone. Nothing is shuffled: a sc
 holds splits of source files and writes them under the partition of each source, so a
 file that makes up most of a delivery is written by as many tasks as it has splits.
 
-The bronze table is the ledger: a source counts as landed once its partition is there.
-A run that dies before that point is repeated in full by the next one, and because both
-zones replace by source partition the repeat leaves no duplicates.
+A ledger table beside the bronze table names the sources that landed, with their row counts,
+and is written last. A run that dies before that point is repeated in full by the next one, and
+because both zones replace by source partition the repeat leaves no duplicates.
+
+Types are settled once for a run, over all its files, and against the table: a column widens
+(integers to double, anything else that differs to text), it never narrows. How many files are
+committed together has no influence on the result.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -20,7 +26,8 @@ from pyspark.sql import types as T
 
 from gridlake.functions.headers import coerce_text, normalise_columns, normalise_name
 from gridlake.operators.relational import pending_sources
-from gridlake.sources.files import SOURCE_COLUMN, discover_files, literal_path, plain_name, read_market_csv
+from gridlake.session import remove_path
+from gridlake.sources.files import SOURCE_COLUMN, discover_files, literal_path, read_market_csv
 
 FOLDER_COLUMN = "_folder"
 
@@ -39,12 +46,25 @@ class Target:
     table_format: str = "parquet"
 
     def full_name(self, folder: str) -> str:
-        return f"{self.database}.{self.table or table_name(folder)}"
+        return f"{quoted(self.database)}.{quoted(self.table or table_name(folder))}"
+
+    def ledger_name(self, folder: str) -> str:
+        return f"{quoted(self.database)}.{quoted((self.table or table_name(folder)) + '__landed')}"
+
+
+def quoted(name: str) -> str:
+    """A name as an SQL identifier, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A text as an SQL string."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def table_name(folder: str) -> str:
-    """A folder name as a table name: normalised, dots and dashes as underscores."""
-    return normalise_name(folder).replace(".", "_").replace("-", "_")
+    """A folder name as a table name: normalised, all but letters and digits as underscores."""
+    return re.sub(r"[^0-9a-z]", "_", normalise_name(folder).lower())
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -58,14 +78,18 @@ def audit(df: DataFrame, source: str = SOURCE_COLUMN) -> DataFrame:
     return df.groupBy(source).agg(F.count("*").alias("rows"), *counts)
 
 
-def ledger(spark: SparkSession, table: str, table_format: str = "parquet") -> DataFrame:
-    """Sources the bronze table holds, from its partition metadata: no data file is read."""
-    if not spark.catalog.tableExists(table):
+def ledger(spark: SparkSession, name: str) -> DataFrame:
+    """Sources that landed, one row each."""
+    if not spark.catalog.tableExists(name):
         return spark.createDataFrame([], f"{SOURCE_COLUMN} STRING")
-    if table_format == "iceberg":
-        return spark.table(f"{table}.partitions").select(f"partition.{SOURCE_COLUMN}").distinct()
-    value = F.substring_index("partition", f"{SOURCE_COLUMN}=", -1)
-    return spark.sql(f"SHOW PARTITIONS {table}").select(plain_name(value).alias(SOURCE_COLUMN))
+    return spark.table(name).select(SOURCE_COLUMN).distinct()
+
+
+def record_landed(spark: SparkSession, name: str, sources: DataFrame, place: str | None) -> None:
+    """Append (source, rows, run) to the ledger; a source may have entries of several runs."""
+    where = f" LOCATION {literal(place)}" if place else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({SOURCE_COLUMN} STRING, rows BIGINT, run STRING) USING parquet{where}")
+    sources.write.insertInto(name)
 
 
 def write_raw(batch: DataFrame, raw_path: str, folder: str) -> None:
@@ -79,29 +103,87 @@ def write_raw(batch: DataFrame, raw_path: str, folder: str) -> None:
     )
 
 
+def raw_folder(spark: SparkSession, raw_path: str, folder: str, source: str) -> str:
+    """Where the raw zone keeps a source: Spark's own escaping of partition values."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{raw_path}/{FOLDER_COLUMN}={escape(folder)}/{SOURCE_COLUMN}={escape(source)}"
+
+
 def read_raw(spark: SparkSession, raw_path: str, folder: str, schema: T.StructType, sources: list[str]) -> DataFrame:
-    """Raw copies of some sources of a folder, found by partition pruning.
+    """Raw copies of some sources of a folder; only their own folders are listed.
 
     The schema is given, so partition values stay text whatever they look like."""
     zone = T.StructType([f for f in schema.fields if f.name != SOURCE_COLUMN])
     zone = zone.add(FOLDER_COLUMN, T.StringType()).add(SOURCE_COLUMN, T.StringType())
-    rows = spark.read.schema(zone).parquet(raw_path)
-    wanted = (F.col(FOLDER_COLUMN) == folder) & F.col(SOURCE_COLUMN).isin(sources)
-    return rows.filter(wanted).drop(FOLDER_COLUMN)
+    if not sources:
+        return spark.createDataFrame([], zone).drop(FOLDER_COLUMN)
+    paths = [literal_path(raw_folder(spark, raw_path, folder, s)) for s in sources]
+    return spark.read.option("basePath", raw_path).schema(zone).parquet(*paths).drop(FOLDER_COLUMN)
+
+
+# Integer types by width: the wider one holds all values of the narrower.
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def wider_type(a: str, b: str) -> str:
+    """The type that holds the values of both: never one that cuts any off."""
+    if a == b:
+        return a
+    if a in _INTEGERS and b in _INTEGERS:
+        return max(a, b, key=_INTEGERS.index)
+    numbers = {*_INTEGERS, "float", "double"}
+    return "double" if a in numbers and b in numbers else "string"
+
+
+def settle_types(batch: DataFrame, table: str) -> tuple[DataFrame, dict[str, str]]:
+    """The batch in the types of the table, and the columns of the table that must widen first."""
+    if not batch.sparkSession.catalog.tableExists(table):
+        return batch, {}
+    have = {n.lower(): t for n, t in batch.sparkSession.table(table).dtypes}
+    wanted = {n: wider_type(t, have[n.lower()]) for n, t in batch.dtypes if n.lower() in have}
+    batch = batch.withColumns({n: F.col(quoted(n)).cast(t) for n, t in wanted.items()})
+    return batch, {n.lower(): t for n, t in wanted.items() if t != have[n.lower()]}
+
+
+def _ddl(fields: list[tuple[str, str]]) -> str:
+    return ", ".join(f"{quoted(n)} {t}" for n, t in fields)
+
+
+def _create(spark: SparkSession, table: str, fields: list[tuple[str, str]], place: str, table_format: str) -> None:
+    spark.sql(
+        f"CREATE TABLE {table} ({_ddl(fields)}, {quoted(SOURCE_COLUMN)} STRING) USING {table_format} "
+        f"PARTITIONED BY ({quoted(SOURCE_COLUMN)}) LOCATION {literal(place)}"
+    )
+
+
+def _widen(spark: SparkSession, table: str, types: dict[str, str], table_format: str) -> None:
+    """Rewrite a built-in table with wider columns at a new place, then point its name there.
+
+    Tables have a stated place, so dropping the name removes no file."""
+    old = spark.table(table)
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").first()
+    base = re.sub(r"__v-[0-9a-f]{32}$", "", row[0].rstrip("/"))
+    place = f"{base}__v-{uuid.uuid4().hex}"
+    fields = [(n, types.get(n.lower(), t)) for n, t in old.dtypes if n != SOURCE_COLUMN]
+    wide = old.select(*[F.col(quoted(n)).cast(t).alias(n) for n, t in fields], SOURCE_COLUMN)
+    wide.write.partitionBy(SOURCE_COLUMN).format(table_format).save(place)
+    spark.sql(f"DROP TABLE {table}")
+    _create(spark, table, fields, place, table_format)
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
 def _add_missing_columns(spark: SparkSession, table: str, batch: DataFrame) -> None:
     known = {c.lower() for c in spark.table(table).columns}
-    new = [f for f in batch.schema.fields if f.name.lower() not in known]
+    new = [(n, t) for n, t in batch.dtypes if n.lower() not in known]
     if new:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_ddl(new)})")
 
 
 def _aligned(batch: DataFrame, table: DataFrame) -> DataFrame:
     have = {c.lower() for c in batch.columns}
     return batch.select(
         *[
-            (F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            (F.col(quoted(f.name)) if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in table.schema.fields
         ]
     )
@@ -124,7 +206,8 @@ def replace_sources(batch: DataFrame, table: str, location: str | None = None, t
     """Write the batch so that each of its sources replaces its own earlier rows only.
 
     Iceberg tables take one atomic ``overwritePartitions`` commit. Built-in tables use
-    dynamic partition overwrite, which swaps whole source partitions."""
+    dynamic partition overwrite, which swaps whole source partitions. Columns widen where the
+    batch needs it (see ``wider_type``); no value is cut off."""
     spark = batch.sparkSession
     if table_format == "iceberg":
         if spark.catalog.tableExists(table):
@@ -132,15 +215,13 @@ def replace_sources(batch: DataFrame, table: str, location: str | None = None, t
         else:
             batch.writeTo(table).using("iceberg").partitionedBy(F.col(SOURCE_COLUMN)).create()
         return
+    batch, wider = settle_types(batch, table)
     if not spark.catalog.tableExists(table):
-        columns = [f for f in batch.schema.fields if f.name != SOURCE_COLUMN]
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-        place = f" LOCATION '{location}'" if location else ""
-        spark.sql(
-            f"CREATE TABLE {table} ({ddl}, `{SOURCE_COLUMN}` STRING) USING {table_format} "
-            f"PARTITIONED BY (`{SOURCE_COLUMN}`){place}"
-        )
+        place = location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_bronze/{uuid.uuid4().hex}"
+        _create(spark, table, [(n, t) for n, t in batch.dtypes if n != SOURCE_COLUMN], place, table_format)
     else:
+        if wider:
+            _widen(spark, table, wider, table_format)
         _add_missing_columns(spark, table, batch)
     aligned = _aligned(batch, spark.table(table))
     # ``insertInto`` takes the overwrite mode from the session, not from a write option.
@@ -150,34 +231,48 @@ def replace_sources(batch: DataFrame, table: str, location: str | None = None, t
 
 def drop_sources(spark: SparkSession, table: str, sources: list[str], table_format: str = "parquet") -> None:
     """Forget sources whose new delivery has no rows (an overwrite would not see them)."""
-    for source in sources:
-        if table_format == "iceberg":
-            spark.sql(f"DELETE FROM {table} WHERE `{SOURCE_COLUMN}` = :source", args={"source": source})
-        else:
-            literal = source.replace("\\", "\\\\").replace("'", "\\'")
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{SOURCE_COLUMN}` = '{literal}')")
+    if not sources or not spark.catalog.tableExists(table):
+        return
+    if table_format == "iceberg":
+        spark.sql(f"DELETE FROM {table} WHERE {quoted(SOURCE_COLUMN)} IN ({', '.join(map(literal, sources))})")
+    else:
+        parts = ", ".join(f"PARTITION ({quoted(SOURCE_COLUMN)} = {literal(s)})" for s in sources)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts} PURGE")
+        # The name is dropped by the statement; the files of a table with a stated place are not.
+        place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").first()[0]
+        for s in sources:
+            escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+            remove_path(spark, f"{place}/{SOURCE_COLUMN}={escape(s)}")
 
 
 def create_database(spark: SparkSession, target: Target) -> None:
-    place = f" LOCATION '{target.location}'" if target.location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {target.database}{place}")
+    place = f" LOCATION {literal(target.location)}" if target.location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(target.database)}{place}")
 
 
-def _land(spark: SparkSession, files: list, folder: str, target: Target, sep: str, schema, force: bool) -> None:
-    """One delivery: scan, clean, raw write, bronze replace."""
+def _land(spark: SparkSession, files: list, folder: str, target: Target, sep: str, schema, run: str) -> None:
+    """One commit: scan, clean, raw write, bronze replace, ledger."""
     sources = [f[SOURCE_COLUMN] for f in files]
     cleaned = clean(read_market_csv(spark, [literal_path(f.path) for f in files], sep, schema, tag_source=True))
     seen = Observation("filled sources")
     write_raw(cleaned.observe(seen, F.collect_set(SOURCE_COLUMN).alias("sources")), target.raw_path, folder)
     filled = set(seen.get["sources"])
+    empty = [s for s in sources if s not in filled]
+    # A delivery without rows replaces nothing by itself: its old rows go from both zones.
+    for source in empty:
+        remove_path(spark, raw_folder(spark, target.raw_path, folder, source))
     # From here the cleaned Parquet copy is the input: the delimited text is parsed once.
     batch = read_raw(spark, target.raw_path, folder, cleaned.schema, sorted(filled))
     table = target.full_name(folder)
     place = f"{target.location}/{table_name(folder)}" if target.location else None
-    replace_sources(batch, table, place, target.table_format)
-    # A delivery without rows replaces nothing by itself, so its old rows are dropped.
-    if force:
-        drop_sources(spark, table, [s for s in sources if s not in filled], target.table_format)
+    if filled:  # without rows there are no types to make a table of
+        replace_sources(batch, table, place, target.table_format)
+    drop_sources(spark, table, empty, target.table_format)
+    counts = spark.createDataFrame([(s,) for s in sources], f"{SOURCE_COLUMN} STRING").join(
+        batch.groupBy(SOURCE_COLUMN).agg(F.count("*").alias("rows")), SOURCE_COLUMN, "left"
+    )
+    landed = counts.select(SOURCE_COLUMN, F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), F.lit(run).alias("run"))
+    record_landed(spark, target.ledger_name(folder), landed, place and f"{place}__landed")
 
 
 def ingest_folder(
@@ -194,11 +289,15 @@ def ingest_folder(
     """Land every pending file of a folder and return the sources handled.
 
     ``landing/folder`` holds the files. Only file names and paths (the scan's own
-    listing) pass through the driver. ``force`` reloads landed files too."""
+    listing) pass through the driver. ``force`` reloads landed files too. Without ``schema`` the
+    types are inferred once, over all pending files, before any of them is committed."""
     create_database(spark, target)
     found = discover_files(spark, f"{landing}/{folder}", pattern).withColumnRenamed("file_name", SOURCE_COLUMN)
-    landed = ledger(spark, target.full_name(folder), target.table_format)
+    landed = ledger(spark, target.ledger_name(folder))
     files = pending_sources(found, landed, SOURCE_COLUMN, force).orderBy(SOURCE_COLUMN).collect()
+    if schema is None and files:
+        schema = read_market_csv(spark, [literal_path(f.path) for f in files], sep).schema
+    run = uuid.uuid4().hex
     for start in range(0, len(files), files_per_commit):
-        _land(spark, files[start : start + files_per_commit], folder, target, sep, schema, force)
+        _land(spark, files[start : start + files_per_commit], folder, target, sep, schema, run)
     return spark.createDataFrame([(f[SOURCE_COLUMN],) for f in files], f"{SOURCE_COLUMN} STRING")

@@ -41,9 +41,11 @@ def stream_folder(
 
     def land(batch: DataFrame, _batch_id: int) -> None:
         cleaned = clean(batch).persist()
-        write_raw(cleaned, target.raw_path, folder)
-        replace_sources(cleaned, target.full_name(folder), place, target.table_format)
-        cleaned.unpersist()
+        try:
+            write_raw(cleaned, target.raw_path, folder)
+            replace_sources(cleaned, target.full_name(folder), place, target.table_format)
+        finally:
+            cleaned.unpersist()
 
     return (
         files.writeStream.foreachBatch(land)
