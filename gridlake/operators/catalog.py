@@ -60,10 +60,6 @@ RULES = (
     Rule("Transmission", ("capacity",), unless_domain="Generation", unless_terms=("generation", "production")),
 )
 
-# Names one group of the nested document may hold; beyond it use ``domain_listing``.
-NESTED_MAX_NAMES = 100_000
-
-
 def _mentions(name: Column, terms: tuple[str, ...]) -> Column:
     """Any-of substring test: plain byte searches, which stay inside generated code."""
     return reduce(lambda a, b: a | b, [F.contains(name, F.lit(t)) for t in terms])
@@ -92,34 +88,24 @@ def domain_listing(listing: DataFrame, keys: list[str], name: str, rules: tuple[
     return rows.orderBy(*keys, position, name)
 
 
-def _check_nested_bound(listing: DataFrame, keys: list[str], max_names: int) -> None:
-    largest = listing.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest > max_names:
-        raise ValueError(f"{largest} names in one group exceed {max_names}; use domain_listing for row output")
+def _positions(column: Column, values: tuple[str, ...]) -> Column:
+    """Place of a value in a list, from 1; values that are not in it come after all others."""
+    place = F.array_position(F.array(*map(F.lit, values)), column)
+    return F.when(place > 0, place).otherwise(len(values) + 1).cast("int")
 
 
-def group_domains(
-    listing: DataFrame,
-    keys: list[str],
-    name: str,
-    rules: tuple[Rule, ...] = RULES,
-    max_names: int = NESTED_MAX_NAMES,
-) -> DataFrame:
-    """``(keys, domain, names)``: sorted names per domain, every domain present.
-
-    The size of the largest group is checked before any list is built."""
-    _check_nested_bound(listing, keys, max_names)
-    domain = classify(F.col(name), rules)
-    # A skeleton of all domains per key set, held as an aggregate of the listing itself.
-    per_domain = [
-        F.sort_array(F.collect_list(F.when(F.col("_domain") == d, F.col(name)))).alias(d) for d in DOMAINS
-    ]
-    wide = listing.select(*keys, name, domain.alias("_domain")).groupBy(*keys).agg(*per_domain)
-    entries = F.array(*[F.struct(F.lit(d).alias("domain"), F.col(d).alias("names")) for d in DOMAINS])
-    return wide.select(*keys, F.inline(entries))
+def group_domains(listing: DataFrame, keys: list[str], name: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``(keys, domain, position, name)``: the names of each domain, every domain present: one that
+    holds none has one row whose name is NULL. Rows, not lists, so a group may have any size."""
+    rows = listing.select(*keys, classify(F.col(name), rules).alias("domain"), F.col(name).alias(name))
+    held = rows.groupBy(*keys).agg(F.collect_set("domain").alias("_held"))  # eight names at most
+    missing = F.array_except(F.array(*map(F.lit, DOMAINS)), F.col("_held"))
+    empty = held.select(*keys, F.explode(missing).alias("domain"), F.lit(None).cast("string").alias(name))
+    both = rows.unionByName(empty)
+    return both.select(*keys, "domain", _positions(F.col("domain"), DOMAINS).alias("position"), name)
 
 
-def summary_document(
+def summary_lines(
     listing: DataFrame,
     env: str,
     root: str,
@@ -127,54 +113,87 @@ def summary_document(
     active_root: str,
     legacy_root: str,
     env_labels: dict[str, tuple[str, str]],
+    descriptions: dict[str, str],
     rules: tuple[Rule, ...] = RULES,
-    max_names: int = NESTED_MAX_NAMES,
 ) -> DataFrame:
-    """One row per environment: ``(environment, document)`` with the nested summary as JSON.
-
-    ``env_labels`` maps an input environment to its report key and description. The
-    active root is grouped into domains; the legacy root is a plain sorted list."""
-    _check_nested_bound(listing, [env, root], max_names)
-    active, legacy = F.col(root) == active_root, F.col(root) == legacy_root
-    domain = classify(F.col(name), rules)
-    lists = [
-        F.sort_array(F.collect_list(F.when(active & (domain == d), F.col(name)))).alias(d) for d in DOMAINS
-    ]
-    grouped = listing.filter(F.col(env).isin(*env_labels)).groupBy(env).agg(
-        F.count_if(active).alias("_n_active"),
-        F.count_if(legacy).alias("_n_legacy"),
-        F.sort_array(F.collect_list(F.when(legacy, F.col(name)))).alias("_legacy"),
-        *lists,
-    )
+    """``(environment, place, line)``: the nested summary of all environments as lines of JSON.
+
+    Ordered by (environment, place) the lines are one JSON document. Each name is a line, so
+    nothing holds a whole group; whether a comma follows is told by the greatest name of the
+    group, an aggregate. ``env_labels`` maps an environment to its report key and description;
+    one without a label keeps its name. The active root is grouped into domains, any other is a
+    plain sorted list; roots beyond the two named ones come after them, by name."""
 
     def label(i: int) -> Column:
-        out = F.lit(None).cast("string")
+        out = F.col(env) if i == 0 else F.lit("")
         for value, pair in env_labels.items():
             out = F.when(F.col(env) == value, pair[i]).otherwise(out)
         return out
 
-    # to_json leaves NULL fields out: each root shows only the listing it has.
-    def root_entry(name_: str, description: str, count: str, domains: Column, folders: Column) -> Column:
-        return F.struct(
-            F.lit(name_).alias("name"),
-            F.lit(description).alias("description"),
-            F.col(count).alias("item_count"),
-            domains.alias("domains"),
-            folders.alias("folders"),
-        )
-
-    by_domain, plain = F.struct(*DOMAINS), F.col("_legacy")
-    no_domains, no_folders = F.when(F.lit(False), by_domain), F.when(F.lit(False), plain)
-    roots = F.array(
-        root_entry(active_root, "Active publications folder", "_n_active", by_domain, no_folders),
-        root_entry(legacy_root, "Legacy publications folder", "_n_legacy", no_domains, plain),
-    )
-    document = F.to_json(F.struct(label(1).alias("description"), roots.alias("root_directories")))
-    return grouped.select(label(0).alias("environment"), document.alias("document")).orderBy("environment")
-
+    def described(column: Column) -> Column:
+        out = F.lit("")
+        for value, text in descriptions.items():
+            out = F.when(column == value, text).otherwise(out)
+        return out
 
-def catalogue_text(documents: DataFrame) -> DataFrame:
-    """All environments under one key, as a single JSON text (a few hundred KB at most)."""
-    entry = F.concat(F.lit('"'), "environment", F.lit('":'), "document")
-    joined = F.array_join(F.sort_array(F.collect_list(entry)), ",")
-    return documents.agg(F.concat(F.lit('{"environments":{'), joined, F.lit("}}")).alias("value"))
+    quoted = lambda c: F.get(F.split(F.to_json(F.array(c)), r"^\[|\]$"), 1)  # noqa: E731  a JSON string
+    known = (active_root, legacy_root)
+    names = listing.where(F.col(env).isNotNull()).select(env, root, name)
+    environments = names.groupBy(env).agg(F.count("*").alias("_n"))
+    # Both named roots are there for every environment; further ones where they have names.
+    pairs = environments.select(env, F.explode(F.array(*map(F.lit, known))).alias(root))
+    pairs = pairs.union(names.select(env, root)).distinct()
+    sized = names.groupBy(env, root).agg(F.count("*").alias("n"))
+    on = reduce(lambda x, y: x & y, [pairs[env].eqNullSafe(sized[env]), pairs[root].eqNullSafe(sized[root])])
+    pairs = pairs.join(sized, on, "left").select(pairs[env], pairs[root], F.coalesce(sized["n"], F.lit(0).cast("long")).alias("n"))
+    last_root = pairs.groupBy(env).agg(F.max(F.struct(_positions(F.col(root), known).alias("p"), root)).alias("last"))
+    last_env = environments.agg(F.max(label(0)).alias("last_env"))
+    top = environments.withColumn("last_env", last_env.scalar())
+
+    def row(first: Column, second: Column, third: Column, fourth: Column, text: Column) -> list[Column]:
+        """Place: root position, root, part of the root, domain position, name."""
+        return [label(0).alias("environment"), F.struct(first.alias("r"), second.alias("root"), third.alias("part"), fourth.alias("d"), F.lit(None).cast("string").alias("name")).alias("place"), text.alias("line")]
+
+    none = F.lit("")
+    opening = environments.select(
+        *row(F.lit(0), none, F.lit(0), F.lit(0), F.concat(quoted(label(0)), F.lit(':{"description":'), quoted(label(1)), F.lit(',"root_directories":[')))
+    )
+    closing = top.select(
+        *row(F.lit(9), none, F.lit(9), F.lit(0), F.concat(F.lit("]}"), F.when(label(0) == F.col("last_env"), "").otherwise(",")))
+    )
+    place = _positions(F.col(root), known)
+    active = F.col(root).eqNullSafe(F.lit(active_root))
+    shown = F.coalesce(F.col(root), F.lit(""))
+    head = pairs.select(
+        *row(place, shown, F.lit(0), F.lit(0), F.concat(
+            F.lit('{"name":'), quoted(shown), F.lit(',"description":'), quoted(described(F.col(root))), F.lit(',"item_count":'),
+            F.col("n").cast("string"), F.when(active, ',"domains":{').otherwise(',"folders":['),
+        ))
+    )
+    ends = pairs.join(last_root.withColumnRenamed(env, "_env"), F.col(env) == F.col("_env"))
+    comma = F.when((F.col("last.p") == place) & F.col(f"last.{root}").eqNullSafe(F.col(root)), "").otherwise(",")
+    tail = ends.select(*row(place, shown, F.lit(9), F.lit(0), F.concat(F.when(active, "}}").otherwise("]}"), comma)))
+
+    # Domains of the active root, whether or not they hold names.
+    domains = environments.select(env, F.posexplode(F.array(*map(F.lit, DOMAINS))).alias("d", "domain")).withColumn(root, F.lit(active_root))
+    at = place, shown
+    domain_head = domains.select(*row(*at, F.lit(1), F.col("d") * 3, F.concat(quoted(F.col("domain")), F.lit(":["))))
+    domain_tail = domains.select(
+        *row(*at, F.lit(1), F.col("d") * 3 + 2, F.when(F.col("d") == len(DOMAINS) - 1, "]").otherwise("],"))
+    )
+    tagged = names.withColumn("domain", F.when(active, classify(F.col(name), rules)).otherwise(F.lit("")))
+    greatest = tagged.groupBy(env, root, "domain").agg(F.max(name).alias("_greatest"), F.max(F.struct(name)).alias("_any"))
+    counts = tagged.groupBy(env, root, "domain", name).agg(F.count("*").alias("_copies"))
+    renamed = greatest.toDF("_e", "_r", "_d", "_greatest", "_any").drop("_any")
+    matched = counts.join(
+        renamed, F.col(env).eqNullSafe(F.col("_e")) & F.col(root).eqNullSafe(F.col("_r")) & F.col("domain").eqNullSafe(F.col("_d"))
+    )
+    copies = matched.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    follows = F.when((F.col(name) == F.col("_greatest")) & (F.col("_copy") == F.col("_copies")), "").otherwise(",")
+    d = F.when(active, (_positions(F.col("domain"), DOMAINS) - 1) * 3 + 1).otherwise(0)
+    body = copies.select(
+        label(0).alias("environment"),
+        F.struct(place.alias("r"), shown.alias("root"), F.lit(1).alias("part"), d.alias("d"), F.concat(F.col(name), F.format_string("\u0000%019d", "_copy")).alias("name")).alias("place"),
+        F.concat(quoted(F.col(name)), follows).alias("line"),
+    )
+    return reduce(DataFrame.unionByName, [opening, head, domain_head, body, domain_tail, tail, closing])

@@ -91,14 +91,12 @@ def counts(spark, sf):
     "catalog_groups",
     f"""WITH {_LISTING_SQL}, active AS (SELECT env, name, {_domain_sql('name')} AS domain FROM listing WHERE root = 'TP_export'),
          skeleton AS (SELECT env, domain FROM (SELECT DISTINCT env FROM active), (VALUES {_DOMAIN_VALUES}) v(domain))
-        SELECT s.env, s.domain, count(a.name) AS n,
-               coalesce(string_agg(a.name, ',' ORDER BY a.name), '') AS names
-        FROM skeleton s LEFT JOIN active a ON a.env = s.env AND a.domain = s.domain GROUP BY s.env, s.domain""",
+        SELECT s.env, s.domain, a.name
+        FROM skeleton s LEFT JOIN active a ON a.env = s.env AND a.domain = s.domain""",
 )
 def groups(spark, sf):
     grouped = c.group_domains(_listing(spark, sf).filter("root = 'TP_export'"), ["env"], "name")
-    names = F.array_join("names", ",").alias("names")
-    return grouped.select("env", "domain", F.size("names").cast("long").alias("n"), names)
+    return grouped.select("env", "domain", "name")
 
 
 @query(
@@ -135,4 +133,10 @@ def listing_rows(spark, sf):
         FROM domains d JOIN sizes s ON d.env = s.env""",
 )
 def document(spark, sf):
-    return build_catalogue(_listing(spark, sf))
+    """The lines, put together here only to be compared; the names are few in this table."""
+    lines = build_catalogue(_listing(spark, sf))
+    whole = lines.groupBy("environment").agg(F.sort_array(F.collect_list(F.struct("place", "line"))).alias("lines"))
+    text = F.array_join(F.transform("lines", lambda x: x["line"]), "")
+    # Without the environment's own name before it and the comma behind.
+    body = F.regexp_replace(F.regexp_replace(text, r'^"[^"]*":', ""), r",$", "")
+    return whole.select("environment", body.alias("document"))

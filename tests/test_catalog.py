@@ -66,17 +66,32 @@ def test_item_counts(listing, rows):
 
 
 def test_groups_hold_every_domain(listing):
-    got = c.group_domains(listing.filter("env = 'PROD'"), ["env"], "name").collect()
-    assert [r.domain for r in got] == list(c.DOMAINS)
-    names = {r.domain: r.names for r in got}
+    got = c.group_domains(listing.filter("env = 'PROD'"), ["env"], "name").orderBy("position", "name").collect()
+    assert list(dict.fromkeys(r.domain for r in got)) == list(c.DOMAINS)
+    names = {d: [r.name for r in got if r.domain == d] for d in c.DOMAINS}
     assert names["Load"] == ["AreaLoad_r9", "ZoneLoad_r9"]
-    assert names["Generation"] == []
+    assert names["Generation"] == [None]
 
 
-def test_nested_output_refuses_unbounded_groups(listing):
-    with pytest.raises(ValueError, match="domain_listing"):
-        c.group_domains(listing, ["env"], "name", max_names=3)
-    assert c.domain_listing(listing, ["env", "root"], "name").count() == listing.count()
+def test_groups_of_any_size(spark):
+    many = spark.range(300_000).select(F.lit("IOP").alias("env"), F.lit("TP_export").alias("root"), F.concat(F.lit("Load"), "id").alias("name"))
+    assert c.group_domains(many, ["env"], "name").count() == 300_000 + 7
+    lines = build_catalogue(many)
+    assert lines.where("line like '%Load%'").count() == 300_000 + 1
+    assert "collect_list" not in lines._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unknown_environments_and_roots_are_shown(spark, tmp_path):
+    rows = [("UAT", "TP_export", "GridLoad_r9"), ("PROD", "TP_other", 'Odd "name"'), ("PROD", None, "Lost"), ("PROD", "TP_other", "Twice"), ("PROD", "TP_other", "Twice")]
+    listing = spark.createDataFrame([*rows, (None, "TP_export", "x")], "env string, root string, name string")
+    build_catalogue(listing, str(tmp_path / "doc"))
+    text = "".join(r.value for r in spark.read.text(sorted(map(str, (tmp_path / "doc").glob("part-*")))).collect())
+    got = json.loads(text)["environments"]
+    assert list(got) == ["Prod", "UAT"]
+    assert got["UAT"]["root_directories"][0]["domains"]["Load"] == ["GridLoad_r9"]
+    roots = {r["name"]: r for r in got["Prod"]["root_directories"]}
+    assert roots["TP_other"]["folders"] == ['Odd "name"', "Twice", "Twice"] and roots["TP_other"]["item_count"] == 3
+    assert roots[""]["folders"] == ["Lost"]
 
 
 def test_listing_rows_come_in_catalogue_order(listing):
@@ -85,8 +100,9 @@ def test_listing_rows_come_in_catalogue_order(listing):
 
 
 def test_catalogue_documents(listing, spark, tmp_path):
-    documents = build_catalogue(listing, str(tmp_path / "catalogue"))
-    got = {r.environment: json.loads(r.document) for r in documents.collect()}
+    build_catalogue(listing, str(tmp_path / "catalogue"))
+    text = "".join(r.value for r in spark.read.text(sorted(map(str, (tmp_path / "catalogue").glob("part-*")))).collect())
+    got = json.loads(text)["environments"]
     assert list(got) == ["IOP", "Prod"]
     active, legacy = got["IOP"]["root_directories"]
     assert got["IOP"]["description"] == "Integration/Test Platform"
@@ -98,8 +114,6 @@ def test_catalogue_documents(listing, spark, tmp_path):
     assert (legacy["item_count"], legacy["folders"]) == (2, sorted(LEGACY))
     assert got["Prod"]["description"] == "Production Platform"
     assert got["Prod"]["root_directories"][1]["folders"] == []
-    text = spark.read.text(str(tmp_path / "catalogue")).first()[0]
-    assert json.loads(text) == {"environments": got}
 
 
 def test_listing_pages(spark):
