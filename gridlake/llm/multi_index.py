@@ -152,7 +152,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "
                 ["rep", "g", "cells", "v"],
             )
 
-    visits = asked.select("rep", "v").dropDuplicates(["rep"])
+    # Walks cost time, not bytes: by size alone Spark would put them all into one task.
+    walks = max(4 * spark.sparkContext.defaultParallelism, asked.count() // 2000)
+    visits = asked.select("rep", "v").dropDuplicates(["rep"]).repartition(walks, "rep")
     visits = visits.mapInArrow(visit, "rep long, g int, cells array<int>, v array<double>")
     visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.element_at(parts_of, F.col("g") + 1) - 1)))
     entries_in = index.withColumn("g", F.col("cell") % groups)
