@@ -36,12 +36,6 @@ def dropped(spark: SparkSession, *paths: str) -> None:
         remove_path(spark, path)
 
 
-def spread(docs: DataFrame) -> DataFrame:
-    """Rows as they are scanned. Kept as the one place that decides about it: texts are never
-    shuffled only to use more cores."""
-    return docs
-
-
 def buffers(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:

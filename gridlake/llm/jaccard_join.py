@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import common
+from gridlake.llm.filters import MIX_1, fixed_filter, in_filter
+from gridlake.llm.filters import mix as _mix
 from gridlake.llm.units import UnitCache, kept
 
 WORDS = 4
@@ -33,16 +35,6 @@ BLOCK = 500
 #: log2 of the counters of the frequency sketch that orders shingles; any order is right, this one
 #: keeps groups small.
 SKETCH_BITS = 20
-#: log2 of the bits of a filter sent to all tasks; false hits cost time only.
-FILTER_BITS = 25
-
-MIX_1, MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-
-
-def _mix(v: np.ndarray) -> np.ndarray:
-    v = (v ^ (v >> np.uint64(31))) * MIX_1
-    v = (v ^ (v >> np.uint64(29))) * MIX_2
-    return v ^ (v >> np.uint64(32))
 
 
 class Shingler:
@@ -178,35 +170,6 @@ def walk(a: Tree, b: Tree, percent: int, same: bool, optimistic: bool) -> list[t
     return out
 
 
-# -------------------------------------------------------------------------------------- filters
-
-
-def _bit(values: np.ndarray) -> np.ndarray:
-    return _mix(values.astype(np.uint64)) >> np.uint64(64 - FILTER_BITS)
-
-
-def fixed_filter(keys: DataFrame) -> np.ndarray:
-    """Bit filter of the longs in column ``k``: at most 2**FILTER_BITS bits reach the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-        for batch in batches:
-            bit = _bit(batch.column(0).to_numpy())
-            np.bitwise_or.at(own, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-        full = np.flatnonzero(own)
-        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(own[full].view(np.int64))], ["w", "v"])
-
-    words = keys.select("k").mapInArrow(run, "w int, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    out[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
-def in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    bit = _bit(values)
-    return (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-
-
 # ------------------------------------------------------------------------------------- operator
 
 

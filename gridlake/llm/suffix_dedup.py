@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import common
+from gridlake.llm.filters import fixed_filter, in_filter
 
 LENGTH = 400
 WIDTH = 160
@@ -37,8 +38,6 @@ BLOCK = 100
 GATHERED = 200
 #: Rows of a shard's transform, and shards merged at once: what a task holds.
 SHARD_ROWS, SHARDS = 150_000, 4
-#: log2 of the bits of a filter sent to all tasks. Its size is fixed; false hits cost time only.
-FILTER_BITS = 25
 
 MIX = np.array([xxhash.xxh64_intdigest(bytes([i]), 11) for i in range(256)], np.uint64)
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -76,33 +75,6 @@ def _core(length: int, width: int) -> int:
     return length - width + 1
 
 
-def bits_of(values: np.ndarray, seed: int) -> np.ndarray:
-    v = (values.astype(np.uint64) + np.uint64(seed)) * BASE
-    return ((v ^ (v >> np.uint64(32))) * BASE_2) >> np.uint64(64 - FILTER_BITS)
-
-
-def fixed_filter(keys: DataFrame) -> np.ndarray:
-    """Bit filter of the longs in column ``k``; at most 2**FILTER_BITS bits reach the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-        for batch in batches:
-            bit = bits_of(batch.column(0).to_numpy(), 0)
-            np.bitwise_or.at(own, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-        full = np.flatnonzero(own)
-        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(own[full].view(np.int64))], ["w", "v"])
-
-    words = keys.select("k").mapInArrow(run, "w int, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    out[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
-def in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    bit = bits_of(values, 0)
-    return (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-
-
 def row_key(doc_th: np.ndarray, place: np.ndarray) -> np.ndarray:
     return (doc_th.astype(np.uint64) * BASE_2 + place.astype(np.uint64)) * BASE
 
