@@ -16,15 +16,12 @@ LISTING_SCHEMA = "page INT, contentItemList ARRAY<STRUCT<name: STRING>>"
 
 
 def discover_files(spark: SparkSession, folder: str, pattern: str = "*.csv", recursive: bool = False) -> DataFrame:
-    """``(file_name, path)`` of the matching files. Only the listing is touched: Spark's
-    file index is asked for its paths, no file is opened and no job runs."""
-    reader = spark.read.option("pathGlobFilter", pattern)
+    """``(file_name, path)`` of the matching files. Only the listing is touched: the file
+    source is asked for its paths alone, so no file is opened, and names stay rows of a frame."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    paths = reader.schema("value STRING").text(folder).inputFiles()
-    plain = sorted(map(unquote, paths))
-    rows = [(p.rsplit("/", 1)[-1], p) for p in plain]
-    return spark.createDataFrame(rows, "file_name STRING, path STRING")
+    return reader.load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path")
 
 
 def literal_path(path: str) -> str:

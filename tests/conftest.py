@@ -9,9 +9,11 @@ from gridlake.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "gridlake-tests",
+        # Scratch tables go below the warehouse where no shared folder is named.
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__master="local[4]",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

@@ -173,7 +173,7 @@ def test_names_are_quoted(spark, tmp_path):
     target = g.Target(str(place / "raw"), f"odd_{uuid.uuid4().hex}", location=str(place / "bronze"))
     g.ingest_folder(spark, str(place / "landing"), folder, target)
     assert spark.table(target.full_name(folder)).count() == 1
-    assert g.table_name(folder) == "prices__12_1__x__y"
+    assert g.table_name(folder) == "prices__12_1__x_y"
 
 
 def test_header_collision_stops_the_load(zone):
