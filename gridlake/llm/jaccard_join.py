@@ -15,6 +15,7 @@ still hold more than one are walked in full. A large group is walked in blocks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import common
-from gridlake.llm.filters import MIX_1, fixed_filter, in_filter
-from gridlake.llm.filters import mix as _mix
-from gridlake.llm.units import UnitCache, kept
+from gridlake.llm.filters import MIX_1, fixed_filter, in_filter, mix
 
 WORDS = 4
 PERCENT = 85
 BITS = 512  # of a class's token bitmap
+#: Bins of a class's histogram; two sets differ in no fewer shingles than their histograms do.
+BINS = 256
 #: Members of a group that one walk takes on each side.
 BLOCK = 500
 #: log2 of the counters of the frequency sketch that orders shingles; any order is right, this one
@@ -37,42 +38,57 @@ BLOCK = 500
 SKETCH_BITS = 20
 
 
-class Shingler:
-    """Sorted distinct 64-bit hashes of the ``k``-word shingles of texts."""
-
-    def __init__(self, k: int):
-        self.k = k
-        self.cache = UnitCache(self._hash, kind=np.uint64)
-
-    @staticmethod
-    def _hash(words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        digest = xxhash.xxh3_64_intdigest
-        return words, np.array([digest(w) for w in words], np.uint64), np.ones(len(words), np.int64), np.zeros(len(words))
-
-    def sets(self, texts: list[bytes]) -> list[np.ndarray]:
-        """A-Z in lower case, words between ASCII white space (what bytes do by themselves). Fewer
-        words than ``k`` make one shingle; none make an empty set."""
-        words = [t.lower().split() for t in texts]
-        sizes = np.array([len(w) for w in words])
-        if not sizes.sum():
-            return [np.zeros(0, np.uint64)] * len(texts)
-        w = self.cache.flat(self.cache.rows([x for own in words for x in own]))[0]
-        h = w.copy()
-        for j in range(1, self.k):
-            h[:-j] = h[:-j] * MIX_1 + w[j:]
-        h = _mix(h)
-        out, ends = [], np.cumsum(sizes)
-        for a, b in zip((ends - sizes).tolist(), ends.tolist()):
-            if b - a >= self.k:
-                out.append(np.unique(h[a : b - self.k + 1]))
-            elif b > a:
-                short = np.uint64(b - a)
-                for x in w[a:b]:
-                    short = np.uint64((int(short) * int(MIX_1) + int(x)) & (2**64 - 1))
-                out.append(_mix(np.array([short])))
-            else:
-                out.append(np.zeros(0, np.uint64))
-        return out
+#: A random-looking 64-bit value for each byte, A-Z as in lower case; and what is white space.
+BYTE = np.array([xxhash.xxh64_intdigest(bytes([i]).lower(), 13) for i in range(256)], np.uint64)
+BLANK = np.array([bytes([i]).isspace() for i in range(256)])
+BASE = np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE, and of its inverse modulo 2**64."""
+    out = []
+    for base in (BASE, np.uint64(pow(int(BASE), -1, 1 << 64))):
+        power = np.full(size, base)
+        power[0] = 1
+        out.append(np.multiply.accumulate(power))
+    return out[0], out[1]
+
+
+def shingle_sets(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, k: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the ``k``-word shingles of the texts of a buffer.
+
+    A-Z count as lower case; words lie between ASCII white space, or between the zeros that
+    separate texts. Fewer words than ``k`` make one shingle; none make an empty set. All words of
+    a buffer are hashed at once, as differences of one running sum."""
+    # Texts may hold zero bytes themselves, so where texts lie decides, not the byte.
+    inside = np.zeros(len(data) + 1, np.int8)
+    np.add.at(inside, starts, 1)
+    np.add.at(inside, starts + lengths, -1)
+    solid = (np.cumsum(inside[:-1]) > 0) & ~BLANK[data]
+    edge = np.flatnonzero(np.diff(solid, prepend=False, append=False))
+    first, last = edge[::2], edge[1::2]
+    power, inverse = _powers(1 << len(data).bit_length())
+    sums = np.append(np.uint64(0), np.cumsum(BYTE[data] * power[: len(data)], dtype=np.uint64))
+    w = mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
+    h = w.copy()
+    for j in range(1, k):
+        h[:-j] = h[:-j] * MIX_1 + w[j:]
+    h = mix(h)
+    lo, hi = np.searchsorted(first, starts), np.searchsorted(first, starts + lengths)
+    out = []
+    for a, b in zip(lo.tolist(), hi.tolist()):
+        if b - a >= k:
+            own = np.sort(h[a : b - k + 1])
+            out.append(own[np.append(True, own[1:] != own[:-1])])
+        elif b > a:
+            short = b - a
+            for x in w[a:b].tolist():
+                short = (short * int(MIX_1) + x) & (2**64 - 1)
+            out.append(mix(np.array([short], np.uint64)))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -94,6 +110,11 @@ def bitmap(own: np.ndarray) -> np.ndarray:
     return np.packbits(bits)
 
 
+def histogram(own: np.ndarray) -> np.ndarray:
+    """Shingles by bin, 255 at most: cutting both of two counts never widens their difference."""
+    return np.minimum(np.bincount((own >> np.uint64(20)).astype(np.int64) % BINS, minlength=BINS), 255).astype(np.uint8)
+
+
 class Tree:
     """Binary tree over members sorted by size: in each node the union of bitmaps, the range of
     sizes, and the largest excess of a member's size over its bitmap's bits."""
@@ -179,10 +200,8 @@ def _digests(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int):
-    shingler = kept(("shingles", k), lambda: Shingler(k))
     for part, data, starts, lengths in common.buffers(batches, "text"):
-        raw = data.tobytes()
-        sets = shingler.sets([raw[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist())])
+        sets = shingle_sets(data, starts, lengths, k)
         yield part, sets, _digests(sets)
 
 
@@ -208,23 +227,25 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names[:, 0].copy()),
-                 part.column("th"), pa.array(np.full(n, -1), pa.int32())],
-                ["doc_id", "n", "d1", "th", "counter"],
+                 part.column("th"), pa.array(np.full(n, -1), pa.int32()),
+                 pa.array([histogram(s).tobytes() if len(s) else None for s in sets], pa.binary())],
+                ["doc_id", "n", "d1", "th", "counter", "bins"],
             )
         # Counters well above the task's mean: those of frequent shingles.
         high = np.flatnonzero(counts > 8 + 4 * total / len(counts))
         none = pa.nulls(len(high), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, pa.array(counts[high]), none, none, pa.array(high, pa.int32())], ["doc_id", "n", "d1", "th", "counter"]
+            [none, pa.array(counts[high]), none, none, pa.array(high, pa.int32()), pa.nulls(len(high), pa.binary())],
+            ["doc_id", "n", "d1", "th", "counter", "bins"],
         )
 
-    described = rows.mapInArrow(describe, "doc_id long, n long, d1 long, th long, counter int")
+    described = rows.mapInArrow(describe, "doc_id long, n long, d1 long, th long, counter int, bins binary")
     described, described_path = common.written(described, "described")
     members = described.where("counter < 0")
     sketch = described.where("counter >= 0").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
     frequency = np.zeros(1 << SKETCH_BITS, np.int64)
     frequency[sketch["counter"].to_numpy(np.int64)] = sketch["n"].to_numpy(np.int64)
-    classes = members.where("n > 0").groupBy("d1").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
+    classes = members.where("n > 0").groupBy("d1").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.first("bins").alias("bins"))
     classes, classes_path = common.written(classes, "classes")
     ordering = spark.sparkContext.broadcast(frequency)
     texts = rows.select("text")
@@ -298,7 +319,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     # Each class is tried against the first of its partners.
     tries = couples.union(forest).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     tries, tries_path = common.written(tries, "tries")
-    links, links_path = common.written(_check(texts, tries, k, percent), "links")
+    links, links_path = common.written(_check(texts, classes, tries, k, percent), "links")
     joined = common.components(links)
     component, component_path = common.written(joined, "components")
 
@@ -330,7 +351,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     rest = both.repartition("k", "block").sortWithinPartitions("k", "block").mapInArrow(second_walk, "a long, b long")
     rest = open_couples.union(rest).distinct().join(tries, ["a", "b"], "left_anti")
     rest, rest_path = common.written(rest, "rest")
-    more, more_path = common.written(_check(texts, rest, k, percent), "links")
+    more, more_path = common.written(_check(texts, classes, rest, k, percent), "links")
     component, final_path = common.written(common.components(links.union(more)), "components")
 
     # Components by class, then the smallest id of each.
@@ -392,10 +413,24 @@ def _pairs(left: np.ndarray, right: np.ndarray, pairs: list[tuple[int, int]]) ->
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
 
-def _check(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar. Sets are made anew from the texts, for
+def _check(rows: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar.
+
+    Histograms rule out most pairs that are not. For the others sets are made anew from the texts, for
     classes that a filter lets pass, and brought to the pairs by two joins."""
     spark = rows.sparkSession
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("x", "y"))
+            differ = np.abs(x - y).sum(axis=1)
+            on = (100 + percent) * differ <= (100 - percent) * batch.column("both").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(on))
+
+    bins = pairs.join(classes.select(F.col("d1").alias("a"), F.col("n").alias("na"), F.col("bins").alias("x")), "a")
+    bins = bins.join(classes.select(F.col("d1").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("y")), "b")
+    bins = bins.select("a", "b", "x", "y", (F.col("na") + F.col("nb")).alias("both"))
+    pairs, _ = common.written(bins.mapInArrow(near, "a long, b long"), "near")
     wanted = spark.sparkContext.broadcast(fixed_filter(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

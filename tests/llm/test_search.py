@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridlake.llm import common, decontaminate, jaccard_join, multi_index
+from gridlake.llm import common, decontaminate, filters, jaccard_join, multi_index
 
 # ------------------------------------------------------------------------------- near copies
 
@@ -81,7 +81,7 @@ def test_walk_loses_no_similar_pair():
             for _ in range(draw.randint(0, 8)):
                 s.discard(draw.choice(sorted(s)))
                 s.add(draw.randrange(3000))
-            sets.append(np.array(sorted(jaccard_join._mix(np.array(sorted(s), np.uint64)))))
+            sets.append(np.array(sorted(filters.mix(np.array(sorted(s), np.uint64)))))
         maps = np.stack([jaccard_join.bitmap(s) for s in sets])
         tree = jaccard_join.Tree(np.array([len(s) for s in sets]), maps, np.arange(60))
         got = {frozenset(p) for p in jaccard_join.walk(tree, tree, percent, True, False)}
@@ -91,6 +91,34 @@ def test_walk_loses_no_similar_pair():
         assert len(forest) < 60
 
 
+def test_shingles_of_any_bytes():
+    draw = random.Random(1)
+    parts = [b"a", b"B", b"\x00", b" ", b"\t", b"\x0b", "é".encode(), b"xyz ", b"\x1c"]
+    texts = [b"".join(draw.choice(parts) for _ in range(draw.randint(0, 30))) for _ in range(1000)]
+    sizes = np.array([len(t) for t in texts])
+    gap = bytes(common.PAD)
+    data = np.frombuffer(gap + gap.join(texts) + gap, np.uint8)
+    starts = common.PAD + np.concatenate([[0], np.cumsum(sizes + common.PAD)[:-1]])
+    alone = [jaccard_join.shingle_sets(*lone, 4)[0].tolist() for lone in (
+        (np.frombuffer(gap + t + gap, np.uint8), np.array([common.PAD]), np.array([len(t)])) for t in texts[:50])]
+    assert alone == [s.tolist() for s in jaccard_join.shingle_sets(data, starts, sizes, 4)[:50]]
+    named = {}
+    for text, got in zip(texts, jaccard_join.shingle_sets(data, starts, sizes, 4)):
+        w = text.lower().split()
+        want = frozenset(tuple(w[i : i + 4]) for i in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else [])
+        assert len(got) == len(want) and named.setdefault(want, got.tolist()) == got.tolist()
+    assert len({tuple(v) for v in named.values()}) == len(named)
+
+
+def test_histograms_differ_no_more_than_sets():
+    draw = random.Random(2)
+    for _ in range(200):
+        a, b = (np.array(sorted(draw.sample(range(500), draw.randint(1, 300))), np.uint64) for _ in range(2))
+        a, b = np.unique(filters.mix(a)), np.unique(filters.mix(b))
+        least = np.abs(jaccard_join.histogram(a).astype(int) - jaccard_join.histogram(b)).sum()
+        assert least <= len(np.setxor1d(a, b))
+
+
 def test_connected_components(spark):
     draw = random.Random(1)
     edges = [(draw.randrange(300), draw.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
