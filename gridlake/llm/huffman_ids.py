@@ -168,7 +168,7 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         size = self.library.get_vocab_size()
         self.spaced = np.array([(self.library.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.cache = UnitCache(self._encode_units)
+        self.cache = UnitCache(self._encode_units, limit=600_000)
 
     def whole(self, text: str) -> np.ndarray:
         # The batch call without offsets: the same ids in less time.

@@ -8,6 +8,7 @@ a table, in numpy.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 
@@ -47,11 +48,15 @@ class UnitCache:
 
     def rows(self, units: list[str]) -> np.ndarray:
         """Row of the table for each unit; the rows stay valid until the next call."""
-        fresh = set(units).difference(self.row)
-        if fresh:
+        out = self._look(units)
+        absent = np.flatnonzero(out < 0)
+        if len(absent):
+            fresh = {units[i] for i in absent.tolist()}
             if self.row and len(self.row) + len(fresh) > self.limit:
                 self._shrink()
-                fresh = set(units).difference(self.row)
+                out = self._look(units)
+                absent = np.flatnonzero(out < 0)
+                fresh = {units[i] for i in absent.tolist()}
             new, ids, sizes, marks = self.encode(list(fresh))
             self.row.update(zip(new, range(len(self.row), len(self.row) + len(new))))
             self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
@@ -59,10 +64,13 @@ class UnitCache:
             self.sizes = np.append(self.sizes, sizes)
             self.hits = np.append(self.hits, np.zeros(len(new), np.int64))
             self.marks = np.append(self.marks, marks.astype(np.int8))
-        out = np.fromiter(map(self.row.__getitem__, units), np.int64, len(units))
+            out[absent] = self._look([units[i] for i in absent.tolist()])
         self.hits += np.bincount(out, minlength=len(self.hits))
         return out
 
+    def _look(self, units: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.row.get, units, repeat(-1)), np.int64, len(units))
+
     def flat(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the rows one after the other, and the number of ids of each row."""
         sizes = self.sizes[rows]
