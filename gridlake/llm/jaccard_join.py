@@ -290,14 +290,17 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     found = texts.mapInArrow(emit_members, "k long, d1 long, n long, map binary")
     found = found.groupBy("k", "d1").agg(F.first("n").alias("n"), F.first("map").alias("map"))
     found, found_path = common.written(found, "members")
-    sizes = found.groupBy("k").agg(F.count("*").alias("m"), F.min("d1").alias("a"), F.max("d1").alias("b"), F.min("n").alias("low"), F.max("n").alias("high"))
+    sizes = found.groupBy("k").agg(F.count("*").alias("m"), F.min("d1").alias("a"), F.max("d1").alias("b"), F.min("n").alias("low"), F.max("n").alias("high"), F.bit_xor(F.xxhash64("d1")).alias("who"))
     sizes, sizes_path = common.written(sizes.where("m > 1"), "groups")
     couples = sizes.where((F.col("m") == 2) & (100 * F.col("low") >= percent * F.col("high"))).select("a", "b").distinct()
     couples, couples_path = common.written(couples, "couples")
 
     # Groups of three and more, in blocks; the class named first in a group joins its blocks.
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    large = sizes.where("m > 2").select("k", "a", blocks.alias("blocks"))
+    # Near copies meet under many shingles, always the same members: one shingle stands for all.
+    crowds = sizes.where("m > 2").groupBy("m", "a", "b", "who").agg(F.min("k").alias("k"))
+    crowds, crowds_path = common.written(crowds.select("k", "a", "m"), "crowds")
+    large = crowds.select("k", "a", blocks.alias("blocks"))
     inside = found.join(large, "k").withColumn("block", F.pmod(F.xxhash64("d1"), F.col("blocks")).cast("int"))
     pivots = inside.where("d1 = a and blocks > 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     inside = inside.where("not (d1 = a and blocks > 1)").unionByName(pivots)
@@ -329,7 +332,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
 
     # What is still open: couples in different components, and groups with several components.
     open_couples = labelled(labelled(couples, "a"), "b").where("c_a <> c_b").select("a", "b")
-    groups = labelled(found.join(sizes.where("m > 2").select("k", "m"), "k"), "d1")
+    groups = labelled(found.join(crowds.select("k", "m"), "k"), "d1")
     parts = groups.groupBy("k", "c_d1").agg(F.count("*").alias("size"))
     several = parts.groupBy("k").agg(F.count("*").alias("parts"), F.max(F.struct("size", "c_d1")).alias("main")).where("parts > 1")
     still = groups.join(several.select("k", F.col("main.c_d1").alias("main")), "k").withColumn("blocks", blocks)
@@ -361,7 +364,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     out = members.join(named, "d1", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("th").alias("text_hash"))
     common.dropped(
-        spark, found_path, sizes_path, couples_path, tries_path, links_path, component_path, still_path, rest_path, more_path
+        spark, found_path, sizes_path, crowds_path, couples_path, tries_path, links_path, component_path, still_path, rest_path, more_path
     )
     return out
 
