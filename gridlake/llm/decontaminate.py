@@ -2,18 +2,19 @@
 
 A window of a document has as many words as the item it is held against. Both have a 64-bit
 SimHash over their word shingles. Fingerprints are cut into ``RADIUS + 1`` blocks, so any two
-within ``RADIUS`` bits agree in one of them; windows meet items on equal blocks, and the exact
-weighted-shingle similarity of what remains decides.
+within ``RADIUS`` bits agree in one of them; windows meet items on equal blocks, and of what
+remains the best by exact weighted-shingle similarity is told.
 
-Only windows that share a shingle with the item at the same place, give or take ``SLACK`` words,
-are made at all: a window without any shared shingle has similarity 0.
+The documents and items that are held against each other at all are those that share shingles.
+How much each window shares with the item is a running count over the places of shared shingles,
+exact and linear in their number, so every start is tried; windows that share enough are made.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.session import cut_lineage
@@ -22,9 +23,8 @@ WORDS = 5
 SIMILARITY = 0.8
 #: Bits. At similarity 0.8 two fingerprints differ in about 10 of 64 bits, with a deviation of 3.
 RADIUS = 20
-SLACK = 2
 #: Rows of item shingles that are broadcast at once (under 64 bytes each); a larger benchmark is
-#: held against the documents in several such blocks.
+#: held against the documents in several such blocks. Runs of starts are broadcast up to as many.
 BROADCAST_ROWS = 500_000
 
 
@@ -59,12 +59,44 @@ def simhash(hashes: Column) -> Column:
     return F.coalesce(bits, F.lit(0).cast("bigint"))  # never NULL, so no filter asks for it twice
 
 
-def shared_weight(a: Column, b: Column) -> Column:
-    """Sum over shingles of the smaller of the two counts."""
-    return F.aggregate(
-        F.array_intersect(a, b), F.lit(0),
-        lambda s, h: s + F.least(F.size(F.filter(a, lambda x: x == h)), F.size(F.filter(b, lambda x: x == h))),
-    )
+def likeness(shared: Column, n: Column, m: Column) -> Column:
+    """Sum of the smaller over the sum of the larger counts of ``n`` and ``m`` shingles."""
+    return shared / (n + m - shared)
+
+
+def runs_of_starts(docs: DataFrame, counted: DataFrame, k: int, similarity: float) -> DataFrame:
+    """(doc_id, th, item_id, ih, m, n, shared, first, last): the starts of all windows that are as
+    similar to the item as asked, in runs that share the same number of shingles with it.
+
+    A shingle that the item has c times counts at a place of the window if fewer than c of the
+    same are before it in there: for the starts behind its c-th last occurrence, as far as the
+    window reaches. Each place so adds one at the first of its starts and takes it away behind
+    the last."""
+    hashed = with_shingles(docs, "text", "doc", k).withColumn("d", F.size("doc"))
+    # The outer form: Spark turns the plain one into a filter on the array's size, written out with
+    # all that makes the array, below it.
+    seen = hashed.select("doc_id", "th", "d", F.posexplode_outer("doc").alias("pos", "h"))
+    pair = ["doc_id", "th", "d", "item_id", "ih", "m"]
+    # A set, since repeated rows of a document have the same places.
+    places = F.sort_array(F.collect_set(F.struct("h", "pos", "c")))
+    met = seen.join(F.broadcast(counted), "h").groupBy(*pair).agg(places.alias("places")).withColumn("n", F.least("m", "d"))
+    met = met.where(likeness(F.least(F.size("places"), "n"), F.col("n"), F.col("m")) >= similarity)
+
+    def steps(x: Column, i: Column) -> Column:
+        before = F.get("places", i - x["c"])
+        behind = F.when(before["h"] == x["h"], before["pos"] + 1).otherwise(0)
+        begin = F.greatest(behind, x["pos"] - F.col("n") + 1)
+        return F.array(
+            F.struct(begin.alias("first"), F.lit(1).alias("step")), F.struct((x["pos"] + 1).alias("first"), F.lit(-1).alias("step"))
+        )
+
+    turns = met.select(*pair, "n", F.explode(F.flatten(F.transform("places", steps))).alias("t")).select(*pair, "n", "t.*")
+    along = Window.partitionBy(*pair).orderBy("first")
+    runs = turns.select(
+        *pair, "n", "first", F.sum("step").over(along).cast("int").alias("shared"), F.lead("first").over(along).alias("next")
+    ).withColumn("last", F.least(F.col("next") - 1, F.col("d") - F.col("n")))
+    runs = runs.where((F.col("first") <= F.col("last")) & (likeness(F.col("shared"), F.col("n"), F.col("m")) >= similarity))
+    return runs.select("doc_id", "th", "item_id", "ih", "m", "n", "shared", "first", "last")
 
 
 def blocks(fingerprint: Column, radius: int) -> Column:
@@ -78,7 +110,7 @@ def blocks(fingerprint: Column, radius: int) -> Column:
 
 
 def contaminated(
-    docs: DataFrame, items: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS, slack: int = SLACK
+    docs: DataFrame, items: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS
 ) -> DataFrame:
     """(doc_id, item_id, similarity, start, n_words, distance): each document and item with a
     window of similarity ``similarity`` at least, the best window (the first of equals).
@@ -90,38 +122,40 @@ def contaminated(
     documents of fewer than ``k`` words, NULL or empty ones included, match nothing. Repeated
     rows of an id count once; NULL ids are kept as they are. Other columns are ignored."""
     items = with_shingles(items.select("item_id", "text"), "text", "item", k).where(F.size("item") > 0).drop("text")
-    items = cut_lineage(items.distinct().withColumn("item_print", simhash(F.col("item"))))
-    places = items.select(
-        "item_id", "item", "item_print",
-        F.posexplode(F.transform("item", lambda h, i: F.struct(h.alias("h"), F.when(i > 0, F.get("item", i - 1)).alias("h_before")))).alias("at", "p"),
-    ).select("item_id", "at", F.col("p.h").alias("h"), F.col("p.h_before").alias("h_before"), F.size("item").alias("size"))
-    rows = places.count()
-    parts = max(1, -(-rows // BROADCAST_ROWS))
-
-    hashed = with_shingles(docs.select("doc_id", "text"), "text", "doc", k)
-    # The outer form: Spark turns the plain one into a filter on the array's size, written out with
-    # all that makes the array, below it.
-    seen = hashed.select("doc_id", "doc", F.posexplode_outer("doc").alias("pos", "h"))
-    found = []
-    for part in range(parts):
-        some = F.broadcast(places.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part))
-        # Of a run of shingles shared in step, the first speaks for all.
-        hit = seen.join(some, "h").where(
-            F.col("h_before").isNull() | (F.col("pos") == 0) | (F.get("doc", F.col("pos") - 1) != F.col("h_before"))
-        )
-        size = F.least("size", F.size("doc"))
-        hit = hit.withColumn("size", size).withColumn("step", F.explode(F.sequence(F.lit(-slack), F.lit(slack))))
-        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at") + F.col("step"), F.size("doc") - F.col("size")))
-        found.append(hit.select("doc_id", "item_id", start.alias("start"), F.slice("doc", start + 1, F.col("size")).alias("window")))
-    windows = reduce(DataFrame.unionByName, found).distinct().withColumn("print", simhash(F.col("window")))
+    items = items.distinct().withColumn("ih", F.xxhash64("item"))
+    items = cut_lineage(items.withColumn("item_print", simhash(F.col("item"))))
+    counted = items.select("item_id", "ih", F.size("item").alias("m"), F.explode("item").alias("h"))
+    counted = cut_lineage(counted.groupBy("item_id", "ih", "m", "h").agg(F.count(F.lit(1)).cast("int").alias("c")))
+    parts = max(1, -(-counted.count() // BROADCAST_ROWS))
+
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+    found = [
+        runs_of_starts(docs, counted.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part), k, similarity)
+        for part in range(parts)
+    ]
+    run = F.struct("item_id", "ih", "m", "n", "shared", "first", "last")
+    runs = reduce(DataFrame.unionByName, found).groupBy("doc_id", "th").agg(F.collect_list(run).alias("runs"))
+    runs = cut_lineage(runs.select(F.col("doc_id").alias("r_id"), F.col("th").alias("r_th"), "runs"))
+    if (runs.agg(F.sum(F.size("runs"))).first()[0] or 0) <= BROADCAST_ROWS:
+        runs = F.broadcast(runs)
+    # Only documents with such windows are read again; of each run what its windows cover goes on.
+    held = docs.join(runs, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("th") == F.col("r_th")))
+    held = with_shingles(held.select("doc_id", "th", "text", "runs"), "text", "doc", k)
+    cover = lambda r: F.slice("doc", r["first"] + 1, r["last"] - r["first"] + r["n"])
+    held = held.select("doc_id", "th", F.explode_outer(F.transform("runs", lambda r: F.struct(r.alias("run"), cover(r).alias("cover")))).alias("r"))
+    held = held.select("doc_id", "th", "r.run.*", "r.cover")
+    windows = held.withColumn("start", F.explode(F.sequence("first", "last")))
+    windows = windows.withColumn("window", F.slice("cover", F.col("start") - F.col("first") + 1, F.col("n")))
+    pair = ["doc_id", "th", "item_id", "ih", "m", "n", "shared", "start"]
+    windows = windows.select(*pair, simhash(F.col("window")).alias("print"))
 
     # A hash of both sides' key keeps windows of a frequent item apart: the items' side is small
     # and the join is by block, so the windows stay where they are.
-    item_blocks = items.select("item_id", "item", "item_print", blocks(F.col("item_print"), radius).alias("b"))
-    item_blocks = item_blocks.select("item_id", "item", "item_print", "b.block", "b.value")
-    window_blocks = windows.select("doc_id", "item_id", "start", "window", "print", blocks(F.col("print"), radius).alias("b"))
-    window_blocks = window_blocks.select("doc_id", "item_id", "start", "window", "print", "b.block", "b.value")
-    near = window_blocks.join(item_blocks, ["item_id", "block", "value"])
+    item_blocks = items.select(F.col("item_id").alias("i_id"), "ih", "item_print", blocks(F.col("item_print"), radius).alias("b"))
+    item_blocks = item_blocks.select("i_id", "ih", "item_print", "b.block", "b.value")
+    window_blocks = windows.select(*pair, "print", blocks(F.col("print"), radius).alias("b"))
+    window_blocks = window_blocks.select(*pair, "print", "b.block", "b.value")
+    near = window_blocks.join(item_blocks, ["ih", "block", "value"]).where(F.col("item_id").eqNullSafe(F.col("i_id")))
     distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
     # Blocks that agree: of several for one pair only the first goes on.
     edges = [64 * i // (radius + 1) for i in range(radius + 2)]
@@ -131,12 +165,10 @@ def contaminated(
     ]
     first = F.array_position(F.array(*agree), F.lit(True)) - 1
     near = near.where((F.col("block") == first) & (distance <= radius))
-    shared = shared_weight(F.col("window"), F.col("item"))
     checked = near.select(
-        "doc_id", "item_id", "start", (F.size("window") + (k - 1)).alias("n_words"), distance.alias("distance"),
-        shared.alias("shared"), (F.size("window") + F.size("item")).alias("both"),
+        "doc_id", "item_id", "start", (F.col("n") + (k - 1)).alias("n_words"), distance.alias("distance"),
+        likeness(F.col("shared"), F.col("n"), F.col("m")).alias("similarity"),
     )
-    checked = checked.withColumn("similarity", F.col("shared") / (F.col("both") - F.col("shared"))).where(F.col("similarity") >= similarity)
     order = F.struct("similarity", (-F.col("start")).alias("s"), "n_words", "distance")
     best = checked.groupBy("doc_id", "item_id").agg(F.max(order).alias("best"))
     return best.select(

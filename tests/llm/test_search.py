@@ -181,6 +181,26 @@ def test_benchmark_items_are_found(spark, documents, odd):
     assert got == plain_matches(rows, items)
 
 
+def test_benchmark_items_in_another_order_are_found(spark, documents):
+    draw = random.Random(8)
+    prose = lambda n: [f"v{draw.randrange(3000)}" for _ in range(n)]
+    items, rows = [], []
+    for i in range(24):
+        item = prose(draw.randint(60, 90))
+        if i % 4 == 3:  # shingles that recur in the item
+            item[20:20] = item[5:13]
+        cut = len(item) // 2 + draw.randint(-10, 10)
+        items.append((i, " ".join(item)))
+        rows.append((i, " ".join(prose(60) + item[cut:] + item[:cut] + prose(60))))
+        rows.append((100 + i, " ".join(item[cut:] + prose(1) + item[:cut] + item[cut:] + prose(9))))
+    items.append((None, " ".join(prose(50))))
+    rows.append((300, " ".join(prose(9) + items[-1][1].split()[25:] + items[-1][1].split()[:25])))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in decontaminate.contaminated(documents(rows), table).collect()}
+    want = plain_matches(rows, items)
+    assert got == want and {(i, i) for i in range(24)} | {(300, None)} <= set(want)
+
+
 def test_benchmark_edges(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "a b c d e f g h i j k l m n o p")], "item_id long, text string")
