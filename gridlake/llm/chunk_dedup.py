@@ -22,8 +22,8 @@ from gridlake.llm import common
 RADIUS = 28
 #: A chunk without a natural cut (one byte repeated, say) is cut after so many bytes.
 MAX_CHUNK = 4096
-#: Runs of repeated chunks under so many bytes stay: single phrases may recur by chance.
-MIN_RUN = 120
+#: Runs of repeated chunks under so many bytes stay; at 1 every chunk that occurred before goes.
+MIN_RUN = 1
 
 #: Gear table from a rule: one random-looking 32-bit value for each byte.
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([i]), 7) for i in range(256)], np.uint32)

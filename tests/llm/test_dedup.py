@@ -155,6 +155,44 @@ def test_chunks_keep_first_occurrences(documents, odd):
     assert chunk_dedup.dedup_chunks(documents([])).count() == 0
 
 
+def test_short_copies_go(documents):
+    short = ["Hello.", "a line of less than a chunk", "a text of about one hundred bytes, which has a cut or two in it, all of which recurs in others"]
+    rows = [(10 * i + j, text) for i, text in enumerate(short) for j in range(3)]
+    got = {r.doc_id: r for r in chunk_dedup.dedup_chunks(documents(rows)).collect()}
+    for i, text in enumerate(short):
+        assert got[10 * i].text == text and got[10 * i].n_removed == 0
+        for j in (1, 2):
+            r = got[10 * i + j]
+            assert (r.text, r.n_removed, r.kept_in) == ("", len(text), [10 * i])
+
+
+def test_short_passages_lose_every_chunk_that_recurs(documents):
+    draw = random.Random(5)
+    words = ["".join(draw.choice("abcdefghilmnorstu") for _ in range(draw.randint(2, 8))) for _ in range(2000)]
+    prose = lambda n: " ".join(draw.choice(words) for _ in range(n))
+    rows = []
+    for i in range(150):
+        passage = prose(51)
+        rows += [(2 * i + j, " ".join([prose(draw.randint(5, 80)), passage, prose(draw.randint(5, 80))])) for j in (0, 1)]
+    got = {r.doc_id: r for r in chunk_dedup.dedup_chunks(documents(rows)).collect()}
+
+    def names(text):
+        raw = text.encode()
+        data = np.frombuffer(bytes(common.PAD) + raw + bytes(common.PAD), np.uint8)
+        _, start, size = chunk_dedup.chunks(data, np.array([common.PAD]), np.array([len(raw)]), chunk_dedup.RADIUS, chunk_dedup.MAX_CHUNK)
+        return [raw[a : a + n] for a, n in zip(start.tolist(), size.tolist())]
+
+    seen, short = set(), 0
+    for i, (doc_id, text) in enumerate(rows):
+        gone = 0
+        for c in names(text):
+            gone += len(c) if c in seen else 0
+            seen.add(c)
+        short += i % 2 and 0 < gone < 120
+        assert got[doc_id].n_removed == gone
+    assert short and sum(got[2 * i + 1].n_removed >= 29 for i in range(150)) >= 140
+
+
 def test_a_long_run_of_one_byte_is_cut():
     data = np.frombuffer(bytes(common.PAD) + b"x" * 20_000 + bytes(common.PAD), np.uint8)
     _, start, size = chunk_dedup.chunks(data, np.array([common.PAD]), np.array([20_000]), chunk_dedup.RADIUS, 4096)
