@@ -2,8 +2,9 @@
 
 A window of a document has as many words as the item it is held against. Both have a 64-bit
 SimHash over their word shingles. Fingerprints are cut into ``RADIUS + 1`` blocks, so any two
-within ``RADIUS`` bits agree in one of them; windows meet items on equal blocks, and of what
-remains the best by exact weighted-shingle similarity is told.
+within ``RADIUS`` bits agree in one of them; each window meets the item it was made for on equal
+blocks, and of what remains the best by exact weighted-shingle similarity is told. The blocks are a
+filter behind the shingles and find no pairs of their own.
 
 The documents and items that are held against each other at all are those that share shingles.
 How much each window shares with the item is a running count over the places of shared shingles,
