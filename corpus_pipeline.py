@@ -29,10 +29,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item stay."""
-    found = decontaminate.contaminated(docs, common.table(spark, sf_dir, "benchmark"))
-    found = found.select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    """Documents that hold no benchmark item stay. Rows that share an id, or have none, are told
+    apart by the hash of their text."""
+    found = decontaminate.contaminated(docs, common.table(spark, sf_dir, "benchmark"), texts=True)
+    found = found.select(F.col("doc_id").alias("_hit"), F.col("th").alias("_hit_th")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_hit")) & (F.xxhash64("text") == F.col("_hit_th"))
+    return docs.join(found, same, "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

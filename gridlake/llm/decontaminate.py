@@ -111,7 +111,8 @@ def blocks(fingerprint: Column, radius: int) -> Column:
 
 
 def contaminated(
-    docs: DataFrame, items: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS
+    docs: DataFrame, items: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS,
+    texts: bool = False,
 ) -> DataFrame:
     """(doc_id, item_id, similarity, start, n_words, distance): each document and item with a
     window of similarity ``similarity`` at least, the best window (the first of equals).
@@ -121,7 +122,9 @@ def contaminated(
     ``start`` counts words from 0; ``n_words`` is the size of the window, that of the item or of
     the whole document if that is shorter; ``distance`` is in bits of the fingerprints. Items and
     documents of fewer than ``k`` words, NULL or empty ones included, match nothing. Repeated
-    rows of an id count once; NULL ids are kept as they are. Other columns are ignored."""
+    rows of an id count once; NULL ids are kept as they are. With ``texts``, rows that differ in text
+    are told apart also where they share an id: ``th``, the hash of the text, follows doc_id. Other
+    columns are ignored."""
     items = with_shingles(items.select("item_id", "text"), "text", "item", k).where(F.size("item") > 0).drop("text")
     items = items.distinct().withColumn("ih", F.xxhash64("item"))
     items = cut_lineage(items.withColumn("item_print", simhash(F.col("item"))))
@@ -167,11 +170,12 @@ def contaminated(
     first = F.array_position(F.array(*agree), F.lit(True)) - 1
     near = near.where((F.col("block") == first) & (distance <= radius))
     checked = near.select(
-        "doc_id", "item_id", "start", (F.col("n") + (k - 1)).alias("n_words"), distance.alias("distance"),
+        "doc_id", "th", "item_id", "start", (F.col("n") + (k - 1)).alias("n_words"), distance.alias("distance"),
         likeness(F.col("shared"), F.col("n"), F.col("m")).alias("similarity"),
     )
     order = F.struct("similarity", (-F.col("start")).alias("s"), "n_words", "distance")
-    best = checked.groupBy("doc_id", "item_id").agg(F.max(order).alias("best"))
+    names = ["doc_id", *(["th"] if texts else []), "item_id"]
+    best = checked.groupBy(*names).agg(F.max(order).alias("best"))
     return best.select(
-        "doc_id", "item_id", "best.similarity", (-F.col("best.s")).alias("start"), "best.n_words", "best.distance"
+        *names, "best.similarity", (-F.col("best.s")).alias("start"), "best.n_words", "best.distance"
     )

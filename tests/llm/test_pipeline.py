@@ -67,6 +67,16 @@ def test_stages_keep_the_columns_of_documents(spark, tmp_path):
         assert stage(spark, docs, str(tmp_path)).dtypes == docs.dtypes
 
 
+def test_rows_that_share_an_id_with_a_contaminated_one_stay(spark, tmp_path):
+    tables(spark, str(tmp_path), seed=4)
+    item = spark.read.parquet(f"{tmp_path}/benchmark.parquet").first().text
+    clean = [(None, "a clean text without an id"), (None, None), (7, "another clean text of the same id"), (8, "clean")]
+    rows = [*clean, (None, "before " + item), (7, item + " behind"), (9, item)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_benchmark(spark, docs, str(tmp_path))
+    assert {(r.doc_id, r.text) for r in got.collect()} == set(clean) and got.count() == len(clean)
+
+
 def test_an_empty_table_passes_all_stages(spark, tmp_path):
     tables(spark, str(tmp_path), seed=3)
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet").where("doc_id < 0")
