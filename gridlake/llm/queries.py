@@ -8,7 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as vocabulary
 
-from gridlake.llm import chunk_dedup, decontaminate, huffman_ids, jaccard_join, langid, multi_index, pii, sentencepiece_codec, suffix_dedup, toxicity
+from gridlake.llm import (
+    chunk_dedup,
+    conversation_repair,
+    decontaminate,
+    huffman_ids,
+    jaccard_join,
+    langid,
+    line_runs,
+    merkle,
+    multi_index,
+    pii,
+    sentencepiece_codec,
+    suffix_dedup,
+    toxicity,
+    twins,
+)
 from gridlake.llm.common import table
 from gridlake.session import scratch_path
 
@@ -117,3 +132,18 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
     return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query("op11_conversation_repair", twins.CONVERSATION_REPAIR)
+def conversation_repair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_line_runs", twins.LINE_RUNS)
+def line_runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+@query("op13_merkle", twins.merkle())
+def merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(table(spark, sf_dir, "documents"))
