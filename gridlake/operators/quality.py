@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -168,26 +170,65 @@ def section_headings(df: DataFrame, key: str, text: str, mark: str = SECTION_MAR
 # --- nested documents -------------------------------------------------------------
 
 
+_SHAPE = re.compile(r"`((?:[^`]|``)*)`: |(\w+): |(OBJECT<)|(ARRAY<)|>")
+
+
+def shape_paths(shape: str) -> list[str]:
+    """Dotted key paths in the schema text of one document. What lies inside arrays has none."""
+    out, above, prefix, last, arrays = [], [], "", "", 0
+    for found in _SHAPE.finditer(shape):
+        marked, plain, opens, array = found.groups()
+        if opens or array:
+            above.append((prefix, bool(array)))
+            prefix, arrays = (f"{prefix}{last}." if above[1:] else ""), arrays + bool(array)
+        elif found[0] == ">":
+            prefix, was_array = above.pop()
+            arrays -= was_array
+        else:
+            last = plain if marked is None else marked.replace("``", "`")
+            if not arrays:
+                out.append(prefix + last)
+    return out
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths of the different shapes of a batch, each once for each side."""
+    for batch in batches:
+        found: dict[bool | None, set[str]] = {}
+        known: dict[str, list[str]] = {}
+        for side, shape in set(zip(batch.column("side").to_pylist(), batch.column("shape").to_pylist())):
+            if shape is None or not shape.startswith("OBJECT<"):
+                continue
+            if shape not in known:
+                known[shape] = shape_paths(shape)
+            found.setdefault(side, set()).update(known[shape])
+        rows = [(side, path) for side, paths in found.items() for path in paths]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.bool_()), pa.array([r[1] for r in rows], pa.string())], ["side", "path"])
+
+
+def _side_paths(df: DataFrame, document: str, side: Column) -> DataFrame:
+    """(side, path), each once. Documents are parsed where they lie: a row gives its schema text, a
+    batch the paths of its different schemas, and only paths are shuffled."""
+    shapes = df.select(side.alias("side"), F.schema_of_variant(F.try_parse_json(F.col(document))).alias("shape"))
+    return shapes.mapInArrow(_walked, "side boolean, path string").distinct()
+
+
 def key_paths(df: DataFrame, document: str) -> DataFrame:
     """Distinct dotted key paths of a JSON column, to any depth.
 
-    Level by level: the keys of all objects are listed with what they hold, equal pairs become
-    one, and only objects among them go on. A level is a job that runs when the plan is built.
-    Texts that are not JSON, and anything inside arrays, have no paths."""
-    spark = df.sparkSession
-    level = df.select(F.lit("").alias("above"), F.col(document).alias("inner"))
-    found = []
-    while True:
-        parsed = level.select("above", F.try_parse_json("inner").alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
-        keys = parsed.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(
-            F.concat("above", "key").alias("path"),
-            F.when(F.schema_of_variant("value").startswith("OBJECT"), F.to_json("value")).alias("inner"),
-        )
-        kept = cut_lineage(keys.distinct())
-        found.append(kept.select("path"))
-        level = kept.where("inner is not null").select(F.concat("path", F.lit(".")).alias("above"), "inner")
-        if level.isEmpty():
-            return reduce(DataFrame.union, found).distinct()
+    A path counts if any document has it, whatever it holds elsewhere: the paths below a key that is
+    an object here and a number there stay. Texts that are not JSON, and anything inside arrays,
+    have no paths."""
+    return _side_paths(df, document, F.lit(True)).select("path")
+
+
+def key_path_difference(df: DataFrame, document: str, left: Column) -> DataFrame:
+    """(path, side): paths of only the rows where ``left`` holds (``missing``), or of only the others
+    (``extra``), in one pass. Rows where it is NULL are on neither side."""
+    sides = _side_paths(df.where(left.isNotNull()), document, left)
+    both = sides.groupBy("path").agg(F.bool_and("side").alias("only_left"), F.bool_or("side").alias("any_left"))
+    apart = both.where(F.col("only_left") | ~F.col("any_left"))
+    return apart.select("path", F.when(F.col("only_left"), "missing").otherwise("extra").alias("side"))
 
 
 # --- comparisons ------------------------------------------------------------------

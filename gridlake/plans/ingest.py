@@ -4,20 +4,20 @@ All pending files are one scan and one write per zone. Nothing is shuffled: a sc
 holds splits of source files and writes them under the partition of each source, so a
 file that makes up most of a delivery is written by as many tasks as it has splits.
 
-A ledger table beside the bronze table names the sources that landed, with their row counts,
-and is written last. A run that dies before that point is repeated in full by the next one, and
-because both zones replace by source partition the repeat leaves no duplicates.
+A table is a set of versions (see ``versions``): a run appends its rows and then replaces one view, the
+ledger, by which readers go from the old rows of all its sources to the new ones at once. The ledger
+names the sources that landed, with their row counts. A run that dies before that point has changed
+nothing and is repeated in full by the next one, which removes what it left.
 
 Types are settled once for a run, over all its files, and against the table: a column widens
-(integers to double, anything else that differs to text), it never narrows. How many files are
-committed together has no influence on the result.
+(integers to double where that is exact, anything else that differs to text), it never narrows. How
+many files are committed together has no influence on the result.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from gridlake.functions.headers import coerce_text, normalise_columns, normalise_name
 from gridlake.operators.relational import pending_sources
+from gridlake.plans.versions import VersionedTable, folder_of, literal, quoted, wider_type  # noqa: F401
 from gridlake.session import remove_path
 from gridlake.sources.files import SOURCE_COLUMN, discover_files, literal_path, read_market_csv
 
@@ -52,16 +53,6 @@ class Target:
         return f"{quoted(self.database)}.{quoted((self.table or table_name(folder)) + '__landed')}"
 
 
-def quoted(name: str) -> str:
-    """A name as an SQL identifier, whatever it holds."""
-    return "`" + name.replace("`", "``") + "`"
-
-
-def literal(text: str) -> str:
-    """A text as an SQL string."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def table_name(folder: str) -> str:
     """A folder name as a table name: normalised, all but letters and digits as underscores."""
     return re.sub(r"[^0-9a-z]", "_", normalise_name(folder).lower())
@@ -85,11 +76,10 @@ def ledger(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name).select(SOURCE_COLUMN).distinct()
 
 
-def record_landed(spark: SparkSession, name: str, sources: DataFrame, place: str | None) -> None:
-    """Append (source, rows, run) to the ledger; a source may have entries of several runs."""
-    where = f" LOCATION {literal(place)}" if place else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({SOURCE_COLUMN} STRING, rows BIGINT, run STRING) USING parquet{where}")
-    sources.write.insertInto(name)
+def versioned(spark: SparkSession, target: Target, folder: str) -> VersionedTable:
+    table = target.table or table_name(folder)
+    place = f"{target.location}/{table_name(folder)}" if target.location else None
+    return VersionedTable(spark, target.database, table, place, target.table_format)
 
 
 def write_raw(batch: DataFrame, raw_path: str, folder: str) -> None:
@@ -105,8 +95,7 @@ def write_raw(batch: DataFrame, raw_path: str, folder: str) -> None:
 
 def raw_folder(spark: SparkSession, raw_path: str, folder: str, source: str) -> str:
     """Where the raw zone keeps a source: Spark's own escaping of partition values."""
-    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    return f"{raw_path}/{FOLDER_COLUMN}={escape(folder)}/{SOURCE_COLUMN}={escape(source)}"
+    return f"{raw_path}/{folder_of(spark, FOLDER_COLUMN, folder)}/{folder_of(spark, SOURCE_COLUMN, source)}"
 
 
 def read_raw(spark: SparkSession, raw_path: str, folder: str, schema: T.StructType, sources: list[str]) -> DataFrame:
@@ -121,128 +110,27 @@ def read_raw(spark: SparkSession, raw_path: str, folder: str, schema: T.StructTy
     return spark.read.option("basePath", raw_path).schema(zone).parquet(*paths).drop(FOLDER_COLUMN)
 
 
-# Integer types by width: the wider one holds all values of the narrower.
-_INTEGERS = ("tinyint", "smallint", "int", "bigint")
-
-
-def wider_type(a: str, b: str) -> str:
-    """The type that holds the values of both: never one that cuts any off."""
-    if a == b:
-        return a
-    if a in _INTEGERS and b in _INTEGERS:
-        return max(a, b, key=_INTEGERS.index)
-    numbers = {*_INTEGERS, "float", "double"}
-    return "double" if a in numbers and b in numbers else "string"
-
-
-def settle_types(batch: DataFrame, table: str) -> tuple[DataFrame, dict[str, str]]:
-    """The batch in the types of the table, and the columns of the table that must widen first."""
-    if not batch.sparkSession.catalog.tableExists(table):
-        return batch, {}
-    have = {n.lower(): t for n, t in batch.sparkSession.table(table).dtypes}
-    wanted = {n: wider_type(t, have[n.lower()]) for n, t in batch.dtypes if n.lower() in have}
-    batch = batch.withColumns({n: F.col(quoted(n)).cast(t) for n, t in wanted.items()})
-    return batch, {n.lower(): t for n, t in wanted.items() if t != have[n.lower()]}
-
-
-def _ddl(fields: list[tuple[str, str]]) -> str:
-    return ", ".join(f"{quoted(n)} {t}" for n, t in fields)
-
-
-def _create(spark: SparkSession, table: str, fields: list[tuple[str, str]], place: str, table_format: str) -> None:
-    spark.sql(
-        f"CREATE TABLE {table} ({_ddl(fields)}, {quoted(SOURCE_COLUMN)} STRING) USING {table_format} "
-        f"PARTITIONED BY ({quoted(SOURCE_COLUMN)}) LOCATION {literal(place)}"
-    )
-
+def replace_sources(batch: DataFrame | None, delivered: DataFrame, target: Target, folder: str, run: str | None = None) -> None:
+    """Let the rows of each delivered source take the place of its earlier ones. ``delivered`` has
+    (source, rows); a source without rows loses those it had. ``batch`` is None if no source has any.
 
-def _widen(spark: SparkSession, table: str, types: dict[str, str], table_format: str) -> None:
-    """Rewrite a built-in table with wider columns at a new place, then point its name there.
-
-    Tables have a stated place, so dropping the name removes no file."""
-    old = spark.table(table)
-    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").first()
-    base = re.sub(r"__v-[0-9a-f]{32}$", "", row[0].rstrip("/"))
-    place = f"{base}__v-{uuid.uuid4().hex}"
-    fields = [(n, types.get(n.lower(), t)) for n, t in old.dtypes if n != SOURCE_COLUMN]
-    wide = old.select(*[F.col(quoted(n)).cast(t).alias(n) for n, t in fields], SOURCE_COLUMN)
-    wide.write.partitionBy(SOURCE_COLUMN).format(table_format).save(place)
-    spark.sql(f"DROP TABLE {table}")
-    _create(spark, table, fields, place, table_format)
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-
-
-def _add_missing_columns(spark: SparkSession, table: str, batch: DataFrame) -> None:
-    known = {c.lower() for c in spark.table(table).columns}
-    new = [(n, t) for n, t in batch.dtypes if n.lower() not in known]
-    if new:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_ddl(new)})")
-
-
-def _aligned(batch: DataFrame, table: DataFrame) -> DataFrame:
-    have = {c.lower() for c in batch.columns}
-    return batch.select(
-        *[
-            (F.col(quoted(f.name)) if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in table.schema.fields
-        ]
-    )
-
-
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str):
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
-def replace_sources(batch: DataFrame, table: str, location: str | None = None, table_format: str = "parquet") -> None:
-    """Write the batch so that each of its sources replaces its own earlier rows only.
-
-    Iceberg tables take one atomic ``overwritePartitions`` commit. Built-in tables use
-    dynamic partition overwrite, which swaps whole source partitions. Columns widen where the
-    batch needs it (see ``wider_type``); no value is cut off."""
-    spark = batch.sparkSession
-    if table_format == "iceberg":
+    Built-in tables switch all sources in one statement. An Iceberg table takes one atomic
+    ``overwritePartitions`` commit, then the deletes, then the ledger."""
+    spark = delivered.sparkSession
+    if target.table_format != "iceberg":
+        versioned(spark, target, folder).publish(batch, delivered, run)
+        return
+    table, name = target.full_name(folder), target.ledger_name(folder)
+    if batch is not None:
         if spark.catalog.tableExists(table):
             batch.writeTo(table).option("mergeSchema", "true").overwritePartitions()
         else:
             batch.writeTo(table).using("iceberg").partitionedBy(F.col(SOURCE_COLUMN)).create()
-        return
-    batch, wider = settle_types(batch, table)
-    if not spark.catalog.tableExists(table):
-        place = location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_bronze/{uuid.uuid4().hex}"
-        _create(spark, table, [(n, t) for n, t in batch.dtypes if n != SOURCE_COLUMN], place, table_format)
-    else:
-        if wider:
-            _widen(spark, table, wider, table_format)
-        _add_missing_columns(spark, table, batch)
-    aligned = _aligned(batch, spark.table(table))
-    # ``insertInto`` takes the overwrite mode from the session, not from a write option.
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        aligned.write.mode("overwrite").insertInto(table)
-
-
-def drop_sources(spark: SparkSession, table: str, sources: list[str], table_format: str = "parquet") -> None:
-    """Forget sources whose new delivery has no rows (an overwrite would not see them)."""
-    if not sources or not spark.catalog.tableExists(table):
-        return
-    if table_format == "iceberg":
-        spark.sql(f"DELETE FROM {table} WHERE {quoted(SOURCE_COLUMN)} IN ({', '.join(map(literal, sources))})")
-    else:
-        parts = ", ".join(f"PARTITION ({quoted(SOURCE_COLUMN)} = {literal(s)})" for s in sources)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts} PURGE")
-        # The name is dropped by the statement; the files of a table with a stated place are not.
-        place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").first()[0]
-        for s in sources:
-            escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-            remove_path(spark, f"{place}/{SOURCE_COLUMN}={escape(s)}")
+    empty = [r[0] for r in delivered.where("rows = 0").select(SOURCE_COLUMN).collect()]  # names only
+    if empty and spark.catalog.tableExists(table):
+        spark.sql(f"DELETE FROM {table} WHERE {quoted(SOURCE_COLUMN)} IN ({', '.join(map(literal, empty))})")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({SOURCE_COLUMN} STRING, rows BIGINT, run STRING) USING iceberg")
+    delivered.select(SOURCE_COLUMN, "rows", F.lit(run or uuid.uuid4().hex).alias("run")).writeTo(name).append()
 
 
 def create_database(spark: SparkSession, target: Target) -> None:
@@ -263,16 +151,14 @@ def _land(spark: SparkSession, files: list, folder: str, target: Target, sep: st
         remove_path(spark, raw_folder(spark, target.raw_path, folder, source))
     # From here the cleaned Parquet copy is the input: the delimited text is parsed once.
     batch = read_raw(spark, target.raw_path, folder, cleaned.schema, sorted(filled))
-    table = target.full_name(folder)
-    place = f"{target.location}/{table_name(folder)}" if target.location else None
-    if filled:  # without rows there are no types to make a table of
-        replace_sources(batch, table, place, target.table_format)
-    drop_sources(spark, table, empty, target.table_format)
-    counts = spark.createDataFrame([(s,) for s in sources], f"{SOURCE_COLUMN} STRING").join(
-        batch.groupBy(SOURCE_COLUMN).agg(F.count("*").alias("rows")), SOURCE_COLUMN, "left"
-    )
-    landed = counts.select(SOURCE_COLUMN, F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), F.lit(run).alias("run"))
-    record_landed(spark, target.ledger_name(folder), landed, place and f"{place}__landed")
+    replace_sources(batch if filled else None, row_counts(spark, sources, batch), target, folder, run)
+
+
+def row_counts(spark: SparkSession, sources: list[str], batch: DataFrame) -> DataFrame:
+    """(source, rows) of every source, 0 for one without rows."""
+    found = batch.groupBy(SOURCE_COLUMN).agg(F.count("*").alias("rows"))
+    every = spark.createDataFrame([(s,) for s in sources], f"{SOURCE_COLUMN} STRING").join(found, SOURCE_COLUMN, "left")
+    return every.select(SOURCE_COLUMN, F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
 
 
 def ingest_folder(
@@ -292,6 +178,8 @@ def ingest_folder(
     listing) pass through the driver. ``force`` reloads landed files too. Without ``schema`` the
     types are inferred once, over all pending files, before any of them is committed."""
     create_database(spark, target)
+    if target.table_format != "iceberg":
+        versioned(spark, target, folder).repair()
     found = discover_files(spark, f"{landing}/{folder}", pattern).withColumnRenamed("file_name", SOURCE_COLUMN)
     landed = ledger(spark, target.ledger_name(folder))
     files = pending_sources(found, landed, SOURCE_COLUMN, force).orderBy(SOURCE_COLUMN).collect()

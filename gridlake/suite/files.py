@@ -10,6 +10,7 @@ from gridlake.functions.headers import coerce_text, normalise_columns
 from gridlake.plans.ingest import SOURCE_COLUMN, Target, audit, ingest_folder
 from gridlake.session import scratch_path
 from gridlake.sources import files as s
+from gridlake.sources.dialects import read_sniffed
 from gridlake.suite.registry import query, table
 
 # Events with the raw headers of a market publication.
@@ -53,6 +54,23 @@ def inferred_csv(spark, sf):
     return df.withColumn("c_custkey", F.col("c_custkey").cast("long"))
 
 
+_SNIFFED_SQL = """SELECT c_custkey, c_name || ', ' || c_mktsegment || '; ' || c_nationkey AS who, c_acctbal FROM customer"""
+
+
+@query("src_csv_sniffed", _SNIFFED_SQL)
+def sniffed_csv(spark, sf):
+    """Customers in files of four dialects, told apart by what stands in them."""
+    path = scratch_path(spark, "src_csv_sniffed")
+    who = F.concat("c_name", F.lit(", "), "c_mktsegment", F.lit("; "), F.col("c_nationkey").cast("string"))
+    rows = table(spark, sf, "customer").select("c_custkey", who.alias("who"), F.col("c_acctbal").cast("string").alias("c_acctbal"))
+    comma = F.replace("c_acctbal", F.lit("."), F.lit(","))
+    dialects = [(";", '"', comma), (",", '"', F.col("c_acctbal")), ("\t", '"', comma), ("|", "'", F.col("c_acctbal"))]
+    for i, (sep, quote, balance) in enumerate(dialects):
+        part = rows.where(F.col("c_custkey") % len(dialects) == i).withColumn("c_acctbal", balance)
+        part.write.mode("append").csv(path, sep=sep, quote=quote, header=True)
+    return read_sniffed(spark, path).select("c_custkey", "who", "c_acctbal")
+
+
 @query("src_discover", "SELECT DISTINCT 'area=' || event_type AS folder, true AS has_files FROM events")
 def discover(spark, sf):
     path = _write_market_csv(spark, sf, "src_discover", by_area=True)

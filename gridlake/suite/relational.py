@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridlake.operators import relational as r
-from gridlake.operators.quality import key_paths
+from gridlake.operators.quality import key_path_difference, key_paths
 from gridlake.suite.registry import query, table
 
 
@@ -123,9 +123,19 @@ def flat_paths(spark, sf):
        UNION ALL SELECT path, 'extra' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""",
 )
 def symmetry(spark, sf):
-    documents = _nested_events(spark, sf)
-    small, large = documents.filter("value < 10"), documents.filter("value >= 10")
-    return r.set_difference(key_paths(small, "document"), key_paths(large, "document"), "path")
+    return key_path_difference(_nested_events(spark, sf), "document", F.col("value") < 10)
+
+
+@query(
+    "set_keypaths_mixed",
+    f"""WITH {_NESTED_SQL} SELECT DISTINCT path FROM paths WHERE NOT (path LIKE 'user%' AND small)
+        UNION SELECT 'user' FROM events""",
+)
+def mixed_paths(spark, sf):
+    """The user is an object in some documents and a number in the others."""
+    plain = F.regexp_replace("document", r'"user":\{.*\}\}$', '"user":1}')
+    document = F.when(F.col("value") < 10, plain).otherwise(F.col("document"))
+    return key_paths(_nested_events(spark, sf).select(document.alias("document")), "document")
 
 
 @query(

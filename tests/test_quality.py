@@ -59,3 +59,19 @@ def test_key_paths_of_any_depth_and_odd_documents(spark):
     got = {r.path for r in q.key_paths(spark.createDataFrame([(d,) for d in docs], "doc string"), "doc").collect()}
     want = {".".join(["a"] * i) for i in range(1, 31)} | {"l", "s", "flat", "sp", "sp.k", "e"}
     assert got == want
+
+
+def test_key_paths_with_odd_names_and_changing_kinds(spark):
+    docs = ['{"a":1,"b c":{"x":{}},"d`e":{"1":[{"z":{"q":1}}]},"é":{"k":null,"a.b":"s"},"A<B>: C":{"t":true}}',
+            '{"a":{"n":{"m":[1,"x",{"p":1}]}},"select":{"1a":1,"_b":2.5}}', '{"":{"y":2}}', '{"a":[{"n":2}]}']
+    df = spark.createDataFrame([(d, i < 2) for i, d in enumerate(docs)], "doc string, first boolean")
+    want = {"a", "b c", "b c.x", "d`e", "d`e.1", "é", "é.k", "é.a.b", "A<B>: C", "A<B>: C.t", "a.n", "a.n.m", "select", "select.1a", "select._b"}
+    assert {r.path for r in q.key_paths(df, "doc").collect()} == want | {"", ".y"}
+    apart = {tuple(r) for r in q.key_path_difference(df, "doc", F.col("first")).collect()}
+    assert apart == {(p, "missing") for p in want - {"a"}} | {("", "extra"), (".y", "extra")}
+
+
+def test_only_paths_are_shuffled(spark):
+    df = spark.createDataFrame([('{"a":{"b":1}}',)], "doc string")
+    plan = q.key_paths(df, "doc")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(side" in plan and plan.count("parseJson") == 1
