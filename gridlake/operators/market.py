@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.values import (
@@ -23,8 +23,12 @@ from gridlake.operators.windows import (
     centred_mean_column,
     cumulative_share_column,
     dense_rank_column,
+    in_ranges,
+    match_keys,
+    running_total,
     share_column,
 )
+from gridlake.session import small_side
 
 # Delivery interval in minutes, bin width, and the one conversion rate.
 INTERVAL_MINUTES = 15
@@ -108,6 +112,76 @@ def dwell_at_minimum(
     )
 
 
+def periods_covered(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """(keys, spells, seconds, first_seen, last_seen): the union of the half-open periods [start, end) of
+    each group. Time that several periods cover counts once; periods that touch are one spell.
+
+    Rows are dealt out by range of (keys, start), so a group of any size is spread over many tasks. A
+    row adds what lies behind the largest end before it, and that end comes from the row's own range
+    and from one row for each earlier range. Rows without a start or end, or of no length, are left out."""
+    rows = df.where(F.col(start) < F.col(end)).groupBy(*keys, F.col(start).alias("_start")).agg(F.max(end).alias("_end"))
+    group = rows.select(F.struct(*keys).alias("_group"), "_start", "_end")
+    ranges = in_ranges(group, "_group", ["_start"])
+    ends = ranges.groupBy("_group", "_block").agg(F.max("_end").alias("_end"))
+    earlier = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = small_side(ends.select("_group", "_block", F.max("_end").over(earlier).alias("_carried")))
+    inside = Window.partitionBy("_group", "_block").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    joined = match_keys(ranges.withColumn("_own", F.max("_end").over(inside)), carried, ["_group", "_block"])
+    before = F.greatest("_own", "_carried")
+    uncovered = F.timestamp_diff("MICROSECOND", F.greatest("_start", before), F.col("_end"))
+    added = F.greatest(uncovered, F.lit(0).cast("long"))
+    opens = (before.isNull() | (F.col("_start") > before)).cast("long")
+    cut = joined.select("_group", "_start", "_end", added.alias("_added"), opens.alias("_opens"))
+    return cut.groupBy("_group").agg(
+        F.sum("_opens").alias("spells"), (F.sum("_added") / 1e6).alias("seconds"), F.min("_start").alias("first_seen"), F.max("_end").alias("last_seen")
+    ).select("_group.*", "spells", "seconds", "first_seen", "last_seen")
+
+
+def dwell_periods(df: DataFrame, area: str, price: str, start: str, end: str) -> DataFrame:
+    """How long each area stood at its own lowest price, from the periods themselves: simultaneous bids
+    count once, and a period counts as long as it is."""
+    rows = df.where(F.col(price).isNotNull() & F.col(area).isNotNull())
+    lowest = small_side(rows.groupBy(area).agg(F.min(price).alias("_lowest")))
+    held = match_keys(rows, lowest, [area]).where(F.col(price) == F.col("_lowest"))
+    found = periods_covered(held, [area, price], start, end)
+    return found.select(
+        area, price, "spells", F.round(F.col("seconds") / 60, 2).alias("total_minutes"), F.round(F.col("seconds") / 3600, 2).alias("total_hours"), "first_seen", "last_seen"
+    )
+
+
+def capacity_over_time(
+    df: DataFrame,
+    area: str,
+    unit: list[str],
+    fuel: str,
+    capacity: str,
+    status: str,
+    valid_from: str,
+    valid_to: str,
+    commissioned: str = "COMMISSIONED",
+) -> DataFrame:
+    """(country, fuel_type, since, total_mw): installed capacity per fuel and area as a step function;
+    each row holds until the next of its country and fuel.
+
+    Validities become signed changes. A unit that is listed several times at once counts while at
+    least one listing holds: changes of the number of its listings are added up, and only those from
+    and to none change the capacity. Both running sums work in ranges, so neither a unit with very
+    many listings nor a country with very many units is ever in one task."""
+    at = lambda c: F.col(c).try_cast("timestamp_ntz")
+    listed = df.where(F.col(fuel).isNotNull() & (F.col(capacity) > 0) & (F.col(status) == commissioned) & at(valid_from).isNotNull())
+    listed = listed.where(at(valid_to).isNull() | (at(valid_to) > at(valid_from)))
+    ends = F.array(F.struct(at(valid_from).alias("since"), F.lit(1).alias("change")), F.struct(at(valid_to).alias("since"), F.lit(-1).alias("change")))
+    one = F.struct(F.col(area).alias("country"), F.col(fuel).alias("fuel_type"), F.col(capacity).alias("capacity"), *unit)
+    changes = listed.select(one.alias("unit"), F.inline(ends)).where(F.col("since").isNotNull())
+    changes = changes.groupBy("unit", "since").agg(F.sum("change").alias("change")).where("change <> 0")
+    counted = running_total(changes, "unit", ["since"], "change", out="listings")
+    step = F.when(F.col("listings") == F.col("change"), F.col("unit.capacity")).when(F.col("listings") == 0, -F.col("unit.capacity"))
+    steps = counted.select(F.struct("unit.country", "unit.fuel_type").alias("fuels"), "since", step.alias("mw")).where(F.col("mw").isNotNull())
+    steps = steps.groupBy("fuels", "since").agg(F.sum("mw").alias("mw")).where("mw <> 0")
+    total = running_total(steps, "fuels", ["since"], "mw", out="total_mw")
+    return total.select("fuels.country", "fuels.fuel_type", "since", "total_mw")
+
+
 def level_frequency(df: DataFrame, area: str, only_area: str, price: str, start: str, k: int = 20) -> DataFrame:
     """How often each negative price level occurs in one area, lowest first."""
     rows = df.filter((F.col(area) == only_area) & (F.col(price) < 0))
@@ -234,6 +308,11 @@ def price_bins(
         F.col(zone).alias("bidding_zone"),
         bin_floor(converted_price(price, currency, rates), width).alias("price_bin_eur"),
     ).agg(F.count("*").alias("hours_count"))
+    return bin_shares(bins)
+
+
+def bin_shares(bins: DataFrame) -> DataFrame:
+    """Shares, running shares and smoothed counts of (bidding_zone, price_bin_eur, hours_count)."""
     at = ("hours_count", "bidding_zone", "price_bin_eur")
     return bins.select(
         "bidding_zone",

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.text import (
@@ -19,8 +19,8 @@ from gridlake.functions.text import (
     strip,
     strip_all,
 )
-from gridlake.operators.windows import match_keys
-from gridlake.session import cut_lineage
+from gridlake.operators.windows import in_ranges, match_keys
+from gridlake.session import cut_lineage, small_side
 
 # Shortest text looked at, shortest description, and the token pattern.
 MIN_DUPLICATE_CHARS = 100
@@ -246,14 +246,29 @@ def schema_diff(left: DataFrame, right: DataFrame) -> list[tuple[str, str | None
     return [(c, a.get(c), b.get(c)) for c in dict.fromkeys([*a, *b]) if a.get(c) != b.get(c)]
 
 
-def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: float = 0.0) -> DataFrame:
+def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """Rows with their place (from 1) inside their key. Ranges of rows are numbered one by one, and
+    equal rows are told apart by where they were read, so a key of any size stays spread."""
+    rows = df.withColumns({"_group": F.struct(*keys), "_read": F.monotonically_increasing_id()})
+    ranges = in_ranges(rows, "_group", [*order, "_read"])
+    sizes = ranges.groupBy("_group", "_block").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = small_side(sizes.select("_group", "_block", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")))
+    inside = F.row_number().over(Window.partitionBy("_group", "_block").orderBy(*order, "_read"))
+    joined = match_keys(ranges.withColumn("_nth", inside), before, ["_group", "_block"])
+    return joined.withColumn(out, F.col("_nth") + F.col("_before")).drop("_group", "_block", "_read", "_nth", "_before")
+
+
+def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: float = 0.0, pair_repeated: bool = False) -> DataFrame:
     """``(keys, column, left_value, right_value, left_rows, right_rows)`` where tables differ.
 
     Rows are matched by key, NULL equal to NULL. A key that one side lacks, or holds another
     number of times, gives one row whose column is NULL. Values of a key held once on both sides
     are compared column by column: numbers with a relative tolerance, NULL equal to NULL. Keys
-    held several times alike are compared by how often each row occurs (without tolerance).
-    Nothing is collected; both sides are aggregated by key and joined."""
+    held several times alike are compared by how often each row occurs (without tolerance) or, with
+    ``pair_repeated``, row by row: the rows of such a key are put in the order of their exact columns,
+    then of their floating ones, on both sides, and those at the same place are compared with the
+    tolerance. Nothing is collected; both sides are aggregated by key and joined."""
     shared = [c for c in left.columns if c in right.columns and c not in keys]
     numeric = {f.name for f in left.schema.fields if f.dataType.typeName() in ("double", "float")}
 
@@ -276,12 +291,32 @@ def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance
         return F.struct(column.cast("string").alias("column"), a.alias("left_value"), b.alias("right_value"))
 
     none = F.lit(None).cast("string")
-    counts = F.when((n_left != n_right) | ((n_left > 1) & (F.col("l.h") != F.col("r.h"))), entry(none, none, none))
-    differing = [counts]
-    for c in shared:
-        a, b = F.col(f"l.v.{c}"), F.col(f"r.v.{c}")
-        near = F.abs(a - b) <= tolerance * F.greatest(F.abs(a), F.abs(b)) if c in numeric else F.lit(False)
-        same = a.eqNullSafe(b) | F.coalesce(near, F.lit(False))
-        differing.append(F.when((n_left == 1) & (n_right == 1) & ~same, entry(F.lit(c), text(f"l.v.{c}"), text(f"r.v.{c}"))))
-    rows = both.select(*keys, n_left.alias("left_rows"), n_right.alias("right_rows"), F.inline(F.array_compact(F.array(*differing))))
-    return rows.select(*keys, "column", "left_value", "right_value", "left_rows", "right_rows")
+    apart = (n_left == n_right) & (n_left > 1) & (F.col("l.h") != F.col("r.h"))
+
+    def cells(a: str, b: str, held: Column) -> list[Column]:
+        out = []
+        for c in shared:
+            x, y = F.col(f"{a}.{c}"), F.col(f"{b}.{c}")
+            near = F.abs(x - y) <= tolerance * F.greatest(F.abs(x), F.abs(y)) if c in numeric else F.lit(False)
+            same = x.eqNullSafe(y) | F.coalesce(near, F.lit(False))
+            out.append(F.when(held & ~same, entry(F.lit(c), text(f"{a}.{c}"), text(f"{b}.{c}"))))
+        return out
+
+    def listed(rows: DataFrame, differing: list[Column]) -> DataFrame:
+        found = rows.select(*keys, n_left.alias("left_rows"), n_right.alias("right_rows"), F.inline(F.array_compact(F.array(*differing))))
+        return found.select(*keys, "column", "left_value", "right_value", "left_rows", "right_rows")
+
+    counts = F.when((n_left != n_right) | (F.lit(not pair_repeated) & apart), entry(none, none, none))
+    found = listed(both, [counts, *cells("l.v", "r.v", (n_left == 1) & (n_right == 1))])
+    if not pair_repeated or not shared:
+        return found
+    repeated = small_side(both.where(apart).select(*keys, F.struct("l.n").alias("l"), F.struct("r.n").alias("r")))
+    order = [c for c in shared if c not in numeric] + [c for c in shared if c in numeric]
+
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        rows = match_keys(df.select(*keys, *shared), repeated.select(*keys), list(keys), "left_semi")
+        return row_positions(rows, keys, order, "_place").select(*keys, "_place", F.struct(*shared).alias(name))
+
+    pairs = match_keys(placed(left, "a"), placed(right, "b"), [*keys, "_place"])
+    pairs = match_keys(pairs, repeated, list(keys))
+    return found.unionByName(listed(pairs, cells("a", "b", F.lit(True))))

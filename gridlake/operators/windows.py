@@ -21,6 +21,10 @@ from gridlake.functions.values import percent
 from gridlake.session import cut_lineage, small_side
 
 
+#: Ranges for each shuffle partition.
+RANGES = 4
+
+
 def _ordered(key: str, order: str) -> WindowSpec:
     return Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last())
 
@@ -69,8 +73,12 @@ def share_of_total(df: DataFrame, key: str, value: str, out: str = "share_pct",
 
 def in_ranges(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Rows with ``_block``: the range of (key, order) they lie in, all ranges of about the same
-    size. Materialised (a job when the plan is built), so that ranges stay what they are."""
-    return cut_lineage(df.repartitionByRange(key, *order).withColumn("_block", F.spark_partition_id()))
+    size. Materialised (a job when the plan is built), so that ranges stay what they are.
+
+    There are several ranges for each shuffle partition: windows deal whole ranges out by hash, and
+    many small ones even out where a few large ones would meet by chance."""
+    ranges = RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(ranges, key, *order).withColumn("_block", F.spark_partition_id()))
 
 
 def dense_ranks(df: DataFrame, key: str, value: str, out: str = "rank") -> DataFrame:

@@ -171,23 +171,25 @@ class VersionedTable:
     def publish(self, batch: DataFrame | None, delivered: DataFrame, run: str | None = None) -> None:
         """One version further. ``delivered`` has (source, rows) of every source of the delivery; ``batch``
         holds their rows, or is None if there are none. A source without rows keeps its entry and loses
-        the rows it had."""
-        run = run or uuid.uuid4().hex
+        the rows it had. Where each source has a run of its own, ``delivered`` and ``batch`` name it."""
+        run, own_runs = F.lit(run or uuid.uuid4().hex), "run" in delivered.columns
         self._prepare()
         generation = 0
         fields = self.fields()
         if batch is not None:
-            settled = self.settled(batch)
-            generation = self._generation(batch, settled)
+            row_run = F.col(RUN_COLUMN) if own_runs else run
+            settled = self.settled(batch.drop(RUN_COLUMN))
+            generation = self._generation(batch.drop(RUN_COLUMN), settled)
             have = {c.lower(): c for c in batch.columns}
             target = self.spark.table(self.named(f"__g{generation}"))
             columns = [
                 (F.col(quoted(have[f.name.lower()])).cast(f.dataType) if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name)
                 for f in target.schema.fields if f.name not in (RUN_COLUMN, SOURCE_COLUMN)
             ]
-            appended(batch.select(*columns, F.lit(run).alias(RUN_COLUMN), SOURCE_COLUMN), self.named(f"__g{generation}"))
+            appended(batch.select(*columns, row_run.alias(RUN_COLUMN), SOURCE_COLUMN), self.named(f"__g{generation}"))
         version = uuid.uuid4().hex
-        new = delivered.select(SOURCE_COLUMN, F.col("rows").cast("long").alias("rows"), F.lit(run).alias("run"), F.lit(generation).alias("generation"))
+        list_run = F.col("run") if own_runs else run.alias("run")
+        new = delivered.select(SOURCE_COLUMN, F.col("rows").cast("long").alias("rows"), list_run, F.lit(generation).alias("generation"))
         old = self.landed().join(new.select(SOURCE_COLUMN), SOURCE_COLUMN, "left_anti").select(*new.columns)
         appended(old.union(new).withColumn("version", F.lit(version)), self.versions)
         if batch is not None:

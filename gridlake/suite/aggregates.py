@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridlake.operators import sketches
 from gridlake.operators.relational import valid_at
+from gridlake.operators.sketches import profile
 from gridlake.operators.windows import match_keys
+from gridlake.session import scratch_path
 from gridlake.suite.registry import query, table
 
 
@@ -102,6 +105,60 @@ def distinct_approx_error(spark, sf):
     return both.select("l_returnflag", "n_orders", close.alias("close"))
 
 
+_VISITS_SQL = """visits AS (
+  SELECT event_type AS area, CAST(ts AS DATE) AS day, event_id * 7919 % 20011 AS visitor, dayofmonth(ts) <= 15 AS early FROM events),
+met AS (SELECT area, visitor, bool_or(early) AS early, bool_or(NOT early) AS late FROM visits GROUP BY area, visitor)"""
+
+
+@query(
+    "distinct_sketch_merge",
+    f"""WITH {_VISITS_SQL}
+        SELECT area, count(*) AS n_any, count(*) FILTER (early AND late) AS n_both, count(*) FILTER (early AND NOT late) AS n_early_only,
+               true AS any_close, true AS both_close, true AS early_only_close FROM met GROUP BY area""",
+)
+def sketch_merge(spark, sf):
+    """Sketches are kept per area and day. Unions, intersections and differences of the halves of
+    months come from them alone; each is held against the exact count: within five standard errors of
+    the union."""
+    visitor = (F.col("event_id") * 7919 % 20011).alias("visitor")
+    visits = table(spark, sf, "events").select(F.col("event_type").alias("area"), F.to_date("ts").alias("day"), visitor)
+    path = scratch_path(spark, "sketches")
+    sketches.distinct_sketches(visits, ["area", "day"], "visitor").write.parquet(path)
+    kept, early = spark.read.parquet(path), F.dayofmonth("day") <= 15
+    sides = [sketches.united_sketches(kept.where(w), ["area"], out=n) for w, n in ((early, "a"), (~early, "b"))]
+    merged = match_keys(*sides, ["area"]).select(
+        "area", sketches.distinct_in(F.theta_union("a", "b")).alias("s_any"),
+        sketches.distinct_in_both("a", "b").alias("s_both"), sketches.distinct_in_first_only("a", "b").alias("s_early_only"),
+    )
+    met = visits.groupBy("area", "visitor").agg(F.bool_or(early).alias("early"), F.bool_or(~early).alias("late"))
+    exact = met.groupBy("area").agg(
+        F.count("*").alias("n_any"), F.count_if(F.col("early") & F.col("late")).alias("n_both"),
+        F.count_if(F.col("early") & ~F.col("late")).alias("n_early_only"),
+    )
+    bound = 5 * F.col("n_any") / 2 ** (sketches.THETA_LOG / 2)
+    close = [(F.abs(F.col(f"s_{c}") - F.col(f"n_{c}")) <= bound).alias(f"{c}_close") for c in ("any", "both", "early_only")]
+    return match_keys(exact, merged, ["area"]).select("area", "n_any", "n_both", "n_early_only", *close)
+
+
+@query(
+    "agg_exact_sum",
+    """WITH cells AS (
+         SELECT l_returnflag, CAST(l_extendedprice AS DECIMAL(18, 2)) * CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END AS price FROM lineitem)
+       SELECT l_returnflag, CAST(round(sum(price), 2) AS DOUBLE) AS total, true AS same_in_any_order FROM cells GROUP BY l_returnflag""",
+)
+def exact_sum(spark, sf):
+    """Prices of alternating sign beside huge amounts that cancel, dealt out in two ways."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    sign = F.when(F.col("l_linenumber") % 2 == 0, -1.0).otherwise(1.0)
+    huge = F.array(F.lit(0.0), F.lit(1e17), F.lit(-1e17))
+    rows = lines.select("l_returnflag", "l_orderkey", (F.col("l_extendedprice") * sign).alias("price"), F.explode(huge).alias("huge"))
+    cells = rows.select("l_returnflag", "l_orderkey", F.when(F.col("huge") == 0, F.col("price")).otherwise(F.col("huge")).alias("price"))
+    one = sketches.exact_sums(cells, ["l_returnflag"], "price")
+    other = sketches.exact_sums(cells.repartition(7, "l_orderkey"), ["l_returnflag"], "price", out="other")
+    both = match_keys(one, other, ["l_returnflag"])
+    return both.select("l_returnflag", F.round("total", 2).alias("total"), (F.col("total") == F.col("other")).alias("same_in_any_order"))
+
+
 @query(
     "agg_avg_all",
     """SELECT o_orderpriority, round(avg(o_orderkey), 4) AS o_orderkey, round(avg(o_custkey), 4) AS o_custkey,
@@ -134,14 +191,14 @@ def _profile_sql() -> str:
 @query("agg_describe", _profile_sql())
 def describe(spark, sf):
     """Every numeric and text column (dates are not part of this profile)."""
-    profile = table(spark, sf, "lineitem").select(*_LINE_NUMBERS, *_LINE_TEXTS).describe()
+    found = profile(table(spark, sf, "lineitem"), [*_LINE_NUMBERS, *_LINE_TEXTS], shares=())
     numbers = [F.round(F.col(c).cast("double"), 4).alias(c) for c in _LINE_NUMBERS]
-    return profile.select("summary", *numbers, *_LINE_TEXTS)
+    return found.select("summary", *numbers, *_LINE_TEXTS)
 
 
 @query("agg_summary")
 def summary(spark, sf):
-    return table(spark, sf, "lineitem").summary()
+    return profile(table(spark, sf, "lineitem"))
 
 
 @query(
@@ -151,7 +208,7 @@ def summary(spark, sf):
 def summary_error(spark, sf):
     """Ranks of the profile's quartiles of the price: within one in a hundred of exact ones."""
     lines = table(spark, sf, "lineitem").select("l_extendedprice")
-    wanted = lines.summary("25%", "50%", "75%").select(F.col("summary").alias("label"), F.col("l_extendedprice").cast("double").alias("q"))
+    wanted = profile(lines).where("summary like '%\\%'").select(F.col("summary").alias("label"), F.col("l_extendedprice").cast("double").alias("q"))
     marks = {r.label: r.q for r in wanted.collect()}  # three numbers
     shares = lines.agg(*[F.avg((F.col("l_extendedprice") <= q).cast("double")).alias(label) for label, q in marks.items()])
     rows = shares.select(F.inline(F.array(*[F.struct(F.lit(k).alias("label"), (F.abs(F.col(k) - float(k[:-1]) / 100) <= 0.01).alias("close")) for k in marks])))

@@ -208,3 +208,20 @@ def ingest_bronze(spark, sf):
     """First run, a repeat that finds nothing to do, and a forced reload: same rows."""
     target = _ingest(spark, sf, "ingest_bronze", [False, False, True])
     return spark.table(target.full_name("Prices_r3")).drop(SOURCE_COLUMN)
+
+
+@query(
+    "ingest_whole_numbers",
+    """SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 2 = 0 THEN CAST(9007199254740993 + o_orderkey AS VARCHAR)
+              ELSE CAST(o_orderkey AS VARCHAR) || '.5' END AS price FROM orders""",
+)
+def ingest_whole_numbers(spark, sf):
+    """Whole numbers that a double would round, then fractions: the column turns to text, digit for digit."""
+    base = scratch_path(spark, "ingest_whole")
+    target = Target(f"{base}/raw", database=f"bronze_{base[-32:]}", location=f"{base}/bronze")
+    key = F.col("o_orderkey")
+    for part, price in ((0, F.lit(9007199254740993) + key), (1, F.concat(key.cast("string"), F.lit(".5")))):
+        rows = table(spark, sf, "orders").where(key % 2 == part).select(key.alias("Order Id"), price.alias("Price"))
+        rows.write.mode("append").csv(f"{base}/landing/Whole", sep=";", header=True)
+        ingest_folder(spark, f"{base}/landing", "Whole", target)
+    return spark.table(target.full_name("Whole")).select(F.col("order_id").cast("long").alias("order_id"), "price")

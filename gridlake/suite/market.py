@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from gridlake.operators import maintained
 from gridlake.operators import market as m
+from gridlake.plans.versions import VersionedTable
+from gridlake.session import scratch_path
+from gridlake.sources.files import SOURCE_COLUMN
 from gridlake.suite.registry import query
 from gridlake.suite.standins import BIDS_SQL, PRICES_SQL, UNITS_SQL, bids, prices, units
 
@@ -205,3 +211,94 @@ def price_window(spark, sf):
     return m.price_window(
         prices(spark, sf), "zone", "view", "instant", ["instant", "price"], "2024-01-10", "2024-01-20", "Europe/Brussels"
     )
+
+
+@query(
+    "a07_dwell_periods",
+    f"""WITH {BIDS_SQL}, held AS (
+      SELECT area, price, period_start AS s, period_start + INTERVAL 15 MINUTE * (1 + event_id % 5) AS e
+      FROM bids b WHERE price = (SELECT min(price) FROM bids f WHERE f.area = b.area)),
+    marked AS (
+      SELECT *, max(e) OVER (PARTITION BY area ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM held),
+    spells AS (
+      SELECT *, sum(CASE WHEN before IS NULL OR s > before THEN 1 ELSE 0 END) OVER (PARTITION BY area ORDER BY s, e) AS spell FROM marked),
+    merged AS (SELECT area, price, spell, min(s) AS s, max(e) AS e FROM spells GROUP BY ALL)
+    SELECT area, price, count(*) AS spells, round(sum(epoch(e - s)) / 60, 2) AS total_minutes,
+           round(sum(epoch(e - s)) / 3600, 2) AS total_hours, min(s) AS first_seen, max(e) AS last_seen
+    FROM merged GROUP BY area, price""",
+)
+def dwell_periods(spark, sf):
+    """Bids of one to five intervals each; many hold at the same time."""
+    rows = bids(spark, sf)
+    later = F.col("period_start") + F.make_dt_interval(F.lit(0), F.lit(0), (15 * (1 + F.col("event_id") % 5)).cast("int"))
+    return m.dwell_periods(rows.withColumn("period_end", later), "area", "price", "period_start", "period_end")
+
+
+@query(
+    "a11_capacity_over_time",
+    f"""WITH {UNITS_SQL}, listed AS (
+      SELECT area, l_suppkey, l_partkey, fuel, capacity, CAST(valid_from AS TIMESTAMP) AS f, CAST(valid_to AS TIMESTAMP) AS t
+      FROM units WHERE fuel IS NOT NULL AND capacity > 0 AND status = 'COMMISSIONED'),
+    ends AS (
+      SELECT area, l_suppkey, l_partkey, fuel, capacity, f AS since, 1 AS change FROM listed WHERE t IS NULL OR t > f
+      UNION ALL SELECT area, l_suppkey, l_partkey, fuel, capacity, t, -1 FROM listed WHERE t > f),
+    summed AS (SELECT area, l_suppkey, l_partkey, fuel, capacity, since, sum(change) AS change FROM ends GROUP BY ALL HAVING sum(change) <> 0),
+    counted AS (
+      SELECT *, sum(change) OVER (PARTITION BY area, l_suppkey, l_partkey, fuel, capacity ORDER BY since) AS listings FROM summed),
+    steps AS (
+      SELECT area, fuel, since, sum(CASE WHEN listings = 0 THEN -capacity ELSE capacity END) AS mw
+      FROM counted WHERE listings = 0 OR listings = change GROUP BY ALL HAVING sum(CASE WHEN listings = 0 THEN -capacity ELSE capacity END) <> 0)
+    SELECT area AS country, fuel AS fuel_type, since,
+           CAST(sum(mw) OVER (PARTITION BY area, fuel ORDER BY since) AS BIGINT) AS total_mw FROM steps""",
+)
+def capacity_over_time(spark, sf):
+    return m.capacity_over_time(
+        units(spark, sf), "area", ["l_suppkey", "l_partkey"], "fuel", "capacity", "status", "valid_from", "valid_to"
+    )
+
+
+# Prices by delivery: the weekday names the source. Two sources are replaced by other rows.
+_SOURCED_SQL = PRICES_SQL + """, sourced AS (
+  SELECT zone, instant, currency, CASE WHEN dayofweek(instant) IN (1, 3) THEN price + 7.0 ELSE price END AS price
+  FROM prices WHERE dayofweek(instant) <> 3 OR currency IS NOT NULL)"""
+
+
+def maintained_prices(spark, sf):
+    """A table of seven sources and its bins, before and after two of the sources were replaced."""
+    base = scratch_path(spark, "maintained")
+    database = f"bronze_{base[-32:]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    rows = VersionedTable(spark, database, "prices", f"{base}/prices")
+    bins = maintained.price_bins(rows, VersionedTable(spark, database, "price_bins", f"{base}/price_bins"), "zone", "price", "currency")
+    day = F.dayofweek("instant") - 1
+    sourced = prices(spark, sf).withColumn(SOURCE_COLUMN, F.concat(F.lit("day "), day.cast("string"), F.lit(".csv")))
+
+    def deliver(batch):
+        counts = batch.groupBy(SOURCE_COLUMN).agg(F.count("*").alias("rows"))
+        rows.publish(batch, counts)
+
+    deliver(sourced)
+    first = bins.refresh()
+    again = sourced.where(day.isin(1, 3)).withColumn("price", F.col("price") + 7.0).where((day != 3) | F.col("currency").isNotNull())
+    deliver(again)
+    return bins, first, bins.refresh()
+
+
+@query(
+    "a14_maintained",
+    f"""WITH {_SOURCED_SQL}, bins AS (
+      SELECT zone AS bidding_zone, CAST(floor(({_EUR_SQL}) / 10.0) * 10 AS INTEGER) AS price_bin_eur,
+             count(*) AS hours_count
+      FROM sourced GROUP BY 1, 2)
+    SELECT bidding_zone, price_bin_eur, hours_count,
+           round(100.0::DOUBLE * hours_count / sum(hours_count) OVER (PARTITION BY bidding_zone), 2) AS bin_share_pct,
+           round(100.0::DOUBLE * sum(hours_count) OVER (PARTITION BY bidding_zone ORDER BY price_bin_eur NULLS LAST
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                 / sum(hours_count) OVER (PARTITION BY bidding_zone), 2) AS cumulative_share_pct,
+           round(avg(hours_count) OVER (PARTITION BY bidding_zone ORDER BY price_bin_eur NULLS LAST
+                   ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), 1) AS smoothed_hours_count
+    FROM bins""",
+)
+def bins_maintained(spark, sf):
+    bins, _, _ = maintained_prices(spark, sf)
+    return maintained.price_bins_report(bins)

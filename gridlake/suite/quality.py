@@ -201,3 +201,30 @@ def difference(spark, sf):
     changed = orders.where(key % 13 != 0).withColumns({"o_totalprice": price, "o_orderstatus": F.when(key % 11 != 0, F.col("o_orderstatus"))})
     found = q.table_diff(orders, changed, ["o_orderkey"], tolerance=1e-6)
     return found.select("o_orderkey", "column", F.col("left_rows").cast("int").alias("left_rows"), F.col("right_rows").cast("int").alias("right_rows"))
+
+
+_REPEATED_SQL = """sides AS (
+  SELECT o_custkey, o_orderstatus, o_totalprice AS a,
+         CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice * 1.5 WHEN o_orderkey % 7 = 1 THEN o_totalprice * (1 + 1e-9) ELSE o_totalprice END AS b
+  FROM orders)"""
+
+
+@query(
+    "dq_table_diff_repeated",
+    f"""WITH {_REPEATED_SQL}, l AS (
+          SELECT o_custkey, o_orderstatus AS s, a, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus NULLS FIRST, a) AS place FROM sides),
+        r AS (
+          SELECT o_custkey, o_orderstatus AS s, b, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus NULLS FIRST, b) AS place FROM sides),
+        n AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
+        SELECT l.o_custkey, 'o_totalprice' AS "column", n AS left_rows, n AS right_rows
+        FROM l JOIN r USING (o_custkey, place) JOIN n USING (o_custkey) WHERE abs(a - b) > 1e-6 * greatest(abs(a), abs(b))""",
+)
+def repeated_difference(spark, sf):
+    """Orders by customer, whom most keys hold several times, against changed and rounded ones."""
+    orders = table(spark, sf, "orders")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    changed = F.when(key % 7 == 0, price * 1.5).when(key % 7 == 1, price * (1 + 1e-9)).otherwise(price)
+    left = orders.select("o_custkey", "o_orderstatus", "o_totalprice")
+    right = orders.select("o_custkey", "o_orderstatus", changed.alias("o_totalprice"))
+    found = q.table_diff(left, right, ["o_custkey"], tolerance=1e-6, pair_repeated=True)
+    return found.select("o_custkey", "column", "left_rows", "right_rows")

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128KB",
+    # Else partitions below 1 MB, as all are here, are merged whatever size is advised.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32KB",
     "spark.sql.shuffle.partitions": "16",
 }
 
