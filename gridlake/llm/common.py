@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(name: str, columns: list[str]) -> str:
+    """``name``, or that with underscores behind it, so that no column is called alike."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """``df`` as a table in the shared folder, so lineage ends there and lost executors cost
     nothing. Returns the reread frame and its path, for ``dropped``."""

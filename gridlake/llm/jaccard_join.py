@@ -375,11 +375,13 @@ def first_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     Of repeated rows one stays. Rows without an id stay if no row with an id is linked to them,
     one for each text."""
     kept = join(docs, k, percent).where("doc_id <=> component_id or component_id is null")
+    id_name, text_name = common.spare("_key", docs.columns), common.spare("_th", docs.columns)
     key = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
-    kept = kept.select(key.alias("_key"), F.col("text_hash").alias("_th")).distinct()
-    rows = docs.withColumn("_key", key).withColumn("_th", F.xxhash64("text"))
+    kept = kept.select(key.alias(id_name), F.col("text_hash").alias(text_name)).distinct()
+    rows = docs.withColumns({id_name: key, text_name: F.xxhash64("text")})
     # The join deals rows out by id and text, so that dropping repeated ones moves none again.
-    return rows.join(kept, ["_key", "_th"], "left_semi").dropDuplicates(["_key", "_th"]).drop("_key", "_th")
+    once = rows.join(kept, [id_name, text_name], "left_semi").dropDuplicates([id_name, text_name])
+    return once.select(docs.columns)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[dict[str, list]]:

@@ -231,98 +231,158 @@ def window_starts(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # --------------------------------------------------------------------------------------- fitting
 
+#: Windows that fitting takes of a text in a round: its worst, and of clean texts one drawn besides.
+_PICKED = "doc_id long, y int, drawn boolean, words array<string>"
+
+
+def _parts_counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of each class hold a word or a run; a text counts once."""
+    for batch in batches:
+        counts: dict[tuple[str, str, int], int] = {}
+        for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
+            own = {core(w) for w in words_of(text or "")}
+            for name in own:
+                counts["w", name, y] = counts.get(("w", name, y), 0) + 1
+            for name in {g for w in own for g in grams(w)}:
+                counts["g", name, y] = counts.get(("g", name, y), 0) + 1
+        keys = list(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
+             pa.array([k[2] for k in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64())],
+            ["kind", "name", "y", "n"],
+        )
+
+
+def telling_parts(rows: DataFrame, totals: np.ndarray, most: dict[str, int]) -> list[tuple[str, str, float]]:
+    """(kind, name, log odds) of the words and runs whose shares in the two classes lie apart by most
+    deviations; ``most`` bounds each kind."""
+    counted = rows.mapInArrow(_parts_counted, "kind string, name string, y int, n long")
+    both = counted.groupBy("kind", "name").agg(*[F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0)).alias(f"c{y}") for y in (0, 1)])
+    share = [(F.col(f"c{y}") + 0.5) / (float(totals[y]) + 1) for y in (0, 1)]
+    spread = sum((share[y] * (1 - share[y]) / (float(totals[y]) + 1) for y in (0, 1)), F.lit(0.0))
+    apart = F.abs(share[1] - share[0]) / F.sqrt(spread)
+    known = both.where("c0 + c1 >= 3").select("kind", "name", apart.alias("z"), (F.log(share[1]) - F.log(share[0])).alias("odds")).where("z > 2")
+    found = []
+    for kind, n in most.items():
+        top = known.where(F.col("kind") == kind).orderBy(F.desc("z"), "name").limit(n)
+        found += [(r.kind, r.name, r.odds) for r in top.select("kind", "name", "odds").collect()]
+    return found
+
+
+def _picker(net: Network, hint: np.ndarray | None, seed: int, turn: int):
+    """Task that picks windows of texts: the worst by the network or, at first, by the odds of the
+    parts of its words, and of clean texts a drawn one. What it sends back is bounded by the number
+    of texts, not by their lengths."""
 
-def _telling(counts: dict[str, np.ndarray], totals: np.ndarray, most: int) -> list[str]:
-    """Names by how many deviations their shares in the two classes lie apart."""
-    names = [n for n, c in counts.items() if c.sum() >= 3]
-    if not names:
-        return []
-    c = np.array([counts[n] for n in names], float)
-    share = (c + 0.5) / (totals + 1)
-    z = np.abs(share[:, 1] - share[:, 0]) / np.sqrt((share * (1 - share) / (totals + 1)).sum(axis=1))
-    return [names[i] for i in np.argsort(-z, kind="stable")[:most] if z[i] > 2]
-
-
-def fit_network(texts: list[str], label: np.ndarray, weight: np.ndarray, seed: int = 1, epochs: tuple[int, ...] = (6, 6, 6)) -> Network:
-    """Labels belong to texts, not to windows. Each round takes the worst window of each text by
-    what is known so far (at first by the words and runs that tell the classes apart), and a
-    second one drawn from the clean texts, and fits the network on those."""
-    words = [words_of(t) for t in texts]
-    totals = np.array([(label == 0).sum(), (label == 1).sum()], float)
-    by_word: dict[str, np.ndarray] = {}
-    for own, y in zip(words, label):
-        for w in {core(x) for x in own}:
-            by_word.setdefault(w, np.zeros(2))[y] += 1
-    by_gram: dict[str, np.ndarray] = {}
-    for w, c in by_word.items():
-        for g in set(grams(w)):
-            by_gram[g] = by_gram.get(g, 0) + c
-    # A run is in several words of a text; a text counts once at most.
-    by_gram = {g: np.minimum(c, totals) for g, c in by_gram.items()}
-    net = Network(_telling(by_word, totals, WORDS), _telling(by_gram, totals, GRAMS), seed)
-
-    vocabulary = sorted({w for own in words for w in own})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = net.reader() if hint is None else None
+        worth: dict[str, float] = {}
+        for part, *_ in common.buffers(batches, "text"):
+            ids, labels, drawn, picked = [], [], [], []
+            for doc_id, y, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "y", "text"))):
+                words = words_of(text or "")
+                if not words:
+                    continue
+                first, _ = window_starts(np.array([len(words)]))
+                if reader is not None:
+                    rows = reader.cache.rows(words)
+                    value, _ = reader.all_windows(reader.cache.ids.reshape(-1, 6 * HIDDEN), rows, np.array([len(words)]))
+                else:
+                    fresh = [w for w in dict.fromkeys(words) if w not in worth]
+                    if len(worth) > 200_000:
+                        worth.clear()
+                        fresh = list(dict.fromkeys(words))
+                    owner, feature = net.parts(fresh)
+                    total = np.zeros(len(fresh))
+                    np.add.at(total, owner, np.maximum(hint[feature], 0))
+                    worth.update(zip(fresh, total.tolist()))
+                    each = np.array([worth[w] for w in words] + [-1.0] * WINDOW)
+                    value = each[first[:, None] + np.arange(WINDOW)].max(axis=1)
+                picks = {int(value.argmax()): False}
+                if y == 0:
+                    draw = np.random.default_rng([seed, turn, doc_id & 0xFFFFFFFFFFFF])
+                    picks.setdefault(int(draw.integers(len(first))), True)
+                for k, chance in picks.items():
+                    ids.append(doc_id), labels.append(y), drawn.append(chance)
+                    picked.append(words[first[k] : first[k] + WINDOW])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(labels, pa.int32()), pa.array(drawn, pa.bool_()), pa.array(picked, pa.list_(pa.string()))],
+                ["doc_id", "y", "drawn", "words"],
+            )
+
+    return run
+
+
+def _worst_of(net: Network):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = net.reader()
+        for part, *_ in common.buffers(batches, "text"):
+            worst = reader.worst([t or "" for t in part.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array(worst, pa.float64())], ["doc_id", "y", "worst"])
+
+    return run
+
+
+def _train(net: Network, windows: list[list[str]], target: np.ndarray, mass: np.ndarray, rounds: int, draw, moment, step: int) -> int:
+    """Rounds of Adam over windows of words."""
+    vocabulary = sorted({w for own in windows for w in own})
     number = {w: i for i, w in enumerate(vocabulary)}
     owner, feature = net.parts(vocabulary)
-    hint = np.zeros(len(vocabulary))
-    odds = np.zeros(len(net.features))
-    for (kind, name), i in net.features.items():
-        c = (by_word if kind == "w" else by_gram)[name]
-        odds[i] = np.log((c[1] + 0.5) / (totals[1] + 1)) - np.log((c[0] + 0.5) / (totals[0] + 1))
-    np.add.at(hint, owner, np.maximum(odds[feature], 0))
-    ids = [np.array([number[w] for w in own], np.int64) for own in words]
-    has = [i for i, own in enumerate(ids) if len(own)]
+    sizes = np.array([len(own) for own in windows])
+    index = np.array([[number[w] for w in own] + [number[own[-1]]] * (WINDOW - len(own)) for own in windows])
+    live = np.arange(WINDOW) < sizes[:, None]
+    for _ in range(rounds):
+        for batch in np.array_split(draw.permutation(len(windows)), max(1, len(windows) // 128)):
+            own, back = np.unique(index[batch], return_inverse=True)
+            lo, hi = np.searchsorted(owner, own), np.searchsorted(owner, own, "right")
+            at = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)]) if len(own) else np.zeros(0, int)
+            mine, parts = np.repeat(np.arange(len(own)), hi - lo), feature[at]
+            vectors = net.vectors(len(own), mine, parts)
+            logits, memory = net.forward(vectors[back.reshape(-1)].reshape(len(batch), WINDOW, -1), live[batch])
+            slope = mass[batch] * (_sigmoid(logits) - target[batch]) / len(batch)
+            grads, d_x = net.backward(slope, memory)
+            d_vectors = np.zeros_like(vectors)
+            np.add.at(d_vectors, back.reshape(-1), d_x.reshape(-1, WIDTH))
+            grads["embed"] = np.zeros_like(net.p["embed"])
+            np.add.at(grads["embed"], parts, d_vectors[mine])
+            grads["embed"][-1] = d_vectors.sum(axis=0)
+            step += 1
+            for k, value in net.p.items():  # Adam
+                m, v = moment[k]
+                m += 0.1 * (grads[k] - m)
+                v += 0.01 * (grads[k] ** 2 - v)
+                value -= 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    return step
+
+
+def fit_network(rows: DataFrame, totals: np.ndarray, weight: dict[int, float], seed: int = 1, epochs: tuple[int, ...] = (6, 6, 6)) -> Network:
+    """Fit on ``rows`` (doc_id, text, y), one for each id. Labels belong to texts, not to windows. Each
+    round takes the worst window of each text by what is known so far (at first by the words and
+    runs that tell the classes apart), and a second one drawn from the clean texts, and fits the
+    network on those. Texts stay in their tasks: the driver gets names of parts, windows and scores."""
+    found = telling_parts(rows, totals, {"w": WORDS, "g": GRAMS})
+    net = Network([n for k, n, _ in found if k == "w"], [n for k, n, _ in found if k == "g"], seed)
+    hint = np.zeros(len(net.features))
+    for kind, name, odds in found:
+        hint[net.features[kind, name]] = odds
     draw = np.random.default_rng(seed)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
-    order_parts = np.argsort(owner, kind="stable")
-    owner, feature = owner[order_parts], feature[order_parts]
-
     for turn, rounds in enumerate(epochs):
-        if turn:
-            reader = net.reader()
-            table = reader._gates(vocabulary)[1].reshape(-1, 6 * HIDDEN)
-            scores, many = reader.all_windows(table, np.concatenate([ids[i] for i in has]), np.array([len(ids[i]) for i in has]))
-            scores = np.split(scores, np.cumsum(many)[:-1])
-        windows, live, target, mass = [], [], [], []
-        for nth, i in enumerate(has):
-            first, _ = window_starts(np.array([len(ids[i])]))
-            place = first[:, None] + np.arange(WINDOW)
-            on = place < len(ids[i])
-            index = ids[i][np.minimum(place, len(ids[i]) - 1)]
-            score = scores[nth] if turn else (hint[index] * on).max(axis=1)
-            picks = {int(score.argmax())}
-            if label[i] == 0:
-                picks.add(int(draw.integers(len(first))))
-            for k in sorted(picks):
-                windows.append(index[k]), live.append(on[k]), target.append(label[i]), mass.append(1 / len(picks))
-        windows, live = np.array(windows), np.array(live)
-        target, mass = np.array(target, float), np.array(mass)
+        picked = rows.mapInArrow(_picker(net, None if turn else hint, seed, turn), _PICKED).toArrow()
+        order = sorted(zip(*(picked.column(c).to_pylist() for c in ("doc_id", "drawn", "y", "words"))))
+        if not order:
+            break
+        of, many = np.unique([r[0] for r in order], return_counts=True)
+        target = np.array([r[2] for r in order], float)
+        mass = 1 / np.repeat(many, many)
         mass[target == 1] *= mass[target == 0].sum() / max(mass[target == 1].sum(), 1e-9)
-        mass /= mass.mean()
-        for _ in range(rounds):
-            for batch in np.array_split(draw.permutation(len(windows)), max(1, len(windows) // 128)):
-                own, back = np.unique(windows[batch], return_inverse=True)
-                lo, hi = np.searchsorted(owner, own), np.searchsorted(owner, own, "right")
-                at = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)]) if len(own) else np.zeros(0, int)
-                mine, parts = np.repeat(np.arange(len(own)), hi - lo), feature[at]
-                vectors = net.vectors(len(own), mine, parts)
-                logits, memory = net.forward(vectors[back.reshape(-1)].reshape(len(batch), WINDOW, -1), live[batch])
-                slope = mass[batch] * (_sigmoid(logits) - target[batch]) / len(batch)
-                grads, d_x = net.backward(slope, memory)
-                d_vectors = np.zeros_like(vectors)
-                np.add.at(d_vectors, back.reshape(-1), d_x.reshape(-1, WIDTH))
-                grads["embed"] = np.zeros_like(net.p["embed"])
-                np.add.at(grads["embed"], parts, d_vectors[mine])
-                grads["embed"][-1] = d_vectors.sum(axis=0)
-                step += 1
-                for k, value in net.p.items():  # Adam
-                    m, v = moment[k]
-                    m += 0.1 * (grads[k] - m)
-                    v += 0.01 * (grads[k] ** 2 - v)
-                    value -= 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        step = _train(net, [r[3] for r in order], target, mass / mass.mean(), rounds, draw, moment, step)
     # How a worst window's logit translates to the label, at the classes' true shares.
-    worst = net.reader().worst(texts)
+    scored = rows.mapInArrow(_worst_of(net), "doc_id long, y int, worst double").toPandas().sort_values("doc_id")
+    worst, label = scored["worst"].to_numpy(float), scored["y"].to_numpy(float)
+    weight = np.where(label == 1, weight[1], weight[0])
+    weight = weight / weight.mean()
     a, b = 1.0, 0.0
     for _ in range(50):
         p = _sigmoid(a * worst + b)
@@ -336,9 +396,9 @@ def fit_network(texts: list[str], label: np.ndarray, weight: np.ndarray, seed: i
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, documents: int = FIT_DOCUMENTS, column: str = "toxic") -> Network | None:
     """Fit on at most ``documents`` labelled rows of each class among those with ``training``
-    true, chosen by hash. Class shares come from all training labels. None without labels of
-    both classes."""
-    marked = labels.where(training & F.col(column).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(column).alias("y"))
+    true, chosen by hash. Class shares come from all training labels. Of rows that share an id the
+    one with the smallest text hash is taken. None without labels of both classes."""
+    marked = labels.where(training & F.col(column).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(column).cast("int").alias("y"))
     shares = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
     if len(shares) < 2:
         return None
@@ -346,14 +406,18 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, documents: int = F
     for y in (0, 1):
         some = marked.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
         chosen = some if chosen is None else chosen.union(some)
+    chosen = chosen.groupBy("doc_id").agg(F.min("y").alias("y"))
     # Bounded by the parameter, so it may be broadcast.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id")
-    rows = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
-    if rows["y"].nunique() < 2:
-        return None
-    label = rows["y"].to_numpy(np.int64)
-    weight = np.where(label == 1, shares[1] / (label == 1).sum(), shares[0] / (label == 0).sum())
-    return fit_network(rows["text"].fillna("").tolist(), label, weight / weight.mean())
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows, path = common.written(rows.repartition("doc_id"), "toxicity-fit")
+    found = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    net = None
+    if len(found) == 2:
+        totals = np.array([found[0], found[1]], float)
+        net = fit_network(rows, totals, {y: shares[y] / found[y] for y in (0, 1)})
+    common.dropped(docs.sparkSession, path)
+    return net
 
 
 def score(docs: DataFrame, network: Network | None, keep: bool = False, name: str = "score") -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 import sentencepiece
 from public_tokenizers import path
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -12,7 +13,7 @@ from gridlake.llm import queries
 
 def test_every_query_is_registered():
     names = contract.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "pii", "sentencepiece"]
 
@@ -67,6 +68,19 @@ def test_stages_keep_the_columns_of_documents(spark, tmp_path):
         assert stage(spark, docs, str(tmp_path)).dtypes == docs.dtypes
 
 
+def test_columns_of_any_name_pass(spark, tmp_path):
+    """Columns called like those that the stages make for themselves."""
+    tables(spark, str(tmp_path), seed=5)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(60)
+    for name in ("_key", "_th", "_hit", "_hit_th", "_toxicity", "_toxicity_", "score", "k", "a", "b", "spans", "n", "y", "words", "kind"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        assert out.where("_key <> 'own _key' or _th <> 'own _th' or _toxicity <> 'own _toxicity' or y <> 'own y'").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
 def test_rows_that_share_an_id_with_a_contaminated_one_stay(spark, tmp_path):
     tables(spark, str(tmp_path), seed=4)
     item = spark.read.parquet(f"{tmp_path}/benchmark.parquet").first().text
