@@ -17,14 +17,19 @@ SHINGLE, PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents under the threshold stay; the network learns from the labelled among ``docs``."""
+    """Documents under the threshold stay; the network learns from the labelled among ``docs``. NULL
+    and empty texts get the score of no words, repeated rows each the same one; texts of any length
+    are read whole. Further columns, whatever their names, are passed on."""
     network = queries.fit_toxicity(spark, docs, sf_dir)
-    scored = toxicity.score(docs, network, keep=True, name="_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
+    name = common.spare("_toxicity", docs.columns)
+    scored = toxicity.score(docs, network, keep=True, name=name)
+    return scored.where(F.col(name) < toxicity.THRESHOLD).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that links connect, the one with the smallest id stays."""
+    """Of each group of documents that links connect, the one with the smallest id stays. NULL texts
+    and texts without a word link with nothing, so each of those stays; of repeated rows one does.
+    Texts of any length are compared whole."""
     return jaccard_join.first_of_each(docs, SHINGLE, PERCENT)
 
 
@@ -32,8 +37,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that hold no benchmark item stay. Rows that share an id, or have none, are told
     apart by the hash of their text."""
     found = decontaminate.contaminated(docs, common.table(spark, sf_dir, "benchmark"), texts=True)
-    found = found.select(F.col("doc_id").alias("_hit"), F.col("th").alias("_hit_th")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_hit")) & (F.xxhash64("text") == F.col("_hit_th"))
+    hit, text = common.spare("_hit", docs.columns), common.spare("_hit_th", docs.columns)
+    found = found.select(F.col("doc_id").alias(hit), F.col("th").alias(text)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(hit)) & (F.xxhash64("text") == F.col(text))
     return docs.join(found, same, "left_anti")
 
 
@@ -43,7 +49,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and digests of them and of their decoding."""
+    """Token ids of each document, and digests of them and of their decoding. A NULL text has the ids
+    of an empty one: none. Repeated rows are encoded each; texts of any length whole."""
     return sentencepiece_codec.encode_decode(docs, vocabulary("piece_bpe_32k.model"), keep=("ids",))
 
 
