@@ -52,35 +52,26 @@ def line_total(text: Column) -> Column:
     return (breaks + open_end.cast("int")).cast("long")
 
 
-def _segments(text: Column, fence: str) -> Column:
-    """Text cut at its fence lines; every second segment is fenced."""
-    return F.split(unix_lines(text), rf"(?m)^[{BLANKS}]*{re.escape(fence)}[^\n]*$", -1)
+def text_outside(text: Column, fence: str) -> Column:
+    r"""The text without its fenced blocks: of a fence line and of what it encloses only the line breaks
+    stay, so every other line keeps its number. Texts that do not hold the fence at all are passed
+    through after a substring test."""
+    breaks = lambda s: F.length(s) - F.length(F.replace(s, F.lit("\n"), F.lit("")))
+    segments = F.split(unix_lines(text), rf"(?m)^[{BLANKS}]*{re.escape(fence)}[^\n]*$", -1)
+    # Every second segment is fenced.
+    kept = F.transform(segments, lambda s, i: F.when(i % 2 == 0, s).otherwise(F.repeat(F.lit("\n"), breaks(s))))
+    return F.when(F.contains(text, F.lit(fence)), F.array_join(kept, "")).otherwise(unix_lines(text))
 
 
 def lines_outside(text: Column, fence: str) -> Column:
-    """Array of the lines outside fenced blocks, in order (fence lines read as empty)."""
-    outside = F.filter(_segments(text, fence), lambda _, i: i % 2 == 0)
-    return F.split(F.array_join(outside, ""), "\n", -1)
+    """Array of the lines outside fenced blocks, each at its place (other lines read as empty)."""
+    return F.split(text_outside(text, fence), "\n", -1)
 
 
 def explode_lines_outside(df: DataFrame, key: str, text: str, fence: str) -> DataFrame:
-    """``(key, line_no, line)`` for lines outside fenced blocks, 1-based as in the text.
-
-    The first line of a segment continues the line its predecessor ended on, so its
-    number is one plus the line breaks in all earlier segments."""
-    cut = df.select(key, _segments(F.col(text), fence).alias("segments"))
-    breaks_before = F.aggregate(
-        "segments",
-        F.array(F.lit(0)),
-        lambda acc, s: F.array_append(
-            acc, F.element_at(acc, -1) + F.length(s) - F.length(F.replace(s, F.lit("\n"), F.lit("")))
-        ),
-    )
-    numbered = cut.select(key, "segments", breaks_before.alias("breaks"))
-    segments = numbered.select(key, F.posexplode(F.arrays_zip("segments", "breaks")).alias("i", "part"))
-    outside = segments.filter((F.col("i") % 2 == 0) & F.col("part.segments").isNotNull())
-    lines = outside.select(key, "part.breaks", F.posexplode(F.split("part.segments", "\n", -1)).alias("j", "line"))
-    return lines.select(key, (F.col("breaks") + F.col("j") + 1).cast("long").alias("line_no"), "line")
+    """``(key, line_no, line)``, 1-based as in the text. Lines of fenced blocks read as empty."""
+    lines = df.select(key, F.posexplode(lines_outside(F.col(text), fence)).alias("i", "line"))
+    return lines.select(key, (F.col("i") + 1).cast("long").alias("line_no"), "line")
 
 
 def is_comment(line: Column, opening: str = "<!--", closing: str = "-->") -> Column:

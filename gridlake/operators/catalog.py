@@ -5,9 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlake.operators.windows import match_keys
+from gridlake.session import cut_lineage, small_side
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -138,17 +141,20 @@ def summary_lines(
 
     quoted = lambda c: F.get(F.split(F.to_json(F.array(c)), r"^\[|\]$"), 1)  # noqa: E731  a JSON string
     known = (active_root, legacy_root)
-    names = listing.where(F.col(env).isNotNull()).select(env, root, name)
-    environments = names.groupBy(env).agg(F.count("*").alias("_n"))
+    active = F.col(root).eqNullSafe(F.lit(active_root))
+    place = _positions(F.col(root), known)
+    # The listing is read once: names with their domain are kept, and all else comes from one row for
+    # each environment, root and domain.
+    names = listing.where(F.col(env).isNotNull()).groupBy(env, root, name).agg(F.count("*").alias("_copies"))
+    counted = cut_lineage(names.withColumn("domain", F.when(active, classify(F.col(name), rules)).otherwise(F.lit(""))))
+    grouped = small_side(counted.groupBy(env, root, "domain").agg(F.sum("_copies").alias("_n"), F.max(name).alias("_greatest")))
     # Both named roots are there for every environment; further ones where they have names.
-    pairs = environments.select(env, F.explode(F.array(*map(F.lit, known))).alias(root))
-    pairs = pairs.union(names.select(env, root)).distinct()
-    sized = names.groupBy(env, root).agg(F.count("*").alias("n"))
-    on = reduce(lambda x, y: x & y, [pairs[env].eqNullSafe(sized[env]), pairs[root].eqNullSafe(sized[root])])
-    pairs = pairs.join(sized, on, "left").select(pairs[env], pairs[root], F.coalesce(sized["n"], F.lit(0).cast("long")).alias("n"))
-    last_root = pairs.groupBy(env).agg(F.max(F.struct(_positions(F.col(root), known).alias("p"), root)).alias("last"))
-    last_env = environments.agg(F.max(label(0)).alias("last_env"))
-    top = environments.withColumn("last_env", last_env.scalar())
+    roots = grouped.select(env, root, "_n").union(grouped.select(env, F.explode(F.array(*map(F.lit, known))), F.lit(0).cast("long")))
+    pairs = roots.groupBy(env, root).agg(F.sum("_n").alias("n"))
+    last = F.max(F.struct(place.alias("p"), F.col(root).alias("root"))).over(Window.partitionBy(env))
+    pairs = pairs.withColumn("last", last)
+    environments = grouped.select(env).distinct()
+    top = environments.withColumn("last_env", environments.agg(F.max(label(0))).scalar())
 
     def row(first: Column, second: Column, third: Column, fourth: Column, text: Column) -> list[Column]:
         """Place: root position, root, part of the root, domain position, name."""
@@ -161,8 +167,6 @@ def summary_lines(
     closing = top.select(
         *row(F.lit(9), none, F.lit(9), F.lit(0), F.concat(F.lit("]}"), F.when(label(0) == F.col("last_env"), "").otherwise(",")))
     )
-    place = _positions(F.col(root), known)
-    active = F.col(root).eqNullSafe(F.lit(active_root))
     shown = F.coalesce(F.col(root), F.lit(""))
     head = pairs.select(
         *row(place, shown, F.lit(0), F.lit(0), F.concat(
@@ -170,9 +174,8 @@ def summary_lines(
             F.col("n").cast("string"), F.when(active, ',"domains":{').otherwise(',"folders":['),
         ))
     )
-    ends = pairs.join(last_root.withColumnRenamed(env, "_env"), F.col(env) == F.col("_env"))
-    comma = F.when((F.col("last.p") == place) & F.col(f"last.{root}").eqNullSafe(F.col(root)), "").otherwise(",")
-    tail = ends.select(*row(place, shown, F.lit(9), F.lit(0), F.concat(F.when(active, "}}").otherwise("]}"), comma)))
+    comma = F.when((F.col("last.p") == place) & F.col("last.root").eqNullSafe(F.col(root)), "").otherwise(",")
+    tail = pairs.select(*row(place, shown, F.lit(9), F.lit(0), F.concat(F.when(active, "}}").otherwise("]}"), comma)))
 
     # Domains of the active root, whether or not they hold names.
     domains = environments.select(env, F.posexplode(F.array(*map(F.lit, DOMAINS))).alias("d", "domain")).withColumn(root, F.lit(active_root))
@@ -181,13 +184,7 @@ def summary_lines(
     domain_tail = domains.select(
         *row(*at, F.lit(1), F.col("d") * 3 + 2, F.when(F.col("d") == len(DOMAINS) - 1, "]").otherwise("],"))
     )
-    tagged = names.withColumn("domain", F.when(active, classify(F.col(name), rules)).otherwise(F.lit("")))
-    greatest = tagged.groupBy(env, root, "domain").agg(F.max(name).alias("_greatest"), F.max(F.struct(name)).alias("_any"))
-    counts = tagged.groupBy(env, root, "domain", name).agg(F.count("*").alias("_copies"))
-    renamed = greatest.toDF("_e", "_r", "_d", "_greatest", "_any").drop("_any")
-    matched = counts.join(
-        renamed, F.col(env).eqNullSafe(F.col("_e")) & F.col(root).eqNullSafe(F.col("_r")) & F.col("domain").eqNullSafe(F.col("_d"))
-    )
+    matched = match_keys(counted, grouped.select(env, root, "domain", "_greatest"), [env, root, "domain"])
     copies = matched.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     follows = F.when((F.col(name) == F.col("_greatest")) & (F.col("_copy") == F.col("_copies")), "").otherwise(",")
     d = F.when(active, (_positions(F.col("domain"), DOMAINS) - 1) * 3 + 1).otherwise(0)

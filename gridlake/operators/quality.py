@@ -38,7 +38,8 @@ SECTION_MARK = "##"
 
 def text_digests(df: DataFrame, key: str, text: str, min_len: int = MIN_DUPLICATE_CHARS) -> DataFrame:
     """``(digest, key, lines)`` of texts that are long enough once normalised."""
-    texts = df.select(key, text)
+    # A shape is never longer than its text, so short texts need not be shaped at all.
+    texts = df.select(key, text).where(F.length(text) >= min_len)
     shaped = F.struct(code_shape(F.col(text)).alias("shape"), line_total(F.col(text)).alias("lines"))
     # The length test sits inside the generator: as a filter it would be pushed below the
     # projection and shape every text a second time.
@@ -153,18 +154,21 @@ def missing_sections(
     df: DataFrame, key: str, text: str, required: Sequence[str], mark: str = SECTION_MARK, fence: str = FENCE
 ) -> DataFrame:
     """``(key, section)`` for every required heading a document lacks."""
-    texts = df.select(key, text)
-    lines = F.transform(lines_outside(F.col(text), fence), strip)
-    headings = F.filter(lines, lambda line: F.startswith(line, F.lit(mark)))
     wanted = F.array(*[F.lit(h) for h in required])
-    return texts.select(key, F.explode(F.array_except(wanted, headings)).alias("section"))
+    lines = F.filter(lines_outside(F.col(text), fence), lambda line: F.contains(line, F.lit(mark)))
+    headings = F.filter(F.transform(lines, strip), lambda line: F.startswith(line, F.lit(mark)))
+    # A text that holds none of the headings anywhere lacks them all: only others are cut into lines.
+    held = reduce(lambda a, b: a | b, [F.contains(F.col(text), F.lit(h)) for h in required], F.lit(False))
+    missing = F.when(F.col(text).isNull(), F.lit(None)).when(held, F.array_except(wanted, headings)).otherwise(F.array_distinct(wanted))
+    return df.select(key, text).select(key, F.explode(missing).alias("section"))
 
 
 def section_headings(df: DataFrame, key: str, text: str, mark: str = SECTION_MARK, fence: str = FENCE) -> DataFrame:
     """``(key, line_no, section)``: headings of each document, as for a template."""
-    texts = df.select(key, text)
-    lines = explode_lines_outside(texts, key, text, fence).withColumn("section", strip(F.col("line")))
-    return lines.filter(F.startswith("section", F.lit(mark))).select(key, "line_no", "section")
+    texts = df.select(key, text).filter(F.contains(text, F.lit(mark)))
+    lines = explode_lines_outside(texts, key, text, fence).filter(F.contains("line", F.lit(mark)))
+    headings = lines.select(key, "line_no", strip(F.col("line")).alias("section"))
+    return headings.filter(F.startswith("section", F.lit(mark)))
 
 
 # --- nested documents -------------------------------------------------------------
