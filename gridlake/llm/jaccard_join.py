@@ -7,20 +7,25 @@ union of the members' token bitmaps and the range of their sizes; walking two tr
 other drops pairs of nodes whose members cannot overlap enough. What remains is checked on the
 sets themselves.
 
-Links are wanted for components, so pairs that are connected already are dropped too. First each
-class is held against one partner from its groups; with the components that gives, groups that
-still hold more than one are walked in full. A large group is walked in blocks.
+The bitmaps come from a histogram of each set, which at the leaves of the walk rules out nearly
+all pairs that are not similar, before any pair leaves its task.
+
+Links are wanted for components, so pairs that are connected already are dropped too. A first walk
+takes what may be similar as linked at once and gives no more pairs than a forest over a group; those
+are checked. Groups that then still hold several components are walked in full. Members meet only
+where their sizes can link, and in blocks, so no task holds a group.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import common
@@ -28,11 +33,16 @@ from gridlake.llm.filters import MIX_1, fixed_filter, in_filter, mix
 
 WORDS = 4
 PERCENT = 85
-BITS = 512  # of a class's token bitmap
-#: Bins of a class's histogram; two sets differ in no fewer shingles than their histograms do.
+#: Bins of a class's histogram, and bits of its token bitmap: the bins that are not empty. Two sets
+#: differ in no fewer shingles than their histograms do.
 BINS = 256
+#: Members of a node that is not split further: all its pairs are looked at together.
+LEAF = 24
 #: Members of a group that one walk takes on each side.
 BLOCK = 500
+#: Walks that take what may be similar as linked, before the one that gives every pair. A second one finds
+#: little more: pairs that were refuted stand in the way of the same others again.
+ROUNDS = 1
 #: log2 of the counters of the frequency sketch that orders shingles; any order is right, this one
 #: keeps groups small.
 SKETCH_BITS = 20
@@ -104,12 +114,6 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 # ------------------------------------------------------------------------------ signature trees
 
 
-def bitmap(own: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(own >> np.uint64(40)) % np.uint64(BITS)] = 1
-    return np.packbits(bits)
-
-
 def histogram(own: np.ndarray) -> np.ndarray:
     """Shingles by bin, 255 at most: cutting both of two counts never widens their difference."""
     return np.minimum(np.bincount((own >> np.uint64(20)).astype(np.int64) % BINS, minlength=BINS), 255).astype(np.uint8)
@@ -119,9 +123,11 @@ class Tree:
     """Binary tree over members sorted by size: in each node the union of bitmaps, the range of
     sizes, and the largest excess of a member's size over its bitmap's bits."""
 
-    def __init__(self, sizes: np.ndarray, maps: np.ndarray, component: np.ndarray):
+    def __init__(self, sizes: np.ndarray, bins: np.ndarray, component: np.ndarray):
+        maps = np.packbits(bins > 0, axis=1)
         self.order = np.lexsort((maps[:, 0], sizes)) if len(sizes) else np.zeros(0, np.int64)
-        self.sizes, self.maps, self.component = sizes[self.order], maps[self.order], component[self.order]
+        self.sizes, self.component = sizes[self.order], component[self.order]
+        self.maps, self.bins = maps[self.order], bins[self.order].astype(np.int16)
         self.excess = self.sizes - np.bitwise_count(self.maps).sum(axis=1)
         self.nodes: dict[tuple[int, int], tuple] = {}
 
@@ -144,7 +150,7 @@ def walk(a: Tree, b: Tree, percent: int, same: bool, optimistic: bool) -> list[t
     pair as linked at once, so that no more than a spanning forest of pairs comes out."""
     if not len(a.sizes) or not len(b.sizes):
         return []
-    root = list(range(len(a.sizes)))
+    root = {c: c for c in np.unique(np.concatenate([a.component, b.component])).tolist()}
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -169,19 +175,26 @@ def walk(a: Tree, b: Tree, percent: int, same: bool, optimistic: bool) -> list[t
         most = min(high_a, high_b, bits + min(over_a, over_b))
         if (100 + percent) * most < percent * (low_a + low_b):
             continue
-        if optimistic and same and a1 - a0 + b1 - b0 > 2:
-            first = find(a0)
-            if all(find(x) == first for x in range(a0, a1)) and all(find(x) == first for x in range(b0, b1)):
+        if optimistic:
+            roots = {find(x) for x in {*a.component[a0:a1].tolist(), *b.component[b0:b1].tolist()}}
+            if len(roots) == 1:
                 continue
-        if a1 - a0 == 1 and b1 - b0 == 1:
-            if same and a0 >= b0:
-                continue
-            if optimistic and same:
-                x, y = find(a0), find(b0)
-                if x == y:
-                    continue
-                root[x] = y
-            out.append((int(a.order[a0]), int(b.order[b0])))
+        if a1 - a0 <= LEAF and b1 - b0 <= LEAF:
+            both = a.sizes[a0:a1, None] + b.sizes[None, b0:b1]
+            differ = np.abs(a.bins[a0:a1, None] - b.bins[None, b0:b1]).sum(axis=2)
+            near = ((100 + percent) * differ <= (100 - percent) * both) & (a.component[a0:a1, None] != b.component[None, b0:b1])
+            if same:
+                near &= np.arange(a0, a1)[:, None] < np.arange(b0, b1)[None]
+            x, y = np.nonzero(near)
+            if optimistic:
+                for k in np.argsort(differ[x, y] / both[x, y], kind="stable").tolist():  # the likest first
+                    i, j = a0 + int(x[k]), b0 + int(y[k])
+                    p, q = find(int(a.component[i])), find(int(b.component[j]))
+                    if p != q:
+                        root[p] = q
+                        out.append((int(a.order[i]), int(b.order[j])))
+            else:
+                out += zip(a.order[a0 + x].tolist(), b.order[b0 + y].tolist())
         elif a1 - a0 >= b1 - b0:
             mid = (a0 + a1) // 2
             todo += [(a0, mid, b0, b1), (mid, a1, b0, b1)]
@@ -280,92 +293,85 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
             owner, token = prefixes(sets, ordering.value)
             on = np.flatnonzero(in_filter(shared_tokens.value, token))
             owner, token = owner[on], token[on]
-            maps = [bitmap(s).tobytes() for s in sets]
             sizes = np.array([len(s) for s in sets], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(token), pa.array(d1[owner]), pa.array(sizes[owner]), pa.array(maps, pa.binary()).take(pa.array(owner))],
-                ["k", "d1", "n", "map"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(d1[owner]), pa.array(sizes[owner])], ["k", "d1", "n"])
 
-    found = texts.mapInArrow(emit_members, "k long, d1 long, n long, map binary")
-    found = found.groupBy("k", "d1").agg(F.first("n").alias("n"), F.first("map").alias("map"))
+    found = texts.mapInArrow(emit_members, "k long, d1 long, n long").distinct()
     found, found_path = common.written(found, "members")
     sizes = found.groupBy("k").agg(F.count("*").alias("m"), F.min("d1").alias("a"), F.max("d1").alias("b"), F.min("n").alias("low"), F.max("n").alias("high"), F.bit_xor(F.xxhash64("d1")).alias("who"))
     sizes, sizes_path = common.written(sizes.where("m > 1"), "groups")
     couples = sizes.where((F.col("m") == 2) & (100 * F.col("low") >= percent * F.col("high"))).select("a", "b").distinct()
-    couples, couples_path = common.written(couples, "couples")
+    couples, couples_path = common.written(_near(couples, classes, percent), "couples")
 
-    # Groups of three and more, in blocks; the class named first in a group joins its blocks.
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    # Near copies meet under many shingles, always the same members: one shingle stands for all.
+    # Groups of three and more. Near copies meet under many shingles, always the same members: one
+    # shingle stands for all.
     crowds = sizes.where("m > 2").groupBy("m", "a", "b", "who").agg(F.min("k").alias("k"))
-    crowds, crowds_path = common.written(crowds.select("k", "a", "m"), "crowds")
-    large = crowds.select("k", "a", blocks.alias("blocks"))
-    inside = found.join(large, "k").withColumn("block", F.pmod(F.xxhash64("d1"), F.col("blocks")).cast("int"))
-    pivots = inside.where("d1 = a and blocks > 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    inside = inside.where("not (d1 = a and blocks > 1)").unionByName(pivots)
+    crowds, crowds_path = common.written(crowds.select("k"), "crowds")
+    crowded, crowded_path = common.written(found.join(crowds, "k"), "crowded")
+
+    def with_bins(members: DataFrame) -> DataFrame:
+        return members.join(classes.select("d1", "bins"), "d1")
 
     def first_walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[bytes] = set()
-        for group in _runs(batches, ("k", "block")):
-            names = np.array(group["d1"], np.int64)
-            mark = np.sort(names).tobytes()
+        for group in _runs(batches, ("k", "size", "block")):
+            names, component = np.array(group["d1"], np.int64), np.array(group["c"], np.int64)
+            mark = xxhash.xxh3_128_digest(np.sort(names).tobytes())
             if mark in done or len(names) < 2:  # the same members met under another shingle
                 continue
-            done.add(xxhash.xxh3_128_digest(mark))
-            tree = Tree(np.array(group["n"]), _maps(group["map"]), np.arange(len(names)))
-            pairs = walk(tree, tree, percent, True, True)
-            yield _pairs(names, names, pairs)
-
-    spread = inside.repartition("k", "block").sortWithinPartitions("k", "block")
-    forest = spread.select("k", "block", "d1", "n", "map").mapInArrow(first_walk, "a long, b long")
-    # Each class is tried against the first of its partners.
-    tries = couples.union(forest).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    tries, tries_path = common.written(tries, "tries")
-    links, links_path = common.written(_check(texts, classes, tries, k, percent), "links")
-    joined = common.components(links)
-    component, component_path = common.written(joined, "components")
+            done.add(mark)
+            tree = Tree(np.array(group["n"]), _bins(group["bins"]), component)
+            yield _pairs(names, names, walk(tree, tree, percent, True, True))
+
+    def second_walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches, ("k", "size", "ask", "held")):
+            minor = np.array(group["minor"])
+            names, n, c, bins = np.array(group["d1"], np.int64), np.array(group["n"]), np.array(group["c"], np.int64), _bins(group["bins"])
+            asks, held = Tree(n[minor], bins[minor], c[minor]), Tree(n[~minor], bins[~minor], c[~minor])
+            yield _pairs(names[minor], names[~minor], walk(asks, held, percent, False, False))
+
+    def walked(members: DataFrame, keys: list[str], walk, more: list[str]) -> DataFrame:
+        dealt = with_bins(members).repartition(*keys).sortWithinPartitions(*keys)
+        return dealt.select(*keys, *more, "d1", "n", "c", "bins").mapInArrow(walk, "a long, b long")
+
+    # Rounds: what a walk takes as linked is checked, and groups that still hold several components are
+    # walked again; the last walk gives every pair of different components.
+    open_members, scratch = crowded.withColumn("c", F.col("d1")), []
+    tried, links, component = None, None, None
+    for last in (*[False] * ROUNDS, True):
+        if last:
+            found_now = walked(_faced(open_members, percent), ["k", "size", "ask", "held"], second_walk, ["minor"])
+        else:
+            found_now = walked(_placed(open_members, percent), ["k", "size", "block"], first_walk, [])
+        if tried is None:
+            fresh, path = common.written(couples.union(found_now).distinct(), "candidates")
+        else:
+            fresh, path = common.written(found_now.distinct().join(tried, ["a", "b"], "left_anti"), "candidates")
+        tried = fresh if tried is None else tried.union(fresh)
+        more, more_path = common.written(_check(texts, fresh, k, percent), "checked")
+        links = more if links is None else links.union(more)
+        component, component_path = common.written(common.components(links), "components")
+        scratch += [path, more_path, component_path]
+        if not last:
+            c = component.select(F.col("node").alias("d1"), F.col("component").alias("c"))
+            groups = crowded.join(c, "d1", "left").withColumn("c", F.coalesce("c", "d1"))
+            parts = groups.groupBy("k", "c").agg(F.count("*").alias("size"))
+            several = parts.groupBy("k").agg(F.count("*").alias("parts"), F.max(F.struct("size", "c")).alias("main")).where("parts > 1")
+            still = groups.join(several.select("k", F.col("main.c").alias("main")), "k")
+            open_members, path = common.written(still, "open")
+            scratch.append(path)
 
     def labelled(df: DataFrame, name: str) -> DataFrame:
         c = component.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
         return df.join(c, name, "left").withColumn(f"c_{name}", F.coalesce(f"c_{name}", name))
 
-    # What is still open: couples in different components, and groups with several components.
-    open_couples = labelled(labelled(couples, "a"), "b").where("c_a <> c_b").select("a", "b")
-    groups = labelled(found.join(crowds.select("k", "m"), "k"), "d1")
-    parts = groups.groupBy("k", "c_d1").agg(F.count("*").alias("size"))
-    several = parts.groupBy("k").agg(F.count("*").alias("parts"), F.max(F.struct("size", "c_d1")).alias("main")).where("parts > 1")
-    still = groups.join(several.select("k", F.col("main.c_d1").alias("main")), "k").withColumn("blocks", blocks)
-    still, still_path = common.written(still, "still")
-    right = still.withColumn("block", F.pmod(F.xxhash64("d1"), F.col("blocks")).cast("int")).withColumn("minor", F.lit(0))
-    left = still.where("c_d1 <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("minor", F.lit(1))
-    # Of the members outside the main component every block sees all, in pieces of its own.
-    both = right.unionByName(left).select("k", "block", "minor", "d1", "n", "map", F.col("c_d1").alias("c"))
-
-    def second_walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _runs(batches, ("k", "block")):
-            minor = np.array(group["minor"]) == 1
-            names, n, c, maps = np.array(group["d1"], np.int64), np.array(group["n"]), np.array(group["c"], np.int64), _maps(group["map"])
-            held = Tree(n[~minor], maps[~minor], c[~minor])
-            for at in np.array_split(np.flatnonzero(minor), max(1, -(-int(minor.sum()) // BLOCK))):
-                asks = Tree(n[at], maps[at], c[at])
-                yield _pairs(names[at], names[~minor], walk(asks, held, percent, False, False))
-
-    rest = both.repartition("k", "block").sortWithinPartitions("k", "block").mapInArrow(second_walk, "a long, b long")
-    rest = open_couples.union(rest).distinct().join(tries, ["a", "b"], "left_anti")
-    rest, rest_path = common.written(rest, "rest")
-    more, more_path = common.written(_check(texts, classes, rest, k, percent), "links")
-    component, final_path = common.written(common.components(links.union(more)), "components")
-
     # Components by class, then the smallest id of each.
     known = labelled(classes, "d1")
     smallest = known.groupBy("c_d1").agg(F.min("first").alias("component_id"))
     named = known.join(smallest, "c_d1").select("d1", "component_id")
     out = members.join(named, "d1", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("th").alias("text_hash"))
-    common.dropped(
-        spark, found_path, sizes_path, crowds_path, couples_path, tries_path, links_path, component_path, still_path, rest_path, more_path
-    )
+    common.dropped(spark, found_path, sizes_path, crowds_path, crowded_path, couples_path, *[p for p in scratch if p != component_path])
     return out
 
 
@@ -406,36 +412,71 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[
         yield held
 
 
-def _maps(raw: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), BITS // 8)
+def _bins(raw: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), BINS)
 
 
-def _pairs(left: np.ndarray, right: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    at = np.array(pairs, np.int64).reshape(-1, 2)
-    x, y = left[at[:, 0]], right[at[:, 1]]
-    keep = x != y
-    x, y = x[keep], y[keep]
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+def _size_class(n: Column, percent: int) -> Column:
+    """Sets that can be similar have the same size class or neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
 
 
-def _check(rows: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar.
+def _placed(members: DataFrame, percent: int) -> DataFrame:
+    """Members of groups (k, d1, n) by (k, size, block): those of a size class and of the one below it,
+    in blocks of bounded size. The member named first in a size class is in each of its blocks, so that
+    blocks can become one component."""
+    own = members.withColumn("size", _size_class(F.col("n"), percent))
+    shared = own.unionByName(own.withColumn("size", F.col("size") + 1))
+    counts = shared.groupBy("k", "size").agg(F.count("*").alias("m"), F.min("d1").alias("first")).where("m > 1")
+    sized = shared.join(counts, ["k", "size"]).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    mine = F.array(F.pmod(F.xxhash64("d1"), F.col("blocks")).cast("int"))
+    return sized.withColumn("block", F.explode(F.when(F.col("d1") == F.col("first"), every).otherwise(mine))).select("k", "size", "block", "d1", "n", "c")
 
-    Histograms rule out most pairs that are not. For the others sets are made anew from the texts, for
-    classes that a filter lets pass, and brought to the pairs by two joins."""
-    spark = rows.sparkSession
+
+def _faced(members: DataFrame, percent: int) -> DataFrame:
+    """Members outside the main component of their group against all others whose size can link, as pairs
+    of blocks (ask, held) of bounded size; ``minor`` tells the two sides apart."""
+    own = members.withColumn("size", _size_class(F.col("n"), percent))
+    asks = own.where("c <> main").withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
+    # A pair meets in the size class of the member that is held.
+    counts = asks.groupBy("k", "size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_asks"))
+    sizes = own.groupBy("k", "size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_held"))
+    grid = counts.join(sizes, ["k", "size"])
+    block = lambda n: F.pmod(F.xxhash64("d1"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asking = asks.join(grid, ["k", "size"]).withColumns({"ask": block("n_asks"), "minor": F.lit(True)}).withColumn("held", every("n_held"))
+    holding = own.join(grid, ["k", "size"]).withColumns({"held": block("n_held"), "minor": F.lit(False)}).withColumn("ask", every("n_asks"))
+    return asking.unionByName(holding).select("k", "size", "ask", "held", "minor", "d1", "n", "c")
+
+
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that their histograms don't rule out."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("x", "y"))
+            x, y = (_bins(batch.column(c).to_pylist()).astype(np.int16) for c in ("x", "y"))
             differ = np.abs(x - y).sum(axis=1)
             on = (100 + percent) * differ <= (100 - percent) * batch.column("both").to_numpy()
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(on))
 
     bins = pairs.join(classes.select(F.col("d1").alias("a"), F.col("n").alias("na"), F.col("bins").alias("x")), "a")
     bins = bins.join(classes.select(F.col("d1").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("y")), "b")
-    bins = bins.select("a", "b", "x", "y", (F.col("na") + F.col("nb")).alias("both"))
-    pairs, _ = common.written(bins.mapInArrow(near, "a long, b long"), "near")
+    return bins.select("a", "b", "x", "y", (F.col("na") + F.col("nb")).alias("both")).mapInArrow(near, "a long, b long")
+
+
+def _pairs(left: np.ndarray, right: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    at = np.array(pairs, np.int64).reshape(-1, 2)
+    x, y = left[at[:, 0]], right[at[:, 1]]
+    keep = x != y
+    x, y = x[keep], y[keep]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
+def _check(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar. Sets are made anew from the texts, for classes
+    that a filter lets pass, and brought to the pairs by two joins."""
+    spark = rows.sparkSession
     wanted = spark.sparkContext.broadcast(fixed_filter(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

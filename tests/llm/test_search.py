@@ -82,8 +82,8 @@ def test_walk_loses_no_similar_pair():
                 s.discard(draw.choice(sorted(s)))
                 s.add(draw.randrange(3000))
             sets.append(np.array(sorted(filters.mix(np.array(sorted(s), np.uint64)))))
-        maps = np.stack([jaccard_join.bitmap(s) for s in sets])
-        tree = jaccard_join.Tree(np.array([len(s) for s in sets]), maps, np.arange(60))
+        bins = np.stack([jaccard_join.histogram(s) for s in sets])
+        tree = jaccard_join.Tree(np.array([len(s) for s in sets]), bins, np.arange(60))
         got = {frozenset(p) for p in jaccard_join.walk(tree, tree, percent, True, False)}
         want = {frozenset((i, j)) for i in range(60) for j in range(i) if jaccard_join.linked(sets[i], sets[j], percent)}
         assert want <= got
