@@ -279,32 +279,36 @@ def _picker(net: Network, hint: np.ndarray | None, seed: int, turn: int):
         worth: dict[str, float] = {}
         for part, *_ in common.buffers(batches, "text"):
             ids, labels, drawn, picked = [], [], [], []
-            for doc_id, y, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "y", "text"))):
-                words = words_of(text or "")
-                if not words:
-                    continue
-                first, _ = window_starts(np.array([len(words)]))
-                if reader is not None:
-                    rows = reader.cache.rows(words)
-                    value, _ = reader.all_windows(reader.cache.ids.reshape(-1, 6 * HIDDEN), rows, np.array([len(words)]))
-                else:
-                    fresh = [w for w in dict.fromkeys(words) if w not in worth]
-                    if len(worth) > 200_000:
-                        worth.clear()
-                        fresh = list(dict.fromkeys(words))
-                    owner, feature = net.parts(fresh)
-                    total = np.zeros(len(fresh))
-                    np.add.at(total, owner, np.maximum(hint[feature], 0))
-                    worth.update(zip(fresh, total.tolist()))
-                    each = np.array([worth[w] for w in words] + [-1.0] * WINDOW)
-                    value = each[first[:, None] + np.arange(WINDOW)].max(axis=1)
-                picks = {int(value.argmax()): False}
+            rows = [(d, y, words_of(t or "")) for d, y, t in zip(*(part.column(c).to_pylist() for c in ("doc_id", "y", "text")))]
+            rows = [r for r in rows if r[2]]
+            sizes = np.array([len(r[2]) for r in rows], np.int64)
+            if not len(sizes):
+                continue
+            flat = [w for _, _, words in rows for w in words]
+            if reader is not None:
+                numbers = reader.cache.rows(flat)
+                value, many = reader.all_windows(reader.cache.ids.reshape(-1, 6 * HIDDEN), numbers, sizes)
+            else:
+                if len(worth) > 200_000:
+                    worth.clear()
+                fresh = [w for w in dict.fromkeys(flat) if w not in worth]
+                owner, feature = net.parts(fresh)
+                total = np.zeros(len(fresh))
+                np.add.at(total, owner, np.maximum(hint[feature], 0))
+                worth.update(zip(fresh, total.tolist()))
+                each = np.array([worth[w] for w in flat])
+                first, many = window_starts(sizes)
+                begin, of = np.repeat(np.cumsum(sizes) - sizes, many), np.repeat(sizes, many)
+                place = first[:, None] + np.arange(WINDOW)
+                value = np.where(place < of[:, None], each[np.minimum(begin[:, None] + place, len(each) - 1)], -1.0).max(axis=1)
+            for (doc_id, y, words), own in zip(rows, np.split(value, np.cumsum(many)[:-1])):
+                picks = {int(own.argmax()): False}
                 if y == 0:
                     draw = np.random.default_rng([seed, turn, doc_id & 0xFFFFFFFFFFFF])
-                    picks.setdefault(int(draw.integers(len(first))), True)
+                    picks.setdefault(int(draw.integers(len(own))), True)
                 for k, chance in picks.items():
                     ids.append(doc_id), labels.append(y), drawn.append(chance)
-                    picked.append(words[first[k] : first[k] + WINDOW])
+                    picked.append(words[k * STRIDE : k * STRIDE + WINDOW])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(labels, pa.int32()), pa.array(drawn, pa.bool_()), pa.array(picked, pa.list_(pa.string()))],
                 ["doc_id", "y", "drawn", "words"],
