@@ -9,13 +9,13 @@ expectation maximisation over all segmentations.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +28,7 @@ FIT_DOCUMENTS = 1000
 ROUNDS = 3
 SMOOTHING = 0.1
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def pieces(path: str) -> dict[str, int]:
@@ -130,7 +130,7 @@ def fit(docs: DataFrame, vocabulary: str, training: Column, documents: int = FIT
                     units = [SPACE + word[i] for i in own]
                     for at in lattice.by_size(units):
                         edges = cut.edges([units[i] for i in at])
-                        total[:, k] += lattice.expected(edges, given[:, k], n[own[at]], cut.longest)
+                        total[:, k] += lattice.expected(edges, given[:, k], n[own[at]])
             for k in range(len(languages)):
                 on = np.flatnonzero(total[:, k])
                 yield pa.RecordBatch.from_arrays(

@@ -113,21 +113,44 @@ def _rescale(sums: np.ndarray, shift: np.ndarray, at: int, longest: int) -> None
         shift[u, k] += LOG_TINY
 
 
-def expected(edges, weight: np.ndarray, count: np.ndarray, longest: int) -> np.ndarray:
-    """Expected number of uses of each piece, given words and how often they occur."""
+def expected(edges, weight: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Expected number of uses of each piece, given words and how often they occur.
+
+    Each place of a word keeps its sum as 1 and a logarithm of its own, so that words of any length
+    count in full; going back the same logarithms are taken out again."""
     sizes, word, end, length, number = edges
-    n = len(sizes)
-    sums, _ = forward(edges, weight[:, None], longest)
-    ahead = sums[:, :, 0]
-    total = ahead[np.arange(n), sizes]
+    n, last = len(sizes), int(sizes.max(initial=0))
+    ahead, logs = np.zeros((n, last + 1)), np.zeros((n, last + 1))
+    ahead[:, 0] = 1
+    runs = list(steps(end, length))
+
+    def settle(upto: int, at: int) -> int:
+        while at < upto:
+            on = ahead[:, at] > 0
+            logs[on, at] += np.log(ahead[on, at])
+            ahead[on, at] = 1
+            at += 1
+            logs[:, at] = logs[:, at - 1]
+        return at
+
+    at = 0
+    for i, size, run in runs:
+        at = settle(i, at)
+        u = word[run]
+        ahead[u, i] += ahead[u, i - size] * weight[number[run]] * np.exp(logs[u, i - size] - logs[u, i])
+    at = settle(last, at)
+    on = ahead[:, last] > 0
+    logs[on, last] += np.log(ahead[on, last])
+    ahead[on, last] = 1
+    # ``back`` is the share of all ways that pass a place.
     back = np.zeros_like(ahead)
-    back[np.arange(n), sizes] = np.divide(1, total, out=np.zeros(n), where=total > 0)
+    back[np.arange(n), sizes] = ahead[np.arange(n), sizes]
     out = np.zeros(len(weight))
-    for i, size, run in reversed(list(steps(end, length))):
+    for i, size, run in reversed(runs):
         u, p = word[run], number[run]
-        after = back[u, i] * weight[p]
-        out += np.bincount(p, count[u] * ahead[u, i - size] * after, len(weight))
-        back[u, i - size] += after
+        share = back[u, i] * weight[p] * np.exp(logs[u, i - size] - logs[u, i])
+        out += np.bincount(p, count[u] * ahead[u, i - size] * share, len(weight))
+        back[u, i - size] += share
     return out
 
 

@@ -69,7 +69,8 @@ def langid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = langid.fit(docs, vocabulary("piece_bpe_32k.model"), F.coalesce(~held_out, F.lit(False)))
     found = langid.identify(docs, model)
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    # A row without an id has no remainder: it is neither learnt from nor held out.
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 @query("op3_pii")
@@ -131,7 +132,7 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score(docs, fit_toxicity(spark, docs, sf_dir))
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
-    return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"))
 
 
 @query("op11_conversation_repair", twins.CONVERSATION_REPAIR)

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from public_tokenizers import path
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def test_lattice_sums_all_segmentations():
         for k in range(2):
             assert math.isclose(logs[k], math.log(sum(math.prod(weight[p, k] for p in w) for w in ways(word))), rel_tol=1e-9)
     count = np.arange(1.0, len(words) + 1)
-    uses = lattice.expected(cut.edges(words), weight[:, 0], count, cut.longest)
+    uses = lattice.expected(cut.edges(words), weight[:, 0], count)
     want = np.zeros(len(weight))
     for word, n in zip(words, count):
         all_ways = list(ways(word))
@@ -159,6 +160,25 @@ def test_overlapping_spans_are_masked_once():
     assert pii.masked("abcdefgh", [(0, 1, 4), (3, 2, 6)]) == "a[email]gh"
 
 
+def test_expected_uses_of_long_words():
+    """Every character of a word counts, however long it is; so do many words of many lengths at once."""
+    cut = lattice.Lattice({"a": 0, "b": 1, "ab": 2, "aba": 3}, unknown=4)
+    weight = np.array([3e-5, 2e-5, 1e-5, 4e-6, 1e-6])
+    sizes = [1, 20, 50, 300, 1000, 5000]
+    for n in sizes:
+        uses = lattice.expected(cut.edges(["a" * n]), weight, np.ones(1))
+        assert uses == pytest.approx([n, 0, 0, 0, 0], rel=1e-6)
+        uses = lattice.expected(cut.edges([("ab?" * n)[:n]]), weight, np.ones(1))
+        assert uses @ np.array([1, 1, 2, 3, 1]) == pytest.approx(n, rel=1e-6)
+    words = [("abbaab?" * n)[:n] for n in sizes]
+    each = sum(lattice.expected(cut.edges([w]), weight, np.array([k + 1.0])) for k, w in enumerate(words))
+    assert lattice.expected(cut.edges(words), weight, np.arange(1.0, 1 + len(words))) == pytest.approx(each, rel=1e-6)
+
+
+def test_numbers_are_no_letters():
+    assert [bool(langid.LETTER.search(t)) for t in ("½", "²³", "Ⅷ", "_1", "é", "執", "x²")] == [False, False, False, False, True, True, True]
+
+
 # ------------------------------------------------------------------------------------- toxicity
 
 
