@@ -1,15 +1,18 @@
 """Personal data in texts, by weak supervision.
 
-Base spans follow fixed rules. Besides them there are looser candidates. Labelers (regular
-expression, gazetteer, context, shape) vote on each candidate, base spans included; how reliable
-each is follows from their agreement over the whole corpus by expectation maximisation. The
-resulting soft labels train a span classifier, which decides about the candidates that are not
-base spans. Votes and features are few, so the corpus reaches the driver as counts of their
-combinations only.
+Base spans follow fixed rules. Besides them there are looser candidates: written-out mail addresses,
+defanged addresses of machines, numbers in other groups. Labelers (regular expression, gazetteer,
+context, shape) vote on each candidate or abstain. How reliable each is follows from their agreement
+over the whole corpus by expectation maximisation. Base spans are the seeds that tell which of the two
+classes is personal data; the regular expression votes for them alone and abstains otherwise, and an
+abstention tells nothing. The resulting soft labels train a span classifier on what a span looks like
+and stands beside, not on the votes; it decides about the candidates that are not base spans. Votes and
+features come from fixed lists, so the corpus reaches the driver as counts of their combinations only.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +35,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Looser candidates.
 AT = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]{1,63})+", re.I)
+DEFANGED = re.compile(r"(?<![0-9])[0-9]{1,3}(?: ?[\[(](?:\.|dot)[\])] ?[0-9]{1,3}){3}(?![0-9])", re.I)
 NUMBER = re.compile(r"(?<![0-9])[0-9]++(?:[\x20().-]{1,2}[0-9]++)*+")
 GATE = re.compile(r"[0-9@]|[\[(]at[\])]", re.I)
 
@@ -47,6 +51,8 @@ CUES = {
 AGAINST = ("version", "license", "isbn", "order", "invoice", "section", "key", "token", "=", "#", "v.")
 CONTEXT = 40  # characters before a span that the context labeler reads
 
+#: Seeds weigh as much as the candidates together, and this much at least.
+SEED_WEIGHT = 20.0
 #: Labelers may differ; the rounds end here, well past the point where nothing moves.
 EM_ROUNDS = 60
 
@@ -112,12 +118,20 @@ def candidates(text: str) -> list[Candidate]:
     for m in AT.finditer(text):
         if free(*m.span()):
             found.append((0, *m.span(), False))
+    marked = []
+    for m in DEFANGED.finditer(text):
+        if free(*m.span()):
+            marked.append(m.span())
+            found.append((1, *m.span(), False))
     for m in NUMBER.finditer(text):
+        at = bisect.bisect_right(marked, m.span()) - 1
+        if any(0 <= k < len(marked) and marked[k][0] < m.end() and m.start() < marked[k][1] for k in (at, at + 1)):
+            continue
         n = sum(c.isdigit() for c in m[0])
         if n < 7 or n > 19:
             continue
         a, b = m.span()
-        if m[0].count(".") == 3 and re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}", m[0]):
+        if m[0].count(".") == 3 and re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", m[0]):
             kind = 1
         elif n >= 13:
             kind = 2
@@ -137,17 +151,18 @@ def _judge(text: str, kind: int, a: int, b: int, base: bool) -> tuple[tuple[int,
     digits = "".join(c for c in span if "0" <= c <= "9")
     before = text[max(0, a - CONTEXT) : a].lower()
     name = KINDS[kind]
-    rule = 1 if base else -1
+    rule = 1 if base else 0
+    groups = [len(g) for g in re.findall(r"[0-9]+", span)]
     if kind == 0:
         gazetteer = 1 if re.split(r"[^a-z]+", span.lower().rstrip(")]"))[-1] in TLDS else -1
         shape = 1 if "@" in span and len(span) <= 64 else 0
     elif kind == 1:
-        parts = [int(p[:9]) for p in span.split(".")]
+        parts = [int(p[-9:]) for p in re.findall(r"[0-9]+", span)]
         gazetteer = 1 if 1 <= parts[0] <= 223 and parts[0] != 127 else -1
         shape = 1 if all(p <= 255 for p in parts) else -1
     elif kind == 2:
         gazetteer = 1 if digits.startswith(ISSUERS) else -1
-        shape = 1 if len(digits) in (15, 16) and luhn(digits) else -1
+        shape = 1 if 15 <= len(digits) <= 19 and luhn(digits) else -1
     else:
         gazetteer = 1 if span.startswith("+") or digits.startswith("00") else 0
         shape = 1 if 10 <= len(digits) <= 13 and re.search(r"[)\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}$", span) else -1
@@ -155,30 +170,45 @@ def _judge(text: str, kind: int, a: int, b: int, base: bool) -> tuple[tuple[int,
         context = 1
     else:
         context = -1 if any(w in before for w in AGAINST) else 0
-    marks = "".join(sorted({c for c in span if c in "+()-. "}))
-    features = (name, f"{name}:{min(len(digits), 20)}", f"{name}:{marks if kind else ''}", f"{name}:{gazetteer}{shape}", f"context:{context}")
+    marks = "".join(sorted({c for c in span if c in "+()[]-. "}))
+    if kind == 0:
+        looks = [f"end:{min(len(re.split(r'[^A-Za-z0-9]+', span.rstrip(')]'))[-1]), 8)}", f"at:{'@' in span}"]
+    elif kind == 1:
+        looks = [f"high:{max(parts) > 255}"]
+    else:
+        looks = [f"digits:{min(len(digits), 20)}", f"luhn:{luhn(digits)}", "groups:" + "-".join(str(min(g, 5)) for g in groups[:5])]
+    beside = [f"near:{w}" for w in (*CUES[name], *AGAINST) if w in before]
+    features = (name, *(f"{name}:{x}" for x in (f"marks:{marks}", *looks, *beside)))
     return (rule, gazetteer, context, shape), features
 
 
 # -------------------------------------------------------------------------------------- learning
 
 
-def reliabilities(votes: np.ndarray, count: np.ndarray, rounds: int = EM_ROUNDS) -> np.ndarray:
+def reliabilities(votes: np.ndarray, count: np.ndarray, base: np.ndarray, rounds: int = EM_ROUNDS) -> np.ndarray:
     """Posterior that each vote pattern marks personal data, given how often it occurs. Labelers
-    are independent given the truth; each has its own chances of voting -1, 0 or 1."""
-    n, labelers = votes.shape
-    chance = np.array([[[0.6, 0.3, 0.1], [0.1, 0.3, 0.6]]] * labelers)  # labeler, truth, vote
-    prior = 0.5
+    are independent given the truth; each has, where it doesn't abstain, its own chance of voting for
+    it. ``base`` patterns are known to; they seed the chances with as much weight as the candidates
+    have together. How many of the candidates are personal data is learnt from those alone."""
+    labelers = votes.shape[1]
+    loose = np.where(base, 0.0, count)
+    seeds = np.where(base, count, 0.0)
+    seeds *= min(1.0, max(loose.sum(), SEED_WEIGHT) / max(seeds.sum(), 1e-9))
+    chance = np.array([[0.2, 0.8]] * labelers)  # labeler, truth
+    prior = 0.3  # in doubt a candidate is none
+    post = np.where(base, 1.0, prior)
     for _ in range(rounds):
-        log = np.log([[1 - prior, prior]]).repeat(n, 0)
+        log = np.full((len(votes), 2), np.log([1 - prior, prior]))
         for j in range(labelers):
-            log += np.log(chance[j][:, votes[:, j] + 1].T)
-        post = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -500, 500)))
-        prior = (count @ post + 1) / (count.sum() + 2)
+            for truth in (0, 1):
+                log[:, truth] += np.where(votes[:, j] > 0, np.log(chance[j, truth]), np.where(votes[:, j] < 0, np.log(1 - chance[j, truth]), 0))
+        post = np.where(base, 1.0, 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -500, 500))))
+        prior = (loose @ post + 1) / (loose.sum() + 2)
         for j in range(labelers):
-            for truth, w in ((0, count * (1 - post)), (1, count * post)):
-                got = np.bincount(votes[:, j] + 1, w, 3) + np.array([[2, 1, 0.5], [0.5, 1, 2]])[truth]
-                chance[j][truth] = got / got.sum()
+            for truth, w in ((0, loose * (1 - post)), (1, loose * post + seeds)):
+                yes, no = w[votes[:, j] > 0].sum(), w[votes[:, j] < 0].sum()
+                start = (2, 8) if truth == 0 else (8, 2)
+                chance[j, truth] = (yes + start[0]) / (yes + no + 10)
     return post
 
 
@@ -216,22 +246,25 @@ def learn(docs: DataFrame) -> Classifier:
         total: Counter = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                total.update((c.kind, c.votes, c.features) for c in candidates(text or ""))
-        rows = [(k, ",".join(map(str, v)), "\t".join(f), n) for (k, v, f), n in total.items()]
-        columns = list(zip(*rows)) or [[]] * 4
-        kinds = [pa.int32(), pa.string(), pa.string(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["kind", "votes", "features", "n"])
-
-    found = docs.select("text").mapInArrow(patterns, "kind int, votes string, features string, n long")
-    rows = sorted(found.groupBy("kind", "votes", "features").agg(F.sum("n").alias("n")).collect())
+                total.update((c.kind, c.base, c.votes, c.features) for c in candidates(text or ""))
+        rows = [(k, own, ",".join(map(str, v)), "\t".join(f), n) for (k, own, v, f), n in total.items()]
+        columns = list(zip(*rows)) or [[]] * 5
+        kinds = [pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["kind", "base", "votes", "features", "n"])
+
+    found = docs.select("text").mapInArrow(patterns, "kind int, base boolean, votes string, features string, n long")
+    rows = sorted(found.groupBy("kind", "base", "votes", "features").agg(F.sum("n").alias("n")).collect())
     if not rows:
         return Classifier({})
-    kind = np.array([r.kind for r in rows])
+    kind, base = np.array([r.kind for r in rows]), np.array([r.base for r in rows])
     votes = np.array([[int(v) for v in r.votes.split(",")] for r in rows])
     count = np.array([r.n for r in rows], float)
     label = np.zeros(len(rows))
     for k in np.unique(kind):
-        label[kind == k] = reliabilities(votes[kind == k], count[kind == k])
+        label[kind == k] = reliabilities(votes[kind == k], count[kind == k], base[kind == k])
+        # Base spans are found anyway: they weigh no more than the candidates of their kind.
+        own, loose = (kind == k) & base, count[(kind == k) & ~base].sum()
+        count[own] *= min(1.0, max(loose, SEED_WEIGHT) / max(count[own].sum(), 1e-9))
     return Classifier.train([tuple(r.features.split("\t")) for r in rows], label, count)
 
 
