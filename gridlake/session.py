@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,9 @@ DEFAULTS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Set in a session whose workers have the package.
+SHIPPED = "gridlake.shipped"
+
 # Bytes under which a materialised aggregate may be broadcast.
 BROADCAST_MAX_BYTES = 32 << 20
 # Row overhead that a hash table adds to the values themselves.
@@ -31,7 +37,22 @@ def build_session(app_name: str = "gridlake", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return shipped(builder.getOrCreate())
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Send the package to the workers, once for a session, so that its functions run there wherever
+    the workers start. An installed package needs no sending, and sending it again does no harm."""
+    if spark.conf.get(SHIPPED, None) is None:
+        package = Path(__file__).resolve().parent
+        # Executors fetch the archive from the driver when they start, so it stays for the session.
+        archive = Path(tempfile.mkdtemp(prefix="gridlake-"), "gridlake.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        spark.conf.set(SHIPPED, "true")
+    return spark
 
 
 def iceberg_conf(catalog: str, uri: str, warehouse: str, s3: dict[str, str] | None = None) -> dict[str, str]:

@@ -149,13 +149,16 @@ def test_equality_helpers(spark):
 def test_local_rows(spark):
     import pandas as pd
 
-    values = [(1, 2.0, "string1", dt.date(2000, 1, 1), dt.datetime(2000, 1, 1, 12))]
-    names = ["a", "b", "c", "d", "e"]
+    bids = [
+        ("north", -12.25, 40, dt.date(2024, 7, 9), dt.datetime(2024, 7, 9, 22, 45)),
+        ("south", 310.5, 7, dt.date(2024, 7, 10), dt.datetime(2024, 7, 10, 3, 15)),
+    ]
+    names = ["zone", "price", "volume", "day", "since"]
     frames = [
-        spark.createDataFrame([Row(**dict(zip(names, r))) for r in values]),
-        spark.createDataFrame(values, "a long, b double, c string, d date, e timestamp"),
-        spark.createDataFrame(pd.DataFrame(values, columns=names)),
-        spark.createDataFrame([list(r) for r in values], names),
+        spark.createDataFrame([Row(**dict(zip(names, bid))) for bid in bids]),
+        spark.createDataFrame(bids, "zone string, price double, volume long, day date, since timestamp"),
+        spark.createDataFrame(pd.DataFrame(bids, columns=names)),
+        spark.createDataFrame([list(bid) for bid in bids], names),
     ]
     assert {str(f.dtypes) for f in frames} == {str(frames[0].dtypes)}
     assert all(f.collect() == frames[0].collect() for f in frames)

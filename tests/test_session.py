@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +77,22 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         s.shared_folder(session("spark://host:7077", "file:/opt/warehouse"))
     assert s.shared_folder(session("local[2]", "file:/opt/warehouse")) == "file:/opt/warehouse/_scratch"
     assert s.shared_folder(session("yarn", "hdfs://nn/warehouse")) == "hdfs://nn/warehouse/_scratch"
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    """A job started elsewhere, with the package on the driver's own path only."""
+    root = Path(__file__).resolve().parents[1]
+    job = tmp_path / "job.py"
+    job.write_text(
+        f"import sys\nsys.path.insert(0, {str(root)!r})\n"
+        "from gridlake.session import build_session\n"
+        "from gridlake.operators.quality import key_paths\n"
+        "spark = build_session('elsewhere', spark__master='local[2]', spark__ui__enabled='false')\n"
+        "df = spark.createDataFrame([('{\"a\":{\"b\":1}}',)], 'doc string')\n"
+        "print(sorted(r.path for r in key_paths(df, 'doc').collect()))\n",
+        encoding="utf-8",
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(job)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "['a', 'a.b']" in done.stdout
