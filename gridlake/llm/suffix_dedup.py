@@ -34,6 +34,9 @@ LENGTH = 400
 WIDTH = 160
 GRAM = 16
 BLOCK = 100
+#: Short cores, and the starts that share one: any string of SHORT + SHORT_WIDTH - 1 bytes that recurs
+#: has one of its own.
+SHORT, SHORT_WIDTH = 160, 60
 #: Different contexts of one core that a task gathers; cores with more are counted by digest.
 GATHERED = 200
 #: Rows of a shard's transform, and shards merged at once: what a task holds.
@@ -223,11 +226,42 @@ def _span_hash(sums: np.ndarray, power: np.ndarray, at: np.ndarray, size: int) -
 # ------------------------------------------------------------------------------------ operator
 
 
+def shared_passages(rows: DataFrame) -> tuple[DataFrame, str]:
+    """(doc_id, th, shared) of rows (doc_id, text, th): how many anchored strings of SHORT bytes of a row
+    stand anywhere else too, for rows that have one; and the path of the table. Passages that are too
+    short for ``length`` show here."""
+    spark = rows.sparkSession
+    reach = SHORT + SHORT_WIDTH - 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, starts, lengths in common.buffers(batches, "text"):
+            at = anchors(data, starts, lengths, reach, SHORT_WIDTH)[3]
+            yield pa.RecordBatch.from_arrays([pa.array(_cores(memoryview(data), at, SHORT))], ["k"])
+
+    again = rows.select("text").mapInArrow(count, "k long").groupBy("k").count().where("count > 1").select("k")
+    again, again_path = common.written(again, "passages")
+    known = spark.sparkContext.broadcast(fixed_filter(again))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, starts, lengths in common.buffers(batches, "text"):
+            row, _, _, at = anchors(data, starts, lengths, reach, SHORT_WIDTH)
+            k = _cores(memoryview(data), at, SHORT)
+            on = np.flatnonzero(in_filter(known.value, k))
+            take = pa.array(row[on])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("th").take(take), pa.array(k[on])], ["doc_id", "th", "k"])
+
+    found = rows.mapInArrow(find, "doc_id long, th long, k long").join(again, "k", "left_semi")
+    out, path = common.written(found.groupBy("doc_id", "th").agg(F.count("*").alias("shared")), "shared")
+    common.dropped(spark, again_path)
+    return out, path
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, block: int = BLOCK, keep: bool = False) -> DataFrame:
     """Texts less every byte covered by a ``length``-byte string that also starts elsewhere.
 
     Returns one row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
-    kept_sha256 (of the remaining bytes, lowercase hex); with ``keep`` also kept (binary).
+    kept_sha256 (of the remaining bytes, lowercase hex), n_shared (see ``shared_passages``); with ``keep``
+    also kept (binary).
 
     Texts are UTF-8 bytes, NULL is empty; no match crosses documents; a repeated row is another
     document. NULL ids are ids like others here. Other columns are ignored. ``length`` is a
@@ -357,7 +391,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, bl
     covered = found.join(by_context.where("n > 1").select("r", "f1", "f2"), ["r", "f1", "f2"]).select(
         "doc_id", "th", F.col("first").alias("a"), (F.col("first") + F.col("many") - 1 + length).alias("b")
     )
-    spans = covered.union(merged).union(counted).groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    shared, _ = shared_passages(rows)
+    every = covered.union(merged).union(counted).withColumn("shared", F.lit(0).cast("long"))
+    every = every.unionByName(shared.where("shared > 0"), allowMissingColumns=True)
+    spans = every.groupBy("doc_id", "th").agg(
+        F.collect_set(F.when(F.col("a").isNotNull(), F.struct("a", "b"))).alias("spans"), F.max("shared").alias("shared")
+    )
     joined = rows.alias("d").join(
         spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.th") == F.col("s.th")), "left"
     )
@@ -365,16 +404,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, bl
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, starts, lengths in common.buffers(batches, "text"):
             out = []
-            for doc_id, gone, a, n in zip(
-                part.column("doc_id").to_pylist(), part.column("spans").to_pylist(), starts.tolist(), lengths.tolist()
+            for doc_id, gone, passages, a, n in zip(
+                part.column("doc_id").to_pylist(), part.column("spans").to_pylist(), part.column("shared").to_pylist(), starts.tolist(), lengths.tolist()
             ):
                 runs = common.merged([(x["a"], x["b"]) for x in gone or []])
                 kept = common.without(data[a : a + n].tobytes(), runs)
-                out.append((doc_id, n, n - len(kept), len(runs), common.sha256(kept), kept))
+                out.append((doc_id, n, n - len(kept), len(runs), common.sha256(kept), passages or 0, kept))
             columns = list(zip(*out))
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + keep]
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared", "kept"][: 6 + keep]
+            kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns[: len(names)], kinds)], names)
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep
-    return joined.select("d.doc_id", "d.text", "s.spans").mapInArrow(remove, schema)
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long" + ", kept binary" * keep
+    return joined.select("d.doc_id", "d.text", "s.spans", "s.shared").mapInArrow(remove, schema)

@@ -49,7 +49,20 @@ def test_repeats_like_brute_force(documents, odd, monkeypatch, gathered):
         kept = common.without(raw, runs)
         want.append((doc_id, len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept))
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
-    assert sorted([(*r[:5], bytes(r[5])) for r in got], key=key) == sorted(want, key=key)
+    assert sorted([(*r[:5], bytes(r.kept)) for r in got], key=key) == sorted(want, key=key)
+
+
+def test_short_passages_are_told(documents):
+    """51 words that recur, in texts of their own otherwise, each at another place."""
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(2, 9)))
+    passage = " ".join(word() for _ in range(51))
+    assert 219 <= len(passage) < 400
+    own = lambda: " ".join(word() for _ in range(draw.randint(60, 300)))
+    rows = [(i, f"{own()} {passage} {own()}" if i % 2 else f"{own()} {own()}") for i in range(80)] + [(100, None), (101, passage[:150])]
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(documents(rows)).collect()}
+    assert all((got[i].n_shared > 0) == bool(i % 2) for i in range(80)) and got[100].n_shared == got[101].n_shared == 0
+    assert all(r.n_removed == 0 for r in got.values())
 
 
 def test_repeats_of_an_empty_table(documents):
