@@ -35,7 +35,7 @@ WORDS = 4
 PERCENT = 85
 #: Bins of a class's histogram, and bits of its token bitmap: the bins that are not empty. Two sets
 #: differ in no fewer shingles than their histograms do.
-BINS = 256
+BINS = 128
 #: Members of a node that is not split further: all its pairs are looked at together.
 LEAF = 24
 #: Members of a group that one walk takes on each side.
@@ -325,10 +325,10 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
 
     def second_walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _runs(batches, ("k", "size", "ask", "held")):
-            minor = np.array(group["minor"])
+            minor, held = np.array(group["minor"]), np.array(group["held_too"])
             names, n, c, bins = np.array(group["d1"], np.int64), np.array(group["n"]), np.array(group["c"], np.int64), _bins(group["bins"])
-            asks, held = Tree(n[minor], bins[minor], c[minor]), Tree(n[~minor], bins[~minor], c[~minor])
-            yield _pairs(names[minor], names[~minor], walk(asks, held, percent, False, False))
+            asks, others = Tree(n[minor], bins[minor], c[minor]), Tree(n[held], bins[held], c[held])
+            yield _pairs(names[minor], names[held], walk(asks, others, percent, False, False))
 
     def walked(members: DataFrame, keys: list[str], walk, more: list[str]) -> DataFrame:
         dealt = with_bins(members).repartition(*keys).sortWithinPartitions(*keys)
@@ -340,7 +340,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     tried, links, component = None, None, None
     for last in (*[False] * ROUNDS, True):
         if last:
-            found_now = walked(_faced(open_members, percent), ["k", "size", "ask", "held"], second_walk, ["minor"])
+            found_now = walked(_faced(open_members, percent), ["k", "size", "ask", "held"], second_walk, ["minor", "held_too"])
         else:
             found_now = walked(_placed(open_members, percent), ["k", "size", "block"], first_walk, [])
         if tried is None:
@@ -355,9 +355,8 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
         if not last:
             c = component.select(F.col("node").alias("d1"), F.col("component").alias("c"))
             groups = crowded.join(c, "d1", "left").withColumn("c", F.coalesce("c", "d1"))
-            parts = groups.groupBy("k", "c").agg(F.count("*").alias("size"))
-            several = parts.groupBy("k").agg(F.count("*").alias("parts"), F.max(F.struct("size", "c")).alias("main")).where("parts > 1")
-            still = groups.join(several.select("k", F.col("main.c").alias("main")), "k")
+            parts = groups.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+            still = groups.join(parts.select("k"), "k")
             open_members, path = common.written(still, "open")
             scratch.append(path)
 
@@ -421,13 +420,23 @@ def _size_class(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
 
 
+def _shared_sizes(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Members of groups (k, d1, n, c) by (k, size): those of a size class and of the one below it; and
+    (k, size, m, main, first) of the classes where a pair may be open: with a member of their own, and
+    of several components. ``main`` is the largest of those."""
+    own = members.select("k", "d1", "n", "c", _size_class(F.col("n"), percent).alias("size"), F.lit(True).alias("own"))
+    shared = own.unionByName(own.withColumns({"size": F.col("size") + 1, "own": F.lit(False)}))
+    parts = shared.groupBy("k", "size", "c").agg(F.count("*").alias("many"), F.max("own").alias("own"), F.min("d1").alias("first"))
+    counts = parts.groupBy("k", "size").agg(
+        F.sum("many").alias("m"), F.count("*").alias("parts"), F.max("own").alias("own"), F.min("first").alias("first"), F.max(F.struct("many", "c")).alias("main")
+    )
+    return shared.drop("own"), counts.where("parts > 1 and own").select("k", "size", "m", F.col("main.c").alias("main"), "first", F.col("main.many").alias("most"))
+
+
 def _placed(members: DataFrame, percent: int) -> DataFrame:
-    """Members of groups (k, d1, n) by (k, size, block): those of a size class and of the one below it,
-    in blocks of bounded size. The member named first in a size class is in each of its blocks, so that
-    blocks can become one component."""
-    own = members.withColumn("size", _size_class(F.col("n"), percent))
-    shared = own.unionByName(own.withColumn("size", F.col("size") + 1))
-    counts = shared.groupBy("k", "size").agg(F.count("*").alias("m"), F.min("d1").alias("first")).where("m > 1")
+    """Members by (k, size, block) of bounded size. The member named first in a size class is in each of
+    its blocks, so that blocks can become one component."""
+    shared, counts = _shared_sizes(members, percent)
     sized = shared.join(counts, ["k", "size"]).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     mine = F.array(F.pmod(F.xxhash64("d1"), F.col("blocks")).cast("int"))
@@ -435,19 +444,26 @@ def _placed(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _faced(members: DataFrame, percent: int) -> DataFrame:
-    """Members outside the main component of their group against all others whose size can link, as pairs
-    of blocks (ask, held) of bounded size; ``minor`` tells the two sides apart."""
-    own = members.withColumn("size", _size_class(F.col("n"), percent))
-    asks = own.where("c <> main").withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
-    # A pair meets in the size class of the member that is held.
-    counts = asks.groupBy("k", "size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_asks"))
-    sizes = own.groupBy("k", "size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_held"))
-    grid = counts.join(sizes, ["k", "size"])
-    block = lambda n: F.pmod(F.xxhash64("d1"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asking = asks.join(grid, ["k", "size"]).withColumns({"ask": block("n_asks"), "minor": F.lit(True)}).withColumn("held", every("n_held"))
-    holding = own.join(grid, ["k", "size"]).withColumns({"held": block("n_held"), "minor": F.lit(False)}).withColumn("ask", every("n_asks"))
-    return asking.unionByName(holding).select("k", "size", "ask", "held", "minor", "d1", "n", "c")
+    """Members outside the main component of their size class against all of the class, as pairs of blocks
+    (ask, held) of bounded size. ``minor`` tells who asks, ``held_too`` who is asked: where one block holds
+    a whole class each member comes once, for both."""
+    shared, counts = _shared_sizes(members, percent)
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    grid = counts.select("k", "size", "main", blocks(F.col("m") - F.col("most")).alias("n_asks"), blocks(F.col("m")).alias("n_held"))
+    rows = shared.join(grid, ["k", "size"])
+    block = lambda n: F.array(F.pmod(F.xxhash64("d1"), F.col(n)).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    minor, one = F.col("c") != F.col("main"), F.col("n_held") == 1
+
+    def placed(asks: Column, held: Column, minor: Column, held_too: Column) -> Column:
+        pairs = F.transform(asks, lambda a: F.transform(held, lambda h: F.struct(a.alias("ask"), h.alias("held"), minor.alias("minor"), held_too.alias("held_too"))))
+        return F.flatten(pairs)
+
+    yes, no = F.lit(True), F.lit(False)
+    places = F.when(one, placed(F.array(F.lit(0)), F.array(F.lit(0)), minor, yes)).otherwise(
+        F.concat(F.when(minor, placed(block("n_asks"), every("n_held"), yes, no)).otherwise(placed(F.array().cast("array<int>"), every("n_held"), yes, no)), placed(every("n_asks"), block("n_held"), no, yes))
+    )
+    return rows.select("k", "size", "d1", "n", "c", F.inline(places))
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
