@@ -82,10 +82,12 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, shares: Sequenc
             made.append(sketched.select(*[quantile_of(F.col(f"q:{i}"), f.dataType, s).alias(f"{lab}:{i}") for i, f in enumerate(numbers) for s, lab in zip(shares, labels[4:])]))
     if texts:
         made.append(df.select(*map(name, texts)).agg(*[measures[m](name(f)).alias(f"{m}:t{i}") for i, f in enumerate(texts) for m in ("count", "min", "max")]))
-    row = made[0]
-    for other in made[1:]:
-        row = row.crossJoin(other)  # one row each
-    known = set(row.columns)
+    # One row each, put side by side as scalar subqueries.
+    names = [c for part in made for c in part.columns]
+    wholes = [part.select(F.struct(*[F.col(f"`{c}`") for c in part.columns])).scalar().alias(f"p{i}") for i, part in enumerate(made)]
+    row = df.sparkSession.range(1).select(*wholes)
+    row = row.select(*[F.col(f"p{i}")[c].alias(c) for i, part in enumerate(made) for c in part.columns])
+    known = set(names)
     places = {f.name: str(i) for i, f in enumerate(numbers)} | {f.name: f"t{i}" for i, f in enumerate(texts)}
 
     def value(label: str, f: T.StructField) -> Column:
