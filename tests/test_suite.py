@@ -16,6 +16,8 @@ NAMES = sorted(suite.QUERIES)
 # Approximate by nature, so without a SQL twin.
 APPROXIMATE = {"distinct_approx", "agg_summary"}
 PYTHON_QUERIES = {"udf_scalar", "udf_map", "udf_sql", "udf_group"}
+# A batch's paths of its schemas, and one exact division for each group.
+ARROW_QUERIES = {"set_keypaths", "set_keypaths_flat", "set_keypaths_mixed", "schema_symmetry", "agg_exact_sum"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables not present")
 
@@ -39,6 +41,7 @@ def test_query(spark, db, name):
     python = re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMap\w*InPandas", plan)
     assert bool(python) == (name in PYTHON_QUERIES)
     assert "BatchEvalPython" not in plan
+    assert ("MapInArrow" in plan) == (name in ARROW_QUERIES)
 
 
 def _plan(df):
