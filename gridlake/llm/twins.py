@@ -7,7 +7,7 @@ from __future__ import annotations
 
 
 def crc(text: str) -> str:
-    """Unsigned crc32 of an ASCII text."""
+    """Unsigned crc32 of an ASCII text that is not empty."""
     bit = "list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda v, b: xor(v >> 1, 3988292384 * (v & 1)), xor(r, c))"
     codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
     return f"xor(list_reduce({codes}, lambda r, c: {bit}, 4294967295::BIGINT), 4294967295)"
