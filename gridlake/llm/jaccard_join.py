@@ -34,8 +34,10 @@ from gridlake.llm.filters import MIX_1, fixed_filter, in_filter, mix
 WORDS = 4
 PERCENT = 85
 #: Bins of a class's histogram, and bits of its token bitmap: the bins that are not empty. Two sets
-#: differ in no fewer shingles than their histograms do.
-BINS = 128
+#: differ in no fewer shingles than their histograms do. Large sets have 2, 4, ... times as many bins,
+#: so that one holds PER_BIN shingles or fewer on average, up to MOST_BINS; halves added up give the
+#: histogram of half as many bins.
+BINS, PER_BIN, MOST_BINS = 256, 6, 1 << 14
 #: Members of a node that is not split further: all its pairs are looked at together.
 LEAF = 24
 #: Members of a group that one walk takes on each side.
@@ -116,7 +118,20 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def histogram(own: np.ndarray) -> np.ndarray:
     """Shingles by bin, 255 at most: cutting both of two counts never widens their difference."""
-    return np.minimum(np.bincount((own >> np.uint64(20)).astype(np.int64) % BINS, minlength=BINS), 255).astype(np.uint8)
+    many = BINS
+    while many < MOST_BINS and len(own) > PER_BIN * many:
+        many *= 2
+    return np.minimum(np.bincount((own >> np.uint64(20)).astype(np.int64) % many, minlength=many), 255).astype(np.uint8)
+
+
+def folded(raw: list[bytes]) -> np.ndarray:
+    """Histograms as rows of the smallest number of bins that any of them has."""
+    many = min(map(len, raw), default=BINS)
+    out = np.empty((len(raw), many), np.int16)
+    for i, b in enumerate(raw):
+        own = np.frombuffer(b, np.uint8)
+        out[i] = own if len(own) == many else np.minimum(own.reshape(-1, many).sum(axis=0), 255)
+    return out
 
 
 class Tree:
@@ -127,7 +142,7 @@ class Tree:
         maps = np.packbits(bins > 0, axis=1)
         self.order = np.lexsort((maps[:, 0], sizes)) if len(sizes) else np.zeros(0, np.int64)
         self.sizes, self.component = sizes[self.order], component[self.order]
-        self.maps, self.bins = maps[self.order], bins[self.order].astype(np.int16)
+        self.maps, self.bins = maps[self.order], bins[self.order]
         self.excess = self.sizes - np.bitwise_count(self.maps).sum(axis=1)
         self.nodes: dict[tuple[int, int], tuple] = {}
 
@@ -181,7 +196,7 @@ def walk(a: Tree, b: Tree, percent: int, same: bool, optimistic: bool) -> list[t
                 continue
         if a1 - a0 <= LEAF and b1 - b0 <= LEAF:
             both = a.sizes[a0:a1, None] + b.sizes[None, b0:b1]
-            differ = np.abs(a.bins[a0:a1, None] - b.bins[None, b0:b1]).sum(axis=2)
+            differ = np.abs(a.bins[a0:a1, None] - b.bins[None, b0:b1]).sum(axis=2, dtype=np.int64)
             near = ((100 + percent) * differ <= (100 - percent) * both) & (a.component[a0:a1, None] != b.component[None, b0:b1])
             if same:
                 near &= np.arange(a0, a1)[:, None] < np.arange(b0, b1)[None]
@@ -320,13 +335,13 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
             if mark in done or len(names) < 2:  # the same members met under another shingle
                 continue
             done.add(mark)
-            tree = Tree(np.array(group["n"]), _bins(group["bins"]), component)
+            tree = Tree(np.array(group["n"]), folded(group["bins"]), component)
             yield _pairs(names, names, walk(tree, tree, percent, True, True))
 
     def second_walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _runs(batches, ("k", "size", "ask", "held")):
             minor, held = np.array(group["minor"]), np.array(group["held_too"])
-            names, n, c, bins = np.array(group["d1"], np.int64), np.array(group["n"]), np.array(group["c"], np.int64), _bins(group["bins"])
+            names, n, c, bins = np.array(group["d1"], np.int64), np.array(group["n"]), np.array(group["c"], np.int64), folded(group["bins"])
             asks, others = Tree(n[minor], bins[minor], c[minor]), Tree(n[held], bins[held], c[held])
             yield _pairs(names[minor], names[held], walk(asks, others, percent, False, False))
 
@@ -411,10 +426,6 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[
         yield held
 
 
-def _bins(raw: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), BINS)
-
-
 def _size_class(n: Column, percent: int) -> Column:
     """Sets that can be similar have the same size class or neighbouring ones."""
     return F.floor(F.log(n.cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
@@ -471,8 +482,8 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (_bins(batch.column(c).to_pylist()).astype(np.int16) for c in ("x", "y"))
-            differ = np.abs(x - y).sum(axis=1)
+            pairs = (folded([x, y]) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()))
+            differ = np.array([np.abs(p[0] - p[1]).sum(dtype=np.int64) for p in pairs], np.int64)
             on = (100 + percent) * differ <= (100 - percent) * batch.column("both").to_numpy()
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(on))
 

@@ -82,7 +82,7 @@ def test_walk_loses_no_similar_pair():
                 s.discard(draw.choice(sorted(s)))
                 s.add(draw.randrange(3000))
             sets.append(np.array(sorted(filters.mix(np.array(sorted(s), np.uint64)))))
-        bins = np.stack([jaccard_join.histogram(s) for s in sets])
+        bins = jaccard_join.folded([jaccard_join.histogram(s).tobytes() for s in sets])
         tree = jaccard_join.Tree(np.array([len(s) for s in sets]), bins, np.arange(60))
         got = {frozenset(p) for p in jaccard_join.walk(tree, tree, percent, True, False)}
         want = {frozenset((i, j)) for i in range(60) for j in range(i) if jaccard_join.linked(sets[i], sets[j], percent)}
@@ -117,6 +117,15 @@ def test_histograms_differ_no_more_than_sets():
         a, b = np.unique(filters.mix(a)), np.unique(filters.mix(b))
         least = np.abs(jaccard_join.histogram(a).astype(int) - jaccard_join.histogram(b)).sum()
         assert least <= len(np.setxor1d(a, b))
+    sizes = [100, 1500, 1600, 3000, 3100, 20_000, 120_000]
+    sets = [np.unique(filters.mix(np.arange(k, k + n, dtype=np.uint64))) for k, n in enumerate(sizes)]
+    raw = [jaccard_join.histogram(s).tobytes() for s in sets]
+    assert [len(r) for r in raw] == [256, 256, 512, 512, 1024, 4096, 16384]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            x, y = jaccard_join.folded([raw[i], raw[j]])
+            assert len(x) == min(len(raw[i]), len(raw[j]))
+            assert np.abs(x - y).sum(dtype=np.int64) <= len(np.setxor1d(a, b))
 
 
 def test_connected_components(spark):
