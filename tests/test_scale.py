@@ -15,8 +15,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128KB",
-    # Else partitions below 1 MB, as all are here, are merged whatever size is advised.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32KB",
+    # Else partitions below 1 MB, as all are here, are merged whatever size is advised, and into as few
+    # as this session has cores: four. As many cores as partitions are taken to be there.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionNum": "16",
     "spark.sql.shuffle.partitions": "16",
 }
 
