@@ -231,13 +231,16 @@ def window_starts(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # --------------------------------------------------------------------------------------- fitting
 
+#: Bytes of texts whose words and runs a task holds at once.
+PART_BYTES = 1 << 19
 #: Windows that fitting takes of a text in a round: its worst, and of clean texts one drawn besides.
 _PICKED = "doc_id long, y int, drawn boolean, words array<string>"
 
 
 def _parts_counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many texts of each class hold a word or a run; a text counts once."""
-    for batch in batches:
+    """How many texts of each class hold a word or a run; a text counts once. Counts leave the task by
+    small slices of texts, since runs are many."""
+    for batch, *_ in common.buffers(batches, "text", PART_BYTES):
         counts: dict[tuple[str, str, int], int] = {}
         for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
             own = {core(w) for w in words_of(text or "")}
@@ -277,7 +280,7 @@ def _picker(net: Network, hint: np.ndarray | None, seed: int, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = net.reader() if hint is None else None
         worth: dict[str, float] = {}
-        for part, *_ in common.buffers(batches, "text"):
+        for part, *_ in common.buffers(batches, "text", 1 << 20):
             ids, labels, drawn, picked = [], [], [], []
             rows = [(d, y, words_of(t or "")) for d, y, t in zip(*(part.column(c).to_pylist() for c in ("doc_id", "y", "text")))]
             rows = [r for r in rows if r[2]]
@@ -289,7 +292,7 @@ def _picker(net: Network, hint: np.ndarray | None, seed: int, turn: int):
                 numbers = reader.cache.rows(flat)
                 value, many = reader.all_windows(reader.cache.ids.reshape(-1, 6 * HIDDEN), numbers, sizes)
             else:
-                if len(worth) > 200_000:
+                if len(worth) > 100_000:
                     worth.clear()
                 fresh = [w for w in dict.fromkeys(flat) if w not in worth]
                 owner, feature = net.parts(fresh)
