@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +31,27 @@ def spare(name: str, columns: list[str]) -> str:
     return name
 
 
-def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+@contextmanager
+def few_rows(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Jobs that start in here hand ``rows`` texts at once to Python and back, which bounds what a batch takes in
+    an executor and its workers and changes no result; None: as the session says."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if rows is not None:
+        spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def written(df: DataFrame, label: str, rows: int | None = None) -> tuple[DataFrame, str]:
     """``df`` as a table in the shared folder, so lineage ends there and lost executors cost
-    nothing. Returns the reread frame and its path, for ``dropped``."""
+    nothing. Returns the reread frame and its path, for ``dropped``. ``rows``: see ``few_rows``."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with few_rows(spark, rows):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

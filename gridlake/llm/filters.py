@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlake.llm.common import few_rows
+
 #: log2 of the bits of a filter sent to all tasks. The size never follows the data: a fuller filter
 #: lets more values pass that are not in it, which costs time and changes no result.
 FILTER_BITS = 25
@@ -27,9 +29,9 @@ def _bit(values: np.ndarray) -> np.ndarray:
     return mix(values.astype(np.uint64)) >> np.uint64(64 - FILTER_BITS)
 
 
-def fixed_filter(keys: DataFrame) -> np.ndarray:
+def fixed_filter(keys: DataFrame, rows: int | None = None) -> np.ndarray:
     """Filter of the longs in column ``k``. Tasks send the words they set; at most
-    2**FILTER_BITS bits reach the driver."""
+    2**FILTER_BITS bits reach the driver. ``rows``: see ``common.few_rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
@@ -39,7 +41,8 @@ def fixed_filter(keys: DataFrame) -> np.ndarray:
         full = np.flatnonzero(own)
         yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(own[full].view(np.int64))], ["w", "v"])
 
-    words = keys.select("k").mapInArrow(run, "w int, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
+    with few_rows(keys.sparkSession, rows):
+        words = keys.select("k").mapInArrow(run, "w int, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
     out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     out[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).view(np.uint64)
     return out

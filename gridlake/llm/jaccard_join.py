@@ -12,8 +12,10 @@ all pairs that are not similar, before any pair leaves its task.
 
 Links are wanted for components, so pairs that are connected already are dropped too. A first walk
 takes what may be similar as linked at once and gives no more pairs than a forest over a group; those
-are checked. Groups that then still hold several components are walked in full. Members meet only
-where their sizes can link, and in blocks, so no task holds a group.
+are checked. Where all of them hold, the forest connects what a full walk would, and the group is done.
+Groups with a refuted pair, or of several blocks, are walked by their components for two forests, and
+those with a refuted pair then once more in full. Members meet only where their sizes can link, and in
+blocks, so no task holds a group.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm import common
+from gridlake.llm import common, units
 from gridlake.llm.filters import MIX_1, fixed_filter, in_filter, mix
 
 WORDS = 4
@@ -37,17 +39,20 @@ PERCENT = 85
 #: differ in no fewer shingles than their histograms do. Large sets have 2, 4, ... times as many bins,
 #: so that one holds PER_BIN shingles or fewer on average, up to MOST_BINS; halves added up give the
 #: histogram of half as many bins.
-BINS, PER_BIN, MOST_BINS = 256, 6, 1 << 14
+BINS, PER_BIN, MOST_BINS, FEW = 256, 6, 1 << 14, 15
 #: Members of a node that is not split further: all its pairs are looked at together.
 LEAF = 24
 #: Members of a group that one walk takes on each side.
 BLOCK = 500
-#: Walks that take what may be similar as linked, before the one that gives every pair. A second one finds
-#: little more: pairs that were refuted stand in the way of the same others again.
-ROUNDS = 1
+#: Forests that the walk by components gives: a component comes apart from its group only where the pairs of
+#: all of them are refuted. None gives every pair.
+FORESTS = 2
 #: log2 of the counters of the frequency sketch that orders shingles; any order is right, this one
 #: keeps groups small.
 SKETCH_BITS = 20
+#: Bytes of texts that a task hashes at once: each takes some fifty bytes of a worker meanwhile. And rows that
+#: go to Python and back at once.
+SLICE, ROWS = 1 << 19, 1000
 
 
 #: A random-looking 64-bit value for each byte, A-Z as in lower case; and what is white space.
@@ -134,6 +139,25 @@ def folded(raw: list[bytes]) -> np.ndarray:
     return out
 
 
+def packed(bins: np.ndarray) -> bytes:
+    """A histogram as it is stored: two bins a byte with ``FEW`` shingles at most in each, which is what bins
+    rarely exceed; those of the largest sets, where more can lie in one, a byte each."""
+    if len(bins) >= MOST_BINS:
+        return bins.tobytes()
+    few = np.minimum(bins, FEW)
+    return (few[: len(few) // 2] | few[len(few) // 2 :] << 4).tobytes()
+
+
+def unpacked(raw: list[bytes]) -> np.ndarray:
+    """Stored histograms as rows like those of ``folded``, cut alike, so that none differ by the cut."""
+    whole = []
+    for b in raw:
+        own = np.frombuffer(b, np.uint8)
+        whole.append(own if len(own) >= MOST_BINS else np.concatenate([own & FEW, own >> 4]))
+    out = folded(whole)
+    return np.minimum(out, FEW) if any(len(b) < MOST_BINS for b in raw) else out
+
+
 class Tree:
     """Binary tree over members sorted by size: in each node the union of bitmaps, the range of
     sizes, and the largest excess of a member's size over its bitmap's bits."""
@@ -158,16 +182,16 @@ class Tree:
         return known
 
 
-def walk(a: Tree, b: Tree, percent: int, same: bool, optimistic: bool) -> list[tuple[int, int]]:
+def walk(a: Tree, b: Tree, percent: int, same: bool, forests: int) -> list[tuple[int, int]]:
     """Pairs (member of a, member of b) that may be similar and lie in different components.
 
-    ``same``: both trees are one, and each pair is wanted once. ``optimistic``: take every such
-    pair as linked at once, so that no more than a spanning forest of pairs comes out."""
+    ``same``: both trees are one, and each pair is wanted once. ``forests``: take every such
+    pair as linked at once, so that no more than so many spanning forests of pairs come out; 0: every pair."""
     if not len(a.sizes) or not len(b.sizes):
         return []
-    root = {c: c for c in np.unique(np.concatenate([a.component, b.component])).tolist()}
+    roots = [{c: c for c in np.unique(np.concatenate([a.component, b.component])).tolist()} for _ in range(forests)]
 
-    def find(x: int) -> int:
+    def find(root: dict[int, int], x: int) -> int:
         while root[x] != x:
             root[x] = root[root[x]]
             x = root[x]
@@ -190,9 +214,9 @@ def walk(a: Tree, b: Tree, percent: int, same: bool, optimistic: bool) -> list[t
         most = min(high_a, high_b, bits + min(over_a, over_b))
         if (100 + percent) * most < percent * (low_a + low_b):
             continue
-        if optimistic:
-            roots = {find(x) for x in {*a.component[a0:a1].tolist(), *b.component[b0:b1].tolist()}}
-            if len(roots) == 1:
+        if forests:
+            held = {*a.component[a0:a1].tolist(), *b.component[b0:b1].tolist()}
+            if all(len({find(root, x) for x in held}) == 1 for root in roots):
                 continue
         if a1 - a0 <= LEAF and b1 - b0 <= LEAF:
             both = a.sizes[a0:a1, None] + b.sizes[None, b0:b1]
@@ -201,13 +225,15 @@ def walk(a: Tree, b: Tree, percent: int, same: bool, optimistic: bool) -> list[t
             if same:
                 near &= np.arange(a0, a1)[:, None] < np.arange(b0, b1)[None]
             x, y = np.nonzero(near)
-            if optimistic:
+            if forests:
                 for k in np.argsort(differ[x, y] / both[x, y], kind="stable").tolist():  # the likest first
                     i, j = a0 + int(x[k]), b0 + int(y[k])
-                    p, q = find(int(a.component[i])), find(int(b.component[j]))
-                    if p != q:
-                        root[p] = q
-                        out.append((int(a.order[i]), int(b.order[j])))
+                    for root in roots:
+                        p, q = find(root, int(a.component[i])), find(root, int(b.component[j]))
+                        if p != q:
+                            root[p] = q
+                            out.append((int(a.order[i]), int(b.order[j])))
+                            break
             else:
                 out += zip(a.order[a0 + x].tolist(), b.order[b0 + y].tolist())
         elif a1 - a0 >= b1 - b0:
@@ -222,13 +248,17 @@ def walk(a: Tree, b: Tree, percent: int, same: bool, optimistic: bool) -> list[t
 # ------------------------------------------------------------------------------------- operator
 
 
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    return common.written(df, label, ROWS)
+
+
 def _digests(sets: list[np.ndarray]) -> np.ndarray:
     raw = b"".join([xxhash.xxh3_128_digest(s.astype("<u8").tobytes()) for s in sets])
     return np.frombuffer(raw, "<i8").reshape(-1, 2)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int):
-    for part, data, starts, lengths in common.buffers(batches, "text"):
+    for part, data, starts, lengths in common.buffers(batches, "text", SLICE):
         sets = shingle_sets(data, starts, lengths, k)
         yield part, sets, _digests(sets)
 
@@ -247,6 +277,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units.forget()
         counts, total = np.zeros(1 << SKETCH_BITS, np.int64), 0
         for part, sets, names in _sets(batches, k):
             for s in sets:
@@ -256,7 +287,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names[:, 0].copy()),
                  part.column("th"), pa.array(np.full(n, -1), pa.int32()),
-                 pa.array([histogram(s).tobytes() if len(s) else None for s in sets], pa.binary())],
+                 pa.array([packed(histogram(s)) if len(s) else None for s in sets], pa.binary())],
                 ["doc_id", "n", "d1", "th", "counter", "bins"],
             )
         # Counters well above the task's mean: those of frequent shingles.
@@ -268,13 +299,13 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
         )
 
     described = rows.mapInArrow(describe, "doc_id long, n long, d1 long, th long, counter int, bins binary")
-    described, described_path = common.written(described, "described")
+    described, described_path = _written(described, "described")
     members = described.where("counter < 0")
     sketch = described.where("counter >= 0").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
     frequency = np.zeros(1 << SKETCH_BITS, np.int64)
     frequency[sketch["counter"].to_numpy(np.int64)] = sketch["n"].to_numpy(np.int64)
     classes = members.where("n > 0").groupBy("d1").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.first("bins").alias("bins"))
-    classes, classes_path = common.written(classes, "classes")
+    classes, classes_path = _written(classes, "classes")
     ordering = spark.sparkContext.broadcast(frequency)
     texts = rows.select("text")
 
@@ -301,7 +332,7 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
 
     tokens = texts.mapInArrow(emit_tokens, "k long, d1 long")
     grouped = tokens.groupBy("k").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).where("a <> b").select("k")
-    shared_tokens = spark.sparkContext.broadcast(fixed_filter(grouped))
+    shared_tokens = spark.sparkContext.broadcast(fixed_filter(grouped, ROWS))
 
     def emit_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sets, d1 in speakers(batches):
@@ -312,17 +343,17 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(d1[owner]), pa.array(sizes[owner])], ["k", "d1", "n"])
 
     found = texts.mapInArrow(emit_members, "k long, d1 long, n long").distinct()
-    found, found_path = common.written(found, "members")
+    found, found_path = _written(found, "members")
     sizes = found.groupBy("k").agg(F.count("*").alias("m"), F.min("d1").alias("a"), F.max("d1").alias("b"), F.min("n").alias("low"), F.max("n").alias("high"), F.bit_xor(F.xxhash64("d1")).alias("who"))
-    sizes, sizes_path = common.written(sizes.where("m > 1"), "groups")
+    sizes, sizes_path = _written(sizes.where("m > 1"), "groups")
     couples = sizes.where((F.col("m") == 2) & (100 * F.col("low") >= percent * F.col("high"))).select("a", "b").distinct()
-    couples, couples_path = common.written(_near(couples, classes, percent), "couples")
+    couples, couples_path = _written(_near(couples, classes, percent), "couples")
 
     # Groups of three and more. Near copies meet under many shingles, always the same members: one
     # shingle stands for all.
     crowds = sizes.where("m > 2").groupBy("m", "a", "b", "who").agg(F.min("k").alias("k"))
-    crowds, crowds_path = common.written(crowds.select("k"), "crowds")
-    crowded, crowded_path = common.written(found.join(crowds, "k"), "crowded")
+    crowds, crowds_path = _written(crowds.select("k"), "crowds")
+    crowded, crowded_path = _written(found.join(crowds, "k"), "crowded")
 
     def with_bins(members: DataFrame) -> DataFrame:
         return members.join(classes.select("d1", "bins"), "d1")
@@ -330,50 +361,69 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     def first_walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[bytes] = set()
         for group in _runs(batches, ("k", "size", "block")):
+            if group["more"][0]:  # pairs across blocks are left
+                yield _unseen(group)
             names, component = np.array(group["d1"], np.int64), np.array(group["c"], np.int64)
             mark = xxhash.xxh3_128_digest(np.sort(names).tobytes())
             if mark in done or len(names) < 2:  # the same members met under another shingle
                 continue
             done.add(mark)
-            tree = Tree(np.array(group["n"]), folded(group["bins"]), component)
-            yield _pairs(names, names, walk(tree, tree, percent, True, True))
+            tree = Tree(np.array(group["n"]), unpacked(group["bins"]), component)
+            yield _pairs(group, names, names, walk(tree, tree, percent, True, 1))
+
+    def second_walk(forests: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for group in _runs(batches, ("k", "size", "ask", "held")):
+                minor, held = np.array(group["minor"]), np.array(group["held_too"])
+                names, n, c, bins = np.array(group["d1"], np.int64), np.array(group["n"]), np.array(group["c"], np.int64), unpacked(group["bins"])
+                asks, others = Tree(n[minor], bins[minor], c[minor]), Tree(n[held], bins[held], c[held])
+                yield _pairs(group, names[minor], names[held], walk(asks, others, percent, False, forests))
 
-    def second_walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _runs(batches, ("k", "size", "ask", "held")):
-            minor, held = np.array(group["minor"]), np.array(group["held_too"])
-            names, n, c, bins = np.array(group["d1"], np.int64), np.array(group["n"]), np.array(group["c"], np.int64), folded(group["bins"])
-            asks, others = Tree(n[minor], bins[minor], c[minor]), Tree(n[held], bins[held], c[held])
-            yield _pairs(names[minor], names[held], walk(asks, others, percent, False, False))
+        return run
 
     def walked(members: DataFrame, keys: list[str], walk, more: list[str]) -> DataFrame:
         dealt = with_bins(members).repartition(*keys).sortWithinPartitions(*keys)
-        return dealt.select(*keys, *more, "d1", "n", "c", "bins").mapInArrow(walk, "a long, b long")
+        return dealt.select(*keys, *more, "d1", "n", "c", "bins").mapInArrow(walk, _FOUND)
 
-    # Rounds: what a walk takes as linked is checked, and groups that still hold several components are
-    # walked again; the last walk gives every pair of different components.
-    open_members, scratch = crowded.withColumn("c", F.col("d1")), []
+    # Rounds: what a walk takes as linked is checked, and groups where some of it is refuted are walked
+    # again; the last walk gives every pair of different components.
+    members_now, groups_now, scratch = crowded.withColumn("c", F.col("d1")), None, []
     tried, links, component = None, None, None
-    for last in (*[False] * ROUNDS, True):
-        if last:
-            found_now = walked(_faced(open_members, percent), ["k", "size", "ask", "held"], second_walk, ["minor", "held_too"])
+    for forests in (1, FORESTS, 0):
+        if groups_now is None:
+            found_now = walked(_placed(members_now, percent), ["k", "size", "block"], first_walk, ["more"])
         else:
-            found_now = walked(_placed(open_members, percent), ["k", "size", "block"], first_walk, [])
-        if tried is None:
-            fresh, path = common.written(couples.union(found_now).distinct(), "candidates")
-        else:
-            fresh, path = common.written(found_now.distinct().join(tried, ["a", "b"], "left_anti"), "candidates")
-        tried = fresh if tried is None else tried.union(fresh)
-        more, more_path = common.written(_check(texts, fresh, k, percent), "checked")
-        links = more if links is None else links.union(more)
-        component, component_path = common.written(common.components(links), "components")
-        scratch += [path, more_path, component_path]
-        if not last:
-            c = component.select(F.col("node").alias("d1"), F.col("component").alias("c"))
-            groups = crowded.join(c, "d1", "left").withColumn("c", F.coalesce("c", "d1"))
-            parts = groups.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-            still = groups.join(parts.select("k"), "k")
-            open_members, path = common.written(still, "open")
+            found_now = walked(_faced(members_now, groups_now, percent), ["k", "size", "ask", "held"], second_walk(forests), ["minor", "held_too"])
+        found_now, path = _written(found_now, "found")
+        scratch.append(path)
+        fresh = found_now.where("a is not null").select("a", "b").distinct()
+        fresh = couples.union(fresh).distinct() if tried is None else fresh.join(tried, ["a", "b"], "left_anti")
+        fresh, path = _written(fresh, "candidates")
+        scratch.append(path)
+        if tried is None or not fresh.isEmpty():
+            more, path = _written(_check(texts, fresh, k, percent), "checked")
             scratch.append(path)
+            if links is None or not more.isEmpty():
+                links = more if links is None else links.union(more)
+                component, component_path = _written(common.components(links), "components")
+                scratch.append(component_path)
+        tried = fresh if tried is None else tried.union(fresh)
+        if not forests:
+            break
+        c = component.select(F.col("node").alias("d1"), F.col("component").alias("c"))
+        ends = tried
+        for end in ("a", "b"):
+            ends = ends.join(c.toDF(end, f"c_{end}"), end, "left").withColumn(f"c_{end}", F.coalesce(f"c_{end}", end))
+        refuted = ends.where("c_a <> c_b").select("a", "b")
+        again = found_now.join(refuted, ["a", "b"], "left_semi").union(found_now.where("a is null").select("a", "b", "k", "size"))
+        groups_now, path = _written(again.select("k", "size").distinct(), "again")
+        scratch.append(path)
+        if groups_now.isEmpty():
+            break
+        some = crowded.join(groups_now.select("k").distinct(), "k", "left_semi")
+        some = some.join(c, "d1", "left").withColumn("c", F.coalesce("c", "d1"))
+        members_now, path = _written(some, "open")
+        scratch.append(path)
 
     def labelled(df: DataFrame, name: str) -> DataFrame:
         c = component.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
@@ -449,16 +499,18 @@ def _placed(members: DataFrame, percent: int) -> DataFrame:
     its blocks, so that blocks can become one component."""
     shared, counts = _shared_sizes(members, percent)
     sized = shared.join(counts, ["k", "size"]).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    sized = sized.withColumn("more", F.col("blocks") > 1)
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     mine = F.array(F.pmod(F.xxhash64("d1"), F.col("blocks")).cast("int"))
-    return sized.withColumn("block", F.explode(F.when(F.col("d1") == F.col("first"), every).otherwise(mine))).select("k", "size", "block", "d1", "n", "c")
+    return sized.withColumn("block", F.explode(F.when(F.col("d1") == F.col("first"), every).otherwise(mine))).select("k", "size", "block", "more", "d1", "n", "c")
 
 
-def _faced(members: DataFrame, percent: int) -> DataFrame:
-    """Members outside the main component of their size class against all of the class, as pairs of blocks
+def _faced(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Members of ``groups`` (k, size): those outside the main component of their size class against all of the class, as pairs of blocks
     (ask, held) of bounded size. ``minor`` tells who asks, ``held_too`` who is asked: where one block holds
     a whole class each member comes once, for both."""
     shared, counts = _shared_sizes(members, percent)
+    counts = counts.join(groups, ["k", "size"], "left_semi")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     grid = counts.select("k", "size", "main", blocks(F.col("m") - F.col("most")).alias("n_asks"), blocks(F.col("m")).alias("n_held"))
     rows = shared.join(grid, ["k", "size"])
@@ -482,7 +534,7 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = (folded([x, y]) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()))
+            pairs = (unpacked([x, y]) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()))
             differ = np.array([np.abs(p[0] - p[1]).sum(dtype=np.int64) for p in pairs], np.int64)
             on = (100 + percent) * differ <= (100 - percent) * batch.column("both").to_numpy()
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(on))
@@ -492,19 +544,29 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return bins.select("a", "b", "x", "y", (F.col("na") + F.col("nb")).alias("both")).mapInArrow(near, "a long, b long")
 
 
-def _pairs(left: np.ndarray, right: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+#: A pair that a walk gives, and the group it met in; without a pair, a group that has to be walked again.
+_FOUND = "a long, b long, k long, size int"
+
+
+def _unseen(group: dict[str, list]) -> pa.RecordBatch:
+    none = pa.nulls(1, pa.int64())
+    return pa.RecordBatch.from_arrays([none, none, pa.array(group["k"][:1], pa.int64()), pa.array(group["size"][:1], pa.int32())], ["a", "b", "k", "size"])
+
+
+def _pairs(group: dict[str, list], left: np.ndarray, right: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     at = np.array(pairs, np.int64).reshape(-1, 2)
     x, y = left[at[:, 0]], right[at[:, 1]]
     keep = x != y
     x, y = x[keep], y[keep]
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+    k, size = np.full(len(x), group["k"][0], np.int64), np.full(len(x), group["size"][0], np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(k), pa.array(size)], ["a", "b", "k", "size"])
 
 
 def _check(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar. Sets are made anew from the texts, for classes
     that a filter lets pass, and brought to the pairs by two joins."""
     spark = rows.sparkSession
-    wanted = spark.sparkContext.broadcast(fixed_filter(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()))
+    wanted = spark.sparkContext.broadcast(fixed_filter(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct(), ROWS))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -516,7 +578,7 @@ def _check(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
             )
 
     sets = rows.mapInArrow(emit, "d1 long, own binary").groupBy("d1").agg(F.first("own").alias("own"))
-    sets, path = common.written(sets, "sets")
+    sets, path = _written(sets, "sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 
 
 _KEPT: dict = {}
@@ -25,6 +26,12 @@ def kept(key, make: Callable):
     return _KEPT[key]
 
 
+def forget() -> None:
+    """Lets go of what an operator before kept in this worker process."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+
+
 class UnitCache:
     """``encode`` maps a list of units to (the units in any order, ids of all of them in a row,
     number of ids of each, a small number to keep with each).

@@ -2,9 +2,11 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +68,63 @@ def test_one_document_of_each_component_stays(documents, odd):
     assert {g for g in got if g is not None} == want and len(got) == len(set(got))
 
 
+def test_few_pairs_of_a_large_group_are_checked(documents, monkeypatch):
+    """Also where a pair that stood for many is refuted, blocks come together without all their pairs."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 25)
+    draw = random.Random(9)
+    words = [f"w{i}" for i in range(2000)]
+    base = [draw.choice(words) for _ in range(160)]
+    rows = []
+    for i in range(200):
+        own = list(base)
+        for _ in range(draw.choice([1, 2, 3, 4, 5])):
+            own[draw.randrange(len(own))] = draw.choice(words)
+        rows.append((i, " ".join(own)))
+    checked = []
+    check = jaccard_join._check
+    monkeypatch.setattr(jaccard_join, "_check", lambda texts, pairs, k, percent: checked.append(pairs.count()) or check(texts, pairs, k, percent))
+    got = sorted(tuple(r)[:3] for r in jaccard_join.join(documents(rows)).collect())
+    assert got == sorted(plain_components(rows, 4, 85))
+    assert sum(checked) < 8 * len(rows), checked
+
+
+def test_hashing_texts_takes_little_memory():
+    text = pa.array([" ".join(f"w{i + j}" for j in range(500)) for i in range(2500)])
+    batch = pa.RecordBatch.from_arrays([text], ["text"])
+    assert text.nbytes > 6 << 20
+    jaccard_join._powers.cache_clear()
+    tracemalloc.start()
+    for _ in jaccard_join._sets(iter([batch]), 4):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20
+
+
+def test_batches_of_few_rows(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    got, path = common.written(spark.range(100).coalesce(1).mapInArrow(sizes, "n long"), "few", 7)
+    assert max(r.n for r in got.collect()) <= 7 and spark.conf.get(name) == before
+    common.dropped(spark, path)
+
+
+def test_stored_histograms_differ_no_more_than_sets():
+    sizes = [100, 700, 1500, 1600, 3000, 20_000, 120_000, 130_000]
+    sets = [np.unique(filters.mix(np.arange(k, k + n, dtype=np.uint64))) for k, n in enumerate(sizes)]
+    raw = [jaccard_join.packed(jaccard_join.histogram(s)) for s in sets]
+    assert [len(r) for r in raw] == [128, 128, 128, 256, 256, 2048, 16384, 16384]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            x, y = jaccard_join.unpacked([raw[i], raw[j]])
+            assert np.abs(x - y).sum(dtype=np.int64) <= len(np.setxor1d(a, b))
+
+
 def test_no_documents_no_components(documents):
     assert jaccard_join.join(documents([])).count() == 0
     assert jaccard_join.join(documents([(1, None), (2, "")])).count() == 2
