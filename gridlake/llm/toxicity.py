@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,10 @@ GRAM_SIZES = (3, 4, 5)
 WIDTH, HIDDEN, ATTENTION = 12, 8, 8
 EDGES = ".,;:!?|*#$%&\"'()[]="
 THRESHOLD = 0.3
+#: Windows that are read in step.
+CHUNK = 2048
+#: Last bits of a run's number that are looked at first.
+SIEVE = np.uint64((1 << 15) - 1)
 
 
 def words_of(text: str) -> list[str]:
@@ -54,6 +59,22 @@ class Network:
     """Parameters by name. Gates are kept side by side: update, reset, candidate."""
 
     def __init__(self, words: list[str], runs: list[str], seed: int = 1):
+        self.words = {w: i for i, w in enumerate(words)}
+        self.alphabet = np.array(sorted({ord(c) for g in runs for c in g}), np.uint32)
+        self.base = np.uint64(len(self.alphabet) + 1)
+        # By length: runs as numbers, in order; their features; and which last bits any of them has.
+        self.codes = {}
+        for n in GRAM_SIZES:
+            own = [(g, len(words) + i) for i, g in enumerate(runs) if len(g) == n]
+            if own:
+                code = np.zeros(len(own), np.uint64)
+                digit = self._digits(np.array([ord(c) for g, _ in own for c in g], np.uint32)).reshape(len(own), n)
+                for k in range(n):
+                    code = code * self.base + digit[:, k]
+                order = np.argsort(code)
+                sieve = np.zeros(int(SIEVE) + 1, bool)
+                sieve[code & SIEVE] = True
+                self.codes[n] = code[order], np.array([f for _, f in own], np.int64)[order], sieve
         self.features = {("w", w): i for i, w in enumerate(words)} | {("g", g): len(words) + i for i, g in enumerate(runs)}
         draw = np.random.default_rng(seed).normal
         h, d = HIDDEN, WIDTH
@@ -70,18 +91,42 @@ class Network:
 
     def parts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(owner, feature) of each known part of each word."""
-        owner, feature = [], []
-        for i, word in enumerate(words):
-            word = core(word)
-            found = {self.features.get(("w", word))} | {self.features.get(("g", g)) for g in grams(word)}
-            found.discard(None)
-            owner += [i] * len(found)
-            feature += sorted(found)
-        return np.array(owner, np.int64), np.array(feature, np.int64)
+        cores = [core(word) for word in words]
+        own = np.fromiter(map(self.words.get, cores, repeat(-1)), np.int64, len(cores))
+        at = np.flatnonzero(own >= 0)
+        found = [at * len(self.features) + own[at]]
+        # Runs of all words at once: characters are digits, and a run is a number.
+        text = np.frombuffer("".join([f"^{word}$" for word in cores]).encode("utf-32-le", "surrogatepass"), "<u4")
+        sizes = np.array([len(word) + 2 for word in cores], np.int64)
+        owner = np.repeat(np.arange(len(cores)), sizes)
+        left = np.cumsum(sizes)[owner] - np.arange(len(text)) if len(text) else owner
+        digit = self._digits(text)
+        code = digit
+        for n in range(2, 1 + max(GRAM_SIZES)):
+            code = code[: len(text) + 1 - n] * self.base + digit[n - 1 :]
+            if n in self.codes:
+                codes, features, sieve = self.codes[n]
+                at = np.flatnonzero(sieve[code & SIEVE])
+                at = at[left[at] >= n]
+                place = np.minimum(np.searchsorted(codes, code[at]), len(codes) - 1)
+                same = codes[place] == code[at]
+                found.append(owner[at[same]] * len(self.features) + features[place[same]])
+        both = np.sort(np.concatenate(found))
+        return np.divmod(both[np.append(True, both[1:] != both[:-1])] if len(both) else both, max(1, len(self.features)))
+
+    def _digits(self, text: np.ndarray) -> np.ndarray:
+        """Characters as digits from 1; 0 for those that are in no run."""
+        if not len(self.alphabet):
+            return np.zeros(len(text), np.uint64)
+        at = np.minimum(np.searchsorted(self.alphabet, text), len(self.alphabet) - 1)
+        return np.where(self.alphabet[at] == text, at + 1, 0).astype(np.uint64)
 
     def vectors(self, n: int, owner: np.ndarray, feature: np.ndarray) -> np.ndarray:
+        """Sums of the parts of ``n`` words; ``owner`` ascends."""
         out = np.tile(self.p["embed"][-1], (n, 1))
-        np.add.at(out, owner, self.p["embed"][feature])
+        if len(owner):
+            head = np.flatnonzero(np.diff(owner, prepend=-1))
+            out[owner[head]] += np.add.reduceat(self.p["embed"][feature], head, axis=0)
         return out
 
     # ---- windows, for fitting
@@ -180,41 +225,49 @@ class Reader:
         """Score of each window of texts that have ``sizes`` words each (one at least), whose rows
         in ``table`` stand one text after the other; and windows of each text."""
         first, many = window_starts(sizes)
-        begin = np.cumsum(sizes) - sizes
         owner = np.repeat(np.arange(len(sizes)), many)
+        place, left = first + (np.cumsum(sizes) - sizes)[owner], sizes[owner] - first
+        ways = [np.ascontiguousarray(table[:, k * 3 * HIDDEN : (k + 1) * 3 * HIDDEN]) for k in (0, 1)]
         scores = np.empty(len(first), np.float32)
-        for at in range(0, len(first), 8192):
-            part = slice(at, at + 8192)
-            place = first[part, None] + np.arange(WINDOW)
-            live = place < sizes[owner[part], None]
-            place = np.minimum(begin[owner[part], None] + place, len(rows) - 1)
-            scores[part] = self.windows(table, rows[place], live)
+        # Windows that are full need no mask; nearly all are.
+        for some, full in ((np.flatnonzero(left >= WINDOW), True), (np.flatnonzero(left < WINDOW), False)):
+            for at in range(0, len(some), CHUNK):
+                part = some[at : at + CHUNK]
+                index = place[part] + np.arange(WINDOW)[:, None]
+                live = None if full else np.arange(WINDOW)[:, None] < left[part]
+                scores[part] = self.windows(ways, rows[index if full else np.minimum(index, len(rows) - 1)], live)
         return scores, many
 
-    def windows(self, table: np.ndarray, index: np.ndarray, live: np.ndarray) -> np.ndarray:
-        n, h = len(index), HIDDEN
-        full = live.all()
-        both = np.empty((WINDOW, n, 2 * h), np.float32)
+    def windows(self, ways: list[np.ndarray], index: np.ndarray, live: np.ndarray | None) -> np.ndarray:
+        """Scores of windows; ``index`` (WINDOW, windows) tells the rows of both tables of ``ways``, ``live``
+        which words are there. Windows lie along the last axis of all arrays, so numpy's loops are long."""
+        n, h = index.shape[1], HIDDEN
+        both = np.empty((WINDOW, 2 * h, n), np.float32)
         for k, way in enumerate(("f", "b")):
-            s, u = np.zeros((n, h), np.float32), self.p[f"h{way}"]
+            s, u = np.zeros((h, n), np.float32), np.ascontiguousarray(self.p[f"h{way}"].T)
             for i in range(WINDOW) if way == "f" else range(WINDOW - 1, -1, -1):
-                gates = table[index[:, i], 3 * h * k : 3 * h * (k + 1)]
-                rec = s @ u
-                zr = gates[:, : 2 * h] + rec[:, : 2 * h]
+                gates = np.ascontiguousarray(ways[k].take(index[i], axis=0).T)
+                rec = u @ s
+                zr = gates[: 2 * h]
+                zr += rec[: 2 * h]
+                np.clip(zr, -30, 30, out=zr)
                 np.negative(zr, out=zr)
-                np.exp(np.clip(zr, -30, 30, out=zr), out=zr)
+                np.exp(zr, out=zr)
                 zr += 1
                 np.reciprocal(zr, out=zr)
-                z = zr[:, :h]
-                cand = np.tanh(gates[:, 2 * h :] + zr[:, h:] * rec[:, 2 * h :])
-                new = cand + z * (s - cand)
-                s = new if full else np.where(live[:, i, None], new, s)
-                both[i, :, k * h : (k + 1) * h] = s
-        e = np.tanh(both @ self.p["a"] + self.p["ab"]) @ self.p["v"]
-        if not full:
-            e = np.where(live.T, e, np.float32(-1e9))
+                cand = zr[h:] * rec[2 * h :]
+                cand += gates[2 * h :]
+                np.tanh(cand, out=cand)
+                new = s - cand
+                new *= zr[:h]
+                new += cand
+                s = new if live is None else np.where(live[i], new, s)
+                both[i, k * h : (k + 1) * h] = s
+        e = self.p["v"] @ np.tanh(self.p["a"].T @ both + self.p["ab"][:, None])
+        if live is not None:
+            e = np.where(live, e, np.float32(-1e9))
         w = np.exp(e - e.max(axis=0))
-        return ((w[:, :, None] * both).sum(axis=0) / w.sum(axis=0)[:, None]) @ self.p["o"] + self.p["ob"][0]
+        return (w * (self.p["o"] @ both)).sum(axis=0) / w.sum(axis=0) + self.p["ob"][0]
 
     def score(self, texts: list[str]) -> np.ndarray:
         a, b = self.network.scale
@@ -233,6 +286,8 @@ def window_starts(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 #: Bytes of texts whose words and runs a task holds at once.
 PART_BYTES = 1 << 19
+#: Bytes of texts that a task scores at once: their words are strings meanwhile.
+SCORED_BYTES = 1 << 20
 #: Windows that fitting takes of a text in a round: its worst, and of clean texts one drawn besides.
 _PICKED = "doc_id long, y int, drawn boolean, words array<string>"
 
@@ -440,7 +495,7 @@ def score(docs: DataFrame, network: Network | None, keep: bool = False, name: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = kept(("toxicity", mark), network.reader) if network is not None else None
-        for part, *_ in common.buffers(batches, "text"):
+        for part, *_ in common.buffers(batches, "text", SCORED_BYTES):
             texts = [t or "" for t in part.column("text").to_pylist()]
             value = reader.score(texts) if reader else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(value)], [*names, name])

@@ -276,6 +276,27 @@ def test_reader_is_the_network():
     assert math.isclose(net.reader().worst([" ".join(words)])[0], want, rel_tol=1e-4, abs_tol=1e-5)
 
 
+def test_full_windows_are_read_without_a_mask(monkeypatch):
+    net = toxicity.Network(["bad"], ["^ba"], seed=2)
+    masks, windows = [], toxicity.Reader.windows
+    monkeypatch.setattr(toxicity.Reader, "windows", lambda *a: masks.append((a[2].shape[1], a[3])) or windows(*a))
+    texts = ["bad or good " * n for n in (1, 30, 60)]
+    got = net.reader().worst(texts)
+    assert [m is None for _, m in masks] == [True, False] and masks[0][0] > masks[1][0]
+    assert np.allclose(got, [net.reader().worst([t])[0] for t in texts], atol=1e-5)
+
+
+def test_parts_of_words_like_a_search():
+    words, runs = ["bad", "ñu", "a"], ["^ba", "ad$", "^bad$", "ñu$", "bad", "oo", "執行$"]
+    net = toxicity.Network(words, runs)
+    for some in (["bad!", "BAD", "ñu", "badbad", "", "執行", "😀x", "a^b$"], []):
+        want = []
+        for i, word in enumerate(map(toxicity.core, some)):
+            found = {k for k, w in enumerate(words) if w == word} | {len(words) + k for k, g in enumerate(runs) if g in toxicity.grams(word)}
+            want += [(i, f) for f in sorted(found)]
+        assert list(zip(*(x.tolist() for x in net.parts(some)))) == want
+
+
 def test_windows_cover_all_words():
     for n in range(1, 100):
         first, many = toxicity.window_starts(np.array([n]))
