@@ -41,6 +41,9 @@ SHORT, SHORT_WIDTH = 160, 60
 GATHERED = 200
 #: Rows of a shard's transform, and shards merged at once: what a task holds.
 SHARD_ROWS, SHARDS = 150_000, 4
+#: Bytes of texts that a task hashes at once: each takes some fifty bytes of a worker meanwhile. And rows that
+#: go to Python and back at once.
+SLICE, ROWS = 1 << 19, 1000
 
 MIX = np.array([xxhash.xxh64_intdigest(bytes([i]), 11) for i in range(256)], np.uint64)
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -50,6 +53,14 @@ BASE_2 = np.uint64(0xC2B2AE3D27D4EB4F)
 # -------------------------------------------------------------------------------------- anchors
 
 
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    return common.written(df, label, ROWS)
+
+
+def slices(batches: Iterator[pa.RecordBatch]):
+    return common.buffers(batches, "text", SLICE)
+
+
 def gram_hash(data: np.ndarray, size: int) -> np.ndarray:
     """Polynomial hash of each string of ``size`` (a power of two) bytes."""
     h, have = MIX[data], 1
@@ -234,16 +245,16 @@ def shared_passages(rows: DataFrame) -> tuple[DataFrame, str]:
     reach = SHORT + SHORT_WIDTH - 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, starts, lengths in common.buffers(batches, "text"):
+        for _, data, starts, lengths in slices(batches):
             at = anchors(data, starts, lengths, reach, SHORT_WIDTH)[3]
             yield pa.RecordBatch.from_arrays([pa.array(_cores(memoryview(data), at, SHORT))], ["k"])
 
     again = rows.select("text").mapInArrow(count, "k long").groupBy("k").count().where("count > 1").select("k")
-    again, again_path = common.written(again, "passages")
-    known = spark.sparkContext.broadcast(fixed_filter(again))
+    again, again_path = _written(again, "passages")
+    known = spark.sparkContext.broadcast(fixed_filter(again, ROWS))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, starts, lengths in common.buffers(batches, "text"):
+        for part, data, starts, lengths in slices(batches):
             row, _, _, at = anchors(data, starts, lengths, reach, SHORT_WIDTH)
             k = _cores(memoryview(data), at, SHORT)
             on = np.flatnonzero(in_filter(known.value, k))
@@ -251,7 +262,7 @@ def shared_passages(rows: DataFrame) -> tuple[DataFrame, str]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("th").take(take), pa.array(k[on])], ["doc_id", "th", "k"])
 
     found = rows.mapInArrow(find, "doc_id long, th long, k long").join(again, "k", "left_semi")
-    out, path = common.written(found.groupBy("doc_id", "th").agg(F.count("*").alias("shared")), "shared")
+    out, path = _written(found.groupBy("doc_id", "th").agg(F.count("*").alias("shared")), "shared")
     common.dropped(spark, again_path)
     return out, path
 
@@ -273,15 +284,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, bl
     core = _core(length, width)
 
     def count_cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, starts, lengths in common.buffers(batches, "text"):
+        for _, data, starts, lengths in slices(batches):
             at = anchors(data, starts, lengths, length, width)[3]
             yield pa.RecordBatch.from_arrays([pa.array(_cores(memoryview(data), at, core))], ["k"])
 
     cores = rows.select("text").mapInArrow(count_cores, "k long").groupBy("k").count().where("count > 1").select("k")
-    shared = spark.sparkContext.broadcast(fixed_filter(cores))
+    shared = spark.sparkContext.broadcast(fixed_filter(cores, ROWS))
 
     def shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, starts, lengths in common.buffers(batches, "text"):
+        for part, data, starts, lengths in slices(batches):
             row, first, many, at = anchors(data, starts, lengths, length, width)
             view = memoryview(data)
             r = _cores(view, at, core)
@@ -295,28 +306,28 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, bl
                 ["doc_id", "th", "first", "many", "r", "f1", "f2"],
             )
 
-    found, found_path = common.written(
+    found, found_path = _written(
         rows.mapInArrow(shared_anchors, "doc_id long, th long, first long, many int, r long, f1 long, f2 long"), "anchors"
     )
     # All columns of a representative come from one row: Spark's first() takes them together.
     by_context = found.groupBy("r", "f1", "f2").agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("doc_id", "th", "first", "many")]
     )
-    by_context, context_path = common.written(by_context, "contexts")
+    by_context, context_path = _written(by_context, "contexts")
     by_core = by_context.groupBy("r").agg(F.count("*").alias("m"), F.sum((F.col("n") == 1).cast("int")).alias("single"))
     open_cores = by_core.where("m > 1 and single > 0").select("r", "m")
     wanted = by_context.join(open_cores, "r").select("r", "th", "first", "n", "m")
-    wanted, wanted_path = common.written(wanted, "wanted")
+    wanted, wanted_path = _written(wanted, "wanted")
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             k = row_key(b.column("th").to_numpy(), b.column("first").to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64))], ["k"])
 
-    chosen = spark.sparkContext.broadcast(fixed_filter(wanted.select("th", "first").mapInArrow(key, "k long")))
+    chosen = spark.sparkContext.broadcast(fixed_filter(wanted.select("th", "first").mapInArrow(key, "k long"), ROWS))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, starts, lengths in common.buffers(batches, "text"):
+        for part, data, starts, lengths in slices(batches):
             row, first, many, at = anchors(data, starts, lengths, length, width)
             th = part.column("th").to_numpy()
             on = np.flatnonzero(in_filter(chosen.value, row_key(th[row], first - starts[row])))
@@ -331,7 +342,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, bl
 
     contexts = rows.mapInArrow(cut_out, "doc_id long, th long, first long, many int, context binary")
     contexts = contexts.dropDuplicates(["th", "first"]).join(wanted, ["th", "first"])
-    contexts, contexts_path = common.written(contexts, "cut")
+    contexts, contexts_path = _written(contexts, "cut")
 
     def merge_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows_held = [], 0
@@ -402,7 +413,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, bl
     )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, starts, lengths in common.buffers(batches, "text"):
+        for part, data, starts, lengths in slices(batches):
             out = []
             for doc_id, gone, passages, a, n in zip(
                 part.column("doc_id").to_pylist(), part.column("spans").to_pylist(), part.column("shared").to_pylist(), starts.tolist(), lengths.tolist()

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridlake.llm import chunk_dedup, common, suffix_dedup
@@ -65,6 +67,18 @@ def test_short_passages_are_told(documents):
     assert all(r.n_removed == 0 for r in got.values())
 
 
+def test_hashing_texts_takes_little_memory():
+    text = pa.array([" ".join(f"w{i + j}" for j in range(500)) for i in range(2500)])
+    batch = pa.RecordBatch.from_arrays([text], ["text"])
+    assert text.nbytes > 6 << 20
+    tracemalloc.start()
+    for _, data, starts, lengths in suffix_dedup.slices(iter([batch])):
+        suffix_dedup.anchors(data, starts, lengths, suffix_dedup.LENGTH, suffix_dedup.WIDTH)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20
+
+
 def test_repeats_of_an_empty_table(documents):
     assert suffix_dedup.remove_repeats(documents([])).count() == 0
 
