@@ -88,6 +88,19 @@ def test_few_pairs_of_a_large_group_are_checked(documents, monkeypatch):
     assert sum(checked) < 8 * len(rows), checked
 
 
+def test_two_forests_outlive_a_refuted_pair():
+    sets = [np.arange(1, 101, dtype=np.uint64) << np.uint64(20)] * 30
+    bins = jaccard_join.folded([jaccard_join.histogram(s).tobytes() for s in sets])
+    tree = jaccard_join.Tree(np.full(30, 100), bins, np.arange(30))
+    pairs = jaccard_join.walk(tree, tree, 85, True, 2)
+    assert len(pairs) <= 2 * 29
+    for lost in range(len(pairs)):
+        reached = {0}
+        for _ in pairs:
+            reached |= {y for p in pairs[:lost] + pairs[lost + 1 :] if reached & set(p) for y in p}
+        assert len(reached) == 30
+
+
 def test_hashing_texts_takes_little_memory():
     text = pa.array([" ".join(f"w{i + j}" for j in range(500)) for i in range(2500)])
     batch = pa.RecordBatch.from_arrays([text], ["text"])
