@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import common
+from gridlake.llm.filters import fixed_filter, in_filter
 
 #: Bytes on each side of a cut over which its hash is the smallest; chunks are longer than this.
 RADIUS = 28
@@ -24,6 +25,9 @@ RADIUS = 28
 MAX_CHUNK = 4096
 #: Runs of repeated chunks under so many bytes stay; at 1 every chunk that occurred before goes.
 MIN_RUN = 1
+#: Bytes of texts that a task hashes at once: each takes some forty bytes of a worker meanwhile. And rows that
+#: go to Python and back at once.
+SLICE, ROWS = 1 << 19, 1000
 
 #: Gear table from a rule: one random-looking 32-bit value for each byte.
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([i]), 7) for i in range(256)], np.uint32)
@@ -34,19 +38,21 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     window doubles in each step, since older bytes have been shifted out of the 32 bits."""
     h = GEAR[data]
     for step in (1, 2, 4, 8, 16):
-        longer = h.copy()
-        longer[step:] += h[:-step] << np.uint32(step)
-        h = longer
+        h[step:] += h[:-step] << np.uint32(step)
     return h
 
 
+def slices(batches: Iterator[pa.RecordBatch]):
+    return common.buffers(batches, "text", SLICE)
+
+
 def cuts(data: np.ndarray, radius: int) -> np.ndarray:
     """Positions that start a new chunk: just behind a local minimum of the gear hash, moved on
     to the next first byte of a character."""
     h = gear_hash(data)
     low = common.sliding_min(h, radius)
-    at = np.arange(radius, len(h) - radius)
-    at = at[(h[at] < low[at - radius]) & (h[at] <= low[at + 1])] + 1
+    own = h[radius : len(h) - radius]
+    at = np.flatnonzero((own < low[: len(own)]) & (own <= low[radius + 1 :][: len(own)])) + radius + 1
     for _ in range(3):
         at = at + ((data[np.minimum(at, len(data) - 1)] & 0xC0) == 0x80)
     return at
@@ -74,16 +80,20 @@ def chunks(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, radius: in
     return row, begin - starts[row], end - begin
 
 
-def chunk_table(docs: DataFrame, radius: int = RADIUS, longest: int = MAX_CHUNK) -> DataFrame:
-    """(doc_id, th, start, size, d1, d2): the chunks of all texts, d1 and d2 being the digest."""
+def chunk_table(docs: DataFrame, radius: int = RADIUS, longest: int = MAX_CHUNK, known=None) -> DataFrame:
+    """(doc_id, th, start, size, d1, d2): the chunks of all texts, d1 and d2 being the digest. ``known``: a broadcast
+    filter of d1; chunks that are not in it are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, starts, lengths in common.buffers(batches, "text"):
+        for part, data, starts, lengths in slices(batches):
             row, start, size = chunks(data, starts, lengths, radius, longest)
             view, digest = memoryview(data), xxhash.xxh3_128_digest
             begin = starts[row] + start
             names = b"".join([digest(view[a:b]) for a, b in zip(begin.tolist(), (begin + size).tolist())])
             names = np.frombuffer(names, "<i8").reshape(-1, 2)
+            if known is not None:
+                on = np.flatnonzero(in_filter(known.value, names[:, 0]))
+                row, start, size, names = row[on], start[on], size[on], names[on]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").take(pa.array(row)), part.column("th").take(pa.array(row)),
                  pa.array(start, pa.int64()), pa.array(size, pa.int32()),
@@ -109,15 +119,21 @@ def dedup_chunks(
     removes the other's text. Other columns are ignored.
 
     Digests are counted with map-side combining; only those that recur are joined back to the
-    chunks, in a join that adaptive execution splits at frequent digests."""
+    chunks that a filter of fixed size lets pass, in a join that adaptive execution splits at frequent
+    digests. The digests that recur and the chunks that go are written tables."""
+    spark = docs.sparkSession
     rows = docs.select("doc_id", "text")
     found = chunk_table(rows, radius, longest)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th", "start")
     first = found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("final"))
     again = first.where("first.doc_id <> final.doc_id or first.last <> final.last or first.th <> final.th or first.start <> final.start")
     again = again.select("d1", "d2", F.col("first.doc_id").alias("f_doc"), F.col("first.th").alias("f_th"), F.col("first.start").alias("f_start"))
-    later = found.join(again, ["d1", "d2"]).where("not (doc_id <=> f_doc and th = f_th and start = f_start)")
+    again, again_path = common.written(again, "again", ROWS)
+    known = spark.sparkContext.broadcast(fixed_filter(again.select(F.col("d1").alias("k")), ROWS))
+    later = chunk_table(rows, radius, longest, known).join(again, ["d1", "d2"]).where("not (doc_id <=> f_doc and th = f_th and start = f_start)")
     each = later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "size", "f_doc")).alias("gone"))
+    each, _ = common.written(each, "gone", ROWS)
+    common.dropped(spark, again_path)
     docs_th = rows.withColumn("th", F.xxhash64("text"))
     kept = docs_th.alias("d").join(
         each.alias("e"), F.col("d.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("d.th") == F.col("e.th")), "left"
@@ -129,7 +145,7 @@ def dedup_chunks(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, starts, lengths in common.buffers(batches, "text"):
+        for part, data, starts, lengths in slices(batches):
             row, _, _ = chunks(data, starts, lengths, radius, longest)
             n_chunks = np.bincount(row, minlength=len(starts))
             out = []

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from gridlake.llm import chunk_dedup, common, suffix_dedup
+from gridlake.llm import chunk_dedup, common, filters, suffix_dedup
 
 
 def covered(texts, length):
@@ -157,6 +157,44 @@ def test_cuts_survive_an_insertion():
     assert len(pieces(text) - pieces(longer)) <= 4
 
 
+def test_cutting_texts_takes_little_memory(spark):
+    class Tasks:  # hands back what a task would run
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    text = pa.array([" ".join(f"w{i + j}" for j in range(500)) for i in range(2500)])
+    number = pa.array(range(len(text)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([number, text, number], ["doc_id", "text", "th"])
+    assert text.nbytes > 6 << 20
+    run = chunk_dedup.chunk_table(Tasks())
+    tracemalloc.start()
+    for _ in run(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+
+@pytest.mark.parametrize("full", [False, True])
+def test_a_full_filter_changes_no_chunk(documents, monkeypatch, full):
+    if full:
+        every = np.full(1 << (filters.FILTER_BITS - 6), 2**64 - 1, np.uint64)
+        monkeypatch.setattr(chunk_dedup, "fixed_filter", lambda *_: every)
+    rows = corpus(5)
+    seen, want = {}, {}
+    for doc_id, text in rows:
+        raw = text.encode()
+        data = np.frombuffer(bytes(common.PAD) + raw + bytes(common.PAD), np.uint8)
+        _, start, size = chunk_dedup.chunks(data, np.array([common.PAD]), np.array([len(raw)]), chunk_dedup.RADIUS, chunk_dedup.MAX_CHUNK)
+        pieces = [raw[a : a + n] for a, n in zip(start.tolist(), size.tolist())]
+        want[doc_id] = (len(pieces), sum(p in seen or bool(seen.setdefault(p, ())) for p in pieces))
+    got = chunk_dedup.dedup_chunks(documents(rows)).collect()
+    assert {r.doc_id: (r.n_chunks, r.n_repeated) for r in got} == want
+
+
 def test_chunks_keep_first_occurrences(documents, odd):
     rows = corpus(4) + [(i if i is None else i + 1000, t) for i, t in odd]
     got = chunk_dedup.dedup_chunks(documents(rows)).collect()
