@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,6 +166,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        # The table below keeps words; the library meets each once, so that its own memory of words is no help.
+        if hasattr(self.library.model, "_resize_cache"):
+            self.library.model._resize_cache(0)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         size = self.library.get_vocab_size()
         self.spaced = np.array([(self.library.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
@@ -177,14 +181,11 @@ class Encoder:
     def _encode_units(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """A unit is what follows a space; the first of a text has a space behind it instead.
         Marks: 1 where white space opens a unit, 2 where it closes one."""
-        plain, odd, marks = [], [], []
-        for unit in units:
-            if unit and not unit[0].isspace() and not unit[-1].isspace():
-                plain.append(unit)
-            else:
-                odd.append(unit)
-                end = unit[:-1] if unit[-1:] == " " else unit or " "
-                marks.append((not unit or unit[0].isspace()) + 2 * end[-1:].isspace())
+        odd = {unit for unit in units if not unit or unit.strip() != unit}
+        plain, odd, marks = [unit for unit in units if unit not in odd], list(odd), []
+        for unit in odd:
+            end = unit[:-1] if unit[-1:] == " " else unit or " "
+            marks.append((not unit or unit[0].isspace()) + 2 * end[-1:].isspace())
         ids, sizes = [], []
         for at in range(0, len(plain), 20_000):
             own = self.whole(" " + " ".join(plain[at : at + 20_000]))
@@ -198,19 +199,12 @@ class Encoder:
         return plain + odd, np.concatenate(ids), np.concatenate(sizes), marks
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
-        parts, counts = [], []
-        for text in texts:
-            own = text.split(" ")
-            own[0] += " "
-            parts += own
-            counts.append(len(own))
-        if not parts:
+        if not texts:
             return []
-        rows = self.cache.rows(parts)
+        rows, first = self._units(texts)
         marks = self.cache.marks[rows]
         meet = np.append(False, (marks[:-1] & 2 > 0) & (marks[1:] & 1 > 0))
         ids, each = self.cache.flat(rows)
-        first = np.cumsum(counts) - counts
         meet[first] = False
         odd = np.add.reduceat(meet, first, dtype=np.int64).tolist()
         ends = np.cumsum(np.add.reduceat(each, first)).tolist()
@@ -220,25 +214,50 @@ class Encoder:
         ]
 
 
+    def _units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Row of each unit of the texts, and which units are the first of a text. Arrow tells the
+        different units apart, so that each becomes a string and is looked up once."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        first, parts = split.offsets.to_numpy()[:-1].astype(np.int64), split.values
+        later = np.ones(len(parts), bool)
+        later[first] = False
+        units = parts.filter(pa.array(later)).dictionary_encode()
+        at = units.indices.to_numpy()
+        opening = [text.partition(" ")[0] + " " for text in texts]
+        times = np.append(np.bincount(at, minlength=len(units.dictionary)), np.ones(len(opening), np.int64))
+        different = units.dictionary.to_numpy(zero_copy_only=False).tolist()  # far faster than to_pylist
+        known = self.cache.rows(different + opening, times)
+        rows = np.empty(len(parts), np.int64)
+        rows[later], rows[first] = known[: len(units.dictionary)][at], known[len(units.dictionary) :]
+        return rows, first
+
+
 # ---------------------------------------------------------------------------------------- tables
 
 
 def encode_table(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, th, ids): ids of each text and the end id, little-endian, in two bytes each where
-    the vocabulary allows, else in four."""
+    """(doc_id, th, ids, id, n): ids of each text and the end id, little-endian, in two bytes each where
+    the vocabulary allows, else in four. Behind them, in rows of their own, how often each id came in a task;
+    ``id`` is NULL in the rows of texts."""
     kind = id_type(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("ids", tokenizer), lambda: Encoder(tokenizer))
+        names, total = ["doc_id", "th", "ids", "id", "n"], np.zeros(end_id + 1, np.int64)
         for part, *_ in common.buffers(batches, "text"):
             texts = [t or "" for t in part.column("text").to_pylist()]
             ids = [np.append(x, end_id).astype(kind).tobytes() for x in encoder.texts(texts)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("th"), pa.array(ids, pa.binary())], ["doc_id", "th", "ids"]
-            )
+            got = np.bincount(np.frombuffer(b"".join(ids), kind))
+            total = np.pad(total, (0, max(0, len(got) - len(total))))
+            total[: len(got)] += got
+            none = pa.nulls(len(ids), pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), pa.array(ids, pa.binary()), none, none], names)
+        used = np.flatnonzero(total)
+        none = pa.nulls(len(used), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(used), pa.binary()), pa.array(used, pa.int64()), pa.array(total[used])], names)
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    return rows.mapInArrow(run, "doc_id long, th long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, th long, ids binary, id long, n long")
 
 
 def id_type(tokenizer: str) -> str:
@@ -247,19 +266,9 @@ def id_type(tokenizer: str) -> str:
     return "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def id_counts(encoded: DataFrame, kind: str) -> np.ndarray:
+def id_counts(encoded: DataFrame) -> np.ndarray:
     """Count of each id over all documents. What reaches the driver is bounded by the vocabulary."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            got = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
-            total = np.pad(total, (0, max(0, len(got) - len(total))))
-            total[: len(got)] += got
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids])], ["id", "n"])
-
-    found = encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    found = encoded.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.id for r in found), default=0) + 1, np.int64)
     for r in found:
         counts[r.id] = r.n
@@ -275,7 +284,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
     spark = docs.sparkSession
     kind = id_type(tokenizer)
     encoded, scratch = common.written(encode_table(docs, tokenizer, end_id), "ids")
-    lengths = code_lengths(id_counts(encoded, kind), limit)
+    lengths = code_lengths(id_counts(encoded), limit)
     codes = canonical(lengths)
     used = np.flatnonzero(lengths)
     spark.createDataFrame(
@@ -304,7 +313,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
         if held:
             yield row()
 
-    ordered = encoded.repartitionByRange("doc_id", "th").sortWithinPartitions("doc_id", "th")
+    ordered = encoded.where("id is null").select("doc_id", "th", "ids").repartitionByRange("doc_id", "th").sortWithinPartitions("doc_id", "th")
     blocks = ordered.select("doc_id", "ids", F.spark_partition_id().alias("part"))
     blocks.mapInArrow(run, "part int, before long, n_ids long, data binary").write.parquet(f"{path}/blocks")
     common.dropped(spark, scratch)

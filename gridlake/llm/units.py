@@ -53,8 +53,9 @@ class UnitCache:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.hits, self.marks = self.hits[keep], self.marks[keep]
 
-    def rows(self, units: list[str]) -> np.ndarray:
-        """Row of the table for each unit; the rows stay valid until the next call."""
+    def rows(self, units: list[str], times: np.ndarray | None = None) -> np.ndarray:
+        """Row of the table for each unit; the rows stay valid until the next call. ``times``: how often
+        each unit stands in the texts, once if not given."""
         out = self._look(units)
         absent = np.flatnonzero(out < 0)
         if len(absent):
@@ -72,7 +73,7 @@ class UnitCache:
             self.hits = np.append(self.hits, np.zeros(len(new), np.int64))
             self.marks = np.append(self.marks, marks.astype(np.int8))
             out[absent] = self._look([units[i] for i in absent.tolist()])
-        self.hits += np.bincount(out, minlength=len(self.hits))
+        self.hits += np.bincount(out, times, len(self.hits)).astype(np.int64)
         return out
 
     def _look(self, units: list[str]) -> np.ndarray:

@@ -28,6 +28,28 @@ def test_byte_bpe_like_the_library():
         assert ids.tolist() == encoder.library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_byte_bpe_looks_a_word_up_once():
+    encoder = huffman_ids.Encoder(BPE)
+    asked, rows = [], encoder.cache.rows
+    encoder.cache.rows = lambda units, *more: asked.append(len(units)) or rows(units, *more)
+    texts = ["a " + "one word and one more word \n " * 300] * 3
+    want = encoder.library.encode(texts[0], add_special_tokens=False).ids
+    assert all(ids.tolist() == want for ids in encoder.texts(texts))
+    assert sum(asked) < 20
+    assert encoder.cache.hits.sum() == 3 * len(texts[0].split(" "))
+
+
+def test_ids_are_counted_while_texts_are_encoded(documents, odd):
+    got = huffman_ids.encode_table(documents(odd), BPE).collect()
+    texts = [r for r in got if r.id is None]
+    want = np.bincount(np.concatenate([np.frombuffer(r.ids, huffman_ids.id_type(BPE)) for r in texts]))
+    counts = np.zeros_like(want)
+    for r in got:
+        if r.id is not None:
+            counts[r.id] += r.n
+    assert len(texts) == len(odd) and counts.tolist() == want.tolist()
+
+
 def test_pieces_like_the_library():
     codec = sentencepiece_codec.Codec(PIECES)
     draw = random.Random(2)
