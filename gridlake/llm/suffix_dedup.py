@@ -65,9 +65,11 @@ def gram_hash(data: np.ndarray, size: int) -> np.ndarray:
     """Polynomial hash of each string of ``size`` (a power of two) bytes."""
     h, have = MIX[data], 1
     while have < size:
-        h = h[:-have] * np.uint64(pow(int(BASE), have, 1 << 64)) + h[have:]
-        have *= 2
-    return h ^ (h >> np.uint64(29))
+        longer = h[:-have] * np.uint64(pow(int(BASE), have, 1 << 64))
+        longer += h[have:]
+        h, have = longer, 2 * have
+    h ^= h >> np.uint64(29)
+    return h
 
 
 def anchors(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, length: int, width: int):
@@ -75,14 +77,18 @@ def anchors(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, length: i
     starts of an anchor are consecutive."""
     place = np.uint64((1 << 31) - 1)
     h = gram_hash(data, GRAM)
-    packed = (h & ~place) | np.arange(len(h), dtype=np.uint64)
-    at = (common.sliding_min(packed, width) & place).astype(np.int64)
+    h &= ~place
+    h |= np.arange(len(h), dtype=np.uint64)
+    low = common.sliding_min(h, width)
     many = np.maximum(lengths - length + 1, 0)
-    row = np.repeat(np.arange(len(starts)), many)
-    s = np.repeat(starts - np.cumsum(many) + many, many) + np.arange(many.sum())
-    at = at[s]
-    head = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (row[1:] != row[:-1]))) if len(s) else np.zeros(0, int)
-    return row[head], s[head], np.diff(np.append(head, len(s))), at[head]
+    # An anchor's starts begin where the minimum changes, or with the text.
+    change = np.flatnonzero(low[1:] != low[:-1]) + 1
+    row = np.maximum(np.searchsorted(starts, change, "right") - 1, 0)
+    change = change[(change > starts[row]) & (change < starts[row] + many[row])] if len(starts) else change[:0]
+    first = np.sort(np.concatenate([starts[many > 0], change]))
+    row = np.searchsorted(starts, first, "right") - 1
+    ends = np.minimum(np.append(first[1:], len(data))[: len(first)], starts[row] + many[row])
+    return row, first, ends - first, (low[first] & place).astype(np.int64)
 
 
 def _core(length: int, width: int) -> int:

@@ -79,6 +79,19 @@ def test_hashing_texts_takes_little_memory():
     assert peak < 80 << 20
 
 
+def test_anchors_are_found_without_a_row_for_each_start():
+    text = pa.array([" ".join(f"w{i + j}" for j in range(500)) for i in range(400)])
+    batch = pa.RecordBatch.from_arrays([text], ["text"])
+    tracemalloc.start()
+    for _, data, starts, lengths in suffix_dedup.slices(iter([batch])):
+        row, first, many, at = suffix_dedup.anchors(data, starts, lengths, suffix_dedup.LENGTH, suffix_dedup.WIDTH)
+        assert many.sum() == (lengths - suffix_dedup.LENGTH + 1).sum()
+        assert (first <= at).all() and (at < first + suffix_dedup.WIDTH).all() and (np.diff(row) >= 0).all()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 18 << 20
+
+
 def test_repeats_of_an_empty_table(documents):
     assert suffix_dedup.remove_repeats(documents([])).count() == 0
 
