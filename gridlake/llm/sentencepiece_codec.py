@@ -24,6 +24,8 @@ SPACE = "▁"  # stands for a space in pieces: a fixed value of the format
 START = -1
 #: Pairs remembered in a worker; tests beyond are repeated.
 PAIRS_KEPT = 1_000_000
+#: Bytes of texts that a task encodes at once: their words and ids are Python objects meanwhile.
+ENCODED_BYTES = 1 << 20
 
 
 class Codec:
@@ -153,7 +155,7 @@ def encode_decode(docs: DataFrame, model: str, keep: tuple[str, ...] = ()) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = kept(("pieces", model), lambda: Codec(model))
         names = [str(i) for i in range(codec.size)]
-        for part, *_ in common.buffers(batches, "text"):
+        for part, *_ in common.buffers(batches, "text", ENCODED_BYTES):
             encoded = codec.encode([t or "" for t in part.column("text").to_pylist()])
             lists = [x.tolist() for x in encoded]
             decoded = [codec.decode(x) if x else "" for x in lists]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import common
-from gridlake.llm.units import UnitCache, kept
+from gridlake.llm.units import UnitCache, forget, kept
 
 WINDOW, STRIDE = 16, 8
 #: Labelled documents of each class that the network is fitted on, the first by hash of doc_id.
@@ -295,6 +295,7 @@ _PICKED = "doc_id long, y int, drawn boolean, words array<string>"
 def _parts_counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of each class hold a word or a run; a text counts once. Counts leave the task by
     small slices of texts, since runs are many."""
+    forget()
     for batch, *_ in common.buffers(batches, "text", PART_BYTES):
         counts: dict[tuple[str, str, int], int] = {}
         for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
@@ -333,6 +334,7 @@ def _picker(net: Network, hint: np.ndarray | None, seed: int, turn: int):
     of texts, not by their lengths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         reader = net.reader() if hint is None else None
         worth: dict[str, float] = {}
         for part, *_ in common.buffers(batches, "text", 1 << 20):
@@ -377,6 +379,7 @@ def _picker(net: Network, hint: np.ndarray | None, seed: int, turn: int):
 
 def _worst_of(net: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         reader = net.reader()
         for part, *_ in common.buffers(batches, "text"):
             worst = reader.worst([t or "" for t in part.column("text").to_pylist()])

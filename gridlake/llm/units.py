@@ -7,6 +7,7 @@ a table, in numpy.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from itertools import repeat
 
@@ -21,14 +22,16 @@ def kept(key, make: Callable):
     """What ``make`` builds, once in a worker process for as long as tasks ask for the same ``key``:
     a tokenizer with its table of units outlives the task that filled it."""
     if key not in _KEPT:
-        _KEPT.clear()
+        forget()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
 def forget() -> None:
-    """Lets go of what an operator before kept in this worker process."""
+    """Lets go of what an operator before kept in this worker process. A tokenizer and its table of
+    units refer to each other, so they are collected here; else they stay until Python happens to."""
     _KEPT.clear()
+    gc.collect()
     pa.default_memory_pool().release_unused()
 
 

@@ -1,14 +1,19 @@
 """The pipeline as a whole, on documents whose fate is known."""
 
+import gc
 import random
+import weakref
 
+import numpy as np
+import pyarrow as pa
+import pytest
 import sentencepiece
 from public_tokenizers import path
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from gridlake.llm import queries
+from gridlake.llm import queries, sentencepiece_codec, toxicity, units
 
 
 def test_every_query_is_registered():
@@ -96,3 +101,31 @@ def test_an_empty_table_passes_all_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet").where("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, str(tmp_path)).count() == 0
+
+
+@pytest.fixture
+def no_collection():
+    """Python collects what refers to itself only when told to, as if it came to it too late."""
+    units.forget()
+    gc.disable()
+    yield
+    gc.enable()
+    units.forget()
+
+
+def test_a_tokenizer_is_gone_before_the_next_is_built(no_collection):
+    codec = weakref.ref(units.kept("codec", lambda: sentencepiece_codec.Codec(path("piece_bpe_32k.model"))))
+    assert codec() is not None
+    assert units.kept("next", lambda: codec() is None)
+
+
+@pytest.mark.parametrize("task", ["parts", "first", "later", "worst"])
+def test_fitting_starts_without_the_tokenizer_of_a_run_before(no_collection, task):
+    net = toxicity.Network(["bad"], ["^ba"])
+    run = {
+        "parts": toxicity._parts_counted, "first": toxicity._picker(net, np.zeros(2), 1, 0),
+        "later": toxicity._picker(net, None, 1, 1), "worst": toxicity._worst_of(net),
+    }[task]
+    codec = weakref.ref(units.kept("codec", lambda: sentencepiece_codec.Codec(path("piece_bpe_32k.model"))))
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "y": [0, 1], "text": ["good or bad", None]})
+    assert sum(b.num_rows for b in run(iter([rows]))) and codec() is None

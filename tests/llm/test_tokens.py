@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from public_tokenizers import path
@@ -134,3 +135,20 @@ def test_sentencepiece_table(documents, odd):
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted([tuple(r) for r in got], key=key) == sorted(want, key=key)
     assert sentencepiece_codec.encode_decode(documents([]), PIECES).count() == 0
+
+
+def test_few_texts_are_words_at_once(monkeypatch):
+    class Rows:
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    sizes, encode = [], sentencepiece_codec.Codec.encode
+    monkeypatch.setattr(sentencepiece_codec.Codec, "encode", lambda codec, texts: sizes.append(sum(map(len, texts))) or encode(codec, texts))
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(25)), "text": ["a word " * 15_000] * 24 + [None]})
+    got = [b for b in sentencepiece_codec.encode_decode(Rows(), PIECES)(iter([rows]))]
+    assert max(sizes) <= 1 << 20 and sum(sizes) == 24 * 105_000
+    counts = [n for b in got for n in b.column("n_tokens").to_pylist()]
+    assert counts == [len(sentencepiece.SentencePieceProcessor(model_file=PIECES).encode("a word " * 15_000))] * 24 + [0]
