@@ -14,12 +14,16 @@ from gridlake.llm import common, decontaminate, jaccard_join, pii, queries, sent
 
 #: Word shingles of the near-duplicate stage, and the similarity in percent.
 SHINGLE, PERCENT = 5, 80
+#: Texts that go to Python and back at once, in all stages that hand any there. An executor and its workers hold
+#: several batches meanwhile. The setting stays: what a stage returns runs later, when it is written.
+ROWS = 1000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents under the threshold stay; the network learns from the labelled among ``docs``. NULL
     and empty texts get the score of no words, repeated rows each the same one; texts of any length
     are read whole. Further columns, whatever their names, are passed on."""
+    common.at_most(spark, ROWS)
     network = queries.fit_toxicity(spark, docs, sf_dir)
     name = common.spare("_toxicity", docs.columns)
     scored = toxicity.score(docs, network, keep=True, name=name)
@@ -45,12 +49,14 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to its kind in brackets; n_chars follows the text."""
+    common.at_most(spark, ROWS)
     return pii.mask(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of them and of their decoding. A NULL text has the ids
     of an empty one: none. Repeated rows are encoded each; texts of any length whole."""
+    common.at_most(spark, ROWS)
     return sentencepiece_codec.encode_decode(docs, vocabulary("piece_bpe_32k.model"), keep=("ids",))
 
 

@@ -45,6 +45,14 @@ def few_rows(spark: SparkSession, rows: int | None) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def at_most(spark: SparkSession, rows: int) -> None:
+    """From now on jobs of the session hand ``rows`` rows or fewer at once to Python and back: unlike ``few_rows``
+    also those of a frame that runs after its maker has returned. A smaller setting stays; no result changes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:  # 0 and less: no bound
+        spark.conf.set(name, rows)
+
+
 def written(df: DataFrame, label: str, rows: int | None = None) -> tuple[DataFrame, str]:
     """``df`` as a table in the shared folder, so lineage ends there and lost executors cost
     nothing. Returns the reread frame and its path, for ``dropped``. ``rows``: see ``few_rows``."""

@@ -25,7 +25,7 @@ START = -1
 #: Pairs remembered in a worker; tests beyond are repeated.
 PAIRS_KEPT = 1_000_000
 #: Bytes of texts that a task encodes at once: their words and ids are Python objects meanwhile.
-ENCODED_BYTES = 1 << 20
+ENCODED_BYTES = 1 << 19
 
 
 class Codec:

@@ -73,6 +73,21 @@ def test_stages_keep_the_columns_of_documents(spark, tmp_path):
         assert stage(spark, docs, str(tmp_path)).dtypes == docs.dtypes
 
 
+@pytest.mark.parametrize("before, after", [(10_000, 1000), (0, 1000), (50, 50)])
+@pytest.mark.parametrize("stage", ["toxicity", "pii", "sentencepiece"])
+def test_what_a_stage_returns_goes_to_python_in_few_rows(spark, tmp_path, stage, before, after):
+    tables(spark, str(tmp_path))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(20)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    try:
+        spark.conf.set(name, before)
+        dict(corpus_pipeline.STAGES)[stage](spark, docs, str(tmp_path))
+        assert int(spark.conf.get(name)) == after  # the frame is not run yet
+    finally:
+        spark.conf.set(name, was)
+
+
 def test_columns_of_any_name_pass(spark, tmp_path):
     """Columns called like those that the stages make for themselves."""
     tables(spark, str(tmp_path), seed=5)
