@@ -44,6 +44,8 @@ BINS, PER_BIN, MOST_BINS, FEW = 256, 6, 1 << 14, 15
 LEAF = 24
 #: Members of a group that one walk takes on each side.
 BLOCK = 500
+#: Shingles of a set for each task that its groups are dealt to.
+SPREAD = 4096
 #: Forests that the walk by components gives: a component comes apart from its group only where the pairs of
 #: all of them are refuted. None gives every pair.
 FORESTS = 2
@@ -353,7 +355,14 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     # shingle stands for all.
     crowds = sizes.where("m > 2").groupBy("m", "a", "b", "who").agg(F.min("k").alias("k"))
     crowds, crowds_path = _written(crowds.select("k"), "crowds")
-    crowded, crowded_path = _written(found.join(crowds, "k"), "crowded")
+    crowd_keys = spark.sparkContext.broadcast(fixed_filter(crowds, ROWS))
+
+    def in_crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_filter(crowd_keys.value, batch.column("k").to_numpy())))
+
+    # Most members met nobody, or one: a filter keeps them out of the shuffle.
+    crowded, crowded_path = _written(found.mapInArrow(in_crowds, found.schema).join(crowds, "k"), "crowded")
 
     def with_bins(members: DataFrame) -> DataFrame:
         return members.join(classes.select("d1", "bins"), "d1")
@@ -382,7 +391,8 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
         return run
 
     def walked(members: DataFrame, keys: list[str], walk, more: list[str]) -> DataFrame:
-        dealt = with_bins(members).repartition(*keys).sortWithinPartitions(*keys)
+        members = with_bins(members)
+        dealt = (_dealt(members, percent) if "first" in members.columns else members.repartition(*keys)).sortWithinPartitions(*keys)
         return dealt.select(*keys, *more, "d1", "n", "c", "bins").mapInArrow(walk, _FOUND)
 
     # Rounds: what a walk takes as linked is checked, and groups where some of it is refuted are walked
@@ -502,7 +512,16 @@ def _placed(members: DataFrame, percent: int) -> DataFrame:
     sized = sized.withColumn("more", F.col("blocks") > 1)
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     mine = F.array(F.pmod(F.xxhash64("d1"), F.col("blocks")).cast("int"))
-    return sized.withColumn("block", F.explode(F.when(F.col("d1") == F.col("first"), every).otherwise(mine))).select("k", "size", "block", "more", "d1", "n", "c")
+    return sized.withColumn("block", F.explode(F.when(F.col("d1") == F.col("first"), every).otherwise(mine))).select("k", "size", "block", "more", "first", "d1", "n", "c")
+
+
+def _dealt(placed: DataFrame, percent: int) -> DataFrame:
+    """Groups (k, size, block) whole, and those with the same first member in one task: near copies meet under many
+    shingles in nearly the same company, so there the histograms of a class lie side by side and take
+    little of the shuffle, and a company that was walked is known. A set has more shingles to meet under the
+    larger it is, so groups of large sets are dealt by some bits of the shingle too."""
+    spread = 1 + F.floor(F.pow(F.lit(100 / percent), F.col("size")) / SPREAD)
+    return placed.repartition("first", "size", "block", F.pmod("k", spread))
 
 
 def _faced(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -564,7 +583,8 @@ def _pairs(group: dict[str, list], left: np.ndarray, right: np.ndarray, pairs: l
 
 def _check(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar. Sets are made anew from the texts, for classes
-    that a filter lets pass, and brought to the pairs by two joins."""
+    that a filter lets pass, and brought to the pairs by two joins. Both joins read the one shuffle by class
+    that leaves each set once, so only the sets of ``a`` move again, with their pairs."""
     spark = rows.sparkSession
     wanted = spark.sparkContext.broadcast(fixed_filter(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct(), ROWS))
 
@@ -578,7 +598,6 @@ def _check(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
             )
 
     sets = rows.mapInArrow(emit, "d1 long, own binary").groupBy("d1").agg(F.first("own").alias("own"))
-    sets, path = _written(sets, "sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

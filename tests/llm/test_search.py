@@ -88,6 +88,34 @@ def test_few_pairs_of_a_large_group_are_checked(documents, monkeypatch):
     assert sum(checked) < 8 * len(rows), checked
 
 
+def test_sets_take_no_table_of_their_own(documents, monkeypatch):
+    labels = []
+    write = common.written
+    monkeypatch.setattr(common, "written", lambda df, label, rows=None: labels.append(label) or write(df, label, rows))
+    rows = near_copies(5)
+    assert sorted(tuple(r)[:3] for r in jaccard_join.join(documents(rows)).collect()) == sorted(plain_components(rows, 4, 85))
+    assert "checked" in labels and "sets" not in labels
+
+
+def test_groups_with_the_same_first_member_are_dealt_together(spark, monkeypatch):
+    """Each group whole; those of large sets are spread."""
+    monkeypatch.setattr(jaccard_join, "SPREAD", 1000)
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else small partitions become one
+    members = [(k, d, n, d) for n, own in ((100, range(4)), (10**6, range(10, 14))) for k in range(n, n + 300) for d in own]
+    members = spark.createDataFrame(members, "k long, d1 long, n long, c long")
+    try:
+        placed = jaccard_join._placed(members, 85)
+        rows = jaccard_join._dealt(placed, 85).select("k", "size", "block", "first", F.spark_partition_id().alias("at")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    groups, tasks = Counter((r.k, r.size, r.block, r.at) for r in rows), defaultdict(set)
+    for r in rows:
+        tasks[r.first].add((r.size, r.at))
+    assert set(groups.values()) == {4} and len(groups) == len({g[:3] for g in groups})
+    assert len(tasks[0]) == len({size for size, _ in tasks[0]}) and len(tasks[10]) > len({size for size, _ in tasks[10]})
+
+
 def test_two_forests_outlive_a_refuted_pair():
     sets = [np.arange(1, 101, dtype=np.uint64) << np.uint64(20)] * 30
     bins = jaccard_join.folded([jaccard_join.histogram(s).tobytes() for s in sets])
