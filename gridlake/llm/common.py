@@ -74,18 +74,23 @@ def buffers(
     """Texts of a batch side by side: (rows, bytes, starts, lengths), in slices of about ``limit``
     bytes (one row at least). NULL counts as empty. ``PAD`` zeros stand before each text and at
     the end."""
+    for part, lengths in slices(batches, column, limit):
+        texts = part.column(column).cast(pa.large_binary()).to_pylist()
+        gap = bytes(PAD)
+        joined = np.frombuffer(gap + gap.join(t or b"" for t in texts) + gap, np.uint8)
+        starts = PAD + np.concatenate([[0], np.cumsum(lengths + PAD)[:-1]])
+        yield part, joined, starts, lengths
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches in slices of about ``limit`` bytes of text (one row at least), and the length of each text. NULL
+    counts as empty. For readers of the texts themselves, who need no bytes side by side."""
     for batch in batches:
         sizes = np.array(pc.binary_length(batch.column(column)).fill_null(0).to_pylist(), np.int64)
         at = 0
         while at < len(sizes):
             upto = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), limit, "right")))
-            part = batch.slice(at, upto - at)
-            texts = part.column(column).cast(pa.large_binary()).to_pylist()
-            gap = bytes(PAD)
-            joined = np.frombuffer(gap + gap.join(t or b"" for t in texts) + gap, np.uint8)
-            lengths = sizes[at:upto]
-            starts = PAD + np.concatenate([[0], np.cumsum(lengths + PAD)[:-1]])
-            yield part, joined, starts, lengths
+            yield batch.slice(at, upto - at), sizes[at:upto]
             at = upto
 
 

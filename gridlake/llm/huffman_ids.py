@@ -244,7 +244,7 @@ def encode_table(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("ids", tokenizer), lambda: Encoder(tokenizer))
         names, total = ["doc_id", "th", "ids", "id", "n"], np.zeros(end_id + 1, np.int64)
-        for part, *_ in common.buffers(batches, "text"):
+        for part, _ in common.slices(batches, "text"):
             texts = [t or "" for t in part.column("text").to_pylist()]
             ids = [np.append(x, end_id).astype(kind).tobytes() for x in encoder.texts(texts)]
             got = np.bincount(np.frombuffer(b"".join(ids), kind))

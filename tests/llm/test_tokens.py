@@ -11,7 +11,7 @@ import sentencepiece
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from gridlake.llm import huffman_ids, sentencepiece_codec
+from gridlake.llm import common, huffman_ids, sentencepiece_codec
 from gridlake.session import scratch_path
 
 BPE, PIECES = path("byte_bpe_50k.json"), path("piece_bpe_32k.model")
@@ -152,3 +152,14 @@ def test_few_texts_are_words_at_once(monkeypatch):
     assert max(sizes) <= 1 << 20 and sum(sizes) == 24 * 105_000
     counts = [n for b in got for n in b.column("n_tokens").to_pylist()]
     assert counts == [len(sentencepiece.SentencePieceProcessor(model_file=PIECES).encode("a word " * 15_000))] * 24 + [0]
+
+
+def test_texts_that_are_encoded_are_not_joined_as_bytes(monkeypatch):
+    """Slices hold every row once, in order, whatever the limit; and encoding makes no buffer of them."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["ab", None, "", "c" * 9, "é"])], ["text"])
+    for limit in (1, 4, 100):
+        got = list(common.slices(iter([batch]), "text", limit))
+        assert [t for part, _ in got for t in part.column("text").to_pylist()] == ["ab", None, "", "c" * 9, "é"]
+        assert [n for _, sizes in got for n in sizes.tolist()] == [2, 0, 0, 9, 2]
+    names = {n for c in huffman_ids.encode_table.__code__.co_consts if hasattr(c, "co_names") for n in c.co_names}
+    assert "slices" in names and "buffers" not in names
